@@ -1,0 +1,17 @@
+"""Join helpers with an explicit size check on the broadcast side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``small`` only if it provably has at most ``max_rows`` rows.
+
+    The check runs ``limit(max_rows + 1).count()``, which stops reading once
+    the bound is exceeded; above the bound the frame is returned unchanged
+    and Spark plans a shuffle join.
+    """
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small
