@@ -238,3 +238,25 @@ from (select variable, value, row_number() over (partition by variable order by
 where rn <= 5 group by variable
 """)(lambda spark, sf: profile.first_k_values(_vf(spark, sf), "variable", "value"))
 FLAGSHIP = "profile_missing"
+
+# ---------------------------------------------------------------- C1 - C9
+from dqspark.operators import clean  # noqa: E402
+from dqspark.plans import oracle_clean as OC  # noqa: E402
+
+_RULE_QUERIES = {
+    "clean_placeholder_junk": "placeholder_junk", "clean_phone": "phone",
+    "clean_zero_typo": "zero_typo", "clean_zone_municipality": "zone", "clean_alias": "alias",
+    "clean_general_junk": "general_junk", "clean_fill_missing": "fill_missing",
+    "clean_whitespace": "whitespace",
+}
+for _q, _rule in _RULE_QUERIES.items():
+    register(_q, OC.rule_changes_sql(_rule))(
+        lambda spark, sf, _rule=_rule: clean.rule_changes(dirty_registry(spark, sf), _rule))
+
+
+def cleaning(spark, sf) -> clean.Cleaning:
+    return clean.Cleaning(dirty_registry(spark, sf), clean.DIRTY_CONFIG)
+
+
+register("clean_all", OC.clean_all_sql())(lambda spark, sf: cleaning(spark, sf).cleaned)
+register("transformation_log", OC.transformation_log_sql())(lambda spark, sf: cleaning(spark, sf).audit())
