@@ -260,3 +260,41 @@ def cleaning(spark, sf) -> clean.Cleaning:
 
 register("clean_all", OC.clean_all_sql())(lambda spark, sf: cleaning(spark, sf).cleaned)
 register("transformation_log", OC.transformation_log_sql())(lambda spark, sf: cleaning(spark, sf).audit())
+
+# ---------------------------------------------------------------- J1 / J2
+from dqspark.functions.similarity import lcs_udf, similarity_from_lcs  # noqa: E402
+from dqspark.operators import dedupe  # noqa: E402
+
+register("fuzzy_pairs", O.fuzzy_pairs_sql())(
+    lambda spark, sf: dedupe.fuzzy_pairs(dirty_registry(spark, sf)))
+register("fuzzy_pairs_count", f"select count(*) as pairs from ({O.fuzzy_pairs_sql()})")(
+    lambda spark, sf: dedupe.fuzzy_pairs_count(dirty_registry(spark, sf)))
+register("fuzzy_pairs_clean", O.fuzzy_pairs_sql(src=f"({OC.clean_all_sql()})"))(
+    lambda spark, sf: dedupe.fuzzy_pairs(cleaning(spark, sf).cleaned))
+
+
+def q_token_sort_similarity(spark, sf):
+    """Per row: similarity between the record text before and after cleaning."""
+    raw = dirty_registry(spark, sf)
+    c = cleaning(spark, sf)
+    both = raw.select(R.key, dedupe.record_text(R.name, R.address).alias("t0"),
+                      *[c.state.cur[x].alias(f"_{x}") for x in (R.name, R.address)])
+    both = both.where(F.col("t0").isNotNull())
+    both = both.select(R.key, tx.token_sort("t0").alias("a"),
+                       tx.token_sort(dedupe.record_text(F.col(f"_{R.name}"), F.col(f"_{R.address}"))).alias("b"))
+    return both.select(R.key, similarity_from_lcs(lcs_udf("a", "b"), F.length("a"), F.length("b"))
+                       .alias("similarity"))
+
+
+_CLEAN_CTES = OC.chain()[0]
+register("token_sort_similarity", f"""
+with {_CLEAN_CTES},
+r as (select s0.{R.key} as k, {O.token_sort(f"upper({O.strip('s0.' + R.name)}) || ' | ' || upper({O.strip('s0.' + R.address)})")} as a
+      from s0 where s0.{R.name} is not null and s0.{R.address} is not null),
+c as (select row_number() over () as i, * from s0),
+cc as (select row_number() over () as i, * from s8),
+j as (select c.{R.key} as k, {O.token_sort(f"upper({O.strip('c.' + R.name)}) || ' | ' || upper({O.strip('c.' + R.address)})")} as a,
+             {O.token_sort(f"upper({O.strip('cc.' + R.name)}) || ' | ' || upper({O.strip('cc.' + R.address)})")} as b
+      from c join cc using (i) where c.{R.name} is not null and c.{R.address} is not null)
+select k as {R.key}, case when length(a) + length(b) = 0 then 100.0 else round_even(200.0 * {O.lcs('a', 'b')} / (length(a) + length(b)), 1) end as similarity from j
+""")(q_token_sort_similarity)

@@ -80,3 +80,40 @@ def vf(cols=None, src: str = D) -> str:
             f"from (select * from (select {', '.join(cols)} from {src}) "
             f"unpivot include nulls (value for variable in ({', '.join(cols)}))) "
             f"group by variable, value)")
+
+
+def token_sort(x: str) -> str:
+    s = strip(x)
+    return rf"(case when {s} = '' then '' else array_to_string(list_sort(regexp_split_to_array({s}, '\s+')), ' ') end)"
+
+
+def lcs(a: str, b: str) -> str:
+    """Exact LCS length in DuckDB SQL (dynamic program as nested list_reduce)."""
+    return (f"list_extract(list_reduce(list_transform(string_split({a}, ''), lambda ch: [unicode(ch)]), "
+            f"lambda p, x: list_reduce(list_transform(range(1, length({b}) + 1), lambda j: [j]), "
+            f"lambda q, j: list_append(q, case when x[1] = unicode(substr({b}, j[1], 1)) "
+            f"then p[j[1]] + 1 else greatest(p[j[1] + 1], q[-1]) end), [0]), "
+            f"list_resize([0], length({b}) + 1, 0)), -1)")
+
+
+def fuzzy_pairs_sql(key="code", name="name", address="address", blocks=("department", "municipality"),
+                    diffs=("director", "sector"), t=95, src: str = D) -> str:
+    ctx = [key, name, *diffs]
+    cols = list(dict.fromkeys([*blocks, *diffs, *ctx]))
+    nn = " and ".join(f"{c} is not null" for c in (name, address, *blocks))
+    text = f"upper({strip(name)}) || ' | ' || upper({strip(address)})"
+    on = " and ".join([*(f"a.{c} = b.{c}" for c in blocks), *(f"a.{c} is not distinct from b.{c}" for c in diffs)])
+    o1 = "(" + ", ".join(f"a.{c}" for c in ctx) + ")"
+    o2 = "(" + ", ".join(f"b.{c}" for c in ctx) + ")"
+    sel = ", ".join(f"case when {o2} < {o1} then b.{c} else a.{c} end as {c}_1, "
+                    f"case when {o2} < {o1} then a.{c} else b.{c} end as {c}_2" for c in ctx)
+    return f"""
+with d as (select {', '.join(cols)}, {token_sort(text)} as ts, row_number() over () as rid from {src} t where {nn}),
+p as (select a.ts as ta, b.ts as tb, {sel} from d a join d b on {on} and a.rid < b.rid),
+u as (select distinct ta, tb from p where ta <> tb),
+s as (select ta, tb, {lcs('ta', 'tb')} as lcs from u)
+select round_even(case when p.ta = p.tb then 100.0 else 200.0 * s.lcs / (length(p.ta) + length(p.tb)) end, 1) as similarity,
+       {', '.join(f'{c}_1, {c}_2' for c in ctx)}
+from p left join s on p.ta = s.ta and p.tb = s.tb
+where p.ta = p.tb or 200 * s.lcs >= {t} * (length(p.ta) + length(p.tb))
+"""
