@@ -212,13 +212,17 @@ from m left join e using (variable)
 """)(lambda spark, sf: profile.shape_profile(_vf(spark, sf), _SHAPE_COLS))
 
 # ---------------------------------------------------------------- A14
-_VARIANTS_SQL = f"""
-with v as (select * from {VF} x where value is not null),
+def variants_sql(vf_sql: str) -> str:
+    return f"""
+with v as (select * from {vf_sql} x where value is not null),
 card as (select variable from v group by variable having count(*) > 1 and count(*) <= {K.VARIANT_MAX_DISTINCT}),
 k as (select variable, pos, value, {O.category_key('value')} as key from v where variable in (select variable from card))
 select variable, pos, key, count(*) as n_variants, string_agg(value, ' | ' order by value) as variants
 from k group by variable, pos, key having count(*) > 1
 """
+
+
+_VARIANTS_SQL = variants_sql(VF)
 register("category_variants", _VARIANTS_SQL)(
     lambda spark, sf: variants.variant_groups(_vf(spark, sf)))
 
@@ -237,7 +241,7 @@ from (select variable, value, row_number() over (partition by variable order by
       from {VF} v where value is not null)
 where rn <= 5 group by variable
 """)(lambda spark, sf: profile.first_k_values(_vf(spark, sf), "variable", "value"))
-FLAGSHIP = "profile_missing"
+
 
 # ---------------------------------------------------------------- C1 - C9
 from dqspark.operators import clean  # noqa: E402
@@ -298,3 +302,143 @@ j as (select c.{R.key} as k, {O.token_sort(f"upper({O.strip('c.' + R.name)}) ||
       from c join cc using (i) where c.{R.name} is not null and c.{R.address} is not null)
 select k as {R.key}, case when length(a) + length(b) = 0 then 100.0 else round_even(200.0 * {O.lcs('a', 'b')} / (length(a) + length(b)), 1) end as similarity from j
 """)(q_token_sort_similarity)
+
+# ---------------------------------------------------------------- A15 / K5 / A18 / V1-V8
+from dqspark.plans import diagnosis  # noqa: E402
+
+FLAGSHIP = "quality_before_after"
+
+
+def diag_of(spark, sf, df=None) -> diagnosis.Diagnosis:
+    return diagnosis.Diagnosis(df if df is not None else dirty_registry(spark, sf), R,
+                               department_catalog=department_catalog(spark, sf))
+
+
+_DUP_D = (f"select cast(coalesce(sum(n - 1), 0) as bigint) as duplicates from "
+          f"(select count(*) as n from {D} t group by {', '.join(O.D_COLS)})")
+
+_FINDINGS_SQL = f"""
+with miss as ({ORACLE['profile_missing']}),
+dup as ({_DUP_D}),
+dom as ({ORACLE['domain_summary']}),
+fmt as ({ORACLE['profile_format']}),
+shp as ({ORACLE['shape_profile']}),
+vs as ({ORACLE['category_variant_summary']}),
+f as (
+  select 1 as sec, 0 as pos, 0 as sub, 'Missing values in: ' || string_agg(variable, ', ' order by missing desc, pos) as finding
+    from miss where missing > 0 having count(*) > 0
+  union all select 2, 0, 0, duplicates || ' exact duplicate rows' from dup where duplicates > 0
+  union all select 3, pos, 0, variable || ': ' || invalid_values || ' out-of-domain values' from dom where invalid_values > 0
+  union all select 4, pos, 0, variable || ': possible text format problems' from fmt where edge_ws > 0 or multi_ws > 0
+  union all select 4, pos, 1, variable || ': letters in a numeric field' from fmt where coalesce(letters, 0) > 0
+  union all select 4, pos, 2, variable || ': ' || corrupt || ' values with corrupt characters (possible encoding problem)'
+    from fmt where corrupt > 0
+  union all select 5, pos, 0, variable || ': ' || n_signatures || ' distinct format patterns (' || off_pattern ||
+    ' values off the most common)' from shp where n_signatures > 1
+  union all select 6, pos, 0, variable || ': ' || groups || ' categories with possible spelling variants' from vs),
+f2 as (select * from f union all select 9, 0, 0, 'No evident problems with the current rules' where (select count(*) from f) = 0)
+select cast(row_number() over (order by sec, pos, sub, finding) as integer) as ordinal, finding from f2
+"""
+register("findings", _FINDINGS_SQL)(lambda spark, sf: diag_of(spark, sf).findings())
+
+register("tidy_report", f"""
+with miss as ({ORACLE['profile_missing']}),
+fmt as ({ORACLE['profile_format']}),
+shp as ({ORACLE['shape_profile']}),
+dom as ({ORACLE['domain_summary']}),
+vs as ({ORACLE['category_variant_summary']}),
+fin as ({_FINDINGS_SQL})
+select 'a_shape' as section, '' as variable, metric, cast(value as varchar) as value from ({ORACLE['profile_shape']})
+union all select 'b_types', variable, 'type', type from ({ORACLE['profile_types']})
+union all select 'c_missing', variable, 'missing', cast(missing as varchar) from miss
+union all select 'c_missing', variable, 'missing_pct', cast(missing_pct as varchar) from miss
+union all select 'd_distinct', variable, 'distinct_values', cast(distinct_values as varchar) from ({ORACLE['profile_distinct']})
+union all select 'e_duplicates', '', 'duplicates', cast(duplicates as varchar) from ({_DUP_D})
+union all select 'f_domain', variable, 'invalid_values', cast(invalid_values as varchar) from dom
+union all select 'f_domain', variable, 'examples', examples from dom
+union all select 'g_format', variable, 'edge_ws', cast(edge_ws as varchar) from fmt
+union all select 'g_format', variable, 'multi_ws', cast(multi_ws as varchar) from fmt
+union all select 'g_format', variable, 'corrupt', cast(corrupt as varchar) from fmt
+union all select 'g_format', variable, 'letters', cast(letters as varchar) from fmt where letters is not null
+union all select 'g_format', variable, 'corrupt_examples', corrupt_examples from fmt where corrupt_examples <> ''
+union all select 'g_patterns', variable, 'n_signatures', cast(n_signatures as varchar) from shp
+union all select 'g_patterns', variable, 'most_common', most_common from shp
+union all select 'g_patterns', variable, 'off_pattern', cast(off_pattern as varchar) from shp
+union all select 'g_patterns', variable, 'examples', examples from shp
+union all select 'f_variants', variable, 'groups', cast(groups as varchar) from vs
+union all select 'f_variants', variable, 'examples', examples from vs
+union all select 'h_findings', '', 'finding_' || ordinal, finding from fin
+""")(lambda spark, sf: diag_of(spark, sf).tidy_report())
+
+
+def _metrics_sql(src: str, fuzzy_sql: str, errors_sql: str) -> str:
+    vf = O.vf(src=src)
+    k = len(O.D_COLS)
+    return f"""
+with v as (select * from {vf} x),
+miss as (select variable, sum(case when value is null then n else 0 end) as missing from v group by variable),
+m as (select sum(missing) as total, count(*) filter (where missing > 0) as with_na from miss),
+r as (select count(*) as rows from {src} t),
+fmt as (select variable, sum(case when value is not null and ({O.edge_ws('value')} or {O.multi_ws('value')}
+               or contains(value, '{K.CORRUPT_CHAR}')) then n else 0 end) as bad from v group by variable),
+vg as (select count(*) as groups from ({variants_sql(vf)}) g)
+select 1 as ord, 'rows' as metric, cast(rows as varchar) as value from r
+union all select 2, 'columns', '{k}'
+union all select 3, 'missing cells', cast(total as varchar) || ' (' ||
+  cast(case when rows > 0 then round(cast(total as double) * 100 / (rows * {k}), 2) else 0.0 end as varchar) || '%)' from m, r
+union all select 4, 'columns with missing values', cast(with_na as varchar) from m
+union all select 5, 'exact duplicates', cast(duplicates as varchar) from
+  (select cast(coalesce(sum(n - 1), 0) as bigint) as duplicates from (select count(*) as n from {src} t group by {', '.join(O.D_COLS)}))
+union all select 6, 'possible duplicates', cast(pairs as varchar) from ({fuzzy_sql})
+union all select 7, 'columns with format issues', cast(count(*) filter (where bad > 0) as varchar) from fmt
+union all select 8, 'columns with wrong type', '0'
+union all select 9, 'category variant groups', cast(groups as varchar) from vg
+union all select 10, 'errors corrected', cast(errors as varchar) from ({errors_sql})
+"""
+
+
+_CLEAN_SRC = f"({OC.clean_all_sql()})"
+register("quality_before_after", f"""
+with b as ({_metrics_sql(D, f"select count(*) as pairs from ({O.fuzzy_pairs_sql()})", "select 0 as errors")}),
+a as ({_metrics_sql(_CLEAN_SRC, f"select count(*) as pairs from ({O.fuzzy_pairs_sql(src=_CLEAN_SRC)})",
+                    f"select cast(sum(affected) as bigint) as errors from ({OC.transformation_log_sql()})")})
+select cast(b.ord as integer) as ord, b.metric, b.value as before, a.value as after from b join a using (ord)
+""")
+
+
+def q_quality_before_after(spark, sf):
+    raw = dirty_registry(spark, sf)
+    c = cleaning(spark, sf)
+    before = diag_of(spark, sf, raw).quality_metrics(dedupe.fuzzy_pairs_count(raw))
+    after = diag_of(spark, sf, c.cleaned).quality_metrics(dedupe.fuzzy_pairs_count(c.cleaned),
+                                                          clean.errors_corrected(c.audit()))
+    return diagnosis.before_after(before, after)
+
+
+QUERIES["quality_before_after"] = q_quality_before_after
+
+_AL = ", ".join(f"'{a}'" for a in clean.DIRTY_CONFIG.aliases)
+register("validate_clean", f"""
+with c as (select * from {_CLEAN_SRC} t),
+v as (select * from {O.vf(src=_CLEAN_SRC)} x),
+dup as (select cast(coalesce(sum(n - 1), 0) as bigint) as d from (select count(*) as n from c group by {', '.join(O.D_COLS)})),
+edge as (select coalesce(sum(n) filter (where value is not null and {O.edge_ws('value')}), 0) as e from v),
+cnt as (select count(*) filter (where {R.phone} is not null and not ({O.phone_ok(R.phone)} or {R.phone} = '{K.PLACEHOLDER}')) as bad_phone,
+               count(*) filter (where coalesce({O.zone(R.municipality)}, false)) as zones,
+               count(*) filter (where upper({R.department}) in ({_AL})) as alias_left,
+               count(*) filter (where coalesce({O.zero_typo(R.supervisor)}, false)) as typo_left from c),
+outside as (select distinct upper({R.department}) as value from c where {R.department} is not null
+            and upper({R.department}) not in (select r_name from region)),
+o as (select count(*) as n, (select string_agg(value, ', ' order by value) from (select value from outside order by value limit 5)) as ex from outside),
+vg as (select count(*) as groups from ({variants_sql(O.vf(src=_CLEAN_SRC))}) g)
+select 1 as ord, 'no exact duplicate rows' as "check", d = 0 as ok, 'found: ' || d as detail from dup
+union all select 2, 'no leading or trailing whitespace in text', e = 0, 'cells with edge whitespace: ' || e from edge
+union all select 3, 'phones have 8 digits or the placeholder', bad_phone = 0, 'invalid remaining: ' || bad_phone from cnt
+union all select 4, 'departments inside the catalogue', n = 0, 'outside catalogue: ' || n || coalesce(' (' || ex || ')', '') from o
+union all select 5, 'no zone values left in municipality', zones = 0, 'remaining: ' || zones from cnt
+union all select 6, 'every column is text', true, 'other type: none'
+union all select 7, 'no category spelling variants', groups = 0, 'variant groups: ' || groups from vg
+union all select 8, 'no alias or letter-zero typo left', alias_left = 0 and typo_left = 0,
+  'alias present: ' || cast(alias_left > 0 as varchar) || '; typo present: ' || cast(typo_left > 0 as varchar) from cnt
+""")(lambda spark, sf: diagnosis.validate(cleaning(spark, sf).cleaned, R, department_catalog(spark, sf),
+                                          aliases=clean.DIRTY_CONFIG.aliases))
