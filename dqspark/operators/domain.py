@@ -1,81 +1,111 @@
 """Out-of-domain checks over the value-frequency frame.
 
-All checks work on distinct values (the frequency frame), not rows.  Each
-returns the complete long table ``(variable, value, n)`` of invalid
-distinct values; ``summarize`` folds it into a count and a short, sorted
-example string for reports.  Lists are never collected whole: the number
-of invalid values is unbounded.
+All checks work on distinct values (the frequency frame), not rows, and all
+columns are checked in one pass: the value is prepared and tested with a
+per-row ``CASE`` on ``variable``, so the frame is read once and shuffled once
+(per-column filters would be pushed below the frequency aggregate and turn
+one scan into one per column).  The result is the complete long table
+``(variable, value, n)`` of invalid distinct values; ``summarize`` folds it
+into a count and a short, sorted example string for reports.  Lists are
+never collected whole: the number of invalid values is unbounded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
 from dqspark.operators.joins import bounded_broadcast
 
+CATEGORICAL, NAME, KEY, PHONE = "categorical", "name", "key", "phone"
 
-def _prepared(vf: DataFrame, column: str, upper: bool) -> DataFrame:
-    v = vf.where((F.col("variable") == column) & F.col("value").isNotNull())
-    s = tx.ws_strip("value")
-    if upper:
-        s = F.upper(s)
-    return (v.select("variable", s.alias("value"), "n").where(F.col("value") != "")
-            .groupBy("variable", "value").agg(F.sum("n").cast("bigint").alias("n")))
+
+@dataclass(frozen=True)
+class Check:
+    column: str
+    kind: str
+    catalog: object = None    # collection of strings, one-column DataFrame, or None
+
+
+def _bad(kind: str, v: Column, catalog) -> Column:
+    if kind == CATEGORICAL:
+        base = tx.is_junk(v) | v.rlike(tx.J_DIGIT)
+        if isinstance(catalog, DataFrame):
+            return base | F.col("_cv").isNull()
+        return base | tx.not_in_catalog(v, catalog)
+    if kind == NAME:
+        return tx.is_invalid_name(v)
+    if kind == KEY:
+        return ~v.rlike(tx.J_KEY) | tx.is_junk(v)
+    if kind == PHONE:
+        return ~v.rlike(tx.J_PHONE) | tx.is_junk(v)
+    raise ValueError(kind)
 
 
-def categorical_violations(vf: DataFrame, column: str, catalog=None,
-                           catalog_max_rows: int = 100_000) -> DataFrame:
+def violations(vf: DataFrame, checks: list[Check], catalog_max_rows: int = 100_000) -> DataFrame:
+    """``(variable, value, n)`` of invalid prepared values, all checks in one pass.
+
+    Categorical values are compared upper-cased and stripped, the others
+    stripped with case kept; empty values are ignored.
+    """
+    cols = [c.column for c in checks]
+    upper_cols = [c.column for c in checks if c.kind == CATEGORICAL]
+    v = vf.where(F.col("variable").isin(cols) & F.col("value").isNotNull())
+    s = tx.ws_strip("value")
+    prepared = (v.select("variable", F.when(F.col("variable").isin(upper_cols), F.upper(s)).otherwise(s)
+                         .alias("value"), "n")
+                .where(F.col("value") != "")
+                .groupBy("variable", "value").agg(F.sum("n").cast("bigint").alias("n")))
+    table_checks = [c for c in checks if c.kind == CATEGORICAL and isinstance(c.catalog, DataFrame)]
+    if table_checks:
+        cats = None
+        for c in table_checks:
+            cat = c.catalog.select(F.lit(c.column).alias("_cvar"), F.col(c.catalog.columns[0]).alias("_cv"))
+            cats = cat if cats is None else cats.unionByName(cat)
+        cats = bounded_broadcast(cats.distinct(), catalog_max_rows)
+        prepared = prepared.join(cats, (F.col("variable") == F.col("_cvar")) & (F.col("value") == F.col("_cv")),
+                                 "left")
+    bad = F.lit(False)
+    for c in reversed(checks):
+        bad = F.when(F.col("variable") == c.column, _bad(c.kind, F.col("value"), c.catalog)).otherwise(bad)
+    return prepared.where(bad).select("variable", "value", "n")
+
+
+def categorical_violations(vf: DataFrame, column: str, catalog=None) -> DataFrame:
     """Upper/stripped values that are junk, contain a digit, or are outside
-    the catalogue.  ``catalog`` is a collection of strings, a one-column
-    DataFrame, or empty/None (no list check)."""
-    p = _prepared(vf, column, upper=True)
-    bad = tx.is_junk("value") | F.col("value").rlike(tx.J_DIGIT)
-    if isinstance(catalog, DataFrame):
-        cat = bounded_broadcast(catalog.select(F.col(catalog.columns[0]).alias("_cv")).distinct(),
-                                catalog_max_rows)
-        p = p.join(cat, F.col("value") == F.col("_cv"), "left")
-        bad = bad | F.col("_cv").isNull()
-    else:
-        bad = bad | tx.not_in_catalog("value", catalog)
-    return p.where(bad).select("variable", "value", "n")
+    the catalogue (empty/None catalogue: no list check)."""
+    return violations(vf, [Check(column, CATEGORICAL, catalog)])
 
 
 def name_violations(vf: DataFrame, column: str) -> DataFrame:
     """Stripped values (case kept) that are junk or contain a digit."""
-    p = _prepared(vf, column, upper=False)
-    return p.where(tx.is_invalid_name("value")).select("variable", "value", "n")
-
-
-def pattern_violations(vf: DataFrame, column: str, java_pattern: str) -> DataFrame:
-    """Stripped values not matching the pattern, or junk."""
-    p = _prepared(vf, column, upper=False)
-    bad = ~F.col("value").rlike(java_pattern) | tx.is_junk("value")
-    return p.where(bad).select("variable", "value", "n")
+    return violations(vf, [Check(column, NAME)])
 
 
 def key_violations(vf: DataFrame, column: str) -> DataFrame:
-    return pattern_violations(vf, column, tx.J_KEY)
+    return violations(vf, [Check(column, KEY)])
 
 
 def phone_violations(vf: DataFrame, column: str) -> DataFrame:
-    return pattern_violations(vf, column, tx.J_PHONE)
+    return violations(vf, [Check(column, PHONE)])
 
 
-def summarize(violations: DataFrame, variables: list[str], k: int = 20) -> DataFrame:
-    """``(variable, invalid_values, examples)``; ``Ninguno`` when clean.
+def summarize(violations_df: DataFrame, variables: list[str], k: int = 20) -> DataFrame:
+    """``(variable, pos, invalid_values, examples)``; ``Ninguno`` when clean.
 
     ``examples`` lists the ``k`` smallest invalid values; the complete list
     is the violations table itself.
     """
     from dqspark.operators.profile import first_k_values
-    spark = violations.sparkSession
+    spark = violations_df.sparkSession
     base = spark.createDataFrame([(i + 1, v) for i, v in enumerate(variables)],
                                  "pos int, variable string")
-    counts = violations.groupBy("variable").agg(F.count(F.lit(1)).alias("invalid_values"))
-    ex = first_k_values(violations, "variable", "value", k=k, out="examples")
+    counts = violations_df.groupBy("variable").agg(F.count(F.lit(1)).alias("invalid_values"))
+    ex = first_k_values(violations_df, "variable", "value", k=k, out="examples")
     return (base.join(counts, "variable", "left").join(ex, "variable", "left")
             .select("variable", "pos",
                     F.coalesce("invalid_values", F.lit(0)).cast("bigint").alias("invalid_values"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _vf(spark, sf_dir):
-    return profile.value_freq(dirty_registry(spark, sf_dir))
+def _vf(spark, sf_dir, cache: bool = False):
+    vf = profile.value_freq(dirty_registry(spark, sf_dir))
+    if cache:   # read by several branches of one plan
+        vf = vf.persist(StorageLevel.MEMORY_AND_DISK)
+    return vf
 
 
 D, VF = O.D, O.vf()
@@ -95,7 +99,7 @@ e as (select variable, string_agg(value, ', ' order by value) as corrupt_example
       from (select variable, value, row_number() over (partition by variable order by value) as rn
             from v where contains(value, '{K.CORRUPT_CHAR}')) where rn <= 5 group by variable)
 select a.*, coalesce(e.corrupt_examples, '') as corrupt_examples from a left join e using (variable)
-""")(lambda spark, sf: profile.format_issues(_vf(spark, sf), phone_column=R.phone))
+""")(lambda spark, sf: profile.format_issues(_vf(spark, sf, cache=True), phone_column=R.phone))
 
 register("profile_letters", f"""
 select '{R.phone}' as variable,
@@ -131,19 +135,20 @@ where {O.junk('value')} or {O.has_digit('value')} or not list_contains({_SECTORS
 """)
 
 
-def q_domain_catalog(spark, sf):
-    vf = _vf(spark, sf)
-    return (domain.categorical_violations(vf, R.department, department_catalog(spark, sf))
-            .unionByName(domain.categorical_violations(vf, R.sector, K.SECTORS)))
+def _checks(spark, sf):
+    C = domain.Check
+    return [C(R.department, domain.CATEGORICAL, department_catalog(spark, sf)),
+            C(R.sector, domain.CATEGORICAL, K.SECTORS),
+            *[C(c, domain.NAME) for c in _NAME_COLS],
+            C(R.key, domain.KEY), C(R.phone, domain.PHONE)]
 
 
-QUERIES["domain_catalog"] = q_domain_catalog
-
 _NAME_COLS = [R.supervisor, R.director, R.municipality]
+QUERIES["domain_catalog"] = lambda spark, sf: domain.violations(_vf(spark, sf), _checks(spark, sf)[:2])
+
 register("domain_names", " union all ".join(
     f"select variable, value, n from {_prep_sql(c, False)} p where {O.junk('value')} or {O.has_digit('value')}"
-    for c in _NAME_COLS))(
-    lambda spark, sf: _union([domain.name_violations(_vf(spark, sf), c) for c in _NAME_COLS]))
+    for c in _NAME_COLS))(lambda spark, sf: domain.violations(_vf(spark, sf), _checks(spark, sf)[2:5]))
 
 register("domain_code", f"""
 select variable, value, n from {_prep_sql(R.key, False)} p where not {O.key_ok('value')} or {O.junk('value')}
@@ -154,22 +159,9 @@ select variable, value, n from {_prep_sql(R.phone, False)} p where not {O.phone_
 """)(lambda spark, sf: domain.phone_violations(_vf(spark, sf), R.phone))
 
 
-def _union(frames):
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def all_violations(spark, sf, vf=None) -> DataFrame:
-    vf = vf if vf is not None else _vf(spark, sf)
-    return _union([
-        domain.categorical_violations(vf, R.department, department_catalog(spark, sf)),
-        domain.categorical_violations(vf, R.sector, K.SECTORS),
-        *[domain.name_violations(vf, c) for c in _NAME_COLS],
-        domain.key_violations(vf, R.key),
-        domain.phone_violations(vf, R.phone),
-    ])
+    vf = vf if vf is not None else _vf(spark, sf, cache=True)
+    return domain.violations(vf, _checks(spark, sf))
 
 
 DOMAIN_VARS = [R.department, R.sector, *_NAME_COLS, R.key, R.phone]
@@ -209,7 +201,7 @@ e as (select variable, string_agg(sv, ', ' order by sv) as examples
 select m.variable, m.pos, m.n_signatures, m.most_common, cast(m.total - m.top as bigint) as off_pattern,
        coalesce(e.examples, '') as examples
 from m left join e using (variable)
-""")(lambda spark, sf: profile.shape_profile(_vf(spark, sf), _SHAPE_COLS))
+""")(lambda spark, sf: profile.shape_profile(_vf(spark, sf, cache=True), _SHAPE_COLS))
 
 # ---------------------------------------------------------------- A14
 def variants_sql(vf_sql: str) -> str:
@@ -232,7 +224,7 @@ top as (select * from (select *, row_number() over (partition by variable order
 select g.variable, g.pos, count(*) as groups,
        (select string_agg(variants, '; ' order by key) from top where top.variable = g.variable) as examples
 from g group by g.variable, g.pos
-""")(lambda spark, sf: variants.variant_summary(variants.variant_groups(_vf(spark, sf))))
+""")(lambda spark, sf: variants.variant_summary(variants.variant_groups(_vf(spark, sf, cache=True))))
 
 # ---------------------------------------------------------------- L4
 register("top_examples", f"""

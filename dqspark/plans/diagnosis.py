@@ -33,12 +33,15 @@ def _s(c):
 class Diagnosis:
     def __init__(self, df: DataFrame, roles: Roles, department_catalog=None,
                  sector_catalog=K.SECTORS, level_catalog=K.LEVELS,
-                 shape_columns=None, persist: bool = False):
+                 shape_columns=None, persist: bool = True):
         self.df = df
         self.roles = roles
         self.columns = df.columns
         self.vf = profile.value_freq(df)
         if persist:
+            # every section reads this frame; keep it instead of re-scanning
+            # (filters on ``variable`` would otherwise be pushed below the
+            # aggregate and defeat exchange reuse)
             self.vf = self.vf.persist(StorageLevel.MEMORY_AND_DISK)
         self.department_catalog = department_catalog
         self.sector_catalog = sector_catalog
@@ -63,27 +66,26 @@ class Diagnosis:
     def duplicates(self):
         return profile.duplicate_count(self.df)
 
-    def violations(self) -> DataFrame:
-        r, vf, cols = self.roles, self.vf, self.columns
-        parts = []
+    def checks(self) -> list[domain.Check]:
+        r, cols, C = self.roles, self.columns, domain.Check
+        out = []
         for c, cat in ((r.department, self.department_catalog), (r.sector, self.sector_catalog),
                        (r.level, self.level_catalog), (r.status, None), (r.area, None)):
             if c and c in cols:
-                parts.append(domain.categorical_violations(vf, c, cat))
-        for c in (r.supervisor, r.director, r.municipality):
-            if c in cols:
-                parts.append(domain.name_violations(vf, c))
+                out.append(C(c, domain.CATEGORICAL, cat))
+        out += [C(c, domain.NAME) for c in (r.supervisor, r.director, r.municipality) if c in cols]
         if r.key in cols:
-            parts.append(domain.key_violations(vf, r.key))
+            out.append(C(r.key, domain.KEY))
         if r.phone in cols:
-            parts.append(domain.phone_violations(vf, r.phone))
-        return _union(parts)
+            out.append(C(r.phone, domain.PHONE))
+        return out
+
+    def violations(self) -> DataFrame:
+        """All out-of-domain values of all checked columns, one pass."""
+        return domain.violations(self.vf, self.checks())
 
     def domain_variables(self) -> list[str]:
-        r, cols = self.roles, self.columns
-        order = [r.department, r.sector, r.level, r.status, r.area, r.supervisor, r.director,
-                 r.municipality, r.key, r.phone]
-        return [c for c in order if c and c in cols]
+        return [c.column for c in self.checks()]
 
     def domain_summary(self):
         return domain.summarize(self.violations(), self.domain_variables())
