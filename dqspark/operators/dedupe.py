@@ -14,9 +14,9 @@ Plan, Spark-first and without enumerating all pairs of a block:
    columns); the score depends on the text only, so it is computed once per
    distinct text pair.
 3. Lossless candidate generation by q-gram prefix filtering: with
-   ``indel(a, b) <= k`` at most ``k*q`` padded q-grams of one string are
-   missing from the other, so the ``k*q + 1`` rarest q-grams (rarity counted
-   per group) of two matching strings share at least one.  Candidates are
+   ``indel(a, b) <= k`` at most ``k*q`` distinct padded q-grams of one string
+   are missing from the other, so the ``k*q + 1`` rarest q-grams (rarity
+   counted per group) of two matching strings share at least one.  Candidates are
    an equi-join on ``(gid, q-gram)`` -- never a cross product.
 4. Built-in prefilters (length bound, ``levenshtein(a, b, k) >= 0`` since
    ``lev <= indel``), then the exact LCS in an Arrow UDF.
@@ -87,30 +87,43 @@ def entities(df: DataFrame, cfg: FuzzyConfig) -> DataFrame:
 
 
 def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
-    """``(gid, ta, tb)`` with ``ta < tb``: every pair that can reach the
-    threshold, found through shared prefix q-grams."""
+    """``(gid, ta, tb, la, lb)`` with ``ta < tb``: every pair that can reach the
+    threshold, found through shared prefix q-grams.
+
+    Works on *sets* of padded q-grams: an edit destroys at most ``q``
+    positional q-grams, and a distinct q-gram is lost only when all its
+    occurrences are, so ``|Qa - Qb| <= k*q``; the ``k*q + 1`` rarest distinct
+    q-grams of two matching strings therefore intersect.  Q-grams and texts
+    travel through the shuffles as 64-bit hashes; a collision can only add
+    candidates, since pairs are re-joined to the real texts and verified.
+    """
     q, t = cfg.q, cfg.threshold
     padded = F.concat(F.lit(PAD_LEFT * (q - 1)), F.col("ts"), F.lit(PAD_RIGHT * (q - 1)))
-    grams = texts.select(
-        "gid", "ts", "len",
-        F.posexplode(F.transform(F.sequence(F.lit(1), F.col("len") + q - 1),
-                                 lambda i: padded.substr(i, F.lit(q)))).alias("p", "g"))
-    occ = Window.partitionBy("gid", "ts", "g").orderBy("p")
-    grams = grams.withColumn("tok", F.concat(F.col("g"), F.lit("#"), F.row_number().over(occ).cast("string")))
-    freq = grams.groupBy("gid", "tok").agg(F.count(F.lit(1)).alias("f"))
-    ranked = grams.join(freq, ["gid", "tok"])
-    w = Window.partitionBy("gid", "ts").orderBy("f", "tok")
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("len") + q - 1),
+                                         lambda i: F.xxhash64(padded.substr(i, F.lit(q)))))
+    toks = texts.select("gid", F.xxhash64("ts").alias("th"), "len", F.explode(grams).alias("tok"))
+    freq = toks.groupBy("gid", "tok").agg(F.count(F.lit(1)).alias("f"))
+    ranked = toks.join(freq, ["gid", "tok"])
+    # rarest q-grams first (ties by hash): a fixed total order on tokens
+    w = Window.partitionBy("gid", "th").orderBy("f", "tok")
     prefix = (ranked.withColumn("r", F.row_number().over(w))
               .where(F.col("r") <= _max_k(F.col("len"), t) * q + 1)
-              .select("gid", "ts", "len", "tok"))
+              .select("gid", "th", "len", "tok"))
     a, b = prefix.alias("a"), prefix.alias("b")
     la, lb = F.col("a.len"), F.col("b.len")
-    pairs = a.join(b, (F.col("a.gid") == F.col("b.gid")) & (F.col("a.tok") == F.col("b.tok"))
-                   & (F.col("a.ts") < F.col("b.ts"))
-                   # LCS <= min length: 2*min(la, lb) >= t/100 * (la + lb)
-                   & (F.least(la, lb) * 200 >= (la + lb) * t))
-    return pairs.select(F.col("a.gid").alias("gid"), F.col("a.ts").alias("ta"), F.col("b.ts").alias("tb"),
-                        la.alias("la"), lb.alias("lb")).distinct()
+    hp = (a.join(b, (F.col("a.gid") == F.col("b.gid")) & (F.col("a.tok") == F.col("b.tok"))
+                 & (F.col("a.th") <= F.col("b.th"))
+                 # LCS <= min length: 2*min(la, lb) >= t/100 * (la + lb)
+                 & (F.least(la, lb) * 200 >= (la + lb) * t))
+          .select(F.col("a.gid").alias("gid"), F.col("a.th").alias("tha"), F.col("b.th").alias("thb"))
+          .distinct())
+    ta = texts.select("gid", F.xxhash64("ts").alias("tha"), F.col("ts").alias("ta"), F.col("len").alias("la"))
+    tb = texts.select("gid", F.xxhash64("ts").alias("thb"), F.col("ts").alias("tb"), F.col("len").alias("lb"))
+    both = hp.join(ta, ["gid", "tha"]).join(tb, ["gid", "thb"]).where(F.col("ta") != F.col("tb"))
+    swap = F.col("tb") < F.col("ta")
+    return both.select("gid", F.least("ta", "tb").alias("ta"), F.greatest("ta", "tb").alias("tb"),
+                       F.when(swap, F.col("lb")).otherwise(F.col("la")).alias("la"),
+                       F.when(swap, F.col("la")).otherwise(F.col("lb")).alias("lb")).distinct()
 
 
 def scored_text_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
