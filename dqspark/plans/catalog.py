@@ -434,3 +434,79 @@ union all select 8, 'no alias or letter-zero typo left', alias_left = 0 and typo
   'alias present: ' || cast(alias_left > 0 as varchar) || '; typo present: ' || cast(typo_left > 0 as varchar) from cnt
 """)(lambda spark, sf: diagnosis.validate(cleaning(spark, sf).cleaned, R, department_catalog(spark, sf),
                                           aliases=clean.DIRTY_CONFIG.aliases))
+
+# ---------------------------------------------------------------- S1-S6, P1-P4, K3, U1, K4, P5, A16
+from dqspark.sources import ingest as ING  # noqa: E402
+from dqspark.sources import landing as LND  # noqa: E402
+
+EXPORT_HEADER = [("CODIGO", R.key), ("", None), ("DISTRITO", R.district), ("DEPARTAMENTO", R.department),
+                 ("MUNICIPIO", R.municipality), ("ESTABLECIMIENTO", R.name), ("DIRECCION", R.address),
+                 ("TELEFONO", R.phone), ("SUPERVISOR", R.supervisor), ("DIRECTOR", R.director),
+                 ("SECTOR", R.sector), ("", None), ("", None)]
+_REG = {c: h for h, c in EXPORT_HEADER if c}
+
+
+def landing_of(spark, sf) -> DataFrame:
+    d = dirty_registry(spark, sf)
+    return LND.export_files(d, EXPORT_HEADER, LND.file_group(F.col(R.department)), R.key)
+
+
+def ingested(spark, sf) -> ING.Ingested:
+    return ING.ingest(landing_of(spark, sf))
+
+
+_FILES_SQL = f"""
+with g as (select *, regexp_replace({R.department}, ' CAPITAL$', '') as grp from {D} t),
+sz as (select grp, cast(greatest(1, ceil(count(*) / {LND.ROWS_PER_FILE})) as integer) as nc from g group by grp),
+r as (select g.*, 'export_' || replace(grp, ' ', '_') || '_' ||
+        lpad(cast(coalesce(cast(substr({R.key}, 7, 4) as integer) % nc, 0) as varchar), 3, '0') || '.csv' as origin,
+        coalesce({O.key_ok(O.strip(R.key))}, false) as valid
+      from g join sz using (grp))
+"""
+_ALLTEXT = " || ';' || ".join(f"coalesce({c}, '')" for _, c in EXPORT_HEADER if c)
+
+register("ingest_ledger", f"""{_FILES_SQL}
+select origin,
+  case when bool_or(contains({R.director}, '{K.CORRUPT_CHAR}')) then 'utf-8-sig'
+       when bool_or(regexp_matches({_ALLTEXT}, '[^\\x00-\\x7F]')) then 'cp1252' else 'utf-8-sig' end as encoding,
+  cast({LND.LEADING_LINES} as bigint) as lines_before,
+  cast(count(*) + {LND.FOOTER_ROWS} as bigint) as rows_from_header,
+  cast(count(*) filter (where not valid) + {LND.FOOTER_ROWS} as bigint) as rows_removed,
+  cast(count(*) filter (where valid) as bigint) as rows_kept,
+  cast({len(EXPORT_HEADER)} as bigint) as columns_original,
+  cast({len(_REG)} as bigint) as columns_final,
+  '{", ".join(f"Unnamed: {i}" for i, (h, c) in enumerate(EXPORT_HEADER) if not c)}' as unnamed_dropped,
+  '{", ".join(sorted(set(K.REQUIRED_HEADERS) - set(_REG.values())))}' as required_missing,
+  'ver columnas' as status,
+  replace(replace(origin, '.csv', ''), ' ', '_') || '_new.csv' as output_file
+from r group by origin
+""")(lambda spark, sf: ingested(spark, sf).ledger)
+
+register("strict_union", f"""{_FILES_SQL}
+select {', '.join(f'{c} as "{h}"' for c, h in _REG.items())}, origin as origen from r where valid
+""")(lambda spark, sf: ING.strict_union(ingested(spark, sf)))
+
+register("union_ledger", f"""{_FILES_SQL}
+select origin as file, cast(count(*) filter (where valid) as bigint) as rows,
+       cast({len(_REG)} as bigint) as data_columns, true as schema_ok
+from r group by origin
+""")(lambda spark, sf: ING.union_ledger(ingested(spark, sf)))
+
+
+def q_file_review(spark, sf):
+    united = ING.strict_union(ingested(spark, sf))
+    return ING.file_review(united, "origen", _REG[R.department], _REG[R.municipality], len(_REG))
+
+
+register("file_review", f"""{_FILES_SQL}
+select origin as file, cast(count(*) as bigint) as rows, cast({len(_REG)} as bigint) as columns,
+  string_agg(distinct {O.strip(R.department)}, ' | ' order by {O.strip(R.department)}) as departments,
+  cast(count(distinct {O.strip(R.municipality)}) as bigint) as municipality_count,
+  string_agg(distinct {O.strip(R.municipality)}, ' | ' order by {O.strip(R.municipality)}) as municipalities,
+  case when count(distinct {O.strip(R.department)}) = 1 then 'Correcto' else 'Revisar' end as status
+from r where valid group by origin
+""")(q_file_review)
+
+register("filter_key_pattern", f"""
+select * from {D} t where coalesce({O.key_ok(O.strip(R.key))}, false)
+""")(lambda spark, sf: dirty_registry(spark, sf).where(F.coalesce(tx.matches_key(tx.ws_strip(R.key)), F.lit(False))))
