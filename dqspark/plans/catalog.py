@@ -510,3 +510,81 @@ from r where valid group by origin
 register("filter_key_pattern", f"""
 select * from {D} t where coalesce({O.key_ok(O.strip(R.key))}, false)
 """)(lambda spark, sf: dirty_registry(spark, sf).where(F.coalesce(tx.matches_key(tx.ws_strip(R.key)), F.lit(False))))
+
+# ---------------------------------------------------------------- S7
+from dqspark.sources import html as HTML  # noqa: E402
+
+
+def pages_of(spark, sf):
+    return LND.result_pages(table(spark, sf, "customer"), table(spark, sf, "nation"))
+
+
+register("html_table_rows", """
+select cast(c.c_nationkey as bigint) * 1000000000 + c.c_custkey // 100 as page_id,
+       cast(row_number() over (partition by c.c_nationkey, c.c_custkey // 100 order by c.c_custkey) - 1 as integer) as row_idx,
+       [cast(c.c_custkey as varchar), c.c_name, n.n_name, printf('%.2f', c.c_acctbal), c.c_mktsegment] as cells
+from customer c join nation n on c.c_nationkey = n.n_nationkey
+""")(lambda spark, sf: HTML.table_rows(pages_of(spark, sf)))
+
+register("html_options", """
+with p as (select distinct cast(c_nationkey as bigint) * 1000000000 + c_custkey // 100 as page_id from customer)
+select p.page_id, cast(row_number() over (partition by p.page_id order by n.n_nationkey) - 1 as integer) as option_idx,
+       cast(n.n_nationkey as varchar) as value, n.n_name as text
+from p, nation n where n.n_nationkey <> 0
+""")(lambda spark, sf: HTML.option_pairs(pages_of(spark, sf)))
+
+# ---------------------------------------------------------------- P18 / U2
+from dqspark.operators import consistency  # noqa: E402
+
+register("consistency_containment", f"""
+select distinct {R.key}, {R.district} from {D} t
+where {R.district} is not null and {R.key} is not null
+  and not contains(upper({O.strip(R.key)}), upper({O.strip(R.district)}))
+""")(lambda spark, sf: consistency.not_contained(dirty_registry(spark, sf), R.key, R.district, R.key))
+
+# ---------------------------------------------------------------- A13 on driver text columns
+register("shape_signatures_text", f"""
+select 'url' as variable, {O.signature(O.strip('url'))} as signature, count(*) as n from pages where url is not null group by all
+union all
+select 'c_name', {O.signature(O.strip('c_name'))}, count(*) from customer where c_name is not null group by all
+""")(lambda spark, sf: profile.shape_signatures(profile.value_freq(table(spark, sf, "pages").select("url")), ["url"])
+     .unionByName(profile.shape_signatures(profile.value_freq(table(spark, sf, "customer").select("c_name")),
+                                           ["c_name"])).drop("pos"))
+
+# ---------------------------------------------------------------- S8
+from dqspark.functions.text import normalize_ws  # noqa: E402
+from dqspark.session import scratch_dir  # noqa: E402
+from dqspark.streaming import incremental  # noqa: E402
+
+_CUT = "1998-01-01"
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+register("incremental_anti_join", f"""
+select {', '.join(_ORDER_COLS)} from orders o
+where not exists (select 1 from orders l where l.o_orderdate < timestamp '{_CUT}' and l.o_orderkey = o.o_orderkey)
+""")(lambda spark, sf: incremental.new_items(
+    table(spark, sf, "orders").select(*_ORDER_COLS),
+    table(spark, sf, "orders").where(F.col("o_orderdate") < F.lit(_CUT).cast("timestamp")), "o_orderkey"))
+
+
+def q_incremental_stream_load(spark, sf):
+    """Two arrivals of order files, two AvailableNow runs on one checkpoint:
+    every order lands exactly once, with a row-local rule applied in flight."""
+    base = scratch_dir(spark, "incremental")
+    src, out, ckpt = f"{base}/source", f"{base}/target", f"{base}/checkpoint"
+    orders = table(spark, sf, "orders").select(*_ORDER_COLS, "o_orderdate")
+    first = orders.where(F.col("o_orderdate") < F.lit(_CUT).cast("timestamp")).drop("o_orderdate")
+    second = orders.where(~(F.col("o_orderdate") < F.lit(_CUT).cast("timestamp"))).drop("o_orderdate")
+    schema = first.schema
+    rule = lambda s: s.withColumn("o_orderpriority", normalize_ws("o_orderpriority"))
+    first.write.mode("append").parquet(f"{src}/batch=1")
+    incremental.incremental_load(spark, src, out, ckpt, schema, transform=rule)
+    second.write.mode("append").parquet(f"{src}/batch=2")
+    incremental.incremental_load(spark, src, out, ckpt, schema, transform=rule)
+    return spark.read.parquet(out).select(*_ORDER_COLS)
+
+
+register("incremental_stream_load", f"""
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, {O.collapse(O.strip('o_orderpriority'))} as o_orderpriority
+from orders
+""")(q_incremental_stream_load)

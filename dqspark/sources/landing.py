@@ -80,3 +80,43 @@ def export_files(df: DataFrame, header: list[tuple[str, str | None]], group: Col
                                  lambda s: s["line"]), "\r\n").alias("text"))
     return text.select("path", encode_export(F.concat(F.col("text"), F.lit("\r\n"))).alias("content"))
 
+
+
+def _html_escape(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+
+
+def result_pages(customer: DataFrame, nation: DataFrame, rows_per_page: int = 100) -> DataFrame:
+    """``(page_id, html)``: search-result pages rendered from the customer table.
+
+    Each page holds at most ``rows_per_page`` customers of one nation, a
+    3-column summary table before the 5-column result table, and a form
+    ``<select>`` of nations (with a caption option and value ``0``).  The
+    option list comes from the nation dimension (one row, 25 options).
+    """
+    cells = [F.col("c_custkey").cast("string"), F.col("c_name"), F.col("n_name"),
+             F.format_string("%.2f", F.col("c_acctbal")), F.col("c_mktsegment")]
+    row_html = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), _html_escape(c), F.lit("</td>")) for c in cells],
+                        F.lit("</tr>"))
+    page_id = (F.col("c_nationkey").cast("bigint") * 1_000_000_000 + F.floor(F.col("c_custkey") / rows_per_page))
+    rows = (customer.join(nation.select("n_nationkey", "n_name"), customer.c_nationkey == nation.n_nationkey)
+            .select(page_id.alias("page_id"), "c_custkey", row_html.alias("r")))
+    opts = nation.agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("n_nationkey", F.concat(
+            F.lit('<option value="'), F.col("n_nationkey").cast("string"), F.lit('">'), _html_escape(F.col("n_name")),
+            F.lit("</option>")).alias("o")))), lambda s: s["o"]), "").alias("options"))
+    body = rows.groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "r"))), lambda s: s["r"]), "")
+        .alias("trs"))
+    header = "".join(f"<th>{h}</th>" for h in ("CODIGO", "NOMBRE", "DEPARTAMENTO", "SALDO", "SEGMENTO"))
+    html = F.concat(
+        F.lit('<html><body><form><select name="dep"><option value="">SELECCIONE UN DEPARTAMENTO</option>'),
+        F.col("options"), F.lit("</select></form>"),
+        F.lit("<table><tr><th>Resumen</th><th>Total</th><th>Pagina</th></tr><tr><td>registros</td><td>"),
+        F.col("n").cast("string"), F.lit("</td><td>1</td></tr></table>"),
+        F.lit(f"<table><thead><tr>{header}</tr></thead><tbody>"), F.col("trs"),
+        F.lit("</tbody></table></body></html>"))
+    return (body.withColumn("_k", F.lit(1))
+            .join(F.broadcast(opts.withColumn("_k", F.lit(1))), "_k")
+            .select("page_id", html.alias("html")))
