@@ -229,6 +229,13 @@ class Cleaning:
     def cleaned(self) -> DataFrame:
         return self.df.select([self.state.cur[c].alias(c) for c in self.df.columns])
 
+    def materialize(self, folder: str) -> tuple[DataFrame, DataFrame]:
+        """Write the cleaned table and the audit log (Parquet) and read them back."""
+        spark = self.df.sparkSession
+        self.cleaned.write.mode("overwrite").parquet(f"{folder}/cleaned")
+        self.audit().write.mode("overwrite").parquet(f"{folder}/audit")
+        return spark.read.parquet(f"{folder}/cleaned"), spark.read.parquet(f"{folder}/audit")
+
     def counts(self) -> DataFrame:
         """One row: every mask count, computed in one aggregate."""
         st = self.state

@@ -400,10 +400,12 @@ select cast(b.ord as integer) as ord, b.metric, b.value as before, a.value as af
 
 def q_quality_before_after(spark, sf):
     raw = dirty_registry(spark, sf)
-    c = cleaning(spark, sf)
+    # the cleaned table and its audit log are written once; every "after"
+    # metric then starts from that scan instead of re-running the rules
+    cleaned, audit = cleaning(spark, sf).materialize(scratch_dir(spark, "clean"))
     before = diag_of(spark, sf, raw).quality_metrics(dedupe.fuzzy_pairs_count(raw))
-    after = diag_of(spark, sf, c.cleaned).quality_metrics(dedupe.fuzzy_pairs_count(c.cleaned),
-                                                          clean.errors_corrected(c.audit()))
+    after = diag_of(spark, sf, cleaned).quality_metrics(dedupe.fuzzy_pairs_count(cleaned),
+                                                        clean.errors_corrected(audit))
     return diagnosis.before_after(before, after)
 
 
@@ -436,6 +438,7 @@ union all select 8, 'no alias or letter-zero typo left', alias_left = 0 and typo
                                           aliases=clean.DIRTY_CONFIG.aliases))
 
 # ---------------------------------------------------------------- S1-S6, P1-P4, K3, U1, K4, P5, A16
+from dqspark.session import scratch_dir  # noqa: E402
 from dqspark.sources import ingest as ING  # noqa: E402
 from dqspark.sources import landing as LND  # noqa: E402
 
@@ -447,12 +450,18 @@ _REG = {c: h for h, c in EXPORT_HEADER if c}
 
 
 def landing_of(spark, sf) -> DataFrame:
+    """The raw export files Spark derives from the registry, written once to
+    the shared folder (like files landing from the download step)."""
     d = dirty_registry(spark, sf)
-    return LND.export_files(d, EXPORT_HEADER, LND.file_group(F.col(R.department)), R.key)
+    path = scratch_dir(spark, "landing")
+    # one landing file per Parquet file, as separate files would arrive
+    (LND.export_files(d, EXPORT_HEADER, LND.file_group(F.col(R.department)), R.key)
+     .write.option("maxRecordsPerFile", 1).parquet(path))
+    return spark.read.parquet(path)
 
 
 def ingested(spark, sf) -> ING.Ingested:
-    return ING.ingest(landing_of(spark, sf))
+    return ING.ingest(landing_of(spark, sf)).materialize(scratch_dir(spark, "ingested"))
 
 
 _FILES_SQL = f"""

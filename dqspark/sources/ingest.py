@@ -17,8 +17,7 @@ Input is a landing table with the ``binaryFile`` schema ``(path, content)``
 
 A failing file becomes an ``Error: ...`` ledger row; the others go on.
 Everything is a Spark plan: the only driver-side values are the maximum
-header width and, for the strict union, the per-file column lists
-(one short row per file).
+header width and, for the strict union, the first file's column list.
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,18 +83,34 @@ class Ingested:
     rows: DataFrame     # (origin, ln, data map<string,string>) of kept rows of good files
     ledger: DataFrame   # one row per file
     columns: DataFrame  # (origin, columns array<string>) final columns of good files
+    lines: DataFrame | None = None
+
+    def materialize(self, folder: str) -> "Ingested":
+        """Write rows, ledger and column lists once (Parquet) and read them
+        back: later steps start from a scan, and lineage is cut."""
+        spark = self.rows.sparkSession
+        for name in ("rows", "ledger", "columns"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+        if self.lines is not None and self.lines.is_cached:
+            self.lines.unpersist()
+        return Ingested(*(spark.read.parquet(f"{folder}/{n}") for n in ("rows", "ledger", "columns")))
 
 
 def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
            markers=K.HEADER_MARKERS, required=K.REQUIRED_HEADERS,
-           encodings=K.ENCODINGS, marker: str = K.ENCODING_MARKER) -> Ingested:
+           encodings=K.ENCODINGS, marker: str = K.ENCODING_MARKER,
+           persist_lines: bool = True) -> Ingested:
     spark = landing.sparkSession
     decode = make_decoder(encodings, marker)
     files = landing.select(F.regexp_extract("path", "([^/]*)$", 1).alias("origin"),
                            decode("content").alias("d"))
     files = files.select("origin", "d.text", "d.encoding")
+    # numbered lines feed the width probe, the header search and the body:
+    # keep them rather than decoding every file again for each
     lines = files.where(F.col("text").isNotNull()).select(
         "origin", F.posexplode(F.split("text", SPLITLINES)).alias("ln", "line"))
+    if persist_lines:
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     is_header = F.lit(True)
     for m in markers:
         is_header = is_header & F.upper("line").contains(m)
@@ -105,31 +121,32 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
     schema = ", ".join(f"c{i} string" for i in range(width))
     opts = {"sep": sep, "quote": '"', "escape": '"'}
 
-    def cells(c: Column) -> Column:
-        s = F.from_csv(c, schema, opts)
-        return F.array(*[s[f"c{i}"] for i in range(width)])
+    def parsed(df: DataFrame, src: str, out: str) -> DataFrame:
+        """Parse ``src`` once into a struct, then expose it as an array."""
+        df = df.withColumn("_p", F.from_csv(F.col(src), schema, opts))
+        return df.withColumn(out, F.array(*[F.col("_p")[f"c{i}"] for i in range(width)])).drop("_p")
 
     idx = F.sequence(F.lit(0), F.col("n_header") - 1)
     raw_names = F.transform(idx, lambda i: F.when(
         F.coalesce(F.element_at(F.col("hcells"), i + 1), F.lit("")) == "",
         F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(F.element_at(F.col("hcells"), i + 1)))
-    hdr = (hdr.withColumn("hcells", cells(F.col("header_line")))
+    hdr = (parsed(hdr, "header_line", "hcells")
            .withColumn("raw_names", raw_names)
-           .withColumn("cols", F.transform(F.col("raw_names"), lambda n, i: F.struct(
-               i.alias("i"), normalize_name(n).alias("name"),
-               (~F.lower(tx.ws_strip(n)).startswith("unnamed")).alias("keep"))))
-           .withColumn("kept", F.transform(F.filter("cols", lambda c: c["keep"]), lambda c: c["name"]))
+           .withColumn("keepmask", F.transform("raw_names", lambda n: ~F.lower(tx.ws_strip(n)).startswith("unnamed")))
+           .withColumn("kept", F.transform(F.filter(F.arrays_zip(F.col("raw_names").alias("n"),
+                                                                 F.col("keepmask").alias("k")),
+                                                    lambda z: z["k"]), lambda z: normalize_name(z["n"])))
            .withColumn("unnamed", F.filter("raw_names", lambda n: F.lower(tx.ws_strip(n)).startswith("unnamed")))
            .withColumn("has_key", F.array_contains("kept", key)))
 
-    body = (lines.join(hdr.select("origin", "h", "n_header", "cols"), "origin")
+    body = (lines.join(hdr.select("origin", "h", "n_header", "keepmask", "kept"), "origin")
             .where(F.col("ln") > F.col("h"))
             .where(~((~F.col("line").contains(sep)) & (tx.ws_strip("line") == ""))))
-    body = body.withColumn("nf", field_count(F.col("line"), sep))
-    values = F.transform(cells(F.col("line")), lambda v: F.when(v.isin(list(K.PANDAS_NA_STRINGS)), None)
-                         .otherwise(v))
-    body = body.withColumn("data", F.map_from_entries(F.transform(
-        F.filter("cols", lambda c: c["keep"]), lambda c: F.struct(c["name"], F.element_at(values, c["i"] + 1)))))
+    body = parsed(body.withColumn("nf", field_count(F.col("line"), sep)), "line", "cells")
+    values = F.transform(F.slice("cells", 1, F.col("n_header")),
+                         lambda v: F.when(v.isin(list(K.PANDAS_NA_STRINGS)), None).otherwise(v))
+    body = body.withColumn("data", F.map_from_arrays(
+        F.col("kept"), F.filter(values, lambda v, i: F.element_at(F.col("keepmask"), i + 1))))
     keyval = tx.ws_strip(F.element_at("data", key))
     body = body.withColumn("valid", F.coalesce(keyval.rlike(tx.J_KEY), F.lit(False)))
 
@@ -174,22 +191,26 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
     good = hdr.join(ledger.where(~F.col("status").startswith("Error")).select("origin"), "origin", "left_semi")
     rows = (body.join(good.select("origin"), "origin", "left_semi").where("valid")
             .select("origin", "ln", "data"))
-    return Ingested(rows=rows, ledger=ledger, columns=good.select("origin", F.col("kept").alias("columns")))
+    return Ingested(rows=rows, ledger=ledger, columns=good.select("origin", F.col("kept").alias("columns")),
+                    lines=lines)
 
 
 def strict_union(ing: Ingested, origin_column: str = "origen") -> DataFrame:
     """Union all good files under the first file's ordered column list.
 
     Raises ``ValueError`` naming the first file whose columns differ, like
-    the original.  The check reads one short row per file.
+    the original.  The comparison runs in Spark against the first file's
+    column list (one broadcast row); only that list and, on failure, one
+    offending file name reach the driver.
     """
-    per_file = ing.columns.orderBy("origin").collect()
-    if not per_file:
+    first = ing.columns.orderBy("origin").limit(1).collect()
+    if not first:
         raise FileNotFoundError("no ingested files to unite")
-    reference = list(per_file[0]["columns"])
-    for r in per_file:
-        if list(r["columns"]) != reference:
-            raise ValueError(f"{r['origin']} has a different structure")
+    reference = list(first[0]["columns"])
+    ref = F.array(*[F.lit(c) for c in reference])
+    bad = ing.columns.where(F.col("columns") != ref).orderBy("origin").limit(1).collect()
+    if bad:
+        raise ValueError(f"{bad[0]['origin']} has a different structure")
     return ing.rows.select(*[F.element_at("data", c).alias(c) for c in reference],
                            F.col("origin").alias(origin_column))
 
