@@ -259,12 +259,12 @@ class Cleaning:
         counts = self.counts()
         ex = self.sweep_examples()
         if ex is not None:
-            # one row per sweep column, joined on the one-row counts frame by a
-            # constant key (both sides are bounded by the number of columns)
-            counts = counts.withColumn("_k", F.lit(1)).join(
-                ex.groupBy().pivot("mask", [k_ for k_ in st.masks if k_.endswith("_value")])
-                .agg(F.first("_examples")).withColumn("_k", F.lit(1)),
-                "_k", "left").drop("_k")
+            # examples of all sweep columns as one map value (one entry per
+            # column), attached by a single scalar subquery
+            exmap = ex.agg(F.map_from_entries(F.collect_list(F.struct("mask", "_examples")))).scalar()
+            counts = counts.withColumn("_exmap", exmap)
+            for k_ in [k_ for k_ in st.masks if k_.endswith("_value")]:
+                counts = counts.withColumn(k_, F.element_at(F.col("_exmap"), F.lit(k_)))
         structs = []
         for row in st.rows:
             exm = row.get("examples_of")

@@ -146,8 +146,7 @@ class Diagnosis:
         # by a few lines per column, so one ordered collect is cheap
         none = spark.createDataFrame([(9, 0, 0, "No evident problems with the current rules")],
                                      "sec int, pos int, sub int, finding string")
-        any_found = allf.agg(F.count(F.lit(1)).alias("_n"))
-        none = none.join(F.broadcast(any_found), F.col("_n") == 0, "left_semi")
+        none = none.where(allf.agg(F.count(F.lit(1))).scalar() == 0)
         rows = allf.unionByName(none)
         ordered = rows.agg(F.array_sort(F.collect_list(F.struct("sec", "pos", "sub", "finding"))).alias("a"))
         return ordered.select(F.posexplode("a").alias("i", "r")).select(
@@ -207,7 +206,7 @@ class Diagnosis:
         parts = [
             shp.select(F.lit(1).alias("ord"), F.lit("rows").alias("metric"), _s("rows").alias("value")),
             spark.createDataFrame([(2, "columns", str(k))], "ord int, metric string, value string"),
-            m.join(shp, how="inner").select(
+            m.withColumn("rows", shp.scalar()).select(
                 F.lit(3).alias("ord"), F.lit("missing cells").alias("metric"),
                 F.concat(_s("total"), F.lit(" ("), _s(F.when(F.col("rows") > 0, pct).otherwise(F.lit(0.0))),
                          F.lit("%)")).alias("value")),
@@ -280,7 +279,7 @@ def validate(df: DataFrame, roles: Roles, department_catalog=None, placeholder:
                          F.concat(F.lit("cells with edge whitespace: "), _s("edge")))),
         counts.select(*row(3, "phones have 8 digits or the placeholder", F.col("bad_phone") == 0,
                            F.concat(F.lit("invalid remaining: "), _s("bad_phone")))),
-        out_n.withColumn("g", F.lit(1)).join(out_ex, "g", "left").select(
+        out_n.withColumn("examples", out_ex.select("examples").scalar()).select(
             *row(4, "departments inside the catalogue", F.col("n") == 0,
                  F.concat(F.lit("outside catalogue: "), _s("n"),
                           F.when(F.col("examples").isNotNull(), F.concat(F.lit(" ("), F.col("examples"), F.lit(")")))

@@ -218,10 +218,10 @@ def strict_union(ing: Ingested, origin_column: str = "origen") -> DataFrame:
 def union_ledger(ing: Ingested) -> DataFrame:
     """``(file, rows, data_columns, schema_ok)`` against the first file's columns."""
     cols = ing.columns
-    # the first file's column list: one row, joined on a constant key
-    first = cols.orderBy("origin").limit(1).select(F.lit(1).alias("_k"), F.col("columns").alias("ref"))
+    # the first file's column list is one value: a scalar subquery
+    ref = cols.orderBy("origin").limit(1).select("columns").scalar()
     counts = ing.rows.groupBy("origin").agg(F.count(F.lit(1)).alias("rows"))
-    return (cols.withColumn("_k", F.lit(1)).join(F.broadcast(first), "_k").join(counts, "origin", "left")
+    return (cols.withColumn("ref", ref).join(counts, "origin", "left")
             .select(F.col("origin").alias("file"), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
                     F.size("columns").cast("bigint").alias("data_columns"),
                     (F.col("columns") == F.col("ref")).alias("schema_ok")))

@@ -112,11 +112,10 @@ def result_pages(customer: DataFrame, nation: DataFrame, rows_per_page: int = 10
     header = "".join(f"<th>{h}</th>" for h in ("CODIGO", "NOMBRE", "DEPARTAMENTO", "SALDO", "SEGMENTO"))
     html = F.concat(
         F.lit('<html><body><form><select name="dep"><option value="">SELECCIONE UN DEPARTAMENTO</option>'),
-        F.col("options"), F.lit("</select></form>"),
+        opts.scalar(), F.lit("</select></form>"),
         F.lit("<table><tr><th>Resumen</th><th>Total</th><th>Pagina</th></tr><tr><td>registros</td><td>"),
         F.col("n").cast("string"), F.lit("</td><td>1</td></tr></table>"),
         F.lit(f"<table><thead><tr>{header}</tr></thead><tbody>"), F.col("trs"),
         F.lit("</tbody></table></body></html>"))
-    return (body.withColumn("_k", F.lit(1))
-            .join(F.broadcast(opts.withColumn("_k", F.lit(1))), "_k")
-            .select("page_id", html.alias("html")))
+    # the option list is one value, attached as a scalar subquery
+    return body.select("page_id", html.alias("html"))
