@@ -19,3 +19,10 @@ def test_new_items_anti_join(spark):
     cand = spark.range(10).withColumnRenamed("id", "k")
     ledger = spark.range(5).withColumnRenamed("id", "k")
     assert sorted(r.k for r in incremental.new_items(cand, ledger, "k").collect()) == [5, 6, 7, 8, 9]
+
+
+def test_export_round_trip(spark, tmp_path):
+    from dqspark.sources.sinks import export_verified
+    df = spark.createDataFrame([("a;b", None), ("line\nbreak", "x")], "p string, q string")
+    assert export_verified(df, str(tmp_path / "out")) == (2, 2)
+    assert export_verified(df, str(tmp_path / "outp"), fmt="parquet") == (2, 2)
