@@ -100,24 +100,29 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
            markers=K.HEADER_MARKERS, required=K.REQUIRED_HEADERS,
            encodings=K.ENCODINGS, marker: str = K.ENCODING_MARKER,
            persist_lines: bool = True) -> Ingested:
-    spark = landing.sparkSession
     decode = make_decoder(encodings, marker)
     files = landing.select(F.regexp_extract("path", "([^/]*)$", 1).alias("origin"),
                            decode("content").alias("d"))
-    files = files.select("origin", "d.text", "d.encoding")
-    # numbered lines feed the width probe, the header search and the body:
-    # keep them rather than decoding every file again for each
-    lines = files.where(F.col("text").isNotNull()).select(
-        "origin", F.posexplode(F.split("text", SPLITLINES)).alias("ln", "line"))
+    # a file's lines stay in its row: the header is found in-row, so lines
+    # are never shuffled or joined back to a per-file header table
+    def is_header(line: Column) -> Column:
+        cond = F.lit(True)
+        for m in markers:
+            cond = cond & F.upper(line).contains(m)
+        return cond
+
+    arr = F.split("d.text", SPLITLINES)
+    files = files.select(
+        "origin", F.col("d.encoding").alias("encoding"), F.col("d.text").isNotNull().alias("decoded"),
+        arr.alias("lines"))
+    files = files.withColumn("h", (F.array_position(F.transform("lines", is_header), True) - 1).cast("int"))
+    files = (files.withColumn("h", F.when(F.col("h") >= 0, F.col("h")))
+             .withColumn("header_line", F.when(F.col("h").isNotNull(), F.element_at("lines", F.col("h") + 1)))
+             .withColumn("n_header", field_count(F.col("header_line"), sep)))
     if persist_lines:
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
-    is_header = F.lit(True)
-    for m in markers:
-        is_header = is_header & F.upper("line").contains(m)
-    hdr = (lines.where(is_header).groupBy("origin")
-           .agg(F.min("ln").alias("h"), F.min_by("line", "ln").alias("header_line"))
-           .withColumn("n_header", field_count(F.col("header_line"), sep)))
-    width = hdr.agg(F.max("n_header")).first()[0] or 1
+        # decoded files feed the width probe, the ledger and the body
+        files = files.persist(StorageLevel.MEMORY_AND_DISK)
+    width = files.agg(F.max("n_header")).first()[0] or 1
     schema = ", ".join(f"c{i} string" for i in range(width))
     opts = {"sep": sep, "quote": '"', "escape": '"'}
 
@@ -130,7 +135,7 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
     raw_names = F.transform(idx, lambda i: F.when(
         F.coalesce(F.element_at(F.col("hcells"), i + 1), F.lit("")) == "",
         F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(F.element_at(F.col("hcells"), i + 1)))
-    hdr = (parsed(hdr, "header_line", "hcells")
+    hdr = (parsed(files.where(F.col("h").isNotNull()), "header_line", "hcells")
            .withColumn("raw_names", raw_names)
            .withColumn("keepmask", F.transform("raw_names", lambda n: ~F.lower(tx.ws_strip(n)).startswith("unnamed")))
            .withColumn("kept", F.transform(F.filter(F.arrays_zip(F.col("raw_names").alias("n"),
@@ -139,7 +144,9 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
            .withColumn("unnamed", F.filter("raw_names", lambda n: F.lower(tx.ws_strip(n)).startswith("unnamed")))
            .withColumn("has_key", F.array_contains("kept", key)))
 
-    body = (lines.join(hdr.select("origin", "h", "n_header", "keepmask", "kept"), "origin")
+    # header columns live in the file's row, so the body needs no join
+    body = (hdr.select("origin", "h", "n_header", "keepmask", "kept",
+                    F.posexplode("lines").alias("ln", "line"))
             .where(F.col("ln") > F.col("h"))
             .where(~((~F.col("line").contains(sep)) & (tx.ws_strip("line") == ""))))
     body = parsed(body.withColumn("nf", field_count(F.col("line"), sep)), "line", "cells")
@@ -157,8 +164,9 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
         F.min_by("ln", F.when(F.col("nf") > F.col("n_header"), F.col("ln"))).alias("bad_ln"),
         F.max(F.when(F.col("nf") > F.col("n_header"), F.col("nf"))).alias("bad_nf"))
     req = F.array(*[F.lit(r) for r in sorted(required)])
-    ledger = (files.select("origin", "encoding", F.col("text").isNotNull().alias("decoded"))
-              .join(hdr, "origin", "left").join(stats, "origin", "left"))
+    ledger = (files.select("origin", "encoding", "decoded")
+              .join(hdr.select("origin", "h", "n_header", "kept", "unnamed", "has_key"), "origin", "left")
+              .join(stats, "origin", "left"))
     error = (F.when(~F.col("decoded"), F.concat(F.lit("Error: could not decode "), F.col("origin")))
              .when(F.col("h").isNull(), F.lit("Error: header line not found"))
              .when(F.col("bad_nf").isNotNull(), F.format_string(
@@ -192,7 +200,7 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
     rows = (body.join(good.select("origin"), "origin", "left_semi").where("valid")
             .select("origin", "ln", "data"))
     return Ingested(rows=rows, ledger=ledger, columns=good.select("origin", F.col("kept").alias("columns")),
-                    lines=lines)
+                    lines=files)
 
 
 def strict_union(ing: Ingested, origin_column: str = "origen") -> DataFrame:
