@@ -23,8 +23,10 @@ Plan, Spark-first and without enumerating all pairs of a block:
 5. Expansion back to row pairs through equi-joins on ``(gid, text)``,
    checking the real group columns null-safely, with multiplicities.
 
-Hot groups: (1) folds copies, (3)'s join keys are rare q-grams, and AQE's
-skew-join split handles oversized join partitions.
+Hot groups: (1) folds copies; (3)'s join keys are rare q-grams, and a
+q-gram shared by more than ``hot_rows`` texts of a group is split into
+buckets (each pair still meets exactly once); AQE's skew join splits any
+remaining oversized partition.
 """
 
 from __future__ import annotations
@@ -53,6 +55,7 @@ class FuzzyConfig:
     threshold: int = K.FUZZY_THRESHOLD
     q: int = 3
     context: tuple = field(default=())
+    hot_rows: int = 20_000      # texts per q-gram before its join key is split
 
     def context_columns(self) -> list[str]:
         return list(self.context) or [self.key, self.name, *self.differentiators]
@@ -108,10 +111,20 @@ def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
     w = Window.partitionBy("gid", "th").orderBy("f", "tok")
     prefix = (ranked.withColumn("r", F.row_number().over(w))
               .where(F.col("r") <= _max_k(F.col("len"), t) * q + 1)
-              .select("gid", "th", "len", "tok"))
-    a, b = prefix.alias("a"), prefix.alias("b")
+              .select("gid", "th", "len", "tok", "f"))
+    # Hot join keys: a q-gram shared by ``f`` texts of one group would put
+    # f^2/2 pairs into one task.  Such keys are split into S = ceil(f / hot)
+    # buckets by text hash; a left row of bucket b meets right buckets
+    # (b, 0..S-1), a right row of bucket b meets left buckets (0..S-1, b), so
+    # every pair of rows meets in exactly one task per orientation.
+    nb = F.greatest(F.lit(1), F.ceil(F.col("f") / cfg.hot_rows)).cast("int")
+    bucket = F.pmod(F.xxhash64("th", F.lit(7)), nb).cast("int")
+    fan = F.sequence(F.lit(0), nb - 1)
+    a = prefix.select("gid", "tok", "th", "len", bucket.alias("bi"), F.explode(fan).alias("bj")).alias("a")
+    b = prefix.select("gid", "tok", "th", "len", F.explode(fan).alias("bi"), bucket.alias("bj")).alias("b")
     la, lb = F.col("a.len"), F.col("b.len")
     hp = (a.join(b, (F.col("a.gid") == F.col("b.gid")) & (F.col("a.tok") == F.col("b.tok"))
+                 & (F.col("a.bi") == F.col("b.bi")) & (F.col("a.bj") == F.col("b.bj"))
                  & (F.col("a.th") <= F.col("b.th"))
                  # LCS <= min length: 2*min(la, lb) >= t/100 * (la + lb)
                  & (F.least(la, lb) * 200 >= (la + lb) * t))

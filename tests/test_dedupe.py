@@ -77,3 +77,11 @@ def test_exact_copies_multiply(spark):
     row = ("01", "ESCUELA", "CALLE 1", "D", "M", "X", "S")
     got = dedupe.fuzzy_pairs(spark.createDataFrame([row, row, row], SCHEMA)).count()
     assert got == 3   # C(3, 2)
+
+
+def test_hot_key_split_keeps_every_pair(spark):
+    rows = _near_duplicates(5, n=150)
+    cfg = dedupe.FuzzyConfig(hot_rows=3)        # force splitting of nearly every q-gram
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r.code_1, r.code_2) for r in dedupe.fuzzy_pairs(df, cfg).collect())
+    assert got == brute_force(rows)
