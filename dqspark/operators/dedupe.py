@@ -151,7 +151,8 @@ def scored_text_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
                     .alias("similarity")))
 
 
-def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = True,
+                count_only: bool = False) -> DataFrame:
     """One output row per matching pair of input rows:
     ``similarity, <ctx>_1, <ctx>_2`` with row 1 the smaller by context."""
     ent = entities(df, cfg)
@@ -185,9 +186,15 @@ def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
         out.append(F.when(swap, F.col(f"{c}__2")).otherwise(F.col(f"{c}__1")).alias(f"{c}_1"))
         out.append(F.when(swap, F.col(f"{c}__1")).otherwise(F.col(f"{c}__2")).alias(f"{c}_2"))
     j = j.withColumn("_mult", mult).where(F.col("_mult") > 0)
+    if count_only:
+        return j.agg(F.coalesce(F.sum("_mult"), F.lit(0)).cast("bigint").alias("pairs"))
     rep = j.select(*out, F.explode(F.sequence(F.lit(1), F.col("_mult"))).alias("_r")).drop("_r")
-    return rep
+    if not ordered:
+        return rep
+    # candidates for manual review: most similar first (range-partitioned sort)
+    return rep.orderBy(F.desc("similarity"), *[F.col(f"{c}_{i}").asc_nulls_last() for c in ctx for i in (1, 2)])
 
 
 def fuzzy_pairs_count(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
-    return fuzzy_pairs(df, cfg).agg(F.count(F.lit(1)).alias("pairs"))
+    """Number of matching pairs; counted from the multiplicities, never expanded."""
+    return fuzzy_pairs(df, cfg, ordered=False, count_only=True)

@@ -92,3 +92,25 @@ class Roles:
 
 
 DIRTY_ROLES = Roles()
+
+
+def read_registry_csv(spark: SparkSession, path: str, na_strings=None, sep: str = ",") -> DataFrame:
+    """Read a united registry CSV: header, every column a string, the CSV
+    reader's default missing tokens (empty, ``NA``, ``NULL``, ...) -> null.
+
+    A missing path raises ``FileNotFoundError`` naming the steps to run first.
+    """
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+
+    from dqspark.functions import constants as K
+    tokens = list(na_strings if na_strings is not None else K.PANDAS_NA_STRINGS)
+    try:
+        df = (spark.read.option("header", True).option("sep", sep).option("multiLine", True)
+              .option("escape", '"').csv(path))
+        cols = df.columns
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"{path} not found; run the ingest and union steps first") from e
+        raise
+    return df.select([F.when(F.col(c).isin(tokens), None).otherwise(F.col(c)).alias(c) for c in cols])

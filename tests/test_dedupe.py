@@ -85,3 +85,12 @@ def test_hot_key_split_keeps_every_pair(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r.code_1, r.code_2) for r in dedupe.fuzzy_pairs(df, cfg).collect())
     assert got == brute_force(rows)
+
+
+def test_count_and_order(spark):
+    rows = _near_duplicates(7)
+    df = spark.createDataFrame(rows, SCHEMA)
+    pairs = dedupe.fuzzy_pairs(df).collect()
+    assert dedupe.fuzzy_pairs_count(df).first().pairs == len(pairs) == len(brute_force(rows))
+    sims = [r.similarity for r in pairs]
+    assert sims == sorted(sims, reverse=True)

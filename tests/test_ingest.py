@@ -55,3 +55,14 @@ def test_read_landing_from_folder(spark, tmp_path):
     df = ingest.read_landing(spark, str(tmp_path))
     assert df.count() == 1
     assert ingest.ingest(df).rows.count() == 1
+
+
+def test_read_registry_csv_nulls_tokens_and_missing_path(spark, tmp_path):
+    import pytest
+    from dqspark.sources.tables import read_registry_csv
+    p = tmp_path / "u.csv"
+    p.write_text("A,B\nNA,x\n,N/A\ns/d, y \n", encoding="utf-8-sig")
+    rows = read_registry_csv(spark, str(p)).collect()
+    assert [tuple(r) for r in rows] == [(None, "x"), (None, None), ("s/d", " y ")]
+    with pytest.raises(FileNotFoundError):
+        read_registry_csv(spark, str(tmp_path / "missing.csv"))
