@@ -195,6 +195,28 @@ def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = T
     return rep.orderBy(F.desc("similarity"), *[F.col(f"{c}_{i}").asc_nulls_last() for c in ctx for i in (1, 2)])
 
 
+def lev_prefilter_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """Distinct text pairs of a group that pass the built-in prefilter:
+    ``levenshtein(a, b) <= floor((100 - t) * (la + lb) / 100)``, with their
+    distance and exact similarity (which may fall below the threshold).
+
+    The q-gram prefix filter bounds destroyed q-grams by the edit distance,
+    so it finds every such pair, not only those that reach the threshold.
+    """
+    t = cfg.threshold
+    group_cols = list(cfg.blocks) + list(cfg.differentiators)
+    ent = entities(df, cfg)
+    texts = ent.select("gid", "ts", "len").distinct()
+    k = F.floor((F.col("la") + F.col("lb")) * (100 - t) / 100).cast("int")
+    cand = (candidate_pairs(texts, cfg)
+            .withColumn("lev", F.call_function("levenshtein", F.col("ta"), F.col("tb"), k))
+            .where(F.col("lev") >= 0))
+    groups = ent.select("gid", *group_cols).distinct()
+    return (cand.join(groups, "gid")
+            .select(*group_cols, "ta", "tb", "lev",
+                    similarity_from_lcs(lcs_udf("ta", "tb"), F.col("la"), F.col("lb")).alias("similarity")))
+
+
 def fuzzy_pairs_count(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
     """Number of matching pairs; counted from the multiplicities, never expanded."""
     return fuzzy_pairs(df, cfg, ordered=False, count_only=True)

@@ -265,6 +265,8 @@ register("fuzzy_pairs", O.fuzzy_pairs_sql())(
     lambda spark, sf: dedupe.fuzzy_pairs(dirty_registry(spark, sf)))
 register("fuzzy_pairs_count", f"select count(*) as pairs from ({O.fuzzy_pairs_sql()})")(
     lambda spark, sf: dedupe.fuzzy_pairs_count(dirty_registry(spark, sf)))
+register("fuzzy_lev_prefilter", O.lev_prefilter_sql())(
+    lambda spark, sf: dedupe.lev_prefilter_pairs(dirty_registry(spark, sf)))
 register("fuzzy_pairs_clean", O.fuzzy_pairs_sql(src=f"({OC.clean_all_sql()})"))(
     lambda spark, sf: dedupe.fuzzy_pairs(cleaning(spark, sf).cleaned))
 

@@ -117,3 +117,19 @@ select round_even(case when p.ta = p.tb then 100.0 else 200.0 * s.lcs / (length(
 from p left join s on p.ta = s.ta and p.tb = s.tb
 where p.ta = p.tb or 200 * s.lcs >= {t} * (length(p.ta) + length(p.tb))
 """
+
+
+def lev_prefilter_sql(name="name", address="address", blocks=("department", "municipality"),
+                      diffs=("director", "sector"), t=95, src: str = D) -> str:
+    gcols = [*blocks, *diffs]
+    nn = " and ".join(f"{c} is not null" for c in (name, address, *blocks))
+    text = f"upper({strip(name)}) || ' | ' || upper({strip(address)})"
+    on = " and ".join([*(f"a.{c} = b.{c}" for c in blocks), *(f"a.{c} is not distinct from b.{c}" for c in diffs)])
+    return f"""
+with d as (select distinct {', '.join(gcols)}, {token_sort(text)} as ts from {src} t where {nn}),
+p as (select {', '.join(f'a.{c}' for c in gcols)}, a.ts as ta, b.ts as tb, levenshtein(a.ts, b.ts) as lev
+      from d a join d b on {on} and a.ts < b.ts)
+select {', '.join(gcols)}, ta, tb, cast(lev as integer) as lev,
+       round_even(200.0 * {lcs('ta', 'tb')} / (length(ta) + length(tb)), 1) as similarity
+from p where lev <= floor((length(ta) + length(tb)) * {100 - t} / 100)
+"""
