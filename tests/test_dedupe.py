@@ -94,3 +94,32 @@ def test_count_and_order(spark):
     assert dedupe.fuzzy_pairs_count(df).first().pairs == len(pairs) == len(brute_force(rows))
     sims = [r.similarity for r in pairs]
     assert sims == sorted(sims, reverse=True)
+
+
+def _lev(a, b):
+    prev = list(range(len(b) + 1))
+    for i, ca in enumerate(a, 1):
+        cur = [i]
+        for j, cb in enumerate(b, 1):
+            cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
+        prev = cur
+    return prev[-1]
+
+
+def test_lev_prefilter_finds_every_pair_within_the_bound(spark):
+    rows = _near_duplicates(11, n=100)
+
+    def ts(r):
+        return " ".join(sorted(f"{r[1].strip().upper()} | {r[2].strip().upper()}".split()))
+    groups = {}
+    for r in rows:
+        if r[1] is not None and r[2] is not None:
+            groups.setdefault((r[3], r[4], r[5], r[6]), set()).add(ts(r))
+    expected = set()
+    for g, texts in groups.items():
+        for a, b in itertools.combinations(sorted(texts), 2):
+            d = _lev(a, b)
+            if d <= (len(a) + len(b)) * 5 // 100:
+                expected.add((a, b, d))
+    got = {(r.ta, r.tb, r.lev) for r in dedupe.lev_prefilter_pairs(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == expected
