@@ -567,7 +567,14 @@ from dqspark.functions.text import normalize_ws  # noqa: E402
 from dqspark.session import scratch_dir  # noqa: E402
 from dqspark.streaming import incremental  # noqa: E402
 
-_CUT = "1998-01-01"
+_CUT = "1998-01-01 00:00:00"
+
+
+def _before_cut():
+    # o_orderdate is TIMESTAMP_NTZ: compare with an NTZ literal, so the
+    # session time zone plays no part
+    return F.col("o_orderdate") < F.lit(_CUT).cast("timestamp_ntz")
+
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
 register("incremental_anti_join", f"""
@@ -575,7 +582,7 @@ select {', '.join(_ORDER_COLS)} from orders o
 where not exists (select 1 from orders l where l.o_orderdate < timestamp '{_CUT}' and l.o_orderkey = o.o_orderkey)
 """)(lambda spark, sf: incremental.new_items(
     table(spark, sf, "orders").select(*_ORDER_COLS),
-    table(spark, sf, "orders").where(F.col("o_orderdate") < F.lit(_CUT).cast("timestamp")), "o_orderkey"))
+    table(spark, sf, "orders").where(_before_cut()), "o_orderkey"))
 
 
 def q_incremental_stream_load(spark, sf):
@@ -584,8 +591,8 @@ def q_incremental_stream_load(spark, sf):
     base = scratch_dir(spark, "incremental")
     src, out, ckpt = f"{base}/source", f"{base}/target", f"{base}/checkpoint"
     orders = table(spark, sf, "orders").select(*_ORDER_COLS, "o_orderdate")
-    first = orders.where(F.col("o_orderdate") < F.lit(_CUT).cast("timestamp")).drop("o_orderdate")
-    second = orders.where(~(F.col("o_orderdate") < F.lit(_CUT).cast("timestamp"))).drop("o_orderdate")
+    first = orders.where(_before_cut()).drop("o_orderdate")
+    second = orders.where(~_before_cut()).drop("o_orderdate")
     schema = first.schema
     rule = lambda s: s.withColumn("o_orderpriority", normalize_ws("o_orderpriority"))
     first.write.mode("append").parquet(f"{src}/batch=1")
