@@ -38,6 +38,7 @@ def get_spark(master: str | None = None, app: str = "dqspark",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -71,3 +72,32 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     import uuid
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``dqspark`` importable on executors (``addPyFile`` of a zip).
+
+    UDF helpers are pickled by reference, so Python workers must import the
+    package; on a cluster this is how it reaches them.  Done once per
+    SparkContext.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="dqspark-pkg-")
+    zpath = os.path.join(out_dir, "dqspark.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
