@@ -229,12 +229,19 @@ class Cleaning:
     def cleaned(self) -> DataFrame:
         return self.df.select([self.state.cur[c].alias(c) for c in self.df.columns])
 
-    def materialize(self, folder: str) -> tuple[DataFrame, DataFrame]:
-        """Write the cleaned table and the audit log (Parquet) and read them back."""
-        spark = self.df.sparkSession
+    def materialize(self, folder: str) -> DataFrame:
+        """Write the cleaned table (Parquet) and read it back."""
         self.cleaned.write.mode("overwrite").parquet(f"{folder}/cleaned")
-        self.audit().write.mode("overwrite").parquet(f"{folder}/audit")
-        return spark.read.parquet(f"{folder}/cleaned"), spark.read.parquet(f"{folder}/audit")
+        return self.df.sparkSession.read.parquet(f"{folder}/cleaned")
+
+    def errors_corrected(self) -> DataFrame:
+        """A19 from the mask counts alone: the sum of every audit row's
+        affected count (documented rows add 0), one aggregate, one row."""
+        total = None
+        for row in self.state.rows:
+            a = row["affected"].cast("bigint")
+            total = a if total is None else total + a
+        return self.counts().select(F.coalesce(total, F.lit(0)).cast("bigint").alias("errors_corrected"))
 
     def counts(self) -> DataFrame:
         """One row: every mask count, computed in one aggregate."""

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -56,6 +57,7 @@ class FuzzyConfig:
     q: int = 3
     context: tuple = field(default=())
     hot_rows: int = 20_000      # texts per q-gram before its join key is split
+    persist: bool = True        # keep intermediates read by several branches
 
     def context_columns(self) -> list[str]:
         return list(self.context) or [self.key, self.name, *self.differentiators]
@@ -85,8 +87,11 @@ def entities(df: DataFrame, cfg: FuzzyConfig) -> DataFrame:
     base = base.select(*cols, tx.token_sort(record_text(cfg.name, cfg.address)).alias("ts"))
     gid = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000")) for c in group_cols],
                      *[F.col(c).isNull() for c in group_cols])
-    return (base.groupBy(*cols, "ts").agg(F.count(F.lit(1)).alias("m"))
-            .withColumn("gid", gid).withColumn("len", F.length("ts")))
+    ent = (base.groupBy(*cols, "ts").agg(F.count(F.lit(1)).alias("m"))
+           .withColumn("gid", gid).withColumn("len", F.length("ts")))
+    if cfg.persist:     # texts, the pair expansion (twice) and groups read it
+        ent = ent.persist(StorageLevel.MEMORY_AND_DISK)
+    return ent
 
 
 def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
@@ -112,6 +117,8 @@ def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
     prefix = (ranked.withColumn("r", F.row_number().over(w))
               .where(F.col("r") <= _max_k(F.col("len"), t) * q + 1)
               .select("gid", "th", "len", "tok", "f"))
+    if cfg.persist:     # both sides of the self-join read it
+        prefix = prefix.persist(StorageLevel.MEMORY_AND_DISK)
     # Hot join keys: a q-gram shared by ``f`` texts of one group would put
     # f^2/2 pairs into one task.  Such keys are split into S = ceil(f / hot)
     # buckets by text hash; a left row of bucket b meets right buckets

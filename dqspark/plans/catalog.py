@@ -402,12 +402,13 @@ select cast(b.ord as integer) as ord, b.metric, b.value as before, a.value as af
 
 def q_quality_before_after(spark, sf):
     raw = dirty_registry(spark, sf)
-    # the cleaned table and its audit log are written once; every "after"
-    # metric then starts from that scan instead of re-running the rules
-    cleaned, audit = cleaning(spark, sf).materialize(scratch_dir(spark, "clean"))
+    # the cleaned table is written once; every "after" metric then starts
+    # from that scan instead of re-running the rules
+    c = cleaning(spark, sf)
+    cleaned = c.materialize(scratch_dir(spark, "clean"))
     before = diag_of(spark, sf, raw).quality_metrics(dedupe.fuzzy_pairs_count(raw))
     after = diag_of(spark, sf, cleaned).quality_metrics(dedupe.fuzzy_pairs_count(cleaned),
-                                                        clean.errors_corrected(audit))
+                                                        c.errors_corrected())
     return diagnosis.before_after(before, after)
 
 

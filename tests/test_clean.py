@@ -41,3 +41,9 @@ def test_clean_is_idempotent_and_keeps_rows(spark):
     twice = clean.Cleaning(once).cleaned
     assert once.count() == d.count()
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_errors_corrected_equals_audit_sum(spark):
+    from dqspark.sources.tables import dirty_registry
+    c = clean.Cleaning(dirty_registry(spark, SF_SMALL))
+    assert c.errors_corrected().first()[0] == clean.errors_corrected(c.audit()).first()[0]
