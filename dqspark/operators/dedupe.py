@@ -161,7 +161,8 @@ def scored_text_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
 def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = True,
                 count_only: bool = False) -> DataFrame:
     """One output row per matching pair of input rows:
-    ``similarity, <ctx>_1, <ctx>_2`` with row 1 the smaller by context."""
+    ``similarity, <ctx>_1, <ctx>_2`` (context names lower-cased) with row 1
+    the smaller by context."""
     ent = entities(df, cfg)
     ctx = cfg.context_columns()
     group_cols = list(cfg.blocks) + list(cfg.differentiators)
@@ -190,8 +191,8 @@ def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = T
     swap = order2 < order1
     out = [F.col("similarity")]
     for c in ctx:
-        out.append(F.when(swap, F.col(f"{c}__2")).otherwise(F.col(f"{c}__1")).alias(f"{c}_1"))
-        out.append(F.when(swap, F.col(f"{c}__1")).otherwise(F.col(f"{c}__2")).alias(f"{c}_2"))
+        out.append(F.when(swap, F.col(f"{c}__2")).otherwise(F.col(f"{c}__1")).alias(f"{c.lower()}_1"))
+        out.append(F.when(swap, F.col(f"{c}__1")).otherwise(F.col(f"{c}__2")).alias(f"{c.lower()}_2"))
     j = j.withColumn("_mult", mult).where(F.col("_mult") > 0)
     if count_only:
         return j.agg(F.coalesce(F.sum("_mult"), F.lit(0)).cast("bigint").alias("pairs"))
@@ -199,7 +200,8 @@ def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = T
     if not ordered:
         return rep
     # candidates for manual review: most similar first (range-partitioned sort)
-    return rep.orderBy(F.desc("similarity"), *[F.col(f"{c}_{i}").asc_nulls_last() for c in ctx for i in (1, 2)])
+    return rep.orderBy(F.desc("similarity"),
+                       *[F.col(f"{c.lower()}_{i}").asc_nulls_last() for c in ctx for i in (1, 2)])
 
 
 def lev_prefilter_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
