@@ -14,10 +14,19 @@ from pyspark.sql import functions as F
 
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
-from dqspark.operators import domain, profile, variants
+from dqspark.functions.similarity import lcs_udf, similarity_from_lcs
+from dqspark.functions.text import normalize_ws
+from dqspark.operators import clean, consistency, dedupe, domain, profile, variants
+from dqspark.plans import diagnosis
 from dqspark.plans import oracle as O
+from dqspark.plans import oracle_clean as OC
+from dqspark.session import scratch_dir
+from dqspark.sources import html as HTML
+from dqspark.sources import ingest as ING
+from dqspark.sources import landing as LND
 from dqspark.sources.tables import DIRTY_ROLES as R
 from dqspark.sources.tables import dirty_registry, department_catalog, table
+from dqspark.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -236,8 +245,6 @@ where rn <= 5 group by variable
 
 
 # ---------------------------------------------------------------- C1 - C9
-from dqspark.operators import clean  # noqa: E402
-from dqspark.plans import oracle_clean as OC  # noqa: E402
 
 _RULE_QUERIES = {
     "clean_placeholder_junk": "placeholder_junk", "clean_phone": "phone",
@@ -258,8 +265,6 @@ register("clean_all", OC.clean_all_sql())(lambda spark, sf: cleaning(spark, sf).
 register("transformation_log", OC.transformation_log_sql())(lambda spark, sf: cleaning(spark, sf).audit())
 
 # ---------------------------------------------------------------- J1 / J2
-from dqspark.functions.similarity import lcs_udf, similarity_from_lcs  # noqa: E402
-from dqspark.operators import dedupe  # noqa: E402
 
 register("fuzzy_pairs", O.fuzzy_pairs_sql())(
     lambda spark, sf: dedupe.fuzzy_pairs(dirty_registry(spark, sf)))
@@ -298,7 +303,6 @@ select k as {R.key}, case when length(a) + length(b) = 0 then 100.0 else round_e
 """)(q_token_sort_similarity)
 
 # ---------------------------------------------------------------- A15 / K5 / A18 / V1-V8
-from dqspark.plans import diagnosis  # noqa: E402
 
 FLAGSHIP = "quality_before_after"
 
@@ -441,9 +445,6 @@ union all select 8, 'no alias or letter-zero typo left', alias_left = 0 and typo
                                           aliases=clean.DIRTY_CONFIG.aliases))
 
 # ---------------------------------------------------------------- S1-S6, P1-P4, K3, U1, K4, P5, A16
-from dqspark.session import scratch_dir  # noqa: E402
-from dqspark.sources import ingest as ING  # noqa: E402
-from dqspark.sources import landing as LND  # noqa: E402
 
 EXPORT_HEADER = [("CODIGO", R.key), ("", None), ("DISTRITO", R.district), ("DEPARTAMENTO", R.department),
                  ("MUNICIPIO", R.municipality), ("ESTABLECIMIENTO", R.name), ("DIRECCION", R.address),
@@ -524,7 +525,6 @@ select * from {D} t where coalesce({O.key_ok(O.strip(R.key))}, false)
 """)(lambda spark, sf: dirty_registry(spark, sf).where(F.coalesce(tx.matches_key(tx.ws_strip(R.key)), F.lit(False))))
 
 # ---------------------------------------------------------------- S7
-from dqspark.sources import html as HTML  # noqa: E402
 
 
 def pages_of(spark, sf):
@@ -546,7 +546,6 @@ from p, nation n where n.n_nationkey <> 0
 """)(lambda spark, sf: HTML.option_pairs(pages_of(spark, sf)))
 
 # ---------------------------------------------------------------- P18 / U2
-from dqspark.operators import consistency  # noqa: E402
 
 register("consistency_containment", f"""
 select distinct {R.key}, {R.district} from {D} t
@@ -564,9 +563,6 @@ select 'c_name', {O.signature(O.strip('c_name'))}, count(*) from customer where
                                            ["c_name"])).drop("pos"))
 
 # ---------------------------------------------------------------- S8
-from dqspark.functions.text import normalize_ws  # noqa: E402
-from dqspark.session import scratch_dir  # noqa: E402
-from dqspark.streaming import incremental  # noqa: E402
 
 _CUT = "1998-01-01 00:00:00"
 
