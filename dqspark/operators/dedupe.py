@@ -23,10 +23,11 @@ Plan, Spark-first and without enumerating all pairs of a block:
 5. Expansion back to row pairs through equi-joins on ``(gid, text)``,
    checking the real group columns null-safely, with multiplicities.
 
-Hot groups: (1) folds copies; (3)'s join keys are rare q-grams, and a
-q-gram shared by more than ``hot_rows`` texts of a group is split into
-buckets (each pair still meets exactly once); AQE's skew join splits any
-remaining oversized partition.
+Hot groups: (1) folds copies; in (3) the frequency of a q-gram carried by
+more than ``hot_rows`` texts is attached through a size-checked broadcast
+(map-side, no hot shuffle key), and such a q-gram's key in the prefix
+self-join is split into buckets (each pair still meets exactly once); AQE's
+skew join splits any remaining oversized partition.
 """
 
 from __future__ import annotations
@@ -57,6 +58,7 @@ class FuzzyConfig:
     q: int = 3
     context: tuple = field(default=())
     hot_rows: int = 20_000      # texts per q-gram before its join key is split
+    hot_keys_broadcast: int = 200_000   # most hot keys broadcast (checked by count)
     persist: bool = True        # keep intermediates read by several branches
 
     def context_columns(self) -> list[str]:
@@ -94,6 +96,26 @@ def entities(df: DataFrame, cfg: FuzzyConfig) -> DataFrame:
     return ent
 
 
+def attach_frequency(toks: DataFrame, freq: DataFrame, cfg: FuzzyConfig) -> DataFrame:
+    """``toks`` with the group frequency ``f`` of each q-gram.
+
+    A q-gram carried by more than ``hot_rows`` texts of a group is a hot join
+    key.  Hot keys number at most ``|toks| / hot_rows``; once a row count
+    proves them few they are broadcast and joined map-side, and only cold
+    keys (at most ``hot_rows`` rows each) go through the shuffle join.  If
+    the check fails, the plain join stays, with AQE's skew split.
+    """
+    hot = freq.where(F.col("f") > cfg.hot_rows)
+    n_hot = hot.limit(cfg.hot_keys_broadcast + 1).count()
+    if n_hot == 0 or n_hot > cfg.hot_keys_broadcast:
+        return toks.join(freq, ["gid", "tok"])
+    marked = toks.join(F.broadcast(hot.withColumnRenamed("f", "_fh")), ["gid", "tok"], "left")
+    hot_rows = marked.where(F.col("_fh").isNotNull()).withColumnRenamed("_fh", "f")
+    cold_rows = (marked.where(F.col("_fh").isNull()).drop("_fh")
+                 .join(freq.where(F.col("f") <= cfg.hot_rows), ["gid", "tok"]))
+    return hot_rows.unionByName(cold_rows)
+
+
 def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
     """``(gid, ta, tb, la, lb)`` with ``ta < tb``: every pair that can reach the
     threshold, found through shared prefix q-grams.
@@ -111,7 +133,7 @@ def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
                                          lambda i: F.xxhash64(padded.substr(i, F.lit(q)))))
     toks = texts.select("gid", F.xxhash64("ts").alias("th"), "len", F.explode(grams).alias("tok"))
     freq = toks.groupBy("gid", "tok").agg(F.count(F.lit(1)).alias("f"))
-    ranked = toks.join(freq, ["gid", "tok"])
+    ranked = attach_frequency(toks, freq, cfg)
     # rarest q-grams first (ties by hash): a fixed total order on tokens
     w = Window.partitionBy("gid", "th").orderBy("f", "tok")
     prefix = (ranked.withColumn("r", F.row_number().over(w))

@@ -123,3 +123,12 @@ def test_lev_prefilter_finds_every_pair_within_the_bound(spark):
                 expected.add((a, b, d))
     got = {(r.ta, r.tb, r.lev) for r in dedupe.lev_prefilter_pairs(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == expected
+
+
+def test_hot_frequency_path_keeps_every_pair(spark):
+    rows = _near_duplicates(13, n=150)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for cfg in (dedupe.FuzzyConfig(hot_rows=2),                          # broadcast hot keys
+                dedupe.FuzzyConfig(hot_rows=2, hot_keys_broadcast=1)):  # too many: plain join
+        got = sorted((r.code_1, r.code_2) for r in dedupe.fuzzy_pairs(df, cfg).collect())
+        assert got == brute_force(rows)
