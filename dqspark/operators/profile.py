@@ -153,13 +153,16 @@ def shape_profile(vf: DataFrame, columns: list[str], keep_digit_class: bool = Fa
         F.min_by("signature", F.struct((-F.col("n")).alias("m"), F.col("signature").alias("s")))
         .alias("most_common"),
         F.sum("n").alias("_total"))
-    top_n = (sigs.alias("s").join(summary.select("variable", "most_common").alias("m"),
+    # ``summary`` has one row per profiled column (a bound known from the
+    # arguments): broadcast it, so no column's values meet in one task
+    best = F.broadcast(summary.select("variable", "most_common"))
+    top_n = (sigs.alias("s").join(best.alias("m"),
                                   (F.col("s.variable") == F.col("m.variable"))
                                   & (F.col("s.signature") == F.col("m.most_common")))
              .select(F.col("s.variable").alias("variable"), F.col("s.n").alias("_top")))
     v = vf.where(F.col("variable").isin(columns) & F.col("value").isNotNull())
     stripped = v.select("variable", tx.ws_strip("value").alias("sv"), "n")
-    off = (stripped.join(summary.select("variable", "most_common"), "variable")
+    off = (stripped.join(best, "variable")
            .where(tx.shape_signature("sv", keep_digit_class) != F.col("most_common")))
     ex = first_k_values(off, "variable", "sv", k=k, out="examples")
     return (summary.join(top_n, "variable")
