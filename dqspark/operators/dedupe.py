@@ -133,6 +133,8 @@ def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
                                          lambda i: F.xxhash64(padded.substr(i, F.lit(q)))))
     toks = texts.select("gid", F.xxhash64("ts").alias("th"), "len", F.explode(grams).alias("tok"))
     freq = toks.groupBy("gid", "tok").agg(F.count(F.lit(1)).alias("f"))
+    if cfg.persist:     # read by the hot-key count and by the join
+        freq = freq.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = attach_frequency(toks, freq, cfg)
     # rarest q-grams first (ties by hash): a fixed total order on tokens
     w = Window.partitionBy("gid", "th").orderBy("f", "tok")
