@@ -26,3 +26,18 @@ def test_export_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a;b", None), ("line\nbreak", "x")], "p string, q string")
     assert export_verified(df, str(tmp_path / "out")) == (2, 2)
     assert export_verified(df, str(tmp_path / "outp"), fmt="parquet") == (2, 2)
+
+
+def test_cleaning_rules_run_on_a_stream(spark, tmp_path):
+    from dqspark.operators import clean
+    from dqspark.sources.tables import dirty_registry
+    from tests.conftest import SF_SMALL
+    d = dirty_registry(spark, SF_SMALL)
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    d.write.parquet(src)
+    incremental.incremental_load(spark, src, out, ckpt, d.schema,
+                                 transform=lambda s: clean.Cleaning(s).cleaned)
+    streamed = spark.read.parquet(out)
+    batch = clean.Cleaning(d).cleaned
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
