@@ -26,7 +26,7 @@ def string_columns(df: DataFrame, exclude=()) -> list[str]:
 
 def _pos(columns: list[str]) -> Column:
     """1-based position of ``variable`` in ``columns`` (pure expression)."""
-    return F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("variable"))
+    return F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("variable")).cast("int")
 
 
 def value_freq(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
