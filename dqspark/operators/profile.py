@@ -128,6 +128,29 @@ def format_issues(vf: DataFrame, phone_column: str | None = None,
             .orderBy("pos"))
 
 
+def column_stats(vf: DataFrame, phone_column: str | None = None,
+                 text_columns: list[str] | None = None) -> DataFrame:
+    """Missing, distinct and format counts of every column in one aggregate.
+
+    ``(variable, pos, rows, missing, distinct_values, edge_ws, multi_ws,
+    corrupt, letters, is_text)``; ``missing``, ``distinct_counts`` and
+    ``format_issues`` are projections of it when several are needed at once.
+    """
+    w, v = F.col("n"), F.col("value")
+    text = F.lit(True) if text_columns is None else F.col("variable").isin(text_columns)
+    agg = vf.groupBy("variable", "pos").agg(
+        F.sum(w).alias("rows"),
+        F.sum(F.when(v.isNull(), w).otherwise(0)).cast("bigint").alias("missing"),
+        F.count(v).alias("distinct_values"),
+        F.sum(F.when(tx.has_edge_ws(v), w).otherwise(0)).cast("bigint").alias("edge_ws"),
+        F.sum(F.when(tx.has_multi_ws(v), w).otherwise(0)).cast("bigint").alias("multi_ws"),
+        F.sum(F.when(tx.has_corrupt_char(v), w).otherwise(0)).cast("bigint").alias("corrupt"),
+        F.sum(F.when(v.rlike(tx.J_LETTER), w).otherwise(0)).cast("bigint").alias("_letters"))
+    return (agg.withColumn("letters", F.when(F.col("variable") == F.lit(phone_column), F.col("_letters"))
+                           .otherwise(F.lit(None).cast("bigint")))
+            .withColumn("is_text", text).drop("_letters"))
+
+
 def letters_in_numeric(vf: DataFrame, column: str) -> DataFrame:
     v = vf.where((F.col("variable") == column) & F.col("value").isNotNull())
     return v.agg(F.lit(column).alias("variable"),

@@ -67,11 +67,20 @@ class Diagnosis:
     def types(self):
         return self._memo("types", lambda: profile.column_types(self.df.sparkSession, self.df))
 
+    def stats(self):
+        """Missing, distinct and format counts of all columns: one aggregate."""
+        return self._memo("stats", lambda: profile.column_stats(
+            self.vf, phone_column=self.roles.phone, text_columns=self.text_columns))
+
     def missing(self):
-        return self._memo("missing", lambda: profile.missing(self.vf))
+        return self._memo("missing", lambda: self.stats().select(
+            "variable", "pos", "missing",
+            F.round(F.col("missing").cast("double") * 100 / F.col("rows"), 2).alias("missing_pct"))
+            .orderBy(F.desc("missing"), "pos"))
 
     def distinct(self):
-        return self._memo("distinct", lambda: profile.distinct_counts(self.vf))
+        return self._memo("distinct", lambda: self.stats().select("variable", "pos", "distinct_values")
+                          .orderBy("pos"))
 
     def duplicates(self):
         return self._memo("duplicates", lambda: profile.duplicate_count(self.df))
@@ -102,8 +111,16 @@ class Diagnosis:
                           lambda: domain.summarize(self.violations(), self.domain_variables()))
 
     def format_issues(self):
-        return self._memo("format", lambda: profile.format_issues(
-            self.vf, phone_column=self.roles.phone, text_columns=self.text_columns))
+        def build():
+            v = self.vf.where(F.col("value").isNotNull() & F.col("variable").isin(self.text_columns))
+            ex = profile.first_k_values(v.where(tx.has_corrupt_char("value")), "variable", "value",
+                                        out="corrupt_examples")
+            return (self.stats().where("is_text")
+                    .select("variable", "pos", "edge_ws", "multi_ws", "corrupt", "letters")
+                    .join(ex, "variable", "left")
+                    .withColumn("corrupt_examples", F.coalesce("corrupt_examples", F.lit("")))
+                    .orderBy("pos"))
+        return self._memo("format", build)
 
     def shape_profile(self):
         return self._memo("shape_profile", lambda: profile.shape_profile(self.vf, self.shape_columns))
