@@ -328,12 +328,6 @@ def errors_corrected(audit: DataFrame) -> DataFrame:
     return audit.agg(F.coalesce(F.sum("affected"), F.lit(0)).cast("bigint").alias("errors_corrected"))
 
 
-def changed_cells(before: DataFrame, after_expr: Column, column: str, key: str) -> DataFrame:
-    """``(key, before, after)`` for the cells a single rule changes."""
-    return (before.select(F.col(key).alias("key"), F.col(column).alias("before"), after_expr.alias("after"))
-            .where(~F.col("before").eqNullSafe(F.col("after"))))
-
-
 RULES = {
     "placeholder_junk": lambda st, cfg, cols: rule_placeholder_junk(st, cfg.roles.director, cfg.placeholder),
     "phone": lambda st, cfg, cols: rule_phone(st, cfg.roles.phone, cfg.placeholder),
