@@ -67,22 +67,43 @@ def distinct_counts(vf: DataFrame) -> DataFrame:
             .orderBy("pos"))
 
 
-def duplicate_count(df: DataFrame, exclude=()) -> DataFrame:
+def _row_key(df: DataFrame, cols: list[str], digest: bool) -> list[Column]:
+    """Grouping key of a whole row: string columns as SHA-256 digests (32
+    bytes travel through the shuffle instead of whole texts; a null stays
+    null, so grouping remains null-safe), other columns as they are."""
+    types = dict(df.dtypes)
+    return [F.sha2(F.col(c), 256).alias(c) if digest and types[c] == "string" else F.col(c)
+            for c in cols]
+
+
+def duplicate_count(df: DataFrame, exclude=(), digest: bool = True) -> DataFrame:
     """Rows minus distinct rows over all columns (null equals null)."""
     cols = [c for c in df.columns if c not in set(exclude)]
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(*_row_key(df, cols, digest)).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint")
                       .alias("duplicates"))
 
 
-def duplicate_examples(df: DataFrame, k: int = K.DUPLICATE_EXAMPLES_K, exclude=()) -> DataFrame:
+def duplicate_examples(df: DataFrame, k: int = K.DUPLICATE_EXAMPLES_K, exclude=(),
+                       digest: bool = True) -> DataFrame:
     """First ``k`` rows (ordered by every column, nulls last) of duplicated groups.
 
-    Members of a group are identical, so only the ``k`` first groups can
-    contribute; each is repeated ``least(n, k)`` times, never ``n`` times.
+    Duplicated groups are found on digests; only their rows are then
+    grouped on the real values and ordered.  Members of a group are
+    identical, so only the ``k`` first groups can contribute; each is
+    repeated ``least(n, k)`` times, never ``n`` times.
     """
     cols = [c for c in df.columns if c not in set(exclude)]
     order = [F.col(c).asc_nulls_last() for c in cols]
+    if digest:
+        keyed = df.select(*cols, *[c.alias(f"_d{i}") for i, c in enumerate(_row_key(df, cols, True))])
+        dkeys = [f"_d{i}" for i in range(len(cols))]
+        dup = keyed.groupBy(*dkeys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+        cond = None
+        for d in dkeys:
+            c = F.col(f"k.{d}").eqNullSafe(F.col(f"g.{d}"))
+            cond = c if cond is None else cond & c
+        df = keyed.alias("k").join(dup.alias("g"), cond, "left_semi").select(*cols)
     groups = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > 1).orderBy(*order).limit(k))
     rep = groups.withColumn("_r", F.explode(F.array_repeat(F.lit(1), F.least(F.col("n"), F.lit(k)).cast("int"))))
