@@ -56,8 +56,7 @@ def process_registry(spark: SparkSession, landing_dir: str, out_dir: str,
     results: dict[str, DataFrame] = {
         "ingest_ledger": ing.ledger,
         "union_ledger": ingest.union_ledger(ing),
-        "file_review": ingest.file_review(united, r.origin, r.department if r.department in united.columns else None,
-                                          r.municipality if r.municipality in united.columns else None, data_cols),
+        "file_review": ingest.file_review(united, r.origin, r.department, r.municipality, data_cols),
     }
     before = diagnosis.Diagnosis(united, r, department_catalog=cfg.department_catalog)
     results["diagnosis"] = before.tidy_report()

@@ -235,28 +235,30 @@ def union_ledger(ing: Ingested) -> DataFrame:
                     (F.col("columns") == F.col("ref")).alias("schema_ok")))
 
 
-def file_review(rows: DataFrame, origin: str, department: str | None, municipality: str | None,
+def file_review(rows: DataFrame, origin: str, department: str, municipality: str,
                 n_columns: int) -> DataFrame:
     """Per file: rows, columns, sorted distinct departments and municipalities
     (stripped, joined by `` | ``), status ``Correcto`` iff one department.
 
-    The lists are per file, and a file is bounded in size.
+    Without the department column the status says so; without the
+    municipality column the count is 0.  The lists are per file, and a file
+    is bounded in size.
     """
+    has_dep, has_mun = department in rows.columns, municipality in rows.columns
     aggs = [F.count(F.lit(1)).alias("rows")]
-    if department:
+    if has_dep:
         aggs.append(F.array_sort(F.collect_set(tx.ws_strip(department))).alias("_deps"))
-    if municipality:
+    if has_mun:
         aggs.append(F.array_sort(F.collect_set(tx.ws_strip(municipality))).alias("_munis"))
     g = rows.groupBy(origin).agg(*aggs)
-    if not department:
-        return g.select(F.col(origin).alias("file"), F.col("rows").cast("bigint").alias("rows"),
-                        F.lit(n_columns).cast("bigint").alias("columns"), F.lit("").alias("departments"),
+    base = [F.col(origin).alias("file"), F.col("rows").cast("bigint").alias("rows"),
+            F.lit(n_columns).cast("bigint").alias("columns")]
+    if not has_dep:
+        return g.select(*base, F.lit("").alias("departments"),
                         F.lit(None).cast("bigint").alias("municipality_count"), F.lit("").alias("municipalities"),
                         F.lit(f"column {department} missing").alias("status"))
-    munis = F.col("_munis") if municipality else F.array().cast("array<string>")
-    return g.select(F.col(origin).alias("file"), F.col("rows").cast("bigint").alias("rows"),
-                    F.lit(n_columns).cast("bigint").alias("columns"),
-                    F.array_join("_deps", " | ").alias("departments"),
+    munis = F.col("_munis") if has_mun else F.array().cast("array<string>")
+    return g.select(*base, F.array_join("_deps", " | ").alias("departments"),
                     F.size(munis).cast("bigint").alias("municipality_count"),
                     F.array_join(munis, " | ").alias("municipalities"),
                     F.when(F.size("_deps") == 1, F.lit("Correcto")).otherwise(F.lit("Revisar")).alias("status"))

@@ -66,3 +66,16 @@ def test_read_registry_csv_nulls_tokens_and_missing_path(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(None, "x"), (None, None), ("s/d", " y ")]
     with pytest.raises(FileNotFoundError):
         read_registry_csv(spark, str(tmp_path / "missing.csv"))
+
+
+def test_file_review_missing_columns(spark):
+    rows = spark.createDataFrame([("a.csv", " X ", "M1"), ("a.csv", "X", "M2"), ("b.csv", "X", None)],
+                                 "origen string, DEPARTAMENTO string, MUNICIPIO string")
+    got = {r.file: r for r in ingest.file_review(rows, "origen", "DEPARTAMENTO", "MUNICIPIO", 2).collect()}
+    assert (got["a.csv"].departments, got["a.csv"].municipality_count, got["a.csv"].status) == ("X", 2, "Correcto")
+    no_mun = {r.file: r for r in ingest.file_review(rows.drop("MUNICIPIO"), "origen", "DEPARTAMENTO",
+                                                       "MUNICIPIO", 1).collect()}
+    assert no_mun["b.csv"].municipality_count == 0
+    no_dep = {r.file: r for r in ingest.file_review(rows.drop("DEPARTAMENTO"), "origen", "DEPARTAMENTO",
+                                                       "MUNICIPIO", 1).collect()}
+    assert no_dep["a.csv"].status == "column DEPARTAMENTO missing"
