@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
@@ -230,9 +231,22 @@ class Cleaning:
         return self.df.select([self.state.cur[c].alias(c) for c in self.df.columns])
 
     def materialize(self, folder: str) -> DataFrame:
-        """Write the cleaned table (Parquet) and read it back."""
-        self.cleaned.write.mode("overwrite").parquet(f"{folder}/cleaned")
-        return self.df.sparkSession.read.parquet(f"{folder}/cleaned")
+        """Write the cleaned table (Parquet) and read it back.
+
+        The audit counts ride along as an ``Observation`` of the same write:
+        no second pass over the input; the one observed row is kept.
+        """
+        spark = self.df.sparkSession
+        obs = Observation("cleaning_audit")
+        aggs = self._count_aggs()
+        observed = self.df.observe(obs, *[e.alias(n) for n, e in aggs])
+        observed.select([self.state.cur[c].alias(c) for c in self.df.columns]) \
+            .write.mode("overwrite").parquet(f"{folder}/cleaned")
+        row = obs.get
+        names = [n for n, _ in aggs]
+        schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
+        self._observed = spark.createDataFrame([tuple(int(row[n] or 0) for n in names)], schema)
+        return spark.read.parquet(f"{folder}/cleaned")
 
     def errors_corrected(self) -> DataFrame:
         """A19 from the mask counts alone: the sum of every audit row's
@@ -243,13 +257,20 @@ class Cleaning:
             total = a if total is None else total + a
         return self.counts().select(F.coalesce(total, F.lit(0)).cast("bigint").alias("errors_corrected"))
 
-    def counts(self) -> DataFrame:
-        """One row: every mask count, computed in one aggregate."""
+    def _count_aggs(self) -> list[tuple[str, Column]]:
         st = self.state
-        aggs = [F.count_if(m).alias(f"n_{k}") for k, m in st.masks.items()
+        aggs = [(f"n_{k}", F.count_if(m)) for k, m in st.masks.items()
                 if m is not None and not k.endswith("_value")]
-        aggs += [F.sum(e).cast("bigint").alias(f"n_{k}") for k, e in st.extra_counts.items()]
-        return self.df.agg(*aggs)
+        aggs += [(f"n_{k}", F.sum(e).cast("bigint")) for k, e in st.extra_counts.items()]
+        return aggs
+
+    def counts(self) -> DataFrame:
+        """One row: every mask count -- observed during ``materialize`` when
+        that ran, otherwise one aggregate over the input."""
+        observed = self.__dict__.get("_observed")
+        if observed is not None:
+            return observed
+        return self.df.agg(*[e.alias(n) for n, e in self._count_aggs()])
 
     def sweep_examples(self, k: int = K.EXAMPLES_K) -> DataFrame:
         st = self.state

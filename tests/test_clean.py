@@ -47,3 +47,13 @@ def test_errors_corrected_equals_audit_sum(spark):
     from dqspark.sources.tables import dirty_registry
     c = clean.Cleaning(dirty_registry(spark, SF_SMALL))
     assert c.errors_corrected().first()[0] == clean.errors_corrected(c.audit()).first()[0]
+
+
+def test_observed_counts_equal_aggregate(spark, tmp_path):
+    from dqspark.sources.tables import dirty_registry
+    d = dirty_registry(spark, SF_SMALL)
+    plain = clean.Cleaning(d).counts().first().asDict()
+    c = clean.Cleaning(d)
+    c.materialize(str(tmp_path / "m"))
+    assert c.counts().first().asDict() == plain
+    assert c.errors_corrected().first()[0] == clean.errors_corrected(clean.Cleaning(d).audit()).first()[0]
