@@ -3,9 +3,10 @@
 Input is a landing table with the ``binaryFile`` schema ``(path, content)``
 (``read_landing`` reads one from a folder).  The plan per file is:
 
-* decode: an Arrow UDF tries the candidate encodings in order and accepts
-  the first that decodes and contains the marker word (cp1252 is not
-  offered by Spark's own charset functions);
+* decode: valid UTF-8 containing the marker word is decoded in the JVM;
+  the other files go to an Arrow UDF that tries the candidate encodings in
+  order and accepts the first that decodes and contains the marker (cp1252
+  is not offered by Spark's own charset functions);
 * split into numbered lines (``posexplode``) with Python's line breaks;
 * locate the header: the first line containing all marker words
   (``min_by`` per file);
@@ -101,8 +102,20 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
            encodings=K.ENCODINGS, marker: str = K.ENCODING_MARKER,
            persist_lines: bool = True) -> Ingested:
     decode = make_decoder(encodings, marker)
-    files = landing.select(F.regexp_extract("path", "([^/]*)$", 1).alias("origin"),
-                           decode("content").alias("d"))
+    # Native first test: valid UTF-8 that contains the marker is what the
+    # first (UTF-8) candidate would accept, so the JVM decodes it; only the
+    # other files' bytes go to the Python decoder (it gets null otherwise).
+    as_text = F.col("content").cast("string")
+    if encodings and encodings[0] in ("utf-8-sig", "utf-8"):
+        native = F.coalesce(F.is_valid_utf8(as_text) & F.upper(as_text).contains(marker), F.lit(False))
+        native_text = F.regexp_replace(as_text, "^\ufeff", "") if encodings[0] == "utf-8-sig" else as_text
+    else:
+        native, native_text = F.lit(False), F.lit(None).cast("string")
+    py = decode(F.when(~native, F.col("content")))
+    files = landing.select(
+        F.regexp_extract("path", "([^/]*)$", 1).alias("origin"),
+        F.when(native, F.struct(native_text.alias("text"), F.lit(encodings[0]).alias("encoding")))
+        .otherwise(py).alias("d"))
     # a file's lines stay in its row: the header is found in-row, so lines
     # are never shuffled or joined back to a per-file header table
     def is_header(line: Column) -> Column:
