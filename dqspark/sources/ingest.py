@@ -69,6 +69,28 @@ def read_landing(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataF
     return df
 
 
+def _odd_quotes(line: Column) -> Column:
+    return (F.size(F.split(line, '"')) - 1) % 2 == 1
+
+
+def join_quoted_lines(lines: Column) -> Column:
+    """Re-join physical lines that sit inside an open quote into one record
+    (joined with ``\\n``), so quoted cells may span lines.  Only files with an
+    unbalanced line pay for the ``aggregate``; the others pass through."""
+    empty = F.array().cast("array<string>")
+
+    def step(acc, line):
+        opened = acc["o"]
+        last = F.element_at(acc["a"], -1)
+        glued = F.concat(F.slice(acc["a"], 1, F.size(acc["a"]) - 1),
+                         F.array(F.concat(last, F.lit("\n"), line)))
+        return F.when(opened, F.struct(glued.alias("a"), (opened != _odd_quotes(line)).alias("o"))) \
+            .otherwise(F.struct(F.concat(acc["a"], F.array(line)).alias("a"), _odd_quotes(line).alias("o")))
+
+    merged = F.aggregate(lines, F.struct(empty.alias("a"), F.lit(False).alias("o")), step, lambda acc: acc["a"])
+    return F.when(F.exists(lines, _odd_quotes), merged).otherwise(lines)
+
+
 def field_count(line: Column, sep: str = ";") -> Column:
     """Number of fields of a delimited line, quotes respected."""
     return F.size(F.split(F.regexp_replace(line, QUOTED, "Q"), sep, -1))
@@ -124,7 +146,7 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
             cond = cond & F.upper(line).contains(m)
         return cond
 
-    arr = F.split("d.text", SPLITLINES)
+    arr = join_quoted_lines(F.split("d.text", SPLITLINES))
     files = files.select(
         "origin", F.col("d.encoding").alias("encoding"), F.col("d.text").isNotNull().alias("decoded"),
         arr.alias("lines"))

@@ -79,3 +79,13 @@ def test_file_review_missing_columns(spark):
     no_dep = {r.file: r for r in ingest.file_review(rows.drop("DEPARTAMENTO"), "origen", "DEPARTAMENTO",
                                                        "MUNICIPIO", 1).collect()}
     assert no_dep["a.csv"].status == "column DEPARTAMENTO missing"
+
+
+def test_quoted_cell_spanning_lines(spark):
+    body = "\n".join([HEADER, ROW.replace("CALLE 1", '"CALLE 1\nFRENTE AL PARQUE; ZONA 2"'),
+                      ROW.replace("0001", "0002"), "Total;2"])
+    ing = ingest.ingest(landing(spark, {"q.csv": body.encode("utf-8")}))
+    led = ing.ledger.first()
+    assert (led.status, led.rows_from_header, led.rows_kept) == ("Correcto", 3, 2)
+    got = sorted(r.DIRECCION for r in ingest.strict_union(ing).collect())
+    assert got == ["CALLE 1", "CALLE 1\nFRENTE AL PARQUE; ZONA 2"]
