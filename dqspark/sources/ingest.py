@@ -170,8 +170,16 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
     raw_names = F.transform(idx, lambda i: F.when(
         F.coalesce(F.element_at(F.col("hcells"), i + 1), F.lit("")) == "",
         F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(F.element_at(F.col("hcells"), i + 1)))
+    # repeated header names get ".1", ".2", ... like the CSV reader the
+    # original used (and so never collide as map keys)
+    def dedupe_names(names: Column) -> Column:
+        return F.transform(names, lambda n, i: F.when(
+            F.size(F.filter(F.slice(names, 1, i), lambda m: m == n)) > 0,
+            F.concat(n, F.lit("."), F.size(F.filter(F.slice(names, 1, i), lambda m: m == n)).cast("string")))
+            .otherwise(n))
+
     hdr = (parsed(files.where(F.col("h").isNotNull()), "header_line", "hcells")
-           .withColumn("raw_names", raw_names)
+           .withColumn("raw_names", dedupe_names(raw_names))
            .withColumn("keepmask", F.transform("raw_names", lambda n: ~F.lower(tx.ws_strip(n)).startswith("unnamed")))
            .withColumn("kept", F.transform(F.filter(F.arrays_zip(F.col("raw_names").alias("n"),
                                                                  F.col("keepmask").alias("k")),

@@ -89,3 +89,13 @@ def test_quoted_cell_spanning_lines(spark):
     assert (led.status, led.rows_from_header, led.rows_kept) == ("Correcto", 3, 2)
     got = sorted(r.DIRECCION for r in ingest.strict_union(ing).collect())
     assert got == ["CALLE 1", "CALLE 1\nFRENTE AL PARQUE; ZONA 2"]
+
+
+def test_repeated_header_names_are_renamed(spark):
+    header = HEADER + ";SECTOR;SECTOR"
+    body = "\n".join([header, ROW + ";X;Y"]).encode("utf-8")
+    ing = ingest.ingest(landing(spark, {"d.csv": body}))
+    cols = ing.columns.first().columns
+    assert cols[-3:] == ["SECTOR", "SECTOR.1", "SECTOR.2"]
+    row = ing.rows.first().data
+    assert (row["SECTOR"], row["SECTOR.1"], row["SECTOR.2"]) == ("OFICIAL", "X", "Y")
