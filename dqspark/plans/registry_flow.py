@@ -79,4 +79,6 @@ def process_registry(spark: SparkSession, landing_dir: str, out_dir: str,
             df.write.mode("overwrite").parquet(f"{out}/{name}")
         results[name] = spark.read.parquet(f"{out}/{name}") if name != "ingest_ledger" else df
     results["cleaned"] = cleaned
+    before.close()      # every output is written and read back by now
+    after.close()
     return results
