@@ -34,6 +34,7 @@ class CleanConfig:
     fill_exclude: tuple | None = None    # default: key, district, origin
     no_issue_columns: tuple = ()
     document_district: bool = True
+    phone_strip_first: bool = False      # original: the phone rule does not strip
 
     def sweep_excluded(self) -> set:
         r = self.roles
@@ -87,11 +88,14 @@ def rule_placeholder_junk(st: _State, column: str, ph: str, step=1):
                             "cells without inventing information.")))
 
 
-def rule_phone(st: _State, column: str, ph: str, step=2):
-    """C2: null, or not exactly 8 digits (no strip first) -> placeholder."""
+def rule_phone(st: _State, column: str, ph: str, step=2, strip_first: bool = False):
+    """C2: null, or not exactly 8 digits -> placeholder.  The original tests
+    the raw value (no strip), so `` 22334455`` is replaced; ``strip_first``
+    tests the stripped value instead, as the diagnosis does."""
     c = st.cur[column]
+    tested = tx.ws_strip(c) if strip_first else c
     m_missing = st.mask(f"{step}_missing", c.isNull())
-    m_bad = st.mask(f"{step}_bad", c.isNotNull() & ~tx.matches_phone(c))
+    m_bad = st.mask(f"{step}_bad", c.isNotNull() & ~tx.matches_phone(tested))
     st.cur[column] = F.when(m_missing | m_bad, F.lit(ph)).otherwise(c)
     st.masks[f"{step}_total"] = m_missing | m_bad
     st.rows.append(dict(
@@ -214,7 +218,7 @@ class Cleaning:
         st = _State(cur={c: F.col(c) for c in df.columns})
         st.extra_counts = {}
         rule_placeholder_junk(st, r.director, ph)
-        rule_phone(st, r.phone, ph)
+        rule_phone(st, r.phone, ph, strip_first=config.phone_strip_first)
         rule_zero_typo(st, r.supervisor, ph)
         rule_zone(st, r.municipality, config.zone_replacement)
         rule_alias(st, r.department, config.aliases)
@@ -351,7 +355,8 @@ def errors_corrected(audit: DataFrame) -> DataFrame:
 
 RULES = {
     "placeholder_junk": lambda st, cfg, cols: rule_placeholder_junk(st, cfg.roles.director, cfg.placeholder),
-    "phone": lambda st, cfg, cols: rule_phone(st, cfg.roles.phone, cfg.placeholder),
+    "phone": lambda st, cfg, cols: rule_phone(st, cfg.roles.phone, cfg.placeholder,
+                                              strip_first=cfg.phone_strip_first),
     "zero_typo": lambda st, cfg, cols: rule_zero_typo(st, cfg.roles.supervisor, cfg.placeholder),
     "zone": lambda st, cfg, cols: rule_zone(st, cfg.roles.municipality, cfg.zone_replacement),
     "alias": lambda st, cfg, cols: rule_alias(st, cfg.roles.department, cfg.aliases),

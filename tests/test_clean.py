@@ -57,3 +57,11 @@ def test_observed_counts_equal_aggregate(spark, tmp_path):
     c.materialize(str(tmp_path / "m"))
     assert c.counts().first().asDict() == plain
     assert c.errors_corrected().first()[0] == clean.errors_corrected(clean.Cleaning(d).audit()).first()[0]
+
+
+def test_phone_strip_first_option(spark):
+    df = spark.createDataFrame([("01-01-0001-01", " 22334455")], "code string, phone string")
+    cfg = clean.CleanConfig(roles=Roles(), document_district=False)
+    keep = clean.rule_changes(df, "phone", cfg).count()
+    cfg2 = clean.CleanConfig(roles=Roles(), document_district=False, phone_strip_first=True)
+    assert keep == 1 and clean.rule_changes(df, "phone", cfg2).count() == 0
