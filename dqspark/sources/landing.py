@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dqspark.operators.joins import bounded_broadcast
+
 LEADING_LINES = 26
 FOOTER_ROWS = 5
 ROWS_PER_FILE = 5000
@@ -57,7 +59,8 @@ def export_files(df: DataFrame, header: list[tuple[str, str | None]], group: Col
     sizes = g.groupBy("_g").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows_per_file))
                                 .cast("int").alias("_nc"))
     chunk = F.pmod(F.substring(F.col("_k"), 7, 4).cast("int"), F.col("_nc"))
-    rows = g.join(F.broadcast(sizes), "_g").withColumn("_c", F.coalesce(chunk, F.lit(0)))
+    # one row per file group: broadcast only once a count proves it small
+    rows = g.join(bounded_broadcast(sizes, 100_000), "_g").withColumn("_c", F.coalesce(chunk, F.lit(0)))
     name = F.format_string("export_%s_%03d.csv", F.regexp_replace("_g", " ", "_"), F.col("_c"))
     data = rows.select(name.alias("path"), F.lit(1).alias("sec"), F.col("_k").alias("o"), "line")
     files = rows.select(name.alias("path"), F.col("_g")).distinct()
