@@ -76,6 +76,18 @@ def _row_key(df: DataFrame, cols: list[str], digest: bool) -> list[Column]:
             for c in cols]
 
 
+def distinct_counts_approx(df: DataFrame, rsd: float = 0.01, columns: list[str] | None = None) -> DataFrame:
+    """Approximate distinct non-null values per column (HyperLogLog++, relative
+    standard deviation ``rsd``): one pass with map-side sketches and no
+    value-level shuffle, for when exact counts are not required."""
+    cols = list(columns or df.columns)
+    row = df.agg(*[F.approx_count_distinct(F.col(c), rsd).alias(c) for c in cols])
+    stacked = row.select(F.explode(F.array(*[
+        F.struct(F.lit(i + 1).alias("pos"), F.lit(c).alias("variable"), F.col(c).alias("distinct_values"))
+        for i, c in enumerate(cols)])).alias("s"))
+    return stacked.select("s.variable", "s.pos", "s.distinct_values").orderBy("pos")
+
+
 def duplicate_count(df: DataFrame, exclude=(), digest: bool = True) -> DataFrame:
     """Rows minus distinct rows over all columns (null equals null)."""
     cols = [c for c in df.columns if c not in set(exclude)]

@@ -38,3 +38,13 @@ def test_first_k_values_is_bounded(spark):
     df = spark.range(1000).select(F.lit("g").alias("g"), F.format_string("%04d", "id").alias("v"))
     r = profile.first_k_values(df, "g", "v", k=3).first()
     assert r.examples == "0000, 0001, 0002"
+
+
+def test_distinct_counts_approx_close_to_exact(spark):
+    from dqspark.sources.tables import dirty_registry
+    from tests.conftest import SF_MID
+    d = dirty_registry(spark, SF_MID)
+    exact = {r.variable: r.distinct_values for r in profile.distinct_counts(profile.value_freq(d)).collect()}
+    approx = {r.variable: r.distinct_values for r in profile.distinct_counts_approx(d).collect()}
+    for k, v in exact.items():
+        assert abs(approx[k] - v) <= max(2, 0.05 * v), (k, v, approx[k])
