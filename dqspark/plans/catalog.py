@@ -532,11 +532,13 @@ def pages_of(spark, sf):
 
 
 register("html_table_rows", """
-select cast(c.c_nationkey as bigint) * 1000000000 + c.c_custkey // 100 as page_id,
+with r as (select cast(c.c_nationkey as bigint) * 1000000000 + c.c_custkey // 100 as page_id,
        cast(row_number() over (partition by c.c_nationkey, c.c_custkey // 100 order by c.c_custkey) - 1 as integer) as row_idx,
        [cast(c.c_custkey as varchar), c.c_name, n.n_name, printf('%.2f', c.c_acctbal), c.c_mktsegment] as cells
-from customer c join nation n on c.c_nationkey = n.n_nationkey
-""")(lambda spark, sf: HTML.table_rows(pages_of(spark, sf)))
+       from customer c join nation n on c.c_nationkey = n.n_nationkey)
+select page_id, row_idx, cast(unnest(range(0, 5)) as integer) as col_idx, unnest(cells) as cell from r
+""")(lambda spark, sf: HTML.table_rows(pages_of(spark, sf))
+     .select("page_id", "row_idx", F.posexplode("cells").alias("col_idx", "cell")))
 
 register("html_options", """
 with p as (select distinct cast(c_nationkey as bigint) * 1000000000 + c_custkey // 100 as page_id from customer)
