@@ -229,10 +229,12 @@ class Diagnosis:
         """``(ord, metric, value)`` for the ten quality metrics."""
         spark = self.df.sparkSession
         k = len(self.columns)
-        miss = self.missing()
-        shp = self.df.agg(F.count(F.lit(1)).alias("rows"))
-        m = miss.agg(F.sum("missing").alias("total"), F.count_if(F.col("missing") > 0).alias("with_na"))
-        fmt = self.format_issues().agg(
+        # rows, missing and format counts all come from the one column-stats
+        # aggregate (every column's multiplicities sum to the row count)
+        st = self.stats()
+        shp = st.agg(F.coalesce(F.max("rows"), F.lit(0)).cast("bigint").alias("rows"))
+        m = st.agg(F.sum("missing").alias("total"), F.count_if(F.col("missing") > 0).alias("with_na"))
+        fmt = st.where("is_text").agg(
             F.count_if((F.col("edge_ws") > 0) | (F.col("multi_ws") > 0) | (F.col("corrupt") > 0)).alias("bad"))
         var = self.variant_groups().agg(F.count(F.lit(1)).alias("groups"))
         wrong = sum(1 for f in self.df.schema.fields if not isinstance(f.dataType, T.StringType))
