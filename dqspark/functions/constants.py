@@ -64,7 +64,6 @@ PANDAS_NA_STRINGS = (
     "nan", "null",
 )
 
-# --- fixed values: cardinality gate and example sizes ------------------------
-VARIANT_MAX_DISTINCT = 60
+# --- fixed values: example sizes ----------------------------------------------
 EXAMPLES_K = 5
 DUPLICATE_EXAMPLES_K = 10

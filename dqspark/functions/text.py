@@ -18,22 +18,28 @@ from pyspark.sql import functions as F
 from dqspark.functions import constants as K
 
 WS = r"[\s\x{1c}-\x{1f}]"
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())   # what str.strip() removes
 
-J_STRIP = rf"(?dU)^{WS}+|{WS}+$"
-J_MULTI_WS = rf"(?U){WS}{{2,}}"
-J_EDGE_WS = rf"(?dU)^{WS}|{WS}$"
-J_JUNK = r"(?dU)^[\s\x{1c}-\x{1f}\-_.?*#/\\=]+$"
-J_JUNK_EXT = r"(?dU)^[\s\x{1c}-\x{1f}\-_.,;:?*#/\\=]+$"
-J_KEY = r"(?dU)^\d{2}-\d{2}-\d{4}-\d{2}$"
-J_PHONE = r"(?dU)^\d{8}$"
-J_ZONE = rf"(?idU)^ZONA{WS}+\d+$"
-J_ZERO_TYPO = r"[A-Za-zÀ-ÿ]0(?![0-9])"
-J_ZERO_TYPO_FIX = r"(?<=[A-Za-zÀ-ÿ])0(?![0-9])"
-J_DIGIT = r"(?U)\d"
-J_LETTER = r"[A-Za-z]"
+
+def java(pattern: str, flags: str = "dU") -> str:
+    """The Java spelling of a Python pattern of ``constants``."""
+    return f"(?{flags})" + pattern.replace(r"\s", WS)
+
+
+J_MULTI_WS = java(K.MULTI_WS_PATTERN, "U")
+J_EDGE_WS = java(r"^\s|\s$")
+J_JUNK = java(K.JUNK_PATTERN)
+J_JUNK_EXT = java(K.JUNK_EXT_PATTERN)
+J_KEY = java(K.KEY_PATTERN)
+J_PHONE = java(K.PHONE_PATTERN)
+J_ZONE = java(K.ZONE_PATTERN, "idU")
+J_ZERO_TYPO = K.ZERO_TYPO_PATTERN
+J_ZERO_TYPO_FIX = K.ZERO_TYPO_PATTERN.replace("[A-Za-zÀ-ÿ]", "(?<=[A-Za-zÀ-ÿ])")
+J_DIGIT = java(K.DIGIT_PATTERN, "U")
+J_LETTER = K.LETTER_PATTERN
 J_SIG_DIGIT = r"[0-9]"
 J_SIG_LETTER = r"[A-Za-zÀ-ÿ]"
-J_SPLIT_WS = rf"(?U){WS}+"
+J_SPLIT_WS = java(r"\s+", "U")
 
 
 def _c(c) -> Column:
@@ -42,7 +48,7 @@ def _c(c) -> Column:
 
 def ws_strip(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(c), J_STRIP, "")
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c) -> Column:

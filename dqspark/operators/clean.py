@@ -1,10 +1,14 @@
-"""Declarative cleaning rules with an audit log, in one projection.
+"""Declarative cleaning rules with an audit log.
 
-Rules run in a fixed order and each sees the value as the earlier rules left
-it, so every column carries a running ``Column`` expression.  Each rule adds
-named boolean masks; the audit counts are a single ``agg(count_if(...))`` over
-the input, and the cleaned frame is a single ``select`` of the final
-expressions.  Nothing is materialised between rules and no rule shuffles.
+Rules run in a fixed order, each as a stage of its own: first the boolean
+flags of the rows it concerns, as columns, then the new value, which refers to
+the flags.  Later rules read the columns as the earlier ones left them, so
+the number of regular expressions grows with the rules, not with what stood
+before them, and nothing is materialised or shuffled between rules.
+
+The audit log comes from one pass: every flag that is set becomes an event
+``(mark, value)``, events are counted, and counts, examples and the district's
+shapes are read from that small table.
 """
 
 from __future__ import annotations
@@ -17,11 +21,14 @@ from pyspark.sql import types as T
 
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
-from dqspark.operators.profile import first_k_values, shape_profile, string_columns, value_freq
+from dqspark.operators.profile import first_k_values, string_columns
+from dqspark.session import written
 from dqspark.sources.tables import Roles
 
 AUDIT_COLUMNS = ("step", "sub", "variable", "problem", "action", "affected", "justification")
 ALL_TEXT = "all text columns"
+NO_ISSUE_REGISTRY = ("DIRECCION", "ESTABLECIMIENTO", "CODIGO", "STATUS", "DEPARTAMENTAL", "PLAN", "JORNADA",
+                     "MODALIDAD", "NIVEL", "AREA", "SECTOR")
 
 
 @dataclass
@@ -52,300 +59,254 @@ DIRTY_CONFIG = CleanConfig(aliases={"ASIA CAPITAL": "ASIA"},
 
 
 @dataclass
-class _State:
-    cur: dict                       # column -> running Column
-    masks: dict = field(default_factory=dict)   # mask name -> boolean Column
-    rows: list = field(default_factory=list)    # audit row specs
-
-    def mask(self, name: str, expr: Column) -> Column:
-        self.masks[name] = F.coalesce(expr, F.lit(False))
-        return self.masks[name]
+class Entry:
+    """One line of the audit log; counts are named by the flags they count."""
+    step: int
+    sub: int
+    variable: str
+    problem: tuple              # (label, flag) pairs
+    action: str
+    affected: tuple             # flags whose counts add up
+    justification: str
+    optional: bool = False      # left out when nothing was affected
+    examples: bool = False
 
 
-def _n(name: str) -> Column:
-    return F.col(f"n_{name}")
+def flag(step: int, name) -> str:
+    return f"_{step}_{name}"
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _true(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
 
 
 # --------------------------------------------------------------------- rules
-def rule_placeholder_junk(st: _State, column: str, ph: str, step=1):
+# Each takes the frame as the earlier rules left it and returns it with its
+# flags and new values, and its audit entries.
+def rule_placeholder_junk(df: DataFrame, column: str, ph: str, step=1):
     """C1: null, or junk/'0' after strip -> placeholder."""
-    c = st.cur[column]
-    m_missing = st.mask(f"{step}_missing", c.isNull())
-    m_junk = st.mask(f"{step}_junk", tx.is_junk_or_zero(c))
-    st.cur[column] = F.when(m_missing | m_junk, F.lit(ph)).otherwise(c)
-    st.masks[f"{step}_total"] = m_missing | m_junk
-    st.rows.append(dict(
-        step=step, sub=0, variable=column,
-        problem=F.concat(_s(_n(f"{step}_missing")), F.lit(" missing values and "), _s(_n(f"{step}_junk")),
-                         F.lit(" values without real content (only symbols, dashes or '0')")),
-        action=F.lit(f"Replaced by the placeholder '{ph}'"),
-        affected=_n(f"{step}_total"),
-        justification=F.lit("Dropping the rows would lose data; the placeholder avoids empty "
-                            "cells without inventing information.")))
-
-
-def rule_phone(st: _State, column: str, ph: str, step=2, strip_first: bool = False):
+    missing, junk, total = (flag(step, n) for n in ("missing", "no_content", "total"))
+    df = df.withColumns({missing: F.col(column).isNull(), junk: tx.is_junk_or_zero(column)})
+    df = df.withColumn(total, F.col(missing) | F.col(junk))
+    df = df.withColumn(column, F.when(F.col(total), F.lit(ph)).otherwise(F.col(column)))
+    return df, [Entry(step, 0, column, (("missing", missing), ("no_content", junk)), f"set {ph}", (total,), "row kept")]
+
+
+def rule_phone(df: DataFrame, column: str, ph: str, step=2, strip_first: bool = False):
     """C2: null, or not exactly 8 digits -> placeholder.  The original tests
     the raw value (no strip), so `` 22334455`` is replaced; ``strip_first``
     tests the stripped value instead, as the diagnosis does."""
-    c = st.cur[column]
-    tested = tx.ws_strip(c) if strip_first else c
-    m_missing = st.mask(f"{step}_missing", c.isNull())
-    m_bad = st.mask(f"{step}_bad", c.isNotNull() & ~tx.matches_phone(tested))
-    st.cur[column] = F.when(m_missing | m_bad, F.lit(ph)).otherwise(c)
-    st.masks[f"{step}_total"] = m_missing | m_bad
-    st.rows.append(dict(
-        step=step, sub=0, variable=column,
-        problem=F.concat(_s(_n(f"{step}_missing")), F.lit(" missing values and "), _s(_n(f"{step}_bad")),
-                         F.lit(" values not matching the expected format (8 digits)")),
-        action=F.lit(f"Replaced by the placeholder '{ph}'"),
-        affected=_n(f"{step}_total"),
-        justification=F.lit("The phone is not used for analysis; a placeholder keeps the rows.")))
-
-
-def rule_zero_typo(st: _State, column: str, ph: str, step=3):
+    missing, bad, total = (flag(step, n) for n in ("missing", "wrong_format", "total"))
+    tested = tx.ws_strip(column) if strip_first else F.col(column)
+    df = df.withColumns({missing: F.col(column).isNull(), bad: _true(~tx.matches_phone(tested))})
+    df = df.withColumn(total, F.col(missing) | F.col(bad))
+    df = df.withColumn(column, F.when(F.col(total), F.lit(ph)).otherwise(F.col(column)))
+    return df, [Entry(step, 0, column, (("missing", missing), ("wrong_format", bad)), f"set {ph}", (total,), "row kept")]
+
+
+def rule_zero_typo(df: DataFrame, column: str, ph: str, step=3):
     """C3: null -> placeholder (not counted); letter-then-'0' -> 'O';
     then junk/'0' -> placeholder.  Affected = typos + junk."""
-    c = st.cur[column]
-    m_fill = st.mask(f"{step}_filled", c.isNull())
-    m_typo = st.mask(f"{step}_typo", tx.has_zero_typo(c))
-    filled = F.when(m_fill, F.lit(ph)).otherwise(c)
-    fixed = F.when(m_typo, tx.fix_zero_typo(c)).otherwise(filled)
-    m_junk = st.mask(f"{step}_junk", tx.is_junk_or_zero(fixed))
-    st.cur[column] = F.when(m_junk, F.lit(ph)).otherwise(fixed)
-    st.rows.append(dict(
-        step=step, sub=0, variable=column,
-        problem=F.concat(_s(_n(f"{step}_typo")), F.lit(" values with '0' typed for 'O' after a letter, "),
-                         _s(_n(f"{step}_junk")), F.lit(" values made only of symbols; "),
-                         _s(_n(f"{step}_filled")), F.lit(" missing values filled (not counted)")),
-        action=F.lit(f"Typo '0' replaced by 'O'; junk replaced by '{ph}'"),
-        affected=_n(f"{step}_typo") + _n(f"{step}_junk"),
-        justification=F.lit("Isolated cases; no relevant information is lost.")))
-
-
-def rule_zone(st: _State, column: str, replacement: str, step=4):
+    filled, typo, junk = (flag(step, n) for n in ("filled", "typo", "no_content"))
+    df = df.withColumns({filled: F.col(column).isNull(), typo: _true(tx.has_zero_typo(column))})
+    df = df.withColumn(column, F.when(F.col(typo), tx.fix_zero_typo(column)).when(F.col(filled), F.lit(ph))
+                       .otherwise(F.col(column)))
+    df = df.withColumn(junk, tx.is_junk_or_zero(column))
+    df = df.withColumn(column, F.when(F.col(junk), F.lit(ph)).otherwise(F.col(column)))
+    return df, [Entry(step, 0, column, (("typo", typo), ("no_content", junk), ("filled", filled)),
+                      f"0 to O, else set {ph}", (typo, junk), "spelling")]
+
+
+def rule_zone(df: DataFrame, column: str, replacement: str, step=4):
     """C4: stripped value ``ZONA <n>`` -> the municipality that holds the zones."""
-    c = st.cur[column]
-    m = st.mask(f"{step}_zone", tx.matches_zone(tx.ws_strip(c)))
-    st.cur[column] = F.when(m, F.lit(replacement)).otherwise(c)
-    st.rows.append(dict(
-        step=step, sub=0, variable=column,
-        problem=F.concat(_s(_n(f"{step}_zone")), F.lit(" values name a city zone (e.g. 'ZONA 1'), not a municipality")),
-        action=F.lit(f"Replaced by '{replacement}'"),
-        affected=_n(f"{step}_zone"),
-        justification=F.lit("The municipality is the unit of analysis; only the zone detail is lost.")))
-
-
-def rule_alias(st: _State, column: str, aliases: dict, step=5):
+    zone = flag(step, "zone")
+    df = df.withColumn(zone, _true(tx.matches_zone(tx.ws_strip(column))))
+    df = df.withColumn(column, F.when(F.col(zone), F.lit(replacement)).otherwise(F.col(column)))
+    return df, [Entry(step, 0, column, (("zone", zone),), f"set {replacement}", (zone,), "unit is the municipality")]
+
+
+def rule_alias(df: DataFrame, column: str, aliases: dict, step=5):
     """C5: upper/stripped alias -> canonical catalogue value."""
-    c = st.cur[column]
-    key = F.upper(tx.ws_strip(c))
-    m = st.mask(f"{step}_alias", key.isin(list(aliases)))
+    alias = flag(step, "alias")
+    key = F.upper(tx.ws_strip(column))
     mapped = F.element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), key)
-    st.cur[column] = F.when(m, mapped).otherwise(c)
-    st.rows.append(dict(
-        step=step, sub=0, variable=column,
-        problem=F.concat(_s(_n(f"{step}_alias")), F.lit(" values use an alias outside the official catalogue")),
-        action=F.lit("Mapped to the canonical catalogue value"),
-        affected=_n(f"{step}_alias"),
-        justification=F.lit("The alias names the same entity as the catalogue value.")))
-
-
-def rule_general_junk(st: _State, columns: list[str], ph: str, step=6):
-    """C6: non-null, separators-only (extended class) or a disguised null
-    token, and not already the placeholder -> placeholder.  One audit row per
-    column with at least one hit."""
-    for i, c_name in enumerate(columns):
-        c = st.cur[c_name]
-        m = st.mask(f"{step}_{i}", c.isNotNull() & (tx.is_junk_ext(c) | tx.is_disguised_null(c)) & (c != F.lit(ph)))
-        st.masks[f"{step}_{i}_value"] = F.when(m, c)   # pre-rule value, for examples
-        st.cur[c_name] = F.when(m, F.lit(ph)).otherwise(c)
-        st.rows.append(dict(
-            step=step, sub=i, variable=c_name, only_if_positive=True, examples_of=f"{step}_{i}_value",
-            problem=F.concat(_s(_n(f"{step}_{i}")),
-                             F.lit(" values made only of separators or disguised null tokens. Examples: "),
-                             F.col("_examples")),
-            action=F.lit(f"Replaced by the placeholder '{ph}'"),
-            affected=_n(f"{step}_{i}"),
-            justification=F.lit("These values carry no information within the domain of the variable.")))
-
-
-def rule_fill_missing(st: _State, columns: list[str], ph: str, step=7):
-    """C7: remaining nulls -> placeholder, one audit row per affected column."""
-    for i, c_name in enumerate(columns):
-        c = st.cur[c_name]
-        m = st.mask(f"{step}_{i}", c.isNull())
-        st.cur[c_name] = F.when(m, F.lit(ph)).otherwise(c)
-        st.rows.append(dict(
-            step=step, sub=i, variable=c_name, only_if_positive=True,
-            problem=F.concat(_s(_n(f"{step}_{i}")), F.lit(" missing values not covered by a specific rule")),
-            action=F.lit(f"Replaced by the placeholder '{ph}'"),
-            affected=_n(f"{step}_{i}"),
-            justification=F.lit("Safety net so that no empty cell is left undocumented.")))
-
-
-def rule_whitespace(st: _State, columns: list[str], step=10):
+    df = df.withColumn(alias, _true(key.isin(list(aliases))))
+    df = df.withColumn(column, F.when(F.col(alias), mapped).otherwise(F.col(column)))
+    return df, [Entry(step, 0, column, (("alias", alias),), "set catalogue name", (alias,), "same entity")]
+
+
+def rule_general_junk(df: DataFrame, columns: list[str], ph: str, step=6):
+    """C6: separators-only (extended class) or a disguised null token, and not
+    already the placeholder -> placeholder.  The replaced value stays in a
+    column of its own, for the examples."""
+    flags = {c: flag(step, i) for i, c in enumerate(columns)}
+    df = df.withColumns({f: _true((tx.is_junk_ext(c) | tx.is_disguised_null(c)) & (F.col(c) != F.lit(ph)))
+                         for c, f in flags.items()})
+    df = df.withColumns({f + "_value": F.when(F.col(f), F.col(c)) for c, f in flags.items()}
+                        | {c: F.when(F.col(f), F.lit(ph)).otherwise(F.col(c)) for c, f in flags.items()})
+    return df, [Entry(step, i, c, (("no_content", flags[c]),), f"set {ph}", (flags[c],), "no information",
+                      optional=True, examples=True) for i, c in enumerate(columns)]
+
+
+def rule_fill_missing(df: DataFrame, columns: list[str], ph: str, step=7):
+    """C7: remaining nulls -> placeholder."""
+    flags = {c: flag(step, i) for i, c in enumerate(columns)}
+    df = df.withColumns({f: F.col(c).isNull() for c, f in flags.items()})
+    df = df.withColumns({c: F.coalesce(F.col(c), F.lit(ph)) for c in columns})
+    return df, [Entry(step, i, c, (("missing", flags[c]),), f"set {ph}", (flags[c],), "no empty cell", optional=True)
+                for i, c in enumerate(columns)]
+
+
+def rule_whitespace(df: DataFrame, columns: list[str], step=10):
     """C9: strip and collapse whitespace runs in every text column; one total."""
-    changed = []
-    for c_name in columns:
-        c = st.cur[c_name]
-        new = tx.normalize_ws(c)
-        changed.append(F.when(c.isNotNull() & (new != c), F.lit(1)).otherwise(F.lit(0)))
-        st.cur[c_name] = new
-    st.masks[f"{step}_ws"] = None
-    st.extra_counts = {f"{step}_ws": sum(changed[1:], changed[0]) if changed else F.lit(0)}
-    st.rows.append(dict(
-        step=step, sub=0, variable=ALL_TEXT,
-        problem=F.lit("Leading/trailing and repeated internal whitespace"),
-        action=F.lit("strip() and collapse of internal whitespace runs to one space"),
-        affected=_n(f"{step}_ws"),
-        justification=F.lit("Standardises text without changing its meaning.")))
+    cells = flag(step, "cells")
+    names = {c: flag(step, f"new_{i}") for i, c in enumerate(columns)}
+    df = df.withColumns({n: tx.normalize_ws(c) for c, n in names.items()})
+    changed = [_true(F.col(n) != F.col(c)).cast("int") for c, n in names.items()]
+    df = df.withColumn(cells, sum(changed[1:], changed[0]) if changed else F.lit(0))
+    df = df.withColumns({c: F.col(n) for c, n in names.items()}).drop(*names.values())
+    return df, [Entry(step, 0, ALL_TEXT, (("cells", cells),), "strip, one space for runs", (cells,), "spacing")]
+
+
+RULES = {
+    "placeholder_junk": lambda df, cfg, cols: rule_placeholder_junk(df, cfg.roles.director, cfg.placeholder),
+    "phone": lambda df, cfg, cols: rule_phone(df, cfg.roles.phone, cfg.placeholder, strip_first=cfg.phone_strip_first),
+    "zero_typo": lambda df, cfg, cols: rule_zero_typo(df, cfg.roles.supervisor, cfg.placeholder),
+    "zone": lambda df, cfg, cols: rule_zone(df, cfg.roles.municipality, cfg.zone_replacement),
+    "alias": lambda df, cfg, cols: rule_alias(df, cfg.roles.department, cfg.aliases),
+    "general_junk": lambda df, cfg, cols: rule_general_junk(
+        df, [c for c in cols if c not in cfg.sweep_excluded()], cfg.placeholder),
+    "fill_missing": lambda df, cfg, cols: rule_fill_missing(
+        df, [c for c in cols if c not in cfg.fill_excluded()], cfg.placeholder),
+    "whitespace": lambda df, cfg, cols: rule_whitespace(df, cols),
+}
+
+
+def raw(column: str) -> str:
+    """Name under which a stage keeps the original value of a column."""
+    return f"_raw_{column}"
 
 
 # --------------------------------------------------------------------- driver
 class Cleaning:
-    """``Cleaning(df, config)`` -> ``.cleaned`` frame and ``.audit`` log."""
+    """``Cleaning(df, config)`` -> ``.cleaned`` frame and ``.audit()`` log.
+
+    ``staged`` holds the cleaned columns, the original ones under ``raw`` and
+    all flags; what isn't used of it isn't computed.
+    """
 
     def __init__(self, df: DataFrame, config: CleanConfig = DIRTY_CONFIG):
         self.df = df
         self.config = config
-        r, ph = config.roles, config.placeholder
-        text_cols = string_columns(df)
-        st = _State(cur={c: F.col(c) for c in df.columns})
-        st.extra_counts = {}
-        rule_placeholder_junk(st, r.director, ph)
-        rule_phone(st, r.phone, ph, strip_first=config.phone_strip_first)
-        rule_zero_typo(st, r.supervisor, ph)
-        rule_zone(st, r.municipality, config.zone_replacement)
-        rule_alias(st, r.department, config.aliases)
-        self.sweep_columns = [c for c in text_cols if c not in config.sweep_excluded()]
-        rule_general_junk(st, self.sweep_columns, ph)
-        self.fill_columns = [c for c in text_cols if c not in config.fill_excluded()]
-        rule_fill_missing(st, self.fill_columns, ph)
-        rule_whitespace(st, text_cols)
-        self.state = st
-        self.text_columns = text_cols
+        text = string_columns(df)
+        staged, self.entries = df.withColumns({raw(c): F.col(c) for c in text}), []
+        for rule in RULES.values():
+            staged, entries = rule(staged, config, text)
+            self.entries += entries
+        self.staged = staged
+        self._observed = None
 
     @property
     def cleaned(self) -> DataFrame:
-        return self.df.select([self.state.cur[c].alias(c) for c in self.df.columns])
+        return self.staged.select(*self.df.columns)
 
     def materialize(self, folder: str) -> DataFrame:
         """Write the cleaned table (Parquet) and read it back.
 
-        The audit counts ride along as an ``Observation`` of the same write:
+        The flag counts ride along as an ``Observation`` of the same write:
         no second pass over the input; the one observed row is kept.
         """
         spark = self.df.sparkSession
         obs = Observation("cleaning_audit")
         aggs = self._count_aggs()
-        observed = self.df.observe(obs, *[e.alias(n) for n, e in aggs])
-        observed.select([self.state.cur[c].alias(c) for c in self.df.columns]) \
-            .write.mode("overwrite").parquet(f"{folder}/cleaned")
-        row = obs.get
-        names = [n for n, _ in aggs]
+        self.staged.observe(obs, *aggs).select(*self.df.columns).write.mode("overwrite").parquet(f"{folder}/cleaned")
+        row, names = obs.get, self._counted()
         schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
         self._observed = spark.createDataFrame([tuple(int(row[n] or 0) for n in names)], schema)
         return spark.read.parquet(f"{folder}/cleaned")
 
-    def errors_corrected(self) -> DataFrame:
-        """A19 from the mask counts alone: the sum of every audit row's
-        affected count (documented rows add 0), one aggregate, one row."""
-        total = None
-        for row in self.state.rows:
-            a = row["affected"].cast("bigint")
-            total = a if total is None else total + a
-        return self.counts().select(F.coalesce(total, F.lit(0)).cast("bigint").alias("errors_corrected"))
-
-    def _count_aggs(self) -> list[tuple[str, Column]]:
-        st = self.state
-        aggs = [(f"n_{k}", F.count_if(m)) for k, m in st.masks.items()
-                if m is not None and not k.endswith("_value")]
-        aggs += [(f"n_{k}", F.sum(e).cast("bigint")) for k, e in st.extra_counts.items()]
-        return aggs
+    def _counted(self) -> list[str]:
+        return list(dict.fromkeys(f for e in self.entries for f in (*(f for _, f in e.problem), *e.affected)))
+
+    def _count_aggs(self) -> list[Column]:
+        types = dict(self.staged.dtypes)
+        return [F.coalesce(F.sum(F.col(f).cast("int")), F.lit(0)).cast("bigint").alias(f) if types[f] == "int"
+                else F.count_if(F.col(f)).alias(f) for f in self._counted()]
 
     def counts(self) -> DataFrame:
-        """One row: every mask count -- observed during ``materialize`` when
+        """One row: every flag's count -- observed during ``materialize`` when
         that ran, otherwise one aggregate over the input."""
-        observed = self.__dict__.get("_observed")
-        if observed is not None:
-            return observed
-        return self.df.agg(*[e.alias(n) for n, e in self._count_aggs()])
-
-    def sweep_examples(self, k: int = K.EXAMPLES_K) -> DataFrame:
-        st = self.state
-        keys = [k_ for k_ in st.masks if k_.endswith("_value")]
-        if not keys:
-            return None
-        vals = self.df.select([st.masks[k_].alias(k_) for k_ in keys])
-        long = vals.unpivot([], keys, "mask", "value").where(F.col("value").isNotNull())
-        return first_k_values(long, "mask", "value", k=k, out="_examples")
-
-    def audit(self) -> DataFrame:
-        """``(step, sub, variable, problem, action, affected, justification)``."""
-        st, cfg = self.state, self.config
-        counts = self.counts()
-        ex = self.sweep_examples()
-        if ex is not None:
-            # examples of all sweep columns as one map value (one entry per
-            # column), attached by a single scalar subquery
-            exmap = ex.agg(F.map_from_entries(F.collect_list(F.struct("mask", "_examples")))).scalar()
-            counts = counts.withColumn("_exmap", exmap)
-            for k_ in [k_ for k_ in st.masks if k_.endswith("_value")]:
-                counts = counts.withColumn(k_, F.element_at(F.col("_exmap"), F.lit(k_)))
-        structs = []
-        for row in st.rows:
-            exm = row.get("examples_of")
-            examples = F.coalesce(F.col(f"`{exm}`"), F.lit("")) if exm and ex is not None else F.lit("")
-            problem = row["problem"]
-            if exm:
-                problem = F.concat(_s(_n(f"{row['step']}_{row['sub']}")),
-                                   F.lit(" values made only of separators or disguised null tokens. Examples: "),
-                                   examples)
-            keep = (row["affected"] > 0) if row.get("only_if_positive") else F.lit(True)
-            structs.append(F.when(keep, F.struct(
-                F.lit(row["step"]).alias("step"), F.lit(row["sub"]).alias("sub"),
-                F.lit(row["variable"]).alias("variable"), problem.alias("problem"),
-                row["action"].alias("action"), row["affected"].cast("bigint").alias("affected"),
-                row["justification"].alias("justification"))))
-        log = (counts.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("r"))
-               .select("r.*"))
-        extra = self._documented_rows()
-        if extra is not None:
-            log = log.unionByName(extra)
-        return log.orderBy("step", "sub")
-
-    def _documented_rows(self) -> DataFrame | None:
-        """C8: the district decision (from its shape profile) and the columns
-        documented as having no issue (affected 0)."""
-        cfg, r = self.config, self.config.roles
-        spark = self.df.sparkSession
-        parts = []
+        return self._observed if self._observed is not None else self.staged.agg(*self._count_aggs())
+
+    def errors_corrected(self) -> DataFrame:
+        """A19: the sum of every audit row's affected count, one aggregate."""
+        flags = [F.col(f) for e in self.entries for f in e.affected]
+        return self.counts().select(sum(flags[1:], flags[0]).cast("bigint").alias("errors_corrected"))
+
+    def events(self) -> DataFrame:
+        """``(mark, value, n)``: how often each flag was set, with the replaced
+        value (C6) and the district's shapes (C8)."""
+        types, out = dict(self.staged.dtypes), []
+        values = {e.affected[0] for e in self.entries if e.examples}
+
+        def event(mark: str, value: Column, n: Column) -> Column:
+            return F.struct(F.lit(mark).alias("mark"), value.cast("string").alias("value"), n.cast("bigint").alias("n"))
+
+        for f in self._counted():
+            n = F.col(f) if types[f] == "int" else F.col(f).cast("int")
+            value = F.col(f + "_value") if f in values else F.lit(None)
+            out.append(F.when(n > 0, event(f, value, n)))
+        district = self.config.roles.district
+        if self.config.document_district and district in self.df.columns:
+            shape = tx.shape_signature(tx.ws_strip(raw(district)))
+            out.append(F.when(F.col(raw(district)).isNotNull(), event("shape", shape, F.lit(1))))
+        return (self.staged.select(F.explode(F.filter(F.array(*out), lambda e: e.isNotNull())).alias("e"))
+                .groupBy("e.mark", "e.value").agg(F.sum("e.n").alias("n")))
+
+    def audit(self, k: int = K.EXAMPLES_K) -> DataFrame:
+        """``(step, sub, variable, problem, action, affected, justification)``.
+
+        The input is read once, for the events; marks are bounded by the
+        rules, so they are gathered to one map.
+        """
+        cfg = self.config
+        events = written(self.events(), "clean-events")
+        per_mark = events.groupBy("mark").agg(
+            F.sum("n").alias("n"), F.count("value").alias("kinds"), F.max("n").alias("most"),
+            F.min_by("value", F.struct((-F.col("n")).alias("m"), F.col("value").alias("v"))).alias("main"))
+        shown = first_k_values(events.where("mark <> 'shape'"), "mark", "value", k=k)
+        marks = per_mark.join(shown, "mark", "left").agg(F.map_from_entries(F.collect_list(F.struct(
+            "mark", F.struct("n", "kinds", "most", "main", "examples")))).alias("of"))
+
+        def n(f: str) -> Column:
+            return F.coalesce(F.col("of")[f]["n"], F.lit(0))
+
+        def labelled(pairs) -> Column:
+            return F.concat_ws(" ", *[F.concat(F.lit(f"{label}="), n(f).cast("string")) for label, f in pairs])
+
+        def line(step, sub, variable, problem, action, affected, why) -> Column:
+            return F.struct(F.lit(step).alias("step"), F.lit(sub).alias("sub"), F.lit(variable).alias("variable"),
+                            problem.alias("problem"), F.lit(action).alias("action"),
+                            affected.cast("bigint").alias("affected"), F.lit(why).alias("justification"))
+
+        lines = []
+        for e in self.entries:
+            affected = sum((n(f) for f in e.affected[1:]), n(e.affected[0]))
+            problem = labelled(e.problem)
+            if e.examples:
+                problem = F.concat(problem, F.lit(" e.g. "), F.coalesce(F.col("of")[e.affected[0]]["examples"], F.lit("")))
+            row = line(e.step, e.sub, e.variable, problem, e.action, affected, e.justification)
+            lines.append(F.when(affected > 0, row) if e.optional else row)
+        r = cfg.roles
         if cfg.document_district and r.district in self.df.columns:
-            sp = shape_profile(value_freq(self.df, [r.district]), [r.district])
-            parts.append(sp.select(
-                F.lit(8).alias("step"), F.lit(0).alias("sub"), F.lit(r.district).alias("variable"),
-                F.concat(_s(F.col("n_signatures")), F.lit(" format patterns; "), _s(F.col("off_pattern")),
-                         F.lit(" values do not follow the most common one ("), F.col("most_common"),
-                         F.lit(")")).alias("problem"),
-                F.lit("None").alias("action"), F.lit(0).cast("bigint").alias("affected"),
-                F.lit("Administrative identifier; format variations do not affect its use.")
-                .alias("justification")))
-        if cfg.no_issue_columns:
-            parts.append(spark.createDataFrame(
-                [(9, i, c, "None", "", 0, "") for i, c in enumerate(cfg.no_issue_columns)],
-                "step int, sub int, variable string, problem string, action string, affected bigint, "
-                "justification string"))
-        if not parts:
-            return None
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+            shape = F.col("of")["shape"]
+            lines.append(line(8, 0, r.district, F.concat(
+                F.lit("shapes="), F.coalesce(shape["kinds"], F.lit(0)).cast("string"), F.lit(" off_main="),
+                F.coalesce(shape["n"] - shape["most"], F.lit(0)).cast("string"), F.lit(" main="),
+                F.coalesce(shape["main"], F.lit(""))), "none", F.lit(0), "identifier"))
+        lines += [line(9, i, c, F.lit("none"), "", F.lit(0), "") for i, c in enumerate(cfg.no_issue_columns)]
+        return (marks.select(F.explode(F.filter(F.array(*lines), lambda s: s.isNotNull())).alias("r")).select("r.*")
+                .orderBy("step", "sub"))
 
 
 def errors_corrected(audit: DataFrame) -> DataFrame:
@@ -353,29 +314,10 @@ def errors_corrected(audit: DataFrame) -> DataFrame:
     return audit.agg(F.coalesce(F.sum("affected"), F.lit(0)).cast("bigint").alias("errors_corrected"))
 
 
-RULES = {
-    "placeholder_junk": lambda st, cfg, cols: rule_placeholder_junk(st, cfg.roles.director, cfg.placeholder),
-    "phone": lambda st, cfg, cols: rule_phone(st, cfg.roles.phone, cfg.placeholder,
-                                              strip_first=cfg.phone_strip_first),
-    "zero_typo": lambda st, cfg, cols: rule_zero_typo(st, cfg.roles.supervisor, cfg.placeholder),
-    "zone": lambda st, cfg, cols: rule_zone(st, cfg.roles.municipality, cfg.zone_replacement),
-    "alias": lambda st, cfg, cols: rule_alias(st, cfg.roles.department, cfg.aliases),
-    "general_junk": lambda st, cfg, cols: rule_general_junk(
-        st, [c for c in cols if c not in cfg.sweep_excluded()], cfg.placeholder),
-    "fill_missing": lambda st, cfg, cols: rule_fill_missing(
-        st, [c for c in cols if c not in cfg.fill_excluded()], cfg.placeholder),
-    "whitespace": lambda st, cfg, cols: rule_whitespace(st, cols),
-}
-
-
 def rule_changes(df: DataFrame, rule: str, config: CleanConfig = DIRTY_CONFIG) -> DataFrame:
     """Apply one rule alone to ``df``: ``(key, variable, before, after)`` of changed cells."""
-    st = _State(cur={c: F.col(c) for c in df.columns})
-    st.extra_counts = {}
-    original = dict(st.cur)
-    RULES[rule](st, config, string_columns(df))
-    touched = [c for c in df.columns if st.cur[c] is not original[c]]
-    pairs = [F.struct(F.lit(c).alias("variable"), F.col(c).alias("before"), st.cur[c].alias("after"))
-             for c in touched]
-    return (df.select(F.col(config.roles.key).alias("key"), F.explode(F.array(*pairs)).alias("p"))
-            .select("key", "p.*").where(~F.col("before").eqNullSafe(F.col("after"))))
+    text = string_columns(df)
+    staged, _ = RULES[rule](df.withColumns({raw(c): F.col(c) for c in text}), config, text)
+    pairs = [F.struct(F.lit(c).alias("variable"), F.col(raw(c)).alias("before"), F.col(c).alias("after")) for c in text]
+    return (staged.select(F.col(raw(config.roles.key)).alias("key"), F.explode(F.filter(
+        F.array(*pairs), lambda p: ~p["before"].eqNullSafe(p["after"]))).alias("p")).select("key", "p.*"))

@@ -3,41 +3,36 @@
 Semantics: rows with a name and an address, in the same block (department,
 municipality) and with equal differentiator columns (null equals null), whose
 token-sorted texts ``upper(strip(name)) | upper(strip(address))`` reach the
-similarity threshold.  Every such pair of rows is emitted once.
-
-Plan, Spark-first and without enumerating all pairs of a block:
-
-1. ``entities``: rows grouped by (group columns, context columns, text)
-   with multiplicity ``m`` -- exact copies collapse, so a hot group of
-   identical rows costs one row.
-2. ``texts``: distinct token-sorted texts per group id (hash of the group
-   columns); the score depends on the text only, so it is computed once per
-   distinct text pair.
-3. Lossless candidate generation by q-gram prefix filtering: with
-   ``indel(a, b) <= k`` at most ``k*q`` distinct padded q-grams of one string
-   are missing from the other, so the ``k*q + 1`` rarest q-grams (rarity
-   counted per group) of two matching strings share at least one.  Candidates are
-   an equi-join on ``(gid, q-gram)`` -- never a cross product.
+similarity threshold, are possible duplicates.
+
+The score depends on the text alone, so the unit is a *class*: the rows of a
+group with one text.  Results are pairs of classes with their row counts and
+the number of row pairs they stand for, and the membership of each row;
+copies are never paired one by one, neither for the pairs nor for their count.
+
+Plan:
+
+1. ``classes``: rows grouped by (group columns, text) with multiplicity ``m``.
+2. Lossless candidates by q-gram prefixes: with ``indel(a, b) <= k`` at most
+   ``k*q`` distinct padded q-grams of one text are missing from the other, so
+   under any fixed order of the q-grams the first ``k*q + 1`` of two matching
+   texts intersect.  The order is that of the q-grams' hashes, so a text's
+   prefix is made within its row; candidates are an equi-join on
+   ``(group, q-gram)``, never a cross product.
+3. A pair that shares several prefix q-grams is kept at the smallest of them
+   only.  Q-grams carried by more than ``bucket`` texts of a group have their
+   key split, so that each pair still meets exactly once, in tasks of bounded
+   size; the plan is the same for all sizes.
 4. Built-in prefilters (length bound, ``levenshtein(a, b, k) >= 0`` since
    ``lev <= indel``), then the exact LCS in an Arrow UDF.
-5. Expansion back to row pairs through equi-joins on ``(gid, text)``,
-   checking the real group columns null-safely, with multiplicities.
-
-Hot groups: (1) folds copies; in (3) the frequency of a q-gram carried by
-more than ``hot_rows`` texts is attached through a size-checked broadcast
-(map-side, no hot shuffle key), and such a q-gram's key in the prefix
-self-join is split into buckets (each pair still meets exactly once); AQE's
-skew join splits any remaining oversized partition.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
@@ -56,13 +51,10 @@ class FuzzyConfig:
     differentiators: tuple = ("director", "sector")
     threshold: int = K.FUZZY_THRESHOLD
     q: int = 3
-    context: tuple = field(default=())
-    hot_rows: int = 20_000      # texts per q-gram before its join key is split
-    hot_keys_broadcast: int = 200_000   # most hot keys broadcast (checked by count)
-    persist: bool = True        # keep intermediates read by several branches
+    bucket: int = 1000      # texts per q-gram and group beyond which its join key is split
 
-    def context_columns(self) -> list[str]:
-        return list(self.context) or [self.key, self.name, *self.differentiators]
+    def group_columns(self) -> list[str]:
+        return [*self.blocks, *self.differentiators]
 
 
 DIRTY_FUZZY = FuzzyConfig()
@@ -79,177 +71,112 @@ def _max_k(length: Column, t: int) -> Column:
     return F.floor((length + partner) * (100 - t) / 100).cast("int")
 
 
-def entities(df: DataFrame, cfg: FuzzyConfig) -> DataFrame:
-    group_cols = list(cfg.blocks) + list(cfg.differentiators)
-    ctx = cfg.context_columns()
-    cols = list(dict.fromkeys(group_cols + ctx))
+def with_texts(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """Rows that take part, with their text ``ts`` and group digest ``gid``."""
     base = df.where(F.col(cfg.name).isNotNull() & F.col(cfg.address).isNotNull())
     for b in cfg.blocks:                      # grouping drops null block keys
         base = base.where(F.col(b).isNotNull())
-    base = base.select(*cols, tx.token_sort(record_text(cfg.name, cfg.address)).alias("ts"))
-    gid = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000")) for c in group_cols],
-                     *[F.col(c).isNull() for c in group_cols])
-    ent = (base.groupBy(*cols, "ts").agg(F.count(F.lit(1)).alias("m"))
-           .withColumn("gid", gid).withColumn("len", F.length("ts")))
-    if cfg.persist:     # texts, the pair expansion (twice) and groups read it
-        ent = ent.persist(StorageLevel.MEMORY_AND_DISK)
-    return ent
-
-
-def attach_frequency(toks: DataFrame, freq: DataFrame, cfg: FuzzyConfig) -> DataFrame:
-    """``toks`` with the group frequency ``f`` of each q-gram.
-
-    A q-gram carried by more than ``hot_rows`` texts of a group is a hot join
-    key.  Hot keys number at most ``|toks| / hot_rows``; once a row count
-    proves them few they are broadcast and joined map-side, and only cold
-    keys (at most ``hot_rows`` rows each) go through the shuffle join.  If
-    the check fails, the plain join stays, with AQE's skew split.
-    """
-    hot = freq.where(F.col("f") > cfg.hot_rows)
-    n_hot = hot.limit(cfg.hot_keys_broadcast + 1).count()
-    if n_hot == 0 or n_hot > cfg.hot_keys_broadcast:
-        return toks.join(freq, ["gid", "tok"])
-    marked = toks.join(F.broadcast(hot.withColumnRenamed("f", "_fh")), ["gid", "tok"], "left")
-    hot_rows = marked.where(F.col("_fh").isNotNull()).withColumnRenamed("_fh", "f")
-    cold_rows = (marked.where(F.col("_fh").isNull()).drop("_fh")
-                 .join(freq.where(F.col("f") <= cfg.hot_rows), ["gid", "tok"]))
-    return hot_rows.unionByName(cold_rows)
-
-
-def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
-    """``(gid, ta, tb, la, lb)`` with ``ta < tb``: every pair that can reach the
-    threshold, found through shared prefix q-grams.
-
-    Works on *sets* of padded q-grams: an edit destroys at most ``q``
-    positional q-grams, and a distinct q-gram is lost only when all its
-    occurrences are, so ``|Qa - Qb| <= k*q``; the ``k*q + 1`` rarest distinct
-    q-grams of two matching strings therefore intersect.  Q-grams and texts
-    travel through the shuffles as 64-bit hashes; a collision can only add
-    candidates, since pairs are re-joined to the real texts and verified.
-    """
+    group = F.to_json(F.struct(*cfg.group_columns()), {"ignoreNullFields": "false"})
+    return (base.withColumn("ts", tx.token_sort(record_text(cfg.name, cfg.address)))
+            .withColumn("gid", F.unhex(F.md5(group.cast("binary")))))
+
+
+def classes(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """``(gid, group columns, ts, m, len)``: distinct texts of each group and their rows."""
+    return (with_texts(df, cfg).groupBy("gid", *cfg.group_columns(), "ts").agg(F.count(F.lit(1)).alias("m"))
+            .withColumn("len", F.length("ts")))
+
+
+def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """``(gid, ta, tb, la, lb, ma, mb)`` with ``ta < tb``: every pair of
+    classes that can reach the threshold, once."""
     q, t = cfg.q, cfg.threshold
     padded = F.concat(F.lit(PAD_LEFT * (q - 1)), F.col("ts"), F.lit(PAD_RIGHT * (q - 1)))
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("len") + q - 1),
                                          lambda i: F.xxhash64(padded.substr(i, F.lit(q)))))
-    toks = texts.select("gid", F.xxhash64("ts").alias("th"), "len", F.explode(grams).alias("tok"))
-    freq = toks.groupBy("gid", "tok").agg(F.count(F.lit(1)).alias("f"))
-    if cfg.persist:     # read by the hot-key count and by the join
-        freq = freq.persist(StorageLevel.MEMORY_AND_DISK)
-    ranked = attach_frequency(toks, freq, cfg)
-    # rarest q-grams first (ties by hash): a fixed total order on tokens
-    w = Window.partitionBy("gid", "th").orderBy("f", "tok")
-    prefix = (ranked.withColumn("r", F.row_number().over(w))
-              .where(F.col("r") <= _max_k(F.col("len"), t) * q + 1)
-              .select("gid", "th", "len", "tok", "f"))
-    if cfg.persist:     # both sides of the self-join read it
-        prefix = prefix.persist(StorageLevel.MEMORY_AND_DISK)
-    # Hot join keys: a q-gram shared by ``f`` texts of one group would put
-    # f^2/2 pairs into one task.  Such keys are split into S = ceil(f / hot)
-    # buckets by text hash; a left row of bucket b meets right buckets
-    # (b, 0..S-1), a right row of bucket b meets left buckets (0..S-1, b), so
-    # every pair of rows meets in exactly one task per orientation.
-    nb = F.greatest(F.lit(1), F.ceil(F.col("f") / cfg.hot_rows)).cast("int")
-    bucket = F.pmod(F.xxhash64("th", F.lit(7)), nb).cast("int")
-    fan = F.sequence(F.lit(0), nb - 1)
-    a = prefix.select("gid", "tok", "th", "len", bucket.alias("bi"), F.explode(fan).alias("bj")).alias("a")
-    b = prefix.select("gid", "tok", "th", "len", F.explode(fan).alias("bi"), bucket.alias("bj")).alias("b")
+    prefix = F.slice(F.array_sort(grams), F.lit(1), _max_k(F.col("len"), t) * q + 1)
+    toks = (texts.select("gid", "ts", "len", "m", prefix.alias("p"))
+            .withColumn("tok", F.explode("p")))
+    # only q-grams of more than ``bucket`` texts are in this table: it shrinks as they get rarer
+    crowded = (toks.groupBy("gid", "tok").agg(F.count(F.lit(1)).alias("f"))
+               .where(F.col("f") > cfg.bucket)
+               .select("gid", "tok", F.ceil(F.col("f") / cfg.bucket).cast("int").alias("nb")))
+    toks = (toks.join(crowded, ["gid", "tok"], "left").withColumn("nb", F.coalesce("nb", F.lit(1))))
+    # a left row of bucket b meets right buckets (b, 0..nb-1), a right row of
+    # bucket b left buckets (0..nb-1, b): every pair meets in one place
+    bucket = F.pmod(F.xxhash64("ts", F.lit(7)), F.col("nb")).cast("int")
+    fan = F.sequence(F.lit(0), F.col("nb") - 1)
+    a = toks.select("gid", "tok", "ts", "len", "m", "p", bucket.alias("bi"), F.explode(fan).alias("bj")).alias("a")
+    b = toks.select("gid", "tok", "ts", "len", "m", "p", F.explode(fan).alias("bi"), bucket.alias("bj")).alias("b")
     la, lb = F.col("a.len"), F.col("b.len")
-    hp = (a.join(b, (F.col("a.gid") == F.col("b.gid")) & (F.col("a.tok") == F.col("b.tok"))
-                 & (F.col("a.bi") == F.col("b.bi")) & (F.col("a.bj") == F.col("b.bj"))
-                 & (F.col("a.th") <= F.col("b.th"))
-                 # LCS <= min length: 2*min(la, lb) >= t/100 * (la + lb)
-                 & (F.least(la, lb) * 200 >= (la + lb) * t))
-          .select(F.col("a.gid").alias("gid"), F.col("a.th").alias("tha"), F.col("b.th").alias("thb"))
-          .distinct())
-    ta = texts.select("gid", F.xxhash64("ts").alias("tha"), F.col("ts").alias("ta"), F.col("len").alias("la"))
-    tb = texts.select("gid", F.xxhash64("ts").alias("thb"), F.col("ts").alias("tb"), F.col("len").alias("lb"))
-    both = hp.join(ta, ["gid", "tha"]).join(tb, ["gid", "thb"]).where(F.col("ta") != F.col("tb"))
-    swap = F.col("tb") < F.col("ta")
-    return both.select("gid", F.least("ta", "tb").alias("ta"), F.greatest("ta", "tb").alias("tb"),
-                       F.when(swap, F.col("lb")).otherwise(F.col("la")).alias("la"),
-                       F.when(swap, F.col("la")).otherwise(F.col("lb")).alias("lb")).distinct()
-
-
-def scored_text_pairs(texts: DataFrame, cfg: FuzzyConfig) -> DataFrame:
-    """``(gid, ta, tb, similarity)`` for distinct texts reaching the threshold."""
-    t = cfg.threshold
-    cand = candidate_pairs(texts, cfg)
+    pairs = a.join(b, (F.col("a.gid") == F.col("b.gid")) & (F.col("a.tok") == F.col("b.tok"))
+                   & (F.col("a.bi") == F.col("b.bi")) & (F.col("a.bj") == F.col("b.bj"))
+                   & (F.col("a.ts") < F.col("b.ts"))
+                   # LCS <= min length: 2*min(la, lb) >= t/100 * (la + lb)
+                   & (F.least(la, lb) * 200 >= (la + lb) * t)
+                   & (F.array_min(F.array_intersect(F.col("a.p"), F.col("b.p"))) == F.col("a.tok")))
+    return pairs.select(F.col("a.gid").alias("gid"), F.col("a.ts").alias("ta"), F.col("b.ts").alias("tb"),
+                        la.alias("la"), lb.alias("lb"), F.col("a.m").alias("ma"), F.col("b.m").alias("mb"))
+
+
+def _within(cand: DataFrame, t: int) -> DataFrame:
     k = F.floor((F.col("la") + F.col("lb")) * (100 - t) / 100).cast("int")
-    survivors = cand.where(F.call_function("levenshtein", F.col("ta"), F.col("tb"), k) >= 0)
-    scored = survivors.withColumn("lcs", lcs_udf("ta", "tb"))
+    return cand.withColumn("lev", F.call_function("levenshtein", F.col("ta"), F.col("tb"), k)).where("lev >= 0")
+
+
+def scored_pairs(texts: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """Candidates that reach the threshold, with their ``similarity``."""
+    t = cfg.threshold
+    scored = _within(candidate_pairs(texts, cfg), t).withColumn("lcs", lcs_udf("ta", "tb"))
     return (scored.where(F.col("lcs") * 200 >= (F.col("la") + F.col("lb")) * t)
-            .select("gid", "ta", "tb", similarity_from_lcs(F.col("lcs"), F.col("la"), F.col("lb"))
-                    .alias("similarity")))
-
-
-def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = True,
-                count_only: bool = False) -> DataFrame:
-    """One output row per matching pair of input rows:
-    ``similarity, <ctx>_1, <ctx>_2`` (context names lower-cased) with row 1
-    the smaller by context."""
-    ent = entities(df, cfg)
-    ctx = cfg.context_columns()
-    group_cols = list(cfg.blocks) + list(cfg.differentiators)
-    texts = ent.select("gid", "ts", "len").distinct()
-    tp = scored_text_pairs(texts, cfg)
-    # identical texts always score 100
-    same = texts.select("gid", F.col("ts").alias("ta"), F.col("ts").alias("tb"),
-                        F.lit(100.0).alias("similarity"))
-    tp = tp.unionByName(same)
-    e1 = ent.select(*[F.col(c).alias(f"{c}__1") for c in ent.columns])
-    e2 = ent.select(*[F.col(c).alias(f"{c}__2") for c in ent.columns])
-    j = (tp.join(e1, (F.col("gid") == F.col("gid__1")) & (F.col("ta") == F.col("ts__1")))
-         .join(e2, (F.col("gid") == F.col("gid__2")) & (F.col("tb") == F.col("ts__2"))))
-    for c in group_cols:
-        j = j.where(F.col(f"{c}__1").eqNullSafe(F.col(f"{c}__2")))
-    order1 = F.struct(*[F.col(f"{c}__1") for c in ctx])
-    order2 = F.struct(*[F.col(f"{c}__2") for c in ctx])
-    same_text = F.col("ta") == F.col("tb")
-    same_entity = F.lit(True)
-    for c in ctx:
-        same_entity = same_entity & F.col(f"{c}__1").eqNullSafe(F.col(f"{c}__2"))
-    # within one text keep each unordered entity pair once (and self pairs)
-    j = j.where(~same_text | same_entity | (order1 < order2))
-    mult = F.when(same_entity & same_text, F.col("m__1") * (F.col("m__1") - 1) / 2) \
-        .otherwise(F.col("m__1") * F.col("m__2")).cast("long")
-    swap = order2 < order1
-    out = [F.col("similarity")]
-    for c in ctx:
-        out.append(F.when(swap, F.col(f"{c}__2")).otherwise(F.col(f"{c}__1")).alias(f"{c.lower()}_1"))
-        out.append(F.when(swap, F.col(f"{c}__1")).otherwise(F.col(f"{c}__2")).alias(f"{c.lower()}_2"))
-    j = j.withColumn("_mult", mult).where(F.col("_mult") > 0)
-    if count_only:
-        return j.agg(F.coalesce(F.sum("_mult"), F.lit(0)).cast("bigint").alias("pairs"))
-    rep = j.select(*out, F.explode(F.sequence(F.lit(1), F.col("_mult"))).alias("_r")).drop("_r")
+            .withColumn("similarity", similarity_from_lcs(F.col("lcs"), F.col("la"), F.col("lb"))))
+
+
+def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = True) -> DataFrame:
+    """Pairs of classes: group columns, ``text_1, text_2, similarity, rows_1,
+    rows_2, pairs`` (row pairs they stand for); a class of several rows is a
+    pair with itself.  ``fuzzy_members`` tells the rows of each class."""
+    texts = classes(df, cfg)
+    cols = cfg.group_columns()
+    groups = texts.select("gid", *cols).distinct()
+    out = ["text_1", "text_2", "similarity", "rows_1", "rows_2", "pairs"]
+    across = (scored_pairs(texts, cfg).join(groups, "gid")
+              .select(*cols, F.col("ta").alias("text_1"), F.col("tb").alias("text_2"), "similarity",
+                      F.col("ma").alias("rows_1"), F.col("mb").alias("rows_2"),
+                      (F.col("ma") * F.col("mb")).alias("pairs")))
+    within = texts.where("m > 1").select(*cols, F.col("ts").alias("text_1"), F.col("ts").alias("text_2"),
+                                         F.lit(100.0).alias("similarity"), F.col("m").alias("rows_1"),
+                                         F.col("m").alias("rows_2"), F.expr("m * (m - 1) div 2").alias("pairs"))
+    both = across.unionByName(within).select(*cols, *out)
     if not ordered:
-        return rep
+        return both
     # candidates for manual review: most similar first (range-partitioned sort)
-    return rep.orderBy(F.desc("similarity"),
-                       *[F.col(f"{c.lower()}_{i}").asc_nulls_last() for c in ctx for i in (1, 2)])
+    return both.orderBy(F.desc("similarity"), *[F.col(c).asc_nulls_last() for c in cols], "text_1", "text_2")
+
+
+def fuzzy_members(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """Key, group columns and ``text`` of every row that takes part."""
+    return with_texts(df, cfg).select(cfg.key, *cfg.group_columns(), F.col("ts").alias("text"))
+
+
+def fuzzy_pairs_count(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """Number of matching row pairs, from the classes' row counts."""
+    texts = classes(df, cfg)
+    across = scored_pairs(texts, cfg).select((F.col("ma") * F.col("mb")).alias("pairs"))
+    within = texts.where("m > 1").select(F.expr("m * (m - 1) div 2").alias("pairs"))
+    return across.union(within).agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("pairs"))
 
 
 def lev_prefilter_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
-    """Distinct text pairs of a group that pass the built-in prefilter:
-    ``levenshtein(a, b) <= floor((100 - t) * (la + lb) / 100)``, with their
-    distance and exact similarity (which may fall below the threshold).
+    """Distinct text pairs of a group with ``levenshtein(a, b) <=
+    floor((100 - t) * (la + lb) / 100)``, their distance and exact similarity
+    (which may fall below the threshold).
 
-    The q-gram prefix filter bounds destroyed q-grams by the edit distance,
-    so it finds every such pair, not only those that reach the threshold.
+    The prefix filter bounds destroyed q-grams by the edit distance, so it
+    finds every such pair, not only those that reach the threshold.
     """
-    t = cfg.threshold
-    group_cols = list(cfg.blocks) + list(cfg.differentiators)
-    ent = entities(df, cfg)
-    texts = ent.select("gid", "ts", "len").distinct()
-    k = F.floor((F.col("la") + F.col("lb")) * (100 - t) / 100).cast("int")
-    cand = (candidate_pairs(texts, cfg)
-            .withColumn("lev", F.call_function("levenshtein", F.col("ta"), F.col("tb"), k))
-            .where(F.col("lev") >= 0))
-    groups = ent.select("gid", *group_cols).distinct()
-    return (cand.join(groups, "gid")
-            .select(*group_cols, "ta", "tb", "lev",
+    texts = classes(df, cfg)
+    cols = cfg.group_columns()
+    return (_within(candidate_pairs(texts, cfg), cfg.threshold).join(texts.select("gid", *cols).distinct(), "gid")
+            .select(*cols, "ta", "tb", "lev",
                     similarity_from_lcs(lcs_udf("ta", "tb"), F.col("la"), F.col("lb")).alias("similarity")))
-
-
-def fuzzy_pairs_count(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
-    """Number of matching pairs; counted from the multiplicities, never expanded."""
-    return fuzzy_pairs(df, cfg, ordered=False, count_only=True)

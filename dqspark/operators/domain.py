@@ -5,9 +5,8 @@ columns are checked in one pass: the value is prepared and tested with a
 per-row ``CASE`` on ``variable``, so the frame is read once and shuffled once
 (per-column filters would be pushed below the frequency aggregate and turn
 one scan into one per column).  The result is the complete long table
-``(variable, value, n)`` of invalid distinct values; ``summarize`` folds it
-into a count and a short, sorted example string for reports.  Lists are
-never collected whole: the number of invalid values is unbounded.
+``(variable, value, n)`` of invalid distinct values; reports keep one row per
+value, since the number of invalid values is unbounded.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
-from dqspark.operators.joins import bounded_broadcast
 
 CATEGORICAL, NAME, KEY, PHONE = "categorical", "name", "key", "phone"
 
@@ -46,7 +44,7 @@ def _bad(kind: str, v: Column, catalog) -> Column:
     raise ValueError(kind)
 
 
-def violations(vf: DataFrame, checks: list[Check], catalog_max_rows: int = 100_000) -> DataFrame:
+def violations(vf: DataFrame, checks: list[Check]) -> DataFrame:
     """``(variable, value, n)`` of invalid prepared values, all checks in one pass.
 
     Categorical values are compared upper-cased and stripped, the others
@@ -66,9 +64,9 @@ def violations(vf: DataFrame, checks: list[Check], catalog_max_rows: int = 100_0
         for c in table_checks:
             cat = c.catalog.select(F.lit(c.column).alias("_cvar"), F.col(c.catalog.columns[0]).alias("_cv"))
             cats = cat if cats is None else cats.unionByName(cat)
-        cats = bounded_broadcast(cats.distinct(), catalog_max_rows)
-        prepared = prepared.join(cats, (F.col("variable") == F.col("_cvar")) & (F.col("value") == F.col("_cv")),
-                                 "left")
+        # a plain join: Spark broadcasts the catalogue if its measured bytes allow it
+        prepared = prepared.join(cats.distinct(), (F.col("variable") == F.col("_cvar"))
+                                 & (F.col("value") == F.col("_cv")), "left")
     bad = F.lit(False)
     for c in reversed(checks):
         bad = F.when(F.col("variable") == c.column, _bad(c.kind, F.col("value"), c.catalog)).otherwise(bad)
@@ -94,20 +92,21 @@ def phone_violations(vf: DataFrame, column: str) -> DataFrame:
     return violations(vf, [Check(column, PHONE)])
 
 
-def summarize(violations_df: DataFrame, variables: list[str], k: int = 20) -> DataFrame:
-    """``(variable, pos, invalid_values, examples)``; ``Ninguno`` when clean.
+def _variables(spark, variables: list[str]) -> DataFrame:
+    return spark.createDataFrame([(i + 1, v) for i, v in enumerate(variables)], "pos int, variable string")
 
-    ``examples`` lists the ``k`` smallest invalid values; the complete list
-    is the violations table itself.
-    """
-    from dqspark.operators.profile import first_k_values
-    spark = violations_df.sparkSession
-    base = spark.createDataFrame([(i + 1, v) for i, v in enumerate(variables)],
-                                 "pos int, variable string")
-    counts = violations_df.groupBy("variable").agg(F.count(F.lit(1)).alias("invalid_values"))
-    ex = first_k_values(violations_df, "variable", "value", k=k, out="examples")
-    return (base.join(counts, "variable", "left").join(ex, "variable", "left")
-            .select("variable", "pos",
-                    F.coalesce("invalid_values", F.lit(0)).cast("bigint").alias("invalid_values"),
-                    F.coalesce("examples", F.lit(K.NONE_TEXT)).alias("examples"))
+
+def counts(violations_df: DataFrame, variables: list[str]) -> DataFrame:
+    """``(variable, pos, invalid_values)`` for every checked variable."""
+    n = violations_df.groupBy("variable").agg(F.count(F.lit(1)).alias("n"))
+    return (_variables(violations_df.sparkSession, variables).join(n, "variable", "left")
+            .select("variable", "pos", F.coalesce("n", F.lit(0)).cast("bigint").alias("invalid_values"))
             .orderBy("pos"))
+
+
+def report(violations_df: DataFrame, variables: list[str]) -> DataFrame:
+    """``(variable, pos, value, n)``: every invalid value; ``Ninguno`` and 0 for a clean variable."""
+    base = _variables(violations_df.sparkSession, variables)
+    return (base.join(violations_df, "variable", "left")
+            .select("variable", "pos", F.coalesce("value", F.lit(K.NONE_TEXT)).alias("value"),
+                    F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))

@@ -1,16 +1,15 @@
-"""Column profiling built on one value-frequency frame.
-
-Almost every diagnostic is a function of ``(variable, value, multiplicity)``.
-``value_freq`` computes that frame with one scan and one partially
-aggregated shuffle (an ``Expand`` of the k columns followed by a hash
-aggregate on ``(variable, value)``); the other operators here are small
-aggregates over it, so the table itself is read once per diagnosis when the
-frame is persisted (see ``plans.diagnosis``).
+"""Column profiling: count aggregates and the value-frequency frame.
+
+Counts of rows with some property (missing, stray whitespace, letters ...) are
+one aggregate over the table, a row per partition in the shuffle.  What needs
+distinct values (distinct counts, signatures, domains, variants) reads the
+frame ``(variable, value, multiplicity)`` of ``value_freq``: one scan and one
+partially aggregated shuffle, written once per diagnosis (``plans.diagnosis``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -45,20 +44,43 @@ def shape(df: DataFrame) -> DataFrame:
                            " as (metric, value)")))
 
 
-def column_types(spark: SparkSession, df: DataFrame) -> DataFrame:
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "pos int, variable string, type string")
+def _per_column(df: DataFrame, cols: list[str], measures: dict) -> DataFrame:
+    """``(variable, pos, <measure>...)`` from one aggregate; measures map a
+    name to a function of (column, column name)."""
+    text = df.select([F.col(c).cast("string").alias(c) for c in cols])
+    row = text.agg(*[make(F.col(c), c).cast("bigint").alias(f"{m}_{i}")
+                     for i, c in enumerate(cols) for m, make in measures.items()])
+    structs = [F.struct(F.lit(c).alias("variable"), F.lit(i + 1).alias("pos"),
+                        *[F.col(f"{m}_{i}").alias(m) for m in measures]) for i, c in enumerate(cols)]
+    return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+
+
+def column_stats(df: DataFrame, phone_column: str | None = None) -> DataFrame:
+    """``(variable, pos, type, rows, missing, edge_ws, multi_ws, corrupt, letters, is_text)``
+    of every column in one pass; ``letters`` only for the phone column."""
+    cols, types = df.columns, dict(df.dtypes)
+    stats = _per_column(df, cols, {
+        "rows": lambda c, _: F.count(F.lit(1)),
+        "missing": lambda c, _: F.count_if(c.isNull()),
+        "edge_ws": lambda c, _: F.count_if(tx.has_edge_ws(c)),
+        "multi_ws": lambda c, _: F.count_if(tx.has_multi_ws(c)),
+        "corrupt": lambda c, _: F.count_if(tx.has_corrupt_char(c)),
+        "letters": lambda c, name: F.count_if(c.rlike(tx.J_LETTER)) if name == phone_column
+        else F.max(F.lit(None).cast("bigint")),
+    })
+    kind = F.element_at(F.create_map(*[F.lit(x) for c in cols for x in (c, types[c])]), F.col("variable"))
+    return stats.withColumn("type", kind).withColumn("is_text", F.col("type") == "string")
+
+
+def missing(df: DataFrame) -> DataFrame:
+    """Missing count and percent (2 decimals) per column, most missing first."""
+    counted = _per_column(df, df.columns, {"missing": lambda c, _: F.count_if(c.isNull()),
+                                           "rows": lambda c, _: F.count(F.lit(1))})
+    return counted.select("variable", "pos", "missing", missing_pct()).orderBy(F.desc("missing"), "pos")
 
 
-def missing(vf: DataFrame) -> DataFrame:
-    """Missing count and percent (2 decimals) per column, most missing first."""
-    agg = (vf.groupBy("variable", "pos")
-           .agg(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
-                F.sum("n").alias("rows")))
-    return (agg.select("variable", "pos", F.col("missing").cast("bigint").alias("missing"),
-                       F.round(F.col("missing").cast("double") * 100 / F.col("rows"), 2)
-                       .alias("missing_pct"))
-            .orderBy(F.desc("missing"), "pos"))
+def missing_pct() -> Column:
+    return F.round(F.col("missing").cast("double") * 100 / F.col("rows"), 2).alias("missing_pct")
 
 
 def distinct_counts(vf: DataFrame) -> DataFrame:
@@ -137,58 +159,24 @@ def first_k_values(frame: DataFrame, group: str, value: str, k: int = K.EXAMPLES
             .agg(F.array_join(F.array_sort(F.collect_list(value)), sep).alias(out)))
 
 
-def format_issues(vf: DataFrame, phone_column: str | None = None,
-                  text_columns: list[str] | None = None) -> DataFrame:
+def corrupt_examples(df: DataFrame, columns: list[str], k: int = K.EXAMPLES_K) -> DataFrame:
+    """``(variable, corrupt_examples)``; only values with U+FFFD enter the shuffle."""
+    long = df.select(*columns).unpivot([], columns, "variable", "value").where(tx.has_corrupt_char("value"))
+    return first_k_values(long, "variable", "value", k=k, out="corrupt_examples")
+
+
+def format_issues(df: DataFrame, phone_column: str | None = None, stats: DataFrame | None = None) -> DataFrame:
     """Per text column: rows with edge whitespace, with whitespace runs, with
     U+FFFD, letters in the phone column, and 5 corrupt examples."""
-    v = vf.where(F.col("value").isNotNull())
-    if text_columns is not None:
-        v = v.where(F.col("variable").isin(text_columns))
-    w = F.col("n")
-    agg = v.groupBy("variable", "pos").agg(
-        F.sum(F.when(tx.has_edge_ws("value"), w).otherwise(0)).cast("bigint").alias("edge_ws"),
-        F.sum(F.when(tx.has_multi_ws("value"), w).otherwise(0)).cast("bigint").alias("multi_ws"),
-        F.sum(F.when(tx.has_corrupt_char("value"), w).otherwise(0)).cast("bigint").alias("corrupt"),
-        F.sum(F.when(F.col("value").rlike(tx.J_LETTER), w).otherwise(0)).cast("bigint").alias("_letters"),
-    )
-    letters = (F.when(F.col("variable") == F.lit(phone_column), F.col("_letters"))
-               .otherwise(F.lit(None).cast("bigint")))
-    ex = first_k_values(v.where(tx.has_corrupt_char("value")), "variable", "value",
-                        out="corrupt_examples")
-    return (agg.withColumn("letters", letters).drop("_letters")
-            .join(ex, "variable", "left")
+    stats = stats if stats is not None else column_stats(df, phone_column)
+    return (stats.where("is_text").select("variable", "pos", "edge_ws", "multi_ws", "corrupt", "letters")
+            .join(corrupt_examples(df, string_columns(df)), "variable", "left")
             .withColumn("corrupt_examples", F.coalesce("corrupt_examples", F.lit("")))
             .orderBy("pos"))
 
 
-def column_stats(vf: DataFrame, phone_column: str | None = None,
-                 text_columns: list[str] | None = None) -> DataFrame:
-    """Missing, distinct and format counts of every column in one aggregate.
-
-    ``(variable, pos, rows, missing, distinct_values, edge_ws, multi_ws,
-    corrupt, letters, is_text)``; ``missing``, ``distinct_counts`` and
-    ``format_issues`` are projections of it when several are needed at once.
-    """
-    w, v = F.col("n"), F.col("value")
-    text = F.lit(True) if text_columns is None else F.col("variable").isin(text_columns)
-    agg = vf.groupBy("variable", "pos").agg(
-        F.sum(w).alias("rows"),
-        F.sum(F.when(v.isNull(), w).otherwise(0)).cast("bigint").alias("missing"),
-        F.count(v).alias("distinct_values"),
-        F.sum(F.when(tx.has_edge_ws(v), w).otherwise(0)).cast("bigint").alias("edge_ws"),
-        F.sum(F.when(tx.has_multi_ws(v), w).otherwise(0)).cast("bigint").alias("multi_ws"),
-        F.sum(F.when(tx.has_corrupt_char(v), w).otherwise(0)).cast("bigint").alias("corrupt"),
-        F.sum(F.when(v.rlike(tx.J_LETTER), w).otherwise(0)).cast("bigint").alias("_letters"))
-    return (agg.withColumn("letters", F.when(F.col("variable") == F.lit(phone_column), F.col("_letters"))
-                           .otherwise(F.lit(None).cast("bigint")))
-            .withColumn("is_text", text).drop("_letters"))
-
-
-def letters_in_numeric(vf: DataFrame, column: str) -> DataFrame:
-    v = vf.where((F.col("variable") == column) & F.col("value").isNotNull())
-    return v.agg(F.lit(column).alias("variable"),
-                 F.coalesce(F.sum(F.when(F.col("value").rlike(tx.J_LETTER), F.col("n"))), F.lit(0))
-                 .cast("bigint").alias("letters"))
+def letters_in_numeric(df: DataFrame, column: str) -> DataFrame:
+    return df.agg(F.lit(column).alias("variable"), F.count_if(F.col(column).rlike(tx.J_LETTER)).alias("letters"))
 
 
 def shape_signatures(vf: DataFrame, columns: list[str], keep_digit_class: bool = False) -> DataFrame:

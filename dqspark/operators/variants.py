@@ -1,4 +1,8 @@
-"""Category variants: distinct spellings that share a normalised key."""
+"""Category variants: distinct spellings that share a normalised key.
+
+Results are one row per spelling, so a key with very many of them needs no
+long list anywhere.
+"""
 
 from __future__ import annotations
 
@@ -10,34 +14,51 @@ from dqspark.functions import constants as K
 from dqspark.functions.category import category_key
 
 
-def variant_groups(vf: DataFrame, max_distinct: int = K.VARIANT_MAX_DISTINCT,
-                   columns: list[str] | None = None) -> DataFrame:
-    """``(variable, pos, key, n_variants, variants)`` for every key shared by
-    more than one distinct raw value, in columns with 2..max_distinct values.
+def _values(vf: DataFrame, columns: list[str] | None) -> DataFrame:
+    v = vf.where(F.col("value").isNotNull())
+    return v if columns is None else v.where(F.col("variable").isin(columns))
+
+
+def skipped_columns(vf: DataFrame, max_distinct: int, columns: list[str] | None = None) -> DataFrame:
+    """``(variable, distinct_values)`` of the columns that a gate leaves out."""
+    return (_values(vf, columns).groupBy("variable").agg(F.count(F.lit(1)).alias("distinct_values"))
+            .where(F.col("distinct_values") > max_distinct))
+
+
+def _keyed(vf: DataFrame, max_distinct: int | None, columns: list[str] | None) -> DataFrame:
+    v = _values(vf, columns)
+    if max_distinct is not None:    # one row per column at most
+        v = v.join(skipped_columns(vf, max_distinct, columns), "variable", "left_anti")
+    return v.select("variable", "pos", "value", category_key("value").alias("key"))
 
-    The cardinality gate is an aggregate; the surviving variable list is at
-    most one row per column, so the semi join broadcasts a schema-bounded
-    table.  Each group holds at most ``max_distinct`` values.
+
+def variant_keys(vf: DataFrame, max_distinct: int | None = None, columns: list[str] | None = None) -> DataFrame:
+    """``(variable, pos, key, n_variants)`` of every key with more than one distinct raw value.
+
+    With ``max_distinct`` columns with more distinct values are left out;
+    ``skipped_columns`` names them.
     """
-    v = vf.where(F.col("value").isNotNull())
-    if columns is not None:
-        v = v.where(F.col("variable").isin(columns))
-    card = (v.groupBy("variable").agg(F.count(F.lit(1)).alias("d"))
-            .where((F.col("d") > 1) & (F.col("d") <= max_distinct)).select("variable"))
-    eligible = v.join(F.broadcast(card), "variable", "left_semi")
-    keyed = eligible.select("variable", "pos", "value", category_key("value").alias("key"))
-    return (keyed.groupBy("variable", "pos", "key")
-            .agg(F.count(F.lit(1)).alias("n_variants"),
-                 F.array_join(F.array_sort(F.collect_list("value")), " | ").alias("variants"))
-            .where(F.col("n_variants") > 1))
+    return (_keyed(vf, max_distinct, columns).groupBy("variable", "pos", "key")
+            .agg(F.count(F.lit(1)).alias("n_variants")).where(F.col("n_variants") > 1))
+
+
+def variant_groups(vf: DataFrame, max_distinct: int | None = None, columns: list[str] | None = None) -> DataFrame:
+    """``(variable, pos, key, n_variants, value)``: one row per spelling of such a key."""
+    keys = variant_keys(vf, max_distinct, columns).drop("pos")
+    return (_keyed(vf, max_distinct, columns).join(keys, ["variable", "key"])
+            .select("variable", "pos", "key", "n_variants", "value"))
 
 
 def variant_summary(groups: DataFrame, k: int = K.EXAMPLES_K) -> DataFrame:
-    """``(variable, pos, groups, examples)``: first ``k`` groups by key."""
-    w = Window.partitionBy("variable").orderBy("key")
-    top = groups.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-    ex = top.groupBy("variable").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", "variants"))),
-                                 lambda s: s["variants"]), "; ").alias("examples"))
-    counts = groups.groupBy("variable", "pos").agg(F.count(F.lit(1)).cast("bigint").alias("groups"))
-    return counts.join(ex, "variable").orderBy("pos")
+    """``(variable, pos, groups, examples)``: the first ``k`` keys with their first ``k`` spellings."""
+    keys = groups.select("variable", "pos", "key").distinct()
+    counts = keys.groupBy("variable", "pos").agg(F.count(F.lit(1)).cast("bigint").alias("groups"))
+    by_key = Window.partitionBy("variable").orderBy("key")
+    shown = keys.withColumn("_rn", F.row_number().over(by_key)).where(F.col("_rn") <= k).select("variable", "key")
+    by_value = Window.partitionBy("variable", "key").orderBy("value")
+    spelt = (groups.join(shown, ["variable", "key"], "left_semi")
+             .withColumn("_rn", F.row_number().over(by_value)).where(F.col("_rn") <= k)
+             .groupBy("variable", "key").agg(F.array_join(F.array_sort(F.collect_list("value")), " | ").alias("s")))
+    examples = spelt.groupBy("variable").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("key", "s"))), lambda x: x["s"]), "; ").alias("examples"))
+    return counts.join(examples, "variable").orderBy("pos")

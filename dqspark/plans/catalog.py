@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,15 +16,17 @@ from dqspark.functions import text as tx
 from dqspark.functions.similarity import lcs_udf, similarity_from_lcs
 from dqspark.functions.text import normalize_ws
 from dqspark.operators import clean, consistency, dedupe, domain, profile, variants
-from dqspark.plans import diagnosis
+from dqspark.plans import diagnosis, registry_flow
 from dqspark.plans import oracle as O
 from dqspark.plans import oracle_clean as OC
-from dqspark.session import scratch_dir
+from dqspark.session import scratch_dir, written
 from dqspark.sources import html as HTML
 from dqspark.sources import ingest as ING
 from dqspark.sources import landing as LND
 from dqspark.sources.tables import DIRTY_ROLES as R
-from dqspark.sources.tables import dirty_registry, department_catalog, table
+from dqspark.sources.sinks import export_verified
+from dqspark.sources.tables import (REGISTRY_COLUMNS, REGISTRY_SQL, Roles, department_catalog, dirty_registry,
+                                    dirty_sql_for_duckdb, full_registry, read_registry_csv, table)
 from dqspark.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,11 +43,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _vf(spark, sf_dir, cache: bool = False):
+def _vf(spark, sf_dir, write: bool = False):
     vf = profile.value_freq(dirty_registry(spark, sf_dir))
-    if cache:   # read by several branches of one plan
-        vf = vf.persist(StorageLevel.MEMORY_AND_DISK)
-    return vf
+    return written(vf, "value-freq") if write else vf     # written: read by several branches of one plan
 
 
 D, VF = O.D, O.vf()
@@ -60,16 +59,18 @@ union all select 'columns' as metric, cast({len(O.D_COLS)} as bigint) as value
 register("profile_types", f"""
 select cast(row_number() over () as integer) as pos, column_name as variable,
        case column_type when 'VARCHAR' then 'string' when 'BIGINT' then 'bigint'
-            when 'INTEGER' then 'int' when 'DOUBLE' then 'double' else lower(column_type) end as type
+            when 'INTEGER' then 'int' when 'DOUBLE' then 'double' else lower(column_type) end as type,
+       (select cast(coalesce(sum(n), 0) as bigint) from {VF} v where v.variable = column_name and value is not null) as present
 from (describe {D})
-""")(lambda spark, sf: profile.column_types(spark, dirty_registry(spark, sf)))
+""")(lambda spark, sf: profile.column_stats(dirty_registry(spark, sf)).select(
+    "pos", "variable", "type", (F.col("rows") - F.col("missing")).alias("present")))
 
 # ---------------------------------------------------------------- A3 / A4
 register("profile_missing", f"""
 select variable, pos, cast(sum(case when value is null then n else 0 end) as bigint) as missing,
        round(cast(sum(case when value is null then n else 0 end) as double) * 100 / sum(n), 2) as missing_pct
 from {VF} v group by variable, pos
-""")(lambda spark, sf: profile.missing(_vf(spark, sf)))
+""")(lambda spark, sf: profile.missing(dirty_registry(spark, sf)))
 
 register("profile_distinct", f"""
 select variable, pos, count(value) as distinct_values from {VF} v group by variable, pos
@@ -108,13 +109,13 @@ e as (select variable, string_agg(value, ', ' order by value) as corrupt_example
       from (select variable, value, row_number() over (partition by variable order by value) as rn
             from v where contains(value, '{K.CORRUPT_CHAR}')) where rn <= 5 group by variable)
 select a.*, coalesce(e.corrupt_examples, '') as corrupt_examples from a left join e using (variable)
-""")(lambda spark, sf: profile.format_issues(_vf(spark, sf, cache=True), phone_column=R.phone))
+""")(lambda spark, sf: profile.format_issues(dirty_registry(spark, sf), phone_column=R.phone))
 
 register("profile_letters", f"""
 select '{R.phone}' as variable,
        cast(count(*) filter (where regexp_matches({R.phone}, '[A-Za-z]')) as bigint) as letters
 from {D}
-""")(lambda spark, sf: profile.letters_in_numeric(_vf(spark, sf), R.phone))
+""")(lambda spark, sf: profile.letters_in_numeric(dirty_registry(spark, sf), R.phone))
 
 # ---------------------------------------------------------------- P8
 register("junk_values", f"""
@@ -168,25 +169,21 @@ select variable, value, n from {_prep_sql(R.phone, False)} p where not {O.phone_
 """)(lambda spark, sf: domain.phone_violations(_vf(spark, sf), R.phone))
 
 
-def all_violations(spark, sf, vf=None) -> DataFrame:
-    vf = vf if vf is not None else _vf(spark, sf, cache=True)
-    return domain.violations(vf, _checks(spark, sf))
-
-
 DOMAIN_VARS = [R.department, R.sector, *_NAME_COLS, R.key, R.phone]
+_VIOL = f"""viol as ({ORACLE['domain_catalog']} union all {ORACLE['domain_names']}
+              union all {ORACLE['domain_code']} union all {ORACLE['domain_phone']}),
+base as (select unnest({O.lst(DOMAIN_VARS)}) as variable, cast(unnest(range(1, {len(DOMAIN_VARS) + 1})) as integer) as pos)"""
 
 register("domain_summary", f"""
-with viol as ({ORACLE['domain_catalog']} union all {ORACLE['domain_names']}
-              union all {ORACLE['domain_code']} union all {ORACLE['domain_phone']}),
-base as (select unnest({O.lst(DOMAIN_VARS)}) as variable, cast(unnest(range(1, {len(DOMAIN_VARS) + 1})) as integer) as pos),
-c as (select variable, count(*) as invalid_values from viol group by variable),
-e as (select variable, string_agg(value, ', ' order by value) as examples
-      from (select variable, value, row_number() over (partition by variable order by value) as rn from viol)
-      where rn <= 20 group by variable)
-select base.variable, base.pos, coalesce(c.invalid_values, 0) as invalid_values,
-       coalesce(e.examples, '{K.NONE_TEXT}') as examples
-from base left join c using (variable) left join e using (variable)
-""")(lambda spark, sf: domain.summarize(all_violations(spark, sf), DOMAIN_VARS))
+with {_VIOL}
+select base.variable, base.pos, coalesce(value, '{K.NONE_TEXT}') as value, coalesce(n, 0) as n
+from base left join viol using (variable)
+""")(lambda spark, sf: domain.report(domain.violations(_vf(spark, sf), _checks(spark, sf)), DOMAIN_VARS))
+
+register("domain_counts", f"""
+with {_VIOL}
+select base.variable, base.pos, count(value) as invalid_values from base left join viol using (variable) group by all
+""")(lambda spark, sf: domain.counts(domain.violations(_vf(spark, sf), _checks(spark, sf)), DOMAIN_VARS))
 
 # ---------------------------------------------------------------- A13 / L5
 _SHAPE_COLS = [R.key, R.district]
@@ -210,30 +207,32 @@ e as (select variable, string_agg(sv, ', ' order by sv) as examples
 select m.variable, m.pos, m.n_signatures, m.most_common, cast(m.total - m.top as bigint) as off_pattern,
        coalesce(e.examples, '') as examples
 from m left join e using (variable)
-""")(lambda spark, sf: profile.shape_profile(_vf(spark, sf, cache=True), _SHAPE_COLS))
+""")(lambda spark, sf: profile.shape_profile(_vf(spark, sf, write=True), _SHAPE_COLS))
 
 # ---------------------------------------------------------------- A14
 def variants_sql(vf_sql: str) -> str:
     return f"""
-with v as (select * from {vf_sql} x where value is not null),
-card as (select variable from v group by variable having count(*) > 1 and count(*) <= {K.VARIANT_MAX_DISTINCT}),
-k as (select variable, pos, value, {O.category_key('value')} as key from v where variable in (select variable from card))
-select variable, pos, key, count(*) as n_variants, string_agg(value, ' | ' order by value) as variants
-from k group by variable, pos, key having count(*) > 1
+with v as (select variable, pos, value, {O.category_key('value')} as key from {vf_sql} x where value is not null),
+k as (select variable, key, count(*) as n_variants from v group by variable, key having count(*) > 1)
+select variable, pos, key, n_variants, value from v join k using (variable, key)
 """
 
 
 _VARIANTS_SQL = variants_sql(VF)
 register("category_variants", _VARIANTS_SQL)(
-    lambda spark, sf: variants.variant_groups(_vf(spark, sf)))
+    lambda spark, sf: variants.variant_groups(_vf(spark, sf, write=True)))
 
 register("category_variant_summary", f"""
 with g as ({_VARIANTS_SQL}),
-top as (select * from (select *, row_number() over (partition by variable order by key) as rn from g) where rn <= 5)
-select g.variable, g.pos, count(*) as groups,
-       (select string_agg(variants, '; ' order by key) from top where top.variable = g.variable) as examples
-from g group by g.variable, g.pos
-""")(lambda spark, sf: variants.variant_summary(variants.variant_groups(_vf(spark, sf, cache=True))))
+k as (select variable, pos, key, row_number() over (partition by variable order by key) as rn
+      from (select distinct variable, pos, key from g)),
+s as (select variable, key, string_agg(value, ' | ' order by value) as s
+      from (select g.*, row_number() over (partition by variable, key order by value) as vn from g) join k using (variable, key)
+      where rn <= 5 and vn <= 5 group by variable, key)
+select k.variable, k.pos, count(*) as groups,
+       (select string_agg(s, '; ' order by key) from s where s.variable = k.variable) as examples
+from k group by k.variable, k.pos
+""")(lambda spark, sf: variants.variant_summary(variants.variant_groups(_vf(spark, sf, write=True))))
 
 # ---------------------------------------------------------------- L4
 register("top_examples", f"""
@@ -268,7 +267,10 @@ register("transformation_log", OC.transformation_log_sql())(lambda spark, sf: cl
 
 register("fuzzy_pairs", O.fuzzy_pairs_sql())(
     lambda spark, sf: dedupe.fuzzy_pairs(dirty_registry(spark, sf)))
-register("fuzzy_pairs_count", f"select count(*) as pairs from ({O.fuzzy_pairs_sql()})")(
+register("fuzzy_members", O.fuzzy_members_sql())(
+    lambda spark, sf: dedupe.fuzzy_members(dirty_registry(spark, sf)))
+_COUNT_SQL = "select cast(coalesce(sum(pairs), 0) as bigint) as pairs from ({})"
+register("fuzzy_pairs_count", _COUNT_SQL.format(O.fuzzy_pairs_sql()))(
     lambda spark, sf: dedupe.fuzzy_pairs_count(dirty_registry(spark, sf)))
 register("fuzzy_lev_prefilter", O.lev_prefilter_sql())(
     lambda spark, sf: dedupe.lev_prefilter_pairs(dirty_registry(spark, sf)))
@@ -278,10 +280,9 @@ register("fuzzy_pairs_clean", O.fuzzy_pairs_sql(src=f"({OC.clean_all_sql()})"))(
 
 def q_token_sort_similarity(spark, sf):
     """Per row: similarity between the record text before and after cleaning."""
-    raw = dirty_registry(spark, sf)
-    c = cleaning(spark, sf)
-    both = raw.select(R.key, dedupe.record_text(R.name, R.address).alias("t0"),
-                      *[c.state.cur[x].alias(f"_{x}") for x in (R.name, R.address)])
+    both = cleaning(spark, sf).staged.select(
+        F.col(clean.raw(R.key)).alias(R.key), dedupe.record_text(clean.raw(R.name), clean.raw(R.address)).alias("t0"),
+        *[F.col(x).alias(f"_{x}") for x in (R.name, R.address)])
     both = both.where(F.col("t0").isNotNull())
     both = both.select(R.key, tx.token_sort("t0").alias("a"),
                        tx.token_sort(dedupe.record_text(F.col(f"_{R.name}"), F.col(f"_{R.address}"))).alias("b"))
@@ -318,23 +319,21 @@ _DUP_D = (f"select cast(coalesce(sum(n - 1), 0) as bigint) as duplicates from "
 _FINDINGS_SQL = f"""
 with miss as ({ORACLE['profile_missing']}),
 dup as ({_DUP_D}),
-dom as ({ORACLE['domain_summary']}),
+dom as ({ORACLE['domain_counts']}),
 fmt as ({ORACLE['profile_format']}),
 shp as ({ORACLE['shape_profile']}),
 vs as ({ORACLE['category_variant_summary']}),
 f as (
-  select 1 as sec, 0 as pos, 0 as sub, 'Missing values in: ' || string_agg(variable, ', ' order by missing desc, pos) as finding
+  select 1 as sec, 0 as pos, 0 as sub, 'null_cells ' || string_agg(variable, ',' order by missing desc, pos) as finding
     from miss where missing > 0 having count(*) > 0
-  union all select 2, 0, 0, duplicates || ' exact duplicate rows' from dup where duplicates > 0
-  union all select 3, pos, 0, variable || ': ' || invalid_values || ' out-of-domain values' from dom where invalid_values > 0
-  union all select 4, pos, 0, variable || ': possible text format problems' from fmt where edge_ws > 0 or multi_ws > 0
-  union all select 4, pos, 1, variable || ': letters in a numeric field' from fmt where coalesce(letters, 0) > 0
-  union all select 4, pos, 2, variable || ': ' || corrupt || ' values with corrupt characters (possible encoding problem)'
-    from fmt where corrupt > 0
-  union all select 5, pos, 0, variable || ': ' || n_signatures || ' distinct format patterns (' || off_pattern ||
-    ' values off the most common)' from shp where n_signatures > 1
-  union all select 6, pos, 0, variable || ': ' || groups || ' categories with possible spelling variants' from vs),
-f2 as (select * from f union all select 9, 0, 0, 'No evident problems with the current rules' where (select count(*) from f) = 0)
+  union all select 2, 0, 0, 'repeated_rows=' || duplicates from dup where duplicates > 0
+  union all select 3, pos, 0, 'outside_domain ' || variable || '=' || invalid_values from dom where invalid_values > 0
+  union all select 4, pos, 0, 'stray_whitespace ' || variable || '=' || (edge_ws + multi_ws) from fmt where edge_ws > 0 or multi_ws > 0
+  union all select 4, pos, 1, 'letters_among_digits ' || variable || '=' || letters from fmt where letters > 0
+  union all select 4, pos, 2, 'replacement_characters ' || variable || '=' || corrupt from fmt where corrupt > 0
+  union all select 5, pos, 0, 'shapes ' || variable || '=' || n_signatures || ' off_main=' || off_pattern from shp where n_signatures > 1
+  union all select 6, pos, 0, 'spelling_groups ' || variable || '=' || groups from vs),
+f2 as (select * from f union all select 9, 0, 0, 'clean' where (select count(*) from f) = 0)
 select cast(row_number() over (order by sec, pos, sub, finding) as integer) as ordinal, finding from f2
 """
 register("findings", _FINDINGS_SQL)(lambda spark, sf: diag_of(spark, sf).findings())
@@ -343,7 +342,8 @@ register("tidy_report", f"""
 with miss as ({ORACLE['profile_missing']}),
 fmt as ({ORACLE['profile_format']}),
 shp as ({ORACLE['shape_profile']}),
-dom as ({ORACLE['domain_summary']}),
+dom as ({ORACLE['domain_counts']}),
+dv as ({ORACLE['domain_summary']}),
 vs as ({ORACLE['category_variant_summary']}),
 fin as ({_FINDINGS_SQL})
 select 'a_shape' as section, '' as variable, metric, cast(value as varchar) as value from ({ORACLE['profile_shape']})
@@ -353,7 +353,7 @@ union all select 'c_missing', variable, 'missing_pct', cast(missing_pct as varch
 union all select 'd_distinct', variable, 'distinct_values', cast(distinct_values as varchar) from ({ORACLE['profile_distinct']})
 union all select 'e_duplicates', '', 'duplicates', cast(duplicates as varchar) from ({_DUP_D})
 union all select 'f_domain', variable, 'invalid_values', cast(invalid_values as varchar) from dom
-union all select 'f_domain', variable, 'examples', examples from dom
+union all select 'f_domain', variable, 'invalid_value', value from dv where n > 0
 union all select 'g_format', variable, 'edge_ws', cast(edge_ws as varchar) from fmt
 union all select 'g_format', variable, 'multi_ws', cast(multi_ws as varchar) from fmt
 union all select 'g_format', variable, 'corrupt', cast(corrupt as varchar) from fmt
@@ -379,7 +379,7 @@ m as (select sum(missing) as total, count(*) filter (where missing > 0) as with_
 r as (select count(*) as rows from {src} t),
 fmt as (select variable, sum(case when value is not null and ({O.edge_ws('value')} or {O.multi_ws('value')}
                or contains(value, '{K.CORRUPT_CHAR}')) then n else 0 end) as bad from v group by variable),
-vg as (select count(*) as groups from ({variants_sql(vf)}) g)
+vg as (select count(distinct (variable, key)) as groups from ({variants_sql(vf)}) g)
 select 1 as ord, 'rows' as metric, cast(rows as varchar) as value from r
 union all select 2, 'columns', '{k}'
 union all select 3, 'missing cells', cast(total as varchar) || ' (' ||
@@ -397,8 +397,8 @@ union all select 10, 'errors corrected', cast(errors as varchar) from ({errors_s
 
 _CLEAN_SRC = f"({OC.clean_all_sql()})"
 register("quality_before_after", f"""
-with b as ({_metrics_sql(D, f"select count(*) as pairs from ({O.fuzzy_pairs_sql()})", "select 0 as errors")}),
-a as ({_metrics_sql(_CLEAN_SRC, f"select count(*) as pairs from ({O.fuzzy_pairs_sql(src=_CLEAN_SRC)})",
+with b as ({_metrics_sql(D, _COUNT_SQL.format(O.fuzzy_pairs_sql()), "select 0 as errors")}),
+a as ({_metrics_sql(_CLEAN_SRC, _COUNT_SQL.format(O.fuzzy_pairs_sql(src=_CLEAN_SRC)),
                     f"select cast(sum(affected) as bigint) as errors from ({OC.transformation_log_sql()})")})
 select cast(b.ord as integer) as ord, b.metric, b.value as before, a.value as after from b join a using (ord)
 """)
@@ -428,22 +428,29 @@ cnt as (select count(*) filter (where {R.phone} is not null and not ({O.phone_ok
                count(*) filter (where coalesce({O.zone(R.municipality)}, false)) as zones,
                count(*) filter (where upper({R.department}) in ({_AL})) as alias_left,
                count(*) filter (where coalesce({O.zero_typo(R.supervisor)}, false)) as typo_left from c),
-outside as (select distinct upper({R.department}) as value from c where {R.department} is not null
-            and upper({R.department}) not in (select r_name from region)),
-o as (select count(*) as n, (select string_agg(value, ', ' order by value) from (select value from outside order by value limit 5)) as ex from outside),
-vg as (select count(*) as groups from ({variants_sql(O.vf(src=_CLEAN_SRC))}) g)
-select 1 as ord, 'no exact duplicate rows' as "check", d = 0 as ok, 'found: ' || d as detail from dup
-union all select 2, 'no leading or trailing whitespace in text', e = 0, 'cells with edge whitespace: ' || e from edge
-union all select 3, 'phones have 8 digits or the placeholder', bad_phone = 0, 'invalid remaining: ' || bad_phone from cnt
-union all select 4, 'departments inside the catalogue', n = 0, 'outside catalogue: ' || n || coalesce(' (' || ex || ')', '') from o
-union all select 5, 'no zone values left in municipality', zones = 0, 'remaining: ' || zones from cnt
-union all select 6, 'every column is text', true, 'other type: none'
-union all select 7, 'no category spelling variants', groups = 0, 'variant groups: ' || groups from vg
-union all select 8, 'no alias or letter-zero typo left', alias_left = 0 and typo_left = 0,
-  'alias present: ' || cast(alias_left > 0 as varchar) || '; typo present: ' || cast(typo_left > 0 as varchar) from cnt
-""")(lambda spark, sf: diagnosis.validate(cleaning(spark, sf).cleaned, R, department_catalog(spark, sf),
+outside as (select upper({R.department}) as value, count(*) as n from c where {R.department} is not null
+            and upper({R.department}) not in (select r_name from region) group by all),
+o as (select count(*) as n from outside),
+vk as (select distinct variable, pos, key from ({variants_sql(O.vf(src=_CLEAN_SRC))}) g),
+vg as (select count(*) as groups, coalesce((select string_agg(variable, ',' order by pos) from (select distinct variable, pos from vk)), '') as names from vk)
+select 1 as ord, 'unique_rows' as "check", d = 0 as ok, 'repeated=' || d as detail from dup
+union all select 2, 'no_edge_whitespace', e = 0, 'cells=' || e from edge
+union all select 3, 'phone_digits_or_placeholder', bad_phone = 0, 'other=' || bad_phone from cnt
+union all select 4, 'department_in_catalogue', n = 0, 'outside=' || n from o
+union all select 5, 'no_zone_as_municipality', zones = 0, 'zones=' || zones from cnt
+union all select 6, 'text_columns_only', true, 'other='
+union all select 7, 'single_spelling', groups = 0, 'groups=' || groups || ' columns=' || names from vg
+union all select 8, 'no_alias_or_typo', alias_left = 0 and typo_left = 0, 'alias=' || alias_left || ' typo=' || typo_left from cnt
+""")(lambda spark, sf: diagnosis.validate(written(cleaning(spark, sf).cleaned, "clean"), R, department_catalog(spark, sf),
                                           aliases=clean.DIRTY_CONFIG.aliases))
 
+# V4 and V7 in full, on the table as it comes (the cleaned one has few left)
+register("validation_values", f"""
+select 4 as ord, '{R.department}' as variable, upper({R.department}) as value, count(*) as n from {D} t
+where {R.department} is not null and upper({R.department}) not in (select r_name from region) group by all
+union all select 7, variable, value, n_variants from ({_VARIANTS_SQL})
+""")(lambda spark, sf: diagnosis.validation_values(dirty_registry(spark, sf), R, department_catalog(spark, sf)))
+
 # ---------------------------------------------------------------- S1-S6, P1-P4, K3, U1, K4, P5, A16
 
 EXPORT_HEADER = [("CODIGO", R.key), ("", None), ("DISTRITO", R.district), ("DEPARTAMENTO", R.department),
@@ -453,15 +460,12 @@ EXPORT_HEADER = [("CODIGO", R.key), ("", None), ("DISTRITO", R.district), ("DEPA
 _REG = {c: h for h, c in EXPORT_HEADER if c}
 
 
-def landing_of(spark, sf) -> DataFrame:
-    """The raw export files Spark derives from the registry, written once to
-    the shared folder (like files landing from the download step)."""
-    d = dirty_registry(spark, sf)
+def landing_of(spark, sf) -> ING.Landing:
+    """The raw export files Spark derives from the registry, written to the
+    shared folder (like files landing from the download step) and scanned."""
     path = scratch_dir(spark, "landing")
-    # one landing file per Parquet file, as separate files would arrive
-    (LND.export_files(d, EXPORT_HEADER, LND.file_group(F.col(R.department)), R.key)
-     .write.option("maxRecordsPerFile", 1).parquet(path))
-    return spark.read.parquet(path)
+    LND.write_export(dirty_registry(spark, sf), path, EXPORT_HEADER, LND.file_group(F.col(R.department)), R.key)
+    return LND.as_landing(spark, path)
 
 
 def ingested(spark, sf) -> ING.Ingested:
@@ -472,7 +476,7 @@ _FILES_SQL = f"""
 with g as (select *, regexp_replace({R.department}, ' CAPITAL$', '') as grp from {D} t),
 sz as (select grp, cast(greatest(1, ceil(count(*) / {LND.ROWS_PER_FILE})) as integer) as nc from g group by grp),
 r as (select g.*, 'export_' || replace(grp, ' ', '_') || '_' ||
-        lpad(cast(coalesce(cast(substr({R.key}, 7, 4) as integer) % nc, 0) as varchar), 3, '0') || '.csv' as origin,
+        lpad(cast(('0x' || substr(md5(coalesce({R.key}, '')), 1, 8))::bigint % nc as varchar), 3, '0') || '.csv' as origin,
         coalesce({O.key_ok(O.strip(R.key))}, false) as valid
       from g join sz using (grp))
 """
@@ -506,19 +510,68 @@ from r group by origin
 """)(lambda spark, sf: ING.union_ledger(ingested(spark, sf)))
 
 
-def q_file_review(spark, sf):
-    united = ING.strict_union(ingested(spark, sf))
-    return ING.file_review(united, "origen", _REG[R.department], _REG[R.municipality], len(_REG))
+def _united(spark, sf) -> DataFrame:
+    return ING.strict_union(ingested(spark, sf))
 
 
 register("file_review", f"""{_FILES_SQL}
 select origin as file, cast(count(*) as bigint) as rows, cast({len(_REG)} as bigint) as columns,
-  string_agg(distinct {O.strip(R.department)}, ' | ' order by {O.strip(R.department)}) as departments,
-  cast(count(distinct {O.strip(R.municipality)}) as bigint) as municipality_count,
-  string_agg(distinct {O.strip(R.municipality)}, ' | ' order by {O.strip(R.municipality)}) as municipalities,
+  count(distinct {O.strip(R.department)}) as departments, count(distinct {O.strip(R.municipality)}) as municipalities,
   case when count(distinct {O.strip(R.department)}) = 1 then 'Correcto' else 'Revisar' end as status
 from r where valid group by origin
-""")(q_file_review)
+""")(lambda spark, sf: ING.file_review(_united(spark, sf), "origen", _REG[R.department], _REG[R.municipality], len(_REG)))
+
+register("file_values", f"""{_FILES_SQL}
+select origin as file, '{_REG[R.department]}' as variable, {O.strip(R.department)} as value, count(*) as n
+from r where valid and {R.department} is not null group by all
+union all
+select origin, '{_REG[R.municipality]}', {O.strip(R.municipality)}, count(*) from r where valid and {R.municipality} is not null group by all
+""")(lambda spark, sf: ING.file_values(_united(spark, sf), "origen", _REG[R.department], _REG[R.municipality]))
+
+# ---------------------------------------------------------------- S1, K1, K2, K8
+
+
+def q_csv_round_trip(spark, sf):
+    """Verified CSV export of the registry, read back with every column a string."""
+    path = scratch_dir(spark, "registry-csv")
+    export_verified(dirty_registry(spark, sf), path, fmt="csv")
+    return read_registry_csv(spark, path)
+
+
+register("csv_round_trip", f"select * from {D} t")(q_csv_round_trip)
+
+
+def q_candidate_export(spark, sf):
+    """The candidate-duplicates table as a verified export."""
+    path = scratch_dir(spark, "candidates")
+    export_verified(dedupe.fuzzy_pairs(dirty_registry(spark, sf)), path, fmt="parquet")
+    return spark.read.parquet(path)
+
+
+register("candidate_export", O.fuzzy_pairs_sql())(q_candidate_export)
+
+# ---------------------------------------------------------------- the whole flow on the 17 + 1 column layout
+_R18 = Roles.registry()
+_HEADER18 = [("CODIGO", "CODIGO"), ("", None), *((c, c) for c in REGISTRY_COLUMNS[1:]), ("", None), ("", None)]
+_CLEAN18 = clean.CleanConfig(roles=_R18, aliases=clean.DIRTY_CONFIG.aliases, no_issue_columns=clean.NO_ISSUE_REGISTRY)
+_D18 = f"""(with g as (select *, regexp_replace(DEPARTAMENTO, ' CAPITAL$', '') as grp
+   from ({REGISTRY_SQL.format(dirty=dirty_sql_for_duckdb())}) t),
+ sz as (select grp, cast(greatest(1, ceil(count(*) / {LND.ROWS_PER_FILE})) as integer) as nc from g group by grp)
+ select {', '.join(REGISTRY_COLUMNS)}, 'export_' || replace(grp, ' ', '_') || '_' ||
+   lpad(cast(('0x' || substr(md5(coalesce(CODIGO, '')), 1, 8))::bigint % nc as varchar), 3, '0') || '.csv' as origen
+ from g join sz using (grp) where coalesce({O.key_ok(O.strip('CODIGO'))}, false))"""
+
+
+def q_registry_flow(spark, sf):
+    """``process_registry`` on derived export files; its transformation log."""
+    base = scratch_dir(spark, "registry-flow")
+    LND.write_export(full_registry(spark, sf), f"{base}/landing", _HEADER18, LND.file_group(F.col("DEPARTAMENTO")), "CODIGO")
+    config = registry_flow.RegistryConfig(roles=_R18, clean=_CLEAN18, department_catalog=department_catalog(spark, sf))
+    out = registry_flow.process_registry(spark, LND.as_landing(spark, f"{base}/landing"), f"{base}/out", config)
+    return out["transformation_log"]
+
+
+register("registry_flow", OC.transformation_log_sql(_CLEAN18, [*REGISTRY_COLUMNS, "origen"], _D18))(q_registry_flow)
 
 register("filter_key_pattern", f"""
 select * from {D} t where coalesce({O.key_ok(O.strip(R.key))}, false)

@@ -1,21 +1,21 @@
-"""Diagnosis, quality report and validations over one value-frequency frame.
+"""Diagnosis, quality report and validations.
 
-``Diagnosis`` derives every section from a single value-frequency frame of
-the input; sections are small aggregates of it, so one plan re-uses the
-same shuffle (Spark's exchange reuse) and, when ``persist=True``, one scan.
-All reports are long, string-valued tables that union cleanly.
+``Diagnosis`` takes row counts (missing, format) from one aggregate over the
+table and everything about distinct values from one value-frequency frame,
+which is written once to the shared folder.  All reports are long,
+string-valued tables that union cleanly; nothing in them is cut: a section
+that lists values has one row per value.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
 from dqspark.operators import domain, profile, variants
+from dqspark.session import written
 from dqspark.sources.tables import Roles
 
 
@@ -37,12 +37,7 @@ class Diagnosis:
         self.df = df
         self.roles = roles
         self.columns = df.columns
-        self.vf = profile.value_freq(df)
-        if persist:
-            # every section reads this frame; keep it instead of re-scanning
-            # (filters on ``variable`` would otherwise be pushed below the
-            # aggregate and defeat exchange reuse)
-            self.vf = self.vf.persist(StorageLevel.MEMORY_AND_DISK)
+        self.persist = persist
         self.department_catalog = department_catalog
         self.sector_catalog = sector_catalog
         self.level_catalog = level_catalog
@@ -50,10 +45,13 @@ class Diagnosis:
         self.shape_columns = [c for c in (shape_columns or [r.key, r.district]) if c in self.columns]
         self.text_columns = profile.string_columns(df)
 
-    def close(self) -> None:
-        """Release the persisted frequency frame."""
-        if self.vf.is_cached:
-            self.vf.unpersist()
+    @property
+    def vf(self) -> DataFrame:
+        """The value-frequency frame: every section that needs it reads one written table."""
+        def build():
+            vf = profile.value_freq(self.df)
+            return written(vf, "value-freq") if self.persist else vf
+        return self._memo("vf", build)
 
     # ------------------------------------------------------------ sections
     # Each section is built once per Diagnosis and the same DataFrame object
@@ -69,23 +67,16 @@ class Diagnosis:
     def shape(self):
         return self._memo("shape", lambda: profile.shape(self.df))
 
-    def types(self):
-        return self._memo("types", lambda: profile.column_types(self.df.sparkSession, self.df))
-
     def stats(self):
-        """Missing, distinct and format counts of all columns: one aggregate."""
-        return self._memo("stats", lambda: profile.column_stats(
-            self.vf, phone_column=self.roles.phone, text_columns=self.text_columns))
+        """Type, missing and format counts of all columns: one aggregate."""
+        return self._memo("stats", lambda: profile.column_stats(self.df, self.roles.phone))
 
     def missing(self):
         return self._memo("missing", lambda: self.stats().select(
-            "variable", "pos", "missing",
-            F.round(F.col("missing").cast("double") * 100 / F.col("rows"), 2).alias("missing_pct"))
-            .orderBy(F.desc("missing"), "pos"))
+            "variable", "pos", "missing", profile.missing_pct()).orderBy(F.desc("missing"), "pos"))
 
     def distinct(self):
-        return self._memo("distinct", lambda: self.stats().select("variable", "pos", "distinct_values")
-                          .orderBy("pos"))
+        return self._memo("distinct", lambda: profile.distinct_counts(self.vf))
 
     def duplicates(self):
         return self._memo("duplicates", lambda: profile.duplicate_count(self.df))
@@ -111,25 +102,18 @@ class Diagnosis:
     def domain_variables(self) -> list[str]:
         return [c.column for c in self.checks()]
 
-    def domain_summary(self):
-        return self._memo("domain_summary",
-                          lambda: domain.summarize(self.violations(), self.domain_variables()))
+    def domain_counts(self):
+        return self._memo("domain_counts", lambda: domain.counts(self.violations(), self.domain_variables()))
 
     def format_issues(self):
-        def build():
-            v = self.vf.where(F.col("value").isNotNull() & F.col("variable").isin(self.text_columns))
-            ex = profile.first_k_values(v.where(tx.has_corrupt_char("value")), "variable", "value",
-                                        out="corrupt_examples")
-            return (self.stats().where("is_text")
-                    .select("variable", "pos", "edge_ws", "multi_ws", "corrupt", "letters")
-                    .join(ex, "variable", "left")
-                    .withColumn("corrupt_examples", F.coalesce("corrupt_examples", F.lit("")))
-                    .orderBy("pos"))
-        return self._memo("format", build)
+        return self._memo("format", lambda: profile.format_issues(self.df, stats=self.stats()))
 
     def shape_profile(self):
         return self._memo("shape_profile", lambda: profile.shape_profile(self.vf, self.shape_columns))
 
+    def variant_keys(self):
+        return self._memo("variant_keys", lambda: variants.variant_keys(self.vf, columns=self.text_columns))
+
     def variant_groups(self):
         return self._memo("variant_groups", lambda: variants.variant_groups(self.vf, columns=self.text_columns))
 
@@ -138,52 +122,38 @@ class Diagnosis:
 
     # ------------------------------------------------------------ findings
     def findings(self) -> DataFrame:
-        """``(ordinal, finding)``: ordered human-readable findings (A15)."""
+        """``(ordinal, finding)``: what the sections found, as ``code column=count`` lines in order (A15)."""
         spark = self.df.sparkSession
-        miss = self.missing().where(F.col("missing") > 0)
-        parts = [miss.agg(
-            F.lit(1).alias("sec"), F.lit(0).alias("pos"), F.lit(0).alias("sub"),
-            F.concat(F.lit("Missing values in: "), F.array_join(F.transform(
-                F.array_sort(F.collect_list(F.struct((-F.col("missing")).alias("m"), F.col("pos").alias("p"),
-                                                     F.col("variable").alias("v")))),
-                lambda s: s["v"]), ", ")).alias("finding"),
-            F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0).drop("_n")]
-        parts.append(self.duplicates().where(F.col("duplicates") > 0).select(
-            F.lit(2).alias("sec"), F.lit(0).alias("pos"), F.lit(0).alias("sub"),
-            F.concat(_s("duplicates"), F.lit(" exact duplicate rows")).alias("finding")))
-        parts.append(self.domain_summary().where(F.col("invalid_values") > 0).select(
-            F.lit(3).alias("sec"), "pos", F.lit(0).alias("sub"),
-            F.concat(F.col("variable"), F.lit(": "), _s("invalid_values"), F.lit(" out-of-domain values"))
-            .alias("finding")))
-        fmt = self.format_issues()
-        parts.append(fmt.where((F.col("edge_ws") > 0) | (F.col("multi_ws") > 0)).select(
-            F.lit(4).alias("sec"), "pos", F.lit(0).alias("sub"),
-            F.concat(F.col("variable"), F.lit(": possible text format problems")).alias("finding")))
-        parts.append(fmt.where(F.coalesce(F.col("letters"), F.lit(0)) > 0).select(
-            F.lit(4).alias("sec"), "pos", F.lit(1).alias("sub"),
-            F.concat(F.col("variable"), F.lit(": letters in a numeric field")).alias("finding")))
-        parts.append(fmt.where(F.col("corrupt") > 0).select(
-            F.lit(4).alias("sec"), "pos", F.lit(2).alias("sub"),
-            F.concat(F.col("variable"), F.lit(": "), _s("corrupt"),
-                     F.lit(" values with corrupt characters (possible encoding problem)")).alias("finding")))
-        parts.append(self.shape_profile().where(F.col("n_signatures") > 1).select(
-            F.lit(5).alias("sec"), "pos", F.lit(0).alias("sub"),
-            F.concat(F.col("variable"), F.lit(": "), _s("n_signatures"), F.lit(" distinct format patterns ("),
-                     _s("off_pattern"), F.lit(" values off the most common)")).alias("finding")))
-        parts.append(self.variant_summary().select(
-            F.lit(6).alias("sec"), "pos", F.lit(0).alias("sub"),
-            F.concat(F.col("variable"), F.lit(": "), _s("groups"),
-                     F.lit(" categories with possible spelling variants")).alias("finding")))
-        allf = _union([p.select(F.col("sec").cast("int").alias("sec"), F.col("pos").cast("int").alias("pos"),
-                                F.col("sub").cast("int").alias("sub"), "finding") for p in parts])
-        # a fixed fallback line when nothing was found; the list is bounded
-        # by a few lines per column, so one ordered collect is cheap
-        none = spark.createDataFrame([(9, 0, 0, "No evident problems with the current rules")],
-                                     "sec int, pos int, sub int, finding string")
-        none = none.where(allf.agg(F.count(F.lit(1))).scalar() == 0)
-        rows = allf.unionByName(none)
-        ordered = rows.agg(F.array_sort(F.collect_list(F.struct("sec", "pos", "sub", "finding"))).alias("a"))
-        return ordered.select(F.posexplode("a").alias("i", "r")).select(
+
+        def line(df, sec, sub, text, pos="pos"):
+            p = F.col(pos) if isinstance(pos, str) else pos
+            return df.select(F.lit(sec).alias("sec"), p.cast("int").alias("pos"), F.lit(sub).alias("sub"),
+                             text.alias("finding"))
+
+        def of(code, count):
+            return F.concat(F.lit(code + " "), F.col("variable"), F.lit("="), _s(count))
+
+        zero = F.lit(0)
+        miss = self.missing().where(F.col("missing") > 0).agg(F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct((-F.col("missing")).alias("m"), "pos", "variable"))),
+            lambda s: s["variable"]), ",").alias("names")).where("names <> ''")
+        fmt, shp = self.format_issues(), self.shape_profile()
+        parts = [
+            line(miss, 1, 0, F.concat(F.lit("null_cells "), F.col("names")), zero),
+            line(self.duplicates().where("duplicates > 0"), 2, 0, F.concat(F.lit("repeated_rows="), _s("duplicates")), zero),
+            line(self.domain_counts().where("invalid_values > 0"), 3, 0, of("outside_domain", "invalid_values")),
+            line(fmt.where("edge_ws > 0 or multi_ws > 0"), 4, 0, of("stray_whitespace", F.col("edge_ws") + F.col("multi_ws"))),
+            line(fmt.where("letters > 0"), 4, 1, of("letters_among_digits", "letters")),
+            line(fmt.where("corrupt > 0"), 4, 2, of("replacement_characters", "corrupt")),
+            line(shp.where("n_signatures > 1"), 5, 0, F.concat(of("shapes", "n_signatures"), F.lit(" off_main="),
+                                                               _s("off_pattern"))),
+            line(self.variant_summary(), 6, 0, of("spelling_groups", "groups")),
+        ]
+        found = _union(parts)
+        # the list is bounded by a few lines per column, so it is put in order as one array
+        ordered = found.agg(F.array_sort(F.collect_list(F.struct("sec", "pos", "sub", "finding"))).alias("a"))
+        nothing = F.array(F.struct(F.lit(9).alias("sec"), zero.alias("pos"), zero.alias("sub"), F.lit("clean").alias("finding")))
+        return ordered.select(F.posexplode(F.when(F.size("a") > 0, F.col("a")).otherwise(nothing)).alias("i", "r")).select(
             (F.col("i") + 1).cast("int").alias("ordinal"), F.col("r.finding").alias("finding"))
 
     # ------------------------------------------------------------ tidy report
@@ -199,13 +169,13 @@ class Diagnosis:
         parts = [
             self.shape().select(F.lit("a_shape").alias("section"), F.lit("").alias("variable"),
                                 F.col("metric"), _s("value").alias("value")),
-            rows(self.types(), "b_types", "variable", [("type", F.col("type"))]),
+            rows(self.stats(), "b_types", "variable", [("type", F.col("type"))]),
             rows(self.missing(), "c_missing", "variable",
                  [("missing", F.col("missing")), ("missing_pct", F.col("missing_pct"))]),
             rows(self.distinct(), "d_distinct", "variable", [("distinct_values", F.col("distinct_values"))]),
             rows(self.duplicates(), "e_duplicates", F.lit(""), [("duplicates", F.col("duplicates"))]),
-            rows(self.domain_summary(), "f_domain", "variable",
-                 [("invalid_values", F.col("invalid_values")), ("examples", F.col("examples"))]),
+            rows(self.domain_counts(), "f_domain", "variable", [("invalid_values", F.col("invalid_values"))]),
+            rows(self.violations(), "f_domain", "variable", [("invalid_value", F.col("value"))]),
         ]
         fmt = self.format_issues()
         fmt_long = rows(fmt, "g_format", "variable",
@@ -229,15 +199,13 @@ class Diagnosis:
         """``(ord, metric, value)`` for the ten quality metrics."""
         spark = self.df.sparkSession
         k = len(self.columns)
-        # rows, missing and format counts all come from the one column-stats
-        # aggregate (every column's multiplicities sum to the row count)
         st = self.stats()
         shp = st.agg(F.coalesce(F.max("rows"), F.lit(0)).cast("bigint").alias("rows"))
         m = st.agg(F.sum("missing").alias("total"), F.count_if(F.col("missing") > 0).alias("with_na"))
         fmt = st.where("is_text").agg(
             F.count_if((F.col("edge_ws") > 0) | (F.col("multi_ws") > 0) | (F.col("corrupt") > 0)).alias("bad"))
-        var = self.variant_groups().agg(F.count(F.lit(1)).alias("groups"))
-        wrong = sum(1 for f in self.df.schema.fields if not isinstance(f.dataType, T.StringType))
+        var = self.variant_keys().agg(F.count(F.lit(1)).alias("groups"))
+        wrong = len(self.columns) - len(self.text_columns)
         pct = F.round(F.col("total").cast("double") * 100 / (F.col("rows") * k), 2)
         parts = [
             shp.select(F.lit(1).alias("ord"), F.lit("rows").alias("metric"), _s("rows").alias("value")),
@@ -277,59 +245,72 @@ def before_after(before: DataFrame, after: DataFrame) -> DataFrame:
     return b.join(a, ["ord", "metric"], "full_outer").orderBy("ord")
 
 
+def _outside(df: DataFrame, roles: Roles, catalog) -> DataFrame:
+    """``(value, n)``: upper-cased departments outside the catalogue."""
+    deps = (df.where(F.col(roles.department).isNotNull()).groupBy(F.upper(roles.department).alias("value"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    if isinstance(catalog, DataFrame):
+        return deps.join(catalog.select(F.col(catalog.columns[0]).alias("value")).distinct(), "value", "left_anti")
+    return deps.where(~F.col("value").isin(list(catalog or K.DEPARTMENTS)))
+
+
 def validate(df: DataFrame, roles: Roles, department_catalog=None, placeholder: str = K.PLACEHOLDER,
-             aliases=K.CAPITAL_ALIAS, k: int = K.EXAMPLES_K) -> DataFrame:
-    """``(ord, check, ok, detail)``: post-conditions V1-V8 on a cleaned frame."""
+             aliases=K.CAPITAL_ALIAS) -> DataFrame:
+    """``(ord, check, ok, detail)``: post-conditions V1-V8 on a cleaned table.
+
+    ``df`` should be a written table: it is read for the counts, for repeated
+    rows and for distinct values.  ``validation_values`` lists the values
+    behind V4 and V7.
+    """
     spark = df.sparkSession
     r = roles
-    diag = Diagnosis(df, roles)
-    vf = diag.vf
-    dup = diag.duplicates()
-    edge = vf.where(F.col("value").isNotNull() & F.col("variable").isin(diag.text_columns)).agg(
-        F.coalesce(F.sum(F.when(tx.has_edge_ws("value"), F.col("n"))), F.lit(0)).cast("bigint").alias("edge"))
+    text = profile.string_columns(df)
+    diag = Diagnosis(df, roles, persist=False)
     ph = F.col(r.phone)
+    edges = [F.count_if(F.coalesce(tx.has_edge_ws(c), F.lit(False))) for c in text]
     counts = df.agg(
+        sum(edges[1:], edges[0]).cast("bigint").alias("edge"),
         F.count_if(ph.isNotNull() & ~(tx.matches_phone(ph) | (ph == placeholder))).alias("bad_phone"),
         F.count_if(F.coalesce(tx.matches_zone(r.municipality), F.lit(False))).alias("zones"),
         F.count_if(F.upper(F.col(r.department)).isin(list(aliases))).alias("alias_left"),
         F.count_if(F.coalesce(tx.has_zero_typo(r.supervisor), F.lit(False))).alias("typo_left"))
-    deps = (vf.where((F.col("variable") == r.department) & F.col("value").isNotNull())
-            .select(F.upper("value").alias("value")).distinct())
-    if isinstance(department_catalog, DataFrame):
-        cat = department_catalog.select(F.col(department_catalog.columns[0]).alias("value"))
-        outside = deps.join(cat.distinct(), "value", "left_anti")
-    else:
-        outside = deps.where(~F.col("value").isin(list(department_catalog or K.DEPARTMENTS)))
-    out_ex = profile.first_k_values(outside.withColumn("g", F.lit(1)), "g", "value", k=k)
-    out_n = outside.agg(F.count(F.lit(1)).alias("n"))
-    var = diag.variant_groups().agg(F.count(F.lit(1)).alias("groups"))
-    wrong = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.StringType)]
+    outside = _outside(df, r, department_catalog).agg(F.count(F.lit(1)).alias("n"))
+    # one name per column of the table at most
+    var = diag.variant_keys().groupBy("variable", "pos").agg(F.count(F.lit(1)).alias("k")).agg(
+        F.coalesce(F.sum("k"), F.lit(0)).alias("groups"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "variable"))), lambda s: s["variable"]), ",")
+        .alias("names"))
+    wrong = [c for c in df.columns if c not in text]
 
     def row(o, check, ok, detail):
         return (F.lit(o).alias("ord"), F.lit(check).alias("check"), ok.alias("ok"), detail.alias("detail"))
 
+    def eq(name, c):
+        return F.concat(F.lit(name + "="), _s(c))
+
     parts = [
-        dup.select(*row(1, "no exact duplicate rows", F.col("duplicates") == 0,
-                        F.concat(F.lit("found: "), _s("duplicates")))),
-        edge.select(*row(2, "no leading or trailing whitespace in text", F.col("edge") == 0,
-                         F.concat(F.lit("cells with edge whitespace: "), _s("edge")))),
-        counts.select(*row(3, "phones have 8 digits or the placeholder", F.col("bad_phone") == 0,
-                           F.concat(F.lit("invalid remaining: "), _s("bad_phone")))),
-        out_n.withColumn("examples", out_ex.select("examples").scalar()).select(
-            *row(4, "departments inside the catalogue", F.col("n") == 0,
-                 F.concat(F.lit("outside catalogue: "), _s("n"),
-                          F.when(F.col("examples").isNotNull(), F.concat(F.lit(" ("), F.col("examples"), F.lit(")")))
-                          .otherwise(F.lit(""))))),
-        counts.select(*row(5, "no zone values left in municipality", F.col("zones") == 0,
-                           F.concat(F.lit("remaining: "), _s("zones")))),
-        spark.createDataFrame([(6, "every column is text", len(wrong) == 0,
-                                "other type: " + (", ".join(wrong) if wrong else "none"))],
+        diag.duplicates().select(*row(1, "unique_rows", F.col("duplicates") == 0, eq("repeated", "duplicates"))),
+        outside.select(*row(4, "department_in_catalogue", F.col("n") == 0, eq("outside", "n"))),
+        spark.createDataFrame([(6, "text_columns_only", not wrong, "other=" + ",".join(wrong))],
                               "ord int, check string, ok boolean, detail string"),
-        var.select(*row(7, "no category spelling variants", F.col("groups") == 0,
-                        F.concat(F.lit("variant groups: "), _s("groups")))),
-        counts.select(*row(8, "no alias or letter-zero typo left",
-                           (F.col("alias_left") == 0) & (F.col("typo_left") == 0),
-                           F.concat(F.lit("alias present: "), _s(F.col("alias_left") > 0),
-                                    F.lit("; typo present: "), _s(F.col("typo_left") > 0)))),
+        var.select(*row(7, "single_spelling", F.col("groups") == 0,
+                        F.concat(eq("groups", "groups"), F.lit(" columns="), F.col("names")))),
+        counts.select(F.explode(F.array(
+            F.struct(*row(2, "no_edge_whitespace", F.col("edge") == 0, eq("cells", "edge"))),
+            F.struct(*row(3, "phone_digits_or_placeholder", F.col("bad_phone") == 0, eq("other", "bad_phone"))),
+            F.struct(*row(5, "no_zone_as_municipality", F.col("zones") == 0, eq("zones", "zones"))),
+            F.struct(*row(8, "no_alias_or_typo", (F.col("alias_left") == 0) & (F.col("typo_left") == 0),
+                          F.concat(eq("alias", "alias_left"), F.lit(" typo="), _s("typo_left")))))).alias("s")).select("s.*"),
     ]
     return _union([p.select(F.col("ord").cast("int").alias("ord"), "check", "ok", "detail") for p in parts])
+
+
+def validation_values(df: DataFrame, roles: Roles, department_catalog=None) -> DataFrame:
+    """``(ord, variable, value, n)``: every department outside the catalogue
+    (V4, with its rows) and every spelling of a key with several (V7, with the
+    key's spellings)."""
+    vf = profile.value_freq(df, profile.string_columns(df))
+    return (_outside(df, roles, department_catalog)
+            .select(F.lit(4).alias("ord"), F.lit(roles.department).alias("variable"), "value", "n")
+            .unionByName(variants.variant_groups(vf).select(F.lit(7).alias("ord"), "variable", "value",
+                                                            F.col("n_variants").alias("n"))))

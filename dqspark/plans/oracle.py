@@ -1,12 +1,13 @@
 """DuckDB SQL fragments for the correctness oracle.
 
-Regex texts here are RE2 (DuckDB) spellings of the fixed patterns; RE2 has
-no look-around and an ASCII ``\\s``, which agrees with the Java patterns on
-the driver data (it holds no exotic whitespace).
+The fixed patterns are used as they are, but for the look-ahead, which RE2
+lacks; RE2's ASCII ``\\s`` agrees with the Java patterns on the driver data
+(it holds no exotic whitespace).
 """
 
 from __future__ import annotations
 
+from dqspark.functions import constants as K
 from dqspark.sources.tables import DIRTY_COLUMNS, dirty_sql_for_duckdb
 
 D = f"({dirty_sql_for_duckdb()})"
@@ -26,27 +27,27 @@ def collapse(x: str) -> str:
 
 
 def junk(x: str) -> str:
-    return rf"regexp_matches({x}, '^[\s\-_.?*#/\\=]+$')"
+    return f"regexp_matches({x}, '{K.JUNK_PATTERN}')"
 
 
 def junk_ext(x: str) -> str:
-    return rf"regexp_matches({x}, '^[\s\-_.,;:?*#/\\=]+$')"
+    return f"regexp_matches({x}, '{K.JUNK_EXT_PATTERN}')"
 
 
 def has_digit(x: str) -> str:
-    return rf"regexp_matches({x}, '\d')"
+    return f"regexp_matches({x}, '{K.DIGIT_PATTERN}')"
 
 
 def key_ok(x: str) -> str:
-    return rf"regexp_matches({x}, '^\d{{2}}-\d{{2}}-\d{{4}}-\d{{2}}$')"
+    return f"regexp_matches({x}, '{K.KEY_PATTERN}')"
 
 
 def phone_ok(x: str) -> str:
-    return rf"regexp_matches({x}, '^\d{{8}}$')"
+    return f"regexp_matches({x}, '{K.PHONE_PATTERN}')"
 
 
 def zone(x: str) -> str:
-    return rf"regexp_matches({x}, '^ZONA\s+\d+$', 'i')"
+    return f"regexp_matches({x}, '{K.ZONE_PATTERN}', 'i')"
 
 
 def zero_typo(x: str) -> str:
@@ -63,7 +64,7 @@ def edge_ws(x: str) -> str:
 
 
 def multi_ws(x: str) -> str:
-    return rf"regexp_matches({x}, '\s{{2,}}')"
+    return f"regexp_matches({x}, '{K.MULTI_WS_PATTERN}')"
 
 
 def signature(x: str) -> str:
@@ -96,29 +97,38 @@ def lcs(a: str, b: str) -> str:
             f"list_resize([0], length({b}) + 1, 0)), -1)")
 
 
-def fuzzy_pairs_sql(key="code", name="name", address="address", blocks=("department", "municipality"),
-                    diffs=("director", "sector"), t=95, src: str = D) -> str:
-    ctx = [key, name, *diffs]
-    cols = list(dict.fromkeys([*blocks, *diffs, *ctx]))
+def _texts_sql(name, address, gcols, blocks, src) -> str:
     nn = " and ".join(f"{c} is not null" for c in (name, address, *blocks))
     text = f"upper({strip(name)}) || ' | ' || upper({strip(address)})"
-    on = " and ".join([*(f"a.{c} = b.{c}" for c in blocks), *(f"a.{c} is not distinct from b.{c}" for c in diffs)])
-    o1 = "(" + ", ".join(f"a.{c}" for c in ctx) + ")"
-    o2 = "(" + ", ".join(f"b.{c}" for c in ctx) + ")"
-    sel = ", ".join(f"case when {o2} < {o1} then b.{c} else a.{c} end as {c}_1, "
-                    f"case when {o2} < {o1} then a.{c} else b.{c} end as {c}_2" for c in ctx)
+    return f"(select *, {token_sort(text)} as ts from {src} t where {nn})"
+
+
+def fuzzy_pairs_sql(name="name", address="address", blocks=("department", "municipality"),
+                    diffs=("director", "sector"), t=95, src: str = D) -> str:
+    gcols = [*blocks, *diffs]
+    on = " and ".join(f"a.{c} is not distinct from b.{c}" for c in gcols)
     return f"""
-with d as (select {', '.join(cols)}, {token_sort(text)} as ts, row_number() over () as rid from {src} t where {nn}),
-p as (select a.ts as ta, b.ts as tb, {sel} from d a join d b on {on} and a.rid < b.rid),
-u as (select distinct ta, tb from p where ta <> tb),
+with d as (select {', '.join(gcols)}, ts, count(*) as m from {_texts_sql(name, address, gcols, blocks, src)} x group by all),
+p as (select {', '.join(f'a.{c}' for c in gcols)}, a.ts as ta, b.ts as tb, a.m as ma, b.m as mb
+      from d a join d b on {on} and a.ts < b.ts
+      where least(length(a.ts), length(b.ts)) * 200 >= {t} * (length(a.ts) + length(b.ts))),
+u as (select distinct ta, tb from p),
 s as (select ta, tb, {lcs('ta', 'tb')} as lcs from u)
-select round_even(case when p.ta = p.tb then 100.0 else 200.0 * s.lcs / (length(p.ta) + length(p.tb)) end, 1) as similarity,
-       {', '.join(f'{c}_1, {c}_2' for c in ctx)}
-from p left join s on p.ta = s.ta and p.tb = s.tb
-where p.ta = p.tb or 200 * s.lcs >= {t} * (length(p.ta) + length(p.tb))
+select {', '.join(gcols)}, p.ta as text_1, p.tb as text_2,
+       round_even(200.0 * s.lcs / (length(p.ta) + length(p.tb)), 1) as similarity,
+       ma as rows_1, mb as rows_2, ma * mb as pairs
+from p join s on p.ta = s.ta and p.tb = s.tb where 200 * s.lcs >= {t} * (length(p.ta) + length(p.tb))
+union all
+select {', '.join(gcols)}, ts, ts, 100.0, m, m, m * (m - 1) // 2 from d where m > 1
 """
 
 
+def fuzzy_members_sql(key="code", name="name", address="address", blocks=("department", "municipality"),
+                      diffs=("director", "sector"), src: str = D) -> str:
+    gcols = [*blocks, *diffs]
+    return f"select {key}, {', '.join(gcols)}, ts as text from {_texts_sql(name, address, gcols, blocks, src)} x"
+
+
 def lev_prefilter_sql(name="name", address="address", blocks=("department", "municipality"),
                       diffs=("director", "sector"), t=95, src: str = D) -> str:
     gcols = [*blocks, *diffs]

@@ -56,14 +56,14 @@ def chain(cfg: CleanConfig = DIRTY_CONFIG, cols=None, src: str = O.D):
     return ",\n".join(ctes), cols, sweep, fill, text
 
 
-def clean_all_sql(cfg: CleanConfig = DIRTY_CONFIG) -> str:
-    ctes, cols, *_ = chain(cfg)
+def clean_all_sql(cfg: CleanConfig = DIRTY_CONFIG, cols=None, src: str = O.D) -> str:
+    ctes, cols, *_ = chain(cfg, cols, src)
     return f"with {ctes}\nselect {', '.join(cols)} from s8"
 
 
-def transformation_log_sql(cfg: CleanConfig = DIRTY_CONFIG) -> str:
+def transformation_log_sql(cfg: CleanConfig = DIRTY_CONFIG, cols=None, src: str = O.D) -> str:
     r = cfg.roles
-    ctes, cols, sweep, fill, text = chain(cfg)
+    ctes, cols, sweep, fill, text = chain(cfg, cols, src)
     n = lambda m: f"count(*) filter (where {m})"
     counts = ", ".join([
         f"{n('m1_missing')} as n1_missing", f"{n('m1_junk')} as n1_junk",
@@ -82,38 +82,23 @@ def transformation_log_sql(cfg: CleanConfig = DIRTY_CONFIG) -> str:
         for i in range(len(sweep)))
     cols_ = "step, sub, variable, problem, action, affected, justification"
     rows = [
-        f"select 1 as step, 0 as sub, '{r.director}' as variable, n1_missing || ' missing values and ' || n1_junk || "
-        f"' values without real content (only symbols, dashes or ''0'')' as problem, "
-        f"'Replaced by the placeholder ''{PH}''' as action, n1_total as affected, "
-        f"'Dropping the rows would lose data; the placeholder avoids empty cells without inventing information.' "
-        f"as justification from c",
-        f"select 2, 0, '{r.phone}', n2_missing || ' missing values and ' || n2_bad || "
-        f"' values not matching the expected format (8 digits)', 'Replaced by the placeholder ''{PH}''', n2_total, "
-        f"'The phone is not used for analysis; a placeholder keeps the rows.' from c",
-        f"select 3, 0, '{r.supervisor}', n3_typo || ' values with ''0'' typed for ''O'' after a letter, ' || n3_junk || "
-        f"' values made only of symbols; ' || n3_filled || ' missing values filled (not counted)', "
-        f"'Typo ''0'' replaced by ''O''; junk replaced by ''{PH}''', n3_typo + n3_junk, "
-        f"'Isolated cases; no relevant information is lost.' from c",
-        f"select 4, 0, '{r.municipality}', n4_zone || ' values name a city zone (e.g. ''ZONA 1''), not a municipality', "
-        f"'Replaced by ''{cfg.zone_replacement}''', n4_zone, "
-        f"'The municipality is the unit of analysis; only the zone detail is lost.' from c",
-        f"select 5, 0, '{r.department}', n5_alias || ' values use an alias outside the official catalogue', "
-        f"'Mapped to the canonical catalogue value', n5_alias, "
-        f"'The alias names the same entity as the catalogue value.' from c",
-        *[f"select 6, {i}, '{col}', n6_{i} || ' values made only of separators or disguised null tokens. Examples: ' "
-          f"|| coalesce((select ex from e where i = {i}), ''), 'Replaced by the placeholder ''{PH}''', n6_{i}, "
-          f"'These values carry no information within the domain of the variable.' from c where n6_{i} > 0"
-          for i, col in enumerate(sweep)],
-        *[f"select 7, {i}, '{col}', n7_{i} || ' missing values not covered by a specific rule', "
-          f"'Replaced by the placeholder ''{PH}''', n7_{i}, 'Safety net so that no empty cell is left undocumented.' "
-          f"from c where n7_{i} > 0" for i, col in enumerate(fill)],
-        f"select 8, 0, '{r.district}', n_signatures || ' format patterns; ' || off_pattern || "
-        f"' values do not follow the most common one (' || most_common || ')', 'None', 0, "
-        f"'Administrative identifier; format variations do not affect its use.' from dist",
-        *[f"select 9, {i}, '{col}', 'None', '', 0, ''" for i, col in enumerate(cfg.no_issue_columns)],
-        "select 10, 0, 'all text columns', 'Leading/trailing and repeated internal whitespace', "
-        "'strip() and collapse of internal whitespace runs to one space', n10_ws, "
-        "'Standardises text without changing its meaning.' from c",
+        f"select 1 as step, 0 as sub, '{r.director}' as variable, 'missing=' || n1_missing || ' no_content=' || n1_junk "
+        f"as problem, 'set {PH}' as action, n1_total as affected, 'row kept' as justification from c",
+        f"select 2, 0, '{r.phone}', 'missing=' || n2_missing || ' wrong_format=' || n2_bad, 'set {PH}', n2_total, "
+        f"'row kept' from c",
+        f"select 3, 0, '{r.supervisor}', 'typo=' || n3_typo || ' no_content=' || n3_junk || ' filled=' || n3_filled, "
+        f"'0 to O, else set {PH}', n3_typo + n3_junk, 'spelling' from c",
+        f"select 4, 0, '{r.municipality}', 'zone=' || n4_zone, 'set {cfg.zone_replacement}', n4_zone, "
+        f"'unit is the municipality' from c",
+        f"select 5, 0, '{r.department}', 'alias=' || n5_alias, 'set catalogue name', n5_alias, 'same entity' from c",
+        *[f"select 6, {i}, '{col}', 'no_content=' || n6_{i} || ' e.g. ' || coalesce((select ex from e where i = {i}), ''), "
+          f"'set {PH}', n6_{i}, 'no information' from c where n6_{i} > 0" for i, col in enumerate(sweep)],
+        *[f"select 7, {i}, '{col}', 'missing=' || n7_{i}, 'set {PH}', n7_{i}, 'no empty cell' from c where n7_{i} > 0"
+          for i, col in enumerate(fill)],
+        f"select 8, 0, '{r.district}', 'shapes=' || n_signatures || ' off_main=' || off_pattern || ' main=' || most_common, "
+        f"'none', 0, 'identifier' from dist",
+        *[f"select 9, {i}, '{col}', 'none', '', 0, ''" for i, col in enumerate(cfg.no_issue_columns)],
+        "select 10, 0, 'all text columns', 'cells=' || n10_ws, 'strip, one space for runs', n10_ws, 'spacing' from c",
     ]
     dist = (f"dist as (with sg as (select {O.signature(O.strip(r.district))} as signature, count(*) as n "
             f"from s0 where {r.district} is not null group by all) "

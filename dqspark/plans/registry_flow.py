@@ -31,7 +31,7 @@ class RegistryConfig:
     sep: str = ";"
 
     def clean_config(self) -> clean.CleanConfig:
-        return self.clean or clean.CleanConfig(roles=self.roles)
+        return self.clean or clean.CleanConfig(roles=self.roles, no_issue_columns=clean.NO_ISSUE_REGISTRY)
 
     def fuzzy_config(self) -> dedupe.FuzzyConfig:
         r = self.roles
@@ -40,13 +40,16 @@ class RegistryConfig:
             differentiators=tuple(c for c in ("JORNADA", "MODALIDAD", "PLAN", r.director, r.status) if c))
 
 
-def process_registry(spark: SparkSession, landing_dir: str, out_dir: str,
+def process_registry(spark: SparkSession, landing: str | ingest.Landing, out_dir: str,
                      config: RegistryConfig | None = None) -> dict[str, DataFrame]:
+    """Run the flow on a landing folder (or an ``ingest.Landing``); the outputs by name."""
     cfg = config or RegistryConfig()
     r = cfg.roles
     out = out_dir.rstrip("/")
 
-    ing = ingest.ingest(ingest.read_landing(spark, landing_dir), sep=cfg.sep, key=r.key)
+    if isinstance(landing, str):
+        landing = ingest.read_landing(spark, landing)
+    ing = ingest.ingest(landing, sep=cfg.sep, key=r.key)
     ing = ing.materialize(f"{out}/ingest")
     united = ingest.strict_union(ing, origin_column=r.origin)
     united.write.mode("overwrite").parquet(f"{out}/united")
@@ -57,6 +60,7 @@ def process_registry(spark: SparkSession, landing_dir: str, out_dir: str,
         "ingest_ledger": ing.ledger,
         "union_ledger": ingest.union_ledger(ing),
         "file_review": ingest.file_review(united, r.origin, r.department, r.municipality, data_cols),
+        "file_values": ingest.file_values(united, r.origin, r.department, r.municipality),
     }
     before = diagnosis.Diagnosis(united, r, department_catalog=cfg.department_catalog)
     results["diagnosis"] = before.tidy_report()
@@ -68,10 +72,12 @@ def process_registry(spark: SparkSession, landing_dir: str, out_dir: str,
 
     fz = cfg.fuzzy_config()
     results["candidate_duplicates"] = dedupe.fuzzy_pairs(cleaned, fz)
+    results["duplicate_members"] = dedupe.fuzzy_members(cleaned, fz)
     after = diagnosis.Diagnosis(cleaned, r, department_catalog=cfg.department_catalog)
     results["quality_report"] = diagnosis.before_after(
         before.quality_metrics(dedupe.fuzzy_pairs_count(united, fz)),
         after.quality_metrics(dedupe.fuzzy_pairs_count(cleaned, fz), cleaning.errors_corrected()))
+    results["validation_values"] = diagnosis.validation_values(cleaned, r, cfg.department_catalog)
     results["validations"] = diagnosis.validate(cleaned, r, cfg.department_catalog,
                                                 aliases=cfg.clean_config().aliases)
     for name, df in results.items():
@@ -79,6 +85,4 @@ def process_registry(spark: SparkSession, landing_dir: str, out_dir: str,
             df.write.mode("overwrite").parquet(f"{out}/{name}")
         results[name] = spark.read.parquet(f"{out}/{name}") if name != "ingest_ledger" else df
     results["cleaned"] = cleaned
-    before.close()      # every output is written and read back by now
-    after.close()
     return results

@@ -7,10 +7,13 @@ runs and tests, and never override a value the session already has.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Local-run defaults; on a cluster these come from spark-submit / cluster conf.
 _LOCAL_DEFAULTS = {
@@ -26,13 +29,14 @@ _LOCAL_DEFAULTS = {
 
 def get_spark(master: str | None = None, app: str = "dqspark",
               shuffle_partitions: int | None = None,
-              driver_memory: str = "16g") -> SparkSession:
+              driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session for local runs and tests."""
     cores = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.master(master or f"local[{cores}]").appName(app)
     for k, v in _LOCAL_DEFAULTS.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory", driver_memory)
+    if driver_memory:       # else what the deployment sets
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = builder.config("spark.sql.shuffle.partitions",
                              str(shuffle_partitions or int(cores)))
     spark = builder.getOrCreate()
@@ -67,11 +71,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    import uuid
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: later
+    steps start from a scan, and a lost executor costs no recomputation."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders of this session's ``scratch_dir`` calls; frames that
+    read them can't be used afterwards.  Returns their number."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
 
 
 _SHIPPED: set = set()
@@ -91,7 +118,8 @@ def ship_package(spark: SparkSession) -> None:
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="dqspark-pkg-")
+    out_dir = tempfile.mkdtemp(prefix="dqspark-pkg-")      # read by this process alone: addPyFile serves it
+    atexit.register(shutil.rmtree, out_dir, ignore_errors=True)
     zpath = os.path.join(out_dir, "dqspark.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg_dir):

@@ -1,99 +1,83 @@
 """Ingest messy delimited exports into rows with lineage and a per-file ledger.
 
-Input is a landing table with the ``binaryFile`` schema ``(path, content)``
-(``read_landing`` reads one from a folder).  The plan per file is:
-
-* decode: valid UTF-8 containing the marker word is decoded in the JVM;
-  the other files go to an Arrow UDF that tries the candidate encodings in
-  order and accepts the first that decodes and contains the marker (cp1252
-  is not offered by Spark's own charset functions);
-* split into numbered lines (``posexplode``) with Python's line breaks;
-* locate the header: the first line containing all marker words
-  (``min_by`` per file);
-* parse header and body with ``from_csv`` against a positional schema; the
-  per-file header becomes the keys of a ``map`` so files of different
-  widths coexist in one frame;
-* drop unnamed columns, normalise names, keep rows whose key matches the
-  key pattern.
+Files are read as lines, so a file is spread over as many tasks as it has
+splits.  A line's place is (start of its split, running number in its task,
+part of the line): enough to compare places within a file, with no sort.
+
+* encoding: aggregates over a file's lines (all valid UTF-8? any byte that
+  cp1252 leaves undefined? the marker word anywhere?) choose the first of the
+  candidate encodings that decodes the whole file; a file without the marker
+  isn't decoded.  cp1252 is Latin-1 with its C1 range translated;
+* lines are split further at the other line breaks Python knows;
+* in files with a line of odd quotes, lines inside an open quote are joined to
+  their record;
+* the header is the line with all marker words at the smallest place;
+* header and body cells come from one expression for any width; the per-file
+  header becomes the keys of a ``map`` so files of different widths coexist;
+* unnamed columns go, names are normalised, rows are kept whose key matches
+  the key pattern.
 
 A failing file becomes an ``Error: ...`` ledger row; the others go on.
-Everything is a Spark plan: the only driver-side values are the maximum
-header width and, for the strict union, the first file's column list.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
+from dqspark.session import written
 
-# Python str.splitlines() boundaries
-SPLITLINES = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
-QUOTED = '"([^"]|"")*"'
+# Python str.splitlines() boundaries beside \\n, \\r and \\r\\n, at which the text reader splits
+OTHER_BREAKS = "[\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
+UNDEFINED = "[" + "".join(chr(b) for b in range(0x80, 0xA0) if not bytes([b]).decode("cp1252", "ignore")) + "]"
+C1 = "".join(chr(b) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore"))
+C1_CP1252 = "".join(bytes([ord(c)]).decode("cp1252") for c in C1)
+BOM = "\ufeff"
 
-_DECODED = T.StructType([T.StructField("text", T.StringType()), T.StructField("encoding", T.StringType())])
 
-
-def _decode_one(b: bytes, encodings, marker: str):
-    for enc in encodings:
-        try:
-            text = b.decode(enc)
-        except (UnicodeDecodeError, LookupError):
-            continue
-        if marker in text.upper():
-            return text, enc
-    return None, None
-
-
-def make_decoder(encodings=K.ENCODINGS, marker: str = K.ENCODING_MARKER):
-    @F.pandas_udf(_DECODED)
-    def decode(content: pd.Series) -> pd.DataFrame:
-        out = [_decode_one(bytes(b), encodings, marker) if b is not None else (None, None) for b in content]
-        return pd.DataFrame(out, columns=["text", "encoding"])
-    return decode
-
-
-def read_landing(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """All matching files of a folder as ``(path, content)``; error if none."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-          .select("path", "content"))
-    if df.limit(1).count() == 0:
+@dataclass
+class Landing:
+    """Raw files: ``files`` (origin) and ``lines`` (origin, start, nr, raw)."""
+    files: DataFrame
+    lines: DataFrame
+
+
+def read_landing(spark: SparkSession, folder: str, glob: str = "*.csv") -> Landing:
+    """All matching files of a folder; error if none."""
+    found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(folder)
+    # names alone, as the planner lists them: empty files have no lines but a ledger row
+    names = sorted({unquote(f).rpartition("/")[2] for f in found.inputFiles()})
+    if not names:
         raise FileNotFoundError(f"no {glob} files in {folder}; run the export/download step first")
-    return df
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    lines = found.select(name.alias("origin"), F.col("_metadata.file_block_start").alias("start"),
+                         F.monotonically_increasing_id().alias("nr"), F.col("value").cast("binary").alias("raw"))
+    return Landing(spark.createDataFrame([(n,) for n in names], "origin string"), lines)
 
 
 def _odd_quotes(line: Column) -> Column:
-    return (F.size(F.split(line, '"')) - 1) % 2 == 1
-
+    return (F.length(line) - F.length(F.replace(line, F.lit('"')))) % 2 == 1
 
-def join_quoted_lines(lines: Column) -> Column:
-    """Re-join physical lines that sit inside an open quote into one record
-    (joined with ``\\n``), so quoted cells may span lines.  Only files with an
-    unbalanced line pay for the ``aggregate``; the others pass through."""
-    empty = F.array().cast("array<string>")
 
-    def step(acc, line):
-        opened = acc["o"]
-        last = F.element_at(acc["a"], -1)
-        glued = F.concat(F.slice(acc["a"], 1, F.size(acc["a"]) - 1),
-                         F.array(F.concat(last, F.lit("\n"), line)))
-        return F.when(opened, F.struct(glued.alias("a"), (opened != _odd_quotes(line)).alias("o"))) \
-            .otherwise(F.struct(F.concat(acc["a"], F.array(line)).alias("a"), _odd_quotes(line).alias("o")))
+def cells(line: Column | str, sep: str = ";") -> Column:
+    """Cells of a delimited line as an array; quotes respected and removed, empty cells null."""
+    if sep in "\\^$.|?*+()[]{}":
+        raise ValueError("the separator must be a plain character")
+    line = F.col(line) if isinstance(line, str) else line
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(f'{sep}(?:"(?:[^"]++|"")*+")?[^{sep}]*'), F.lit(0))
 
-    merged = F.aggregate(lines, F.struct(empty.alias("a"), F.lit(False).alias("o")), step, lambda acc: acc["a"])
-    return F.when(F.exists(lines, _odd_quotes), merged).otherwise(lines)
-
-
-def field_count(line: Column, sep: str = ";") -> Column:
-    """Number of fields of a delimited line, quotes respected."""
-    return F.size(F.split(F.regexp_replace(line, QUOTED, "Q"), sep, -1))
+    def clean(cell: Column) -> Column:
+        body = F.substring(cell, 2, 1 << 30)
+        quoted = body.startswith('"') & body.endswith('"') & (F.length(body) >= 2)
+        inner = F.replace(body.substr(F.lit(2), F.length(body) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(quoted, inner).otherwise(body), F.lit(""))
+    return F.transform(found, clean)
 
 
 def normalize_name(c: Column) -> Column:
@@ -103,10 +87,9 @@ def normalize_name(c: Column) -> Column:
 
 @dataclass
 class Ingested:
-    rows: DataFrame     # (origin, ln, data map<string,string>) of kept rows of good files
+    rows: DataFrame     # (origin, data map<string,string>) of kept rows of good files
     ledger: DataFrame   # one row per file
     columns: DataFrame  # (origin, columns array<string>) final columns of good files
-    lines: DataFrame | None = None
 
     def materialize(self, folder: str) -> "Ingested":
         """Write rows, ledger and column lists once (Parquet) and read them
@@ -114,108 +97,118 @@ class Ingested:
         spark = self.rows.sparkSession
         for name in ("rows", "ledger", "columns"):
             getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
-        if self.lines is not None and self.lines.is_cached:
-            self.lines.unpersist()
         return Ingested(*(spark.read.parquet(f"{folder}/{n}") for n in ("rows", "ledger", "columns")))
 
 
-def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
-           markers=K.HEADER_MARKERS, required=K.REQUIRED_HEADERS,
-           encodings=K.ENCODINGS, marker: str = K.ENCODING_MARKER,
-           persist_lines: bool = True) -> Ingested:
-    decode = make_decoder(encodings, marker)
-    # Native first test: valid UTF-8 that contains the marker is what the
-    # first (UTF-8) candidate would accept, so the JVM decodes it; only the
-    # other files' bytes go to the Python decoder (it gets null otherwise).
-    as_text = F.col("content").cast("string")
-    if encodings and encodings[0] in ("utf-8-sig", "utf-8"):
-        native = F.coalesce(F.is_valid_utf8(as_text) & F.upper(as_text).contains(marker), F.lit(False))
-        native_text = F.regexp_replace(as_text, "^\ufeff", "") if encodings[0] == "utf-8-sig" else as_text
-    else:
-        native, native_text = F.lit(False), F.lit(None).cast("string")
-    py = decode(F.when(~native, F.col("content")))
-    files = landing.select(
-        F.regexp_extract("path", "([^/]*)$", 1).alias("origin"),
-        F.when(native, F.struct(native_text.alias("text"), F.lit(encodings[0]).alias("encoding")))
-        .otherwise(py).alias("d"))
-    # a file's lines stay in its row: the header is found in-row, so lines
-    # are never shuffled or joined back to a per-file header table
-    def is_header(line: Column) -> Column:
-        cond = F.lit(True)
-        for m in markers:
-            cond = cond & F.upper(line).contains(m)
-        return cond
-
-    arr = join_quoted_lines(F.split("d.text", SPLITLINES))
-    files = files.select(
-        "origin", F.col("d.encoding").alias("encoding"), F.col("d.text").isNotNull().alias("decoded"),
-        arr.alias("lines"))
-    files = files.withColumn("h", (F.array_position(F.transform("lines", is_header), True) - 1).cast("int"))
-    files = (files.withColumn("h", F.when(F.col("h") >= 0, F.col("h")))
-             .withColumn("header_line", F.when(F.col("h").isNotNull(), F.element_at("lines", F.col("h") + 1)))
-             .withColumn("n_header", field_count(F.col("header_line"), sep)))
-    if persist_lines:
-        # decoded files feed the width probe, the ledger and the body
-        files = files.persist(StorageLevel.MEMORY_AND_DISK)
-    width = files.agg(F.max("n_header")).first()[0] or 1
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    opts = {"sep": sep, "quote": '"', "escape": '"'}
-
-    def parsed(df: DataFrame, src: str, out: str) -> DataFrame:
-        """Parse ``src`` once into a struct, then expose it as an array."""
-        df = df.withColumn("_p", F.from_csv(F.col(src), schema, opts))
-        return df.withColumn(out, F.array(*[F.col("_p")[f"c{i}"] for i in range(width)])).drop("_p")
-
-    idx = F.sequence(F.lit(0), F.col("n_header") - 1)
-    raw_names = F.transform(idx, lambda i: F.when(
-        F.coalesce(F.element_at(F.col("hcells"), i + 1), F.lit("")) == "",
-        F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(F.element_at(F.col("hcells"), i + 1)))
+def file_encodings(landing: Landing, marker: str = K.ENCODING_MARKER) -> DataFrame:
+    """``(origin, encoding, first)`` per file; encoding null if none of the candidates holds the marker."""
+    text, latin = F.col("raw").cast("string"), F.decode("raw", "ISO-8859-1")
+    valid = F.is_valid_utf8(text)
+    seen = F.upper(F.when(valid, text).otherwise(latin)).contains(marker)
+    stats = landing.lines.groupBy("origin").agg(
+        F.bool_and(valid).alias("utf8"), F.bool_or(latin.rlike(UNDEFINED)).alias("undefined"),
+        F.bool_or(seen).alias("marked"), F.min(F.struct("start", "nr")).alias("first"))
+    encoding = F.when(F.col("marked"), F.when(F.col("utf8"), K.ENCODINGS[0])
+                      .when(F.col("undefined"), K.ENCODINGS[3]).otherwise(K.ENCODINGS[2]))
+    return landing.files.join(stats, "origin", "left").select("origin", encoding.alias("encoding"), "first")
+
+
+def decoded_lines(landing: Landing, encodings: DataFrame) -> DataFrame:
+    """``(origin, at, line)`` of the files with an encoding; ``at`` orders the lines of a file."""
+    latin = F.decode("raw", "ISO-8859-1")
+    utf8 = F.col("raw").cast("string")
+    begins = (F.col("start") == F.col("first.start")) & (F.col("nr") == F.col("first.nr"))
+    text = (F.when(F.col("encoding") == K.ENCODINGS[0],
+                   F.when(begins & utf8.startswith(BOM), utf8.substr(F.lit(2), F.length(utf8))).otherwise(utf8))
+            .when(F.col("encoding") == K.ENCODINGS[2], F.translate(latin, C1, C1_CP1252)).otherwise(latin))
+    return (landing.lines.join(encodings.where("encoding is not null"), "origin")
+            .select("origin", "start", "nr", F.posexplode(F.split(text, OTHER_BREAKS)).alias("part", "line"))
+            .select("origin", F.struct("start", "nr", "part").alias("at"), "line"))
+
+
+def whole_records(lines: DataFrame) -> DataFrame:
+    """Lines inside an open quote joined (with ``\\n``) to the line that opened it.
+
+    Only files with a line of odd quotes are touched: their lines are put in
+    order, with running (spillable) windows per file.
+    """
+    odd = lines.where(_odd_quotes(F.col("line"))).select("origin").distinct()
+    plain = lines.join(odd, "origin", "left_anti")
+    order = Window.partitionBy("origin").orderBy("at")
+    before = F.coalesce(F.sum(_odd_quotes(F.col("line")).cast("int")).over(
+        order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = (lines.join(odd, "origin", "left_semi").withColumn("inside", before % 2 == 1)
+              .withColumn("record", F.last(F.when(~F.col("inside"), F.col("at")), True).over(order)))
+    joined = marked.groupBy("origin", "record").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("line"))
+    return plain.unionByName(joined.withColumnRenamed("record", "at"))
+
+
+def ingest(landing: Landing, sep: str = ";", key: str = "CODIGO", markers=K.HEADER_MARKERS,
+           required=K.REQUIRED_HEADERS, marker: str = K.ENCODING_MARKER) -> Ingested:
+    # tables that several later steps read are written once
+    files = written(file_encodings(landing, marker), "ingest-files")
+    lines = written(decoded_lines(landing, files), "ingest-lines")
+    if not lines.where(_odd_quotes(F.col("line"))).isEmpty():
+        lines = written(whole_records(lines), "ingest-records")
+    upper = F.upper("line")
+    is_header = F.lit(True)
+    for m in markers:
+        is_header = is_header & upper.contains(m)
+    header = lines.where(is_header).groupBy("origin").agg(F.min(F.struct("at", "line")).alias("h"))
+
     # repeated header names get ".1", ".2", ... like the CSV reader the
     # original used (and so never collide as map keys)
     def dedupe_names(names: Column) -> Column:
-        return F.transform(names, lambda n, i: F.when(
-            F.size(F.filter(F.slice(names, 1, i), lambda m: m == n)) > 0,
-            F.concat(n, F.lit("."), F.size(F.filter(F.slice(names, 1, i), lambda m: m == n)).cast("string")))
-            .otherwise(n))
-
-    hdr = (parsed(files.where(F.col("h").isNotNull()), "header_line", "hcells")
-           .withColumn("raw_names", dedupe_names(raw_names))
-           .withColumn("keepmask", F.transform("raw_names", lambda n: ~F.lower(tx.ws_strip(n)).startswith("unnamed")))
-           .withColumn("kept", F.transform(F.filter(F.arrays_zip(F.col("raw_names").alias("n"),
-                                                                 F.col("keepmask").alias("k")),
-                                                    lambda z: z["k"]), lambda z: normalize_name(z["n"])))
-           .withColumn("unnamed", F.filter("raw_names", lambda n: F.lower(tx.ws_strip(n)).startswith("unnamed")))
+        earlier = lambda n, i: F.size(F.filter(F.slice(names, 1, i), lambda m: m == n))
+        return F.transform(names, lambda n, i: F.when(earlier(n, i) > 0, F.concat(n, F.lit("."), earlier(n, i).cast("string")))
+                           .otherwise(n))
+
+    unnamed = lambda n: F.lower(tx.ws_strip(n)).startswith("unnamed")
+    # one row per file
+    hdr = (header.select("origin", F.col("h.at").alias("h"), cells(F.col("h.line"), sep).alias("names"))
+           .withColumn("names", F.transform("names", lambda n, i: F.coalesce(n, F.concat(F.lit("Unnamed: "), i.cast("string")))))
+           .withColumn("names", dedupe_names(F.col("names")))
+           .select("origin", "h", F.size("names").alias("n_header"),
+                   F.transform("names", lambda n: ~unnamed(n)).alias("keepmask"),
+                   F.transform(F.filter("names", lambda n: ~unnamed(n)), normalize_name).alias("kept"),
+                   F.filter("names", unnamed).alias("unnamed"))
            .withColumn("has_key", F.array_contains("kept", key)))
-
-    # header columns live in the file's row, so the body needs no join
-    body = (hdr.select("origin", "h", "n_header", "keepmask", "kept",
-                    F.posexplode("lines").alias("ln", "line"))
-            .where(F.col("ln") > F.col("h"))
-            .where(~((~F.col("line").contains(sep)) & (tx.ws_strip("line") == ""))))
-    body = parsed(body.withColumn("nf", field_count(F.col("line"), sep)), "line", "cells")
-    values = F.transform(F.slice("cells", 1, F.col("n_header")),
+    hdr = written(hdr, "ingest-headers")
+
+    body = (lines.join(hdr.select("origin", "h", "n_header", "keepmask", "kept"), "origin")
+            .withColumn("after", F.col("at") > F.col("h"))
+            .withColumn("cells", cells(F.col("line"), sep))
+            .withColumn("nf", F.size("cells"))
+            .withColumn("counted", F.col("after") & (F.col("line").contains(sep) | (tx.ws_strip("line") != ""))))
+    values = F.transform(F.slice("cells", F.lit(1), F.col("n_header")),
                          lambda v: F.when(v.isin(list(K.PANDAS_NA_STRINGS)), None).otherwise(v))
+    padded = F.concat(values, F.array_repeat(F.lit(None).cast("string"), F.greatest(F.col("n_header") - F.col("nf"), F.lit(0))))
     body = body.withColumn("data", F.map_from_arrays(
-        F.col("kept"), F.filter(values, lambda v, i: F.element_at(F.col("keepmask"), i + 1))))
-    keyval = tx.ws_strip(F.element_at("data", key))
-    body = body.withColumn("valid", F.coalesce(keyval.rlike(tx.J_KEY), F.lit(False)))
+        F.col("kept"), F.filter(padded, lambda v, i: F.element_at(F.col("keepmask"), i + 1))))
+    keyval = tx.ws_strip(F.try_element_at(F.col("data"), F.lit(key)))
+    body = body.withColumn("valid", F.col("counted") & F.coalesce(keyval.rlike(tx.J_KEY), F.lit(False)))
 
+    wide = F.col("counted") & (F.col("nf") > F.col("n_header"))
     stats = body.groupBy("origin").agg(
-        F.count(F.lit(1)).alias("rows_from_header"),
-        F.count_if(~F.col("valid")).alias("rows_removed"),
-        F.count_if(F.col("valid")).alias("rows_kept"),
-        F.min_by("ln", F.when(F.col("nf") > F.col("n_header"), F.col("ln"))).alias("bad_ln"),
-        F.max(F.when(F.col("nf") > F.col("n_header"), F.col("nf"))).alias("bad_nf"))
-    req = F.array(*[F.lit(r) for r in sorted(required)])
-    ledger = (files.select("origin", "encoding", "decoded")
-              .join(hdr.select("origin", "h", "n_header", "kept", "unnamed", "has_key"), "origin", "left")
-              .join(stats, "origin", "left"))
-    error = (F.when(~F.col("decoded"), F.concat(F.lit("Error: could not decode "), F.col("origin")))
+        F.count_if(F.col("at") < F.col("h")).alias("lines_before"),
+        F.count_if("counted").alias("rows_from_header"),
+        F.count_if(F.col("counted") & ~F.col("valid")).alias("rows_removed"),
+        F.count_if("valid").alias("rows_kept"),
+        F.min(F.when(wide, F.col("at"))).alias("bad_at"),
+        F.max(F.when(wide, F.col("nf"))).alias("bad_nf"))
+    stats = written(stats, "ingest-stats")
+    bad = stats.where("bad_at is not null").select("origin", "bad_at")
+    bad_line = (body.join(bad, "origin").groupBy("origin")
+                .agg((F.count_if(F.col("after") & (F.col("at") <= F.col("bad_at"))) + 1).alias("bad_line")))
+    ledger = (files.select("origin", "encoding").join(hdr, "origin", "left").join(stats, "origin", "left")
+              .join(bad_line, "origin", "left"))
+    error = (F.when(F.col("encoding").isNull(), F.concat(F.lit("Error: could not decode "), F.col("origin")))
              .when(F.col("h").isNull(), F.lit("Error: header line not found"))
              .when(F.col("bad_nf").isNotNull(), F.format_string(
-                 "Error: Expected %d fields in line %d, saw %d", F.col("n_header"),
-                 F.col("bad_ln") - F.col("h") + 1, F.col("bad_nf")))
+                 "Error: Expected %d fields in line %d, saw %d", F.col("n_header"), F.col("bad_line"), F.col("bad_nf")))
              .when(~F.col("has_key"), F.lit(f"Error: '{key}'")))
+    req = F.array(*[F.lit(r) for r in sorted(required)])
     missing_req = F.array_join(F.array_sort(F.array_except(req, F.col("kept"))), ", ")
     status = F.coalesce(error, F.when(missing_req == "", F.lit("Correcto")).otherwise(F.lit("ver columnas")))
     ok = error.isNull()
@@ -229,21 +222,18 @@ def ingest(landing: DataFrame, sep: str = ";", key: str = "CODIGO",
     ledger = ledger.select(
         "origin",
         when_ok(F.col("encoding")).alias("encoding"),
-        when_ok(F.col("h"), "bigint").alias("lines_before"),
-        when_ok(F.coalesce("rows_from_header", F.lit(0)), "bigint").alias("rows_from_header"),
-        when_ok(F.coalesce("rows_removed", F.lit(0)), "bigint").alias("rows_removed"),
-        when_ok(F.coalesce("rows_kept", F.lit(0)), "bigint").alias("rows_kept"),
+        *[when_ok(F.coalesce(n, F.lit(0)), "bigint").alias(n)
+          for n in ("lines_before", "rows_from_header", "rows_removed", "rows_kept")],
         when_ok(F.col("n_header"), "bigint").alias("columns_original"),
         when_ok(F.size("kept"), "bigint").alias("columns_final"),
         when_ok(F.array_join("unnamed", ", ")).alias("unnamed_dropped"),
         when_ok(missing_req).alias("required_missing"),
         status.alias("status"),
         when_ok(out_name).alias("output_file"))
-    good = hdr.join(ledger.where(~F.col("status").startswith("Error")).select("origin"), "origin", "left_semi")
-    rows = (body.join(good.select("origin"), "origin", "left_semi").where("valid")
-            .select("origin", "ln", "data"))
-    return Ingested(rows=rows, ledger=ledger, columns=good.select("origin", F.col("kept").alias("columns")),
-                    lines=files)
+    ledger = written(ledger, "ingest-ledger")
+    good = ledger.where(~F.col("status").startswith("Error")).select("origin")
+    return Ingested(rows=body.where("valid").join(good, "origin", "left_semi").select("origin", "data"), ledger=ledger,
+                    columns=hdr.join(good, "origin", "left_semi").select("origin", F.col("kept").alias("columns")))
 
 
 def strict_union(ing: Ingested, origin_column: str = "origen") -> DataFrame:
@@ -280,28 +270,26 @@ def union_ledger(ing: Ingested) -> DataFrame:
 
 def file_review(rows: DataFrame, origin: str, department: str, municipality: str,
                 n_columns: int) -> DataFrame:
-    """Per file: rows, columns, sorted distinct departments and municipalities
-    (stripped, joined by `` | ``), status ``Correcto`` iff one department.
+    """Per file: rows, columns, distinct departments and municipalities
+    (stripped), status ``Correcto`` iff one department.
 
     Without the department column the status says so; without the
-    municipality column the count is 0.  The lists are per file, and a file
-    is bounded in size.
+    municipality column the count is 0.  ``file_values`` lists the values.
     """
-    has_dep, has_mun = department in rows.columns, municipality in rows.columns
     aggs = [F.count(F.lit(1)).alias("rows")]
-    if has_dep:
-        aggs.append(F.array_sort(F.collect_set(tx.ws_strip(department))).alias("_deps"))
-    if has_mun:
-        aggs.append(F.array_sort(F.collect_set(tx.ws_strip(municipality))).alias("_munis"))
-    g = rows.groupBy(origin).agg(*aggs)
-    base = [F.col(origin).alias("file"), F.col("rows").cast("bigint").alias("rows"),
-            F.lit(n_columns).cast("bigint").alias("columns")]
-    if not has_dep:
-        return g.select(*base, F.lit("").alias("departments"),
-                        F.lit(None).cast("bigint").alias("municipality_count"), F.lit("").alias("municipalities"),
-                        F.lit(f"column {department} missing").alias("status"))
-    munis = F.col("_munis") if has_mun else F.array().cast("array<string>")
-    return g.select(*base, F.array_join("_deps", " | ").alias("departments"),
-                    F.size(munis).cast("bigint").alias("municipality_count"),
-                    F.array_join(munis, " | ").alias("municipalities"),
-                    F.when(F.size("_deps") == 1, F.lit("Correcto")).otherwise(F.lit("Revisar")).alias("status"))
+    for name, column in (("departments", department), ("municipalities", municipality)):
+        aggs.append(F.countDistinct(tx.ws_strip(column)).alias(name) if column in rows.columns
+                    else F.max(F.lit(None if name == "departments" else 0).cast("bigint")).alias(name))
+    status = (F.when(F.col("departments") == 1, F.lit("Correcto")).otherwise(F.lit("Revisar")) if department in rows.columns
+              else F.lit(f"column {department} missing"))
+    return rows.groupBy(origin).agg(*aggs).select(
+        F.col(origin).alias("file"), F.col("rows").cast("bigint").alias("rows"),
+        F.lit(n_columns).cast("bigint").alias("columns"), "departments", "municipalities", status.alias("status"))
+
+
+def file_values(rows: DataFrame, origin: str, department: str, municipality: str) -> DataFrame:
+    """``(file, variable, value, n)``: every distinct department and municipality of each file."""
+    cols = [c for c in (department, municipality) if c in rows.columns]
+    long = rows.select(F.col(origin).alias("file"), *[tx.ws_strip(c).alias(c) for c in cols]) \
+        .unpivot(["file"], cols, "variable", "value")
+    return long.where("value is not null").groupBy("file", "variable", "value").agg(F.count(F.lit(1)).alias("n"))

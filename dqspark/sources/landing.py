@@ -1,24 +1,20 @@
-"""Raw export files derived from a registry frame by Spark.
+"""Raw export files and result pages derived from the driver tables by Spark.
 
-The ingest operators read a landing table with the ``binaryFile`` schema
-``(path, content)``.  ``export_files`` builds such a table from a registry
-frame the way the registry's web export looks: leading report lines, a
-``;``-separated header with unnamed columns, data rows, footer rows, and
-cp1252 bytes (UTF-8 with BOM when a value is not representable in cp1252).
+``write_export`` writes a registry frame the way the registry's web export
+looks, as real files: leading report lines, a ``;``-separated header with
+unnamed columns, data rows, footer rows, and cp1252 bytes (UTF-8 with BOM when
+a value of the file isn't representable in cp1252).
 
-Files hold at most ``rows_per_file`` data rows: a group is split into
-``ceil(rows / rows_per_file)`` chunks, so no file (and no task assembling
-one) grows with the data.
+Files hold about ``rows_per_file`` data rows: a group's rows are dealt to
+chunks by a hash of the key, so no file grows with the data.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from dqspark.operators.joins import bounded_broadcast
+from dqspark.sources.ingest import C1, C1_CP1252
 
 LEADING_LINES = 26
 FOOTER_ROWS = 5
@@ -32,14 +28,14 @@ def quote_field(c: Column) -> Column:
     return F.coalesce(F.when(needs, quoted).otherwise(c), F.lit(""))
 
 
-@F.pandas_udf(T.BinaryType())
-def encode_export(text: pd.Series) -> pd.Series:
-    def enc(s: str) -> bytes:
-        try:
-            return s.encode("cp1252")
-        except UnicodeEncodeError:
-            return "\ufeff".encode("utf-8") + s.encode("utf-8")
-    return text.map(enc)
+def beyond_cp1252(text: Column) -> Column:
+    """Whether a text has characters that cp1252 lacks."""
+    return F.coalesce(text.rlike(f"[^\\x00-\\x7f\\xa0-\\xff{C1_CP1252}]"), F.lit(False))
+
+
+def as_cp1252(text: Column) -> Column:
+    """The cp1252 bytes of a text, as the raw line the text writer puts out."""
+    return F.encode(F.translate(text, C1_CP1252, C1), "ISO-8859-1").cast("string")
 
 
 def file_group(department: Column) -> Column:
@@ -47,42 +43,52 @@ def file_group(department: Column) -> Column:
     return F.regexp_replace(department, " CAPITAL$", "")
 
 
-def export_files(df: DataFrame, header: list[tuple[str, str | None]], group: Column, key: str,
-                 rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Landing table ``(path, content)`` of raw export files.
+def chunk_of(key: Column, chunks: Column) -> Column:
+    """Chunk of a row: the first 8 digits of the key's digest."""
+    digits = F.conv(F.substring(F.md5(F.coalesce(key, F.lit("")).cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(digits, chunks).cast("int")
+
+
+def write_export(df: DataFrame, folder: str, header: list[tuple[str, str | None]], group: Column, key: str,
+                 rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write ``<folder>/<origin>/<origin>``, one export file per group and chunk.
 
     ``header`` lists ``(header cell, source column or None)``; a ``None``
     source is an unnamed, empty column.
     """
     g = df.select(group.alias("_g"), F.col(key).alias("_k"),
                   F.concat_ws(";", *[quote_field(F.col(c)) if c else F.lit("") for _, c in header]).alias("line"))
-    sizes = g.groupBy("_g").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows_per_file))
-                                .cast("int").alias("_nc"))
-    chunk = F.pmod(F.substring(F.col("_k"), 7, 4).cast("int"), F.col("_nc"))
-    # one row per file group: broadcast only once a count proves it small
-    rows = g.join(bounded_broadcast(sizes, 100_000), "_g").withColumn("_c", F.coalesce(chunk, F.lit(0)))
-    name = F.format_string("export_%s_%03d.csv", F.regexp_replace("_g", " ", "_"), F.col("_c"))
-    data = rows.select(name.alias("path"), F.lit(1).alias("sec"), F.col("_k").alias("o"), "line")
-    files = rows.select(name.alias("path"), F.col("_g")).distinct()
-    head = ["REPORT"] + [""] * 3 + [f";;listing line {i}" for i in range(4, LEADING_LINES)]
-    pre = files.select("path", F.explode(F.array(*[
-        F.struct(F.lit(0).alias("sec"), F.lit(f"{i:03d}").alias("o"),
-                 (F.concat(F.lit("REPORT;"), F.col("_g")) if i == 0 else F.lit(t)).alias("line"))
-        for i, t in enumerate(head)])).alias("s")).select("path", "s.*")
-    hdr = files.select("path", F.lit(0).alias("sec"), F.lit("999").alias("o"),
-                       F.lit(";".join(h for h, _ in header)).alias("line"))
-    counts = data.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-    foot = counts.select("path", F.explode(F.array(*[
-        F.struct(F.lit(2).alias("sec"), F.lit(f"{i}").alias("o"), line.alias("line"))
-        for i, line in enumerate([F.concat(F.lit("Total;"), F.col("n").cast("string")),
-                                  F.lit("Generated by the registry export;;"), F.lit(";;;"),
-                                  F.lit("Page 1 of 1"), F.lit("End of report")])])).alias("s")).select("path", "s.*")
-    allrows = pre.unionByName(hdr).unionByName(data).unionByName(foot)
-    text = allrows.groupBy("path").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sec", "o", "line"))),
-                                 lambda s: s["line"]), "\r\n").alias("text"))
-    return text.select("path", encode_export(F.concat(F.col("text"), F.lit("\r\n"))).alias("content"))
-
+    sizes = g.groupBy("_g").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows_per_file)).cast("int").alias("_nc"))
+    rows = g.join(sizes, "_g")
+    name = F.format_string("export_%s_%03d.csv", F.regexp_replace("_g", " ", "_"), chunk_of(F.col("_k"), F.col("_nc")))
+    data = rows.select(name.alias("origin"), "_g", F.lit(1).alias("sec"), F.col("_k").alias("o"), "line")
+    files = data.groupBy("origin").agg(F.first("_g").alias("_g"), F.count(F.lit(1)).alias("n"),
+                                       F.bool_or(beyond_cp1252(F.col("line"))).alias("utf8"))
+    first = F.concat(F.lit("REPORT;"), F.col("_g"))
+    head = [first, *[F.lit("")] * 3, *[F.lit(f";;listing line {i}") for i in range(4, LEADING_LINES)],
+            F.lit(";".join(h for h, _ in header))]
+    foot = [F.concat(F.lit("Total;"), F.col("n").cast("string")), F.lit("Generated by the registry export;;"),
+            F.lit(";;;"), F.lit("Page 1 of 1"), F.lit("End of report")]
+    around = files.select("origin", F.explode(F.array(*[
+        F.struct(F.lit(sec).alias("sec"), F.lit(f"{i:03d}").alias("o"), t.alias("line"))
+        for sec, part in ((0, head), (2, foot)) for i, t in enumerate(part)])).alias("s")).select("origin", "s.*")
+    lines = around.unionByName(data.select("origin", "sec", "o", "line")).join(files.select("origin", "utf8"), "origin")
+    bom = F.when((F.col("sec") == 0) & (F.col("o") == "000"), F.lit("\ufeff")).otherwise(F.lit(""))
+    raw = F.when(F.col("utf8"), F.concat(bom, F.col("line"))).otherwise(as_cp1252(F.col("line")))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (lines.repartition(n, "origin").sortWithinPartitions("origin", "sec", "o")
+     .select("origin", raw.alias("value")).write.option("lineSep", "\r\n").partitionBy("origin").text(folder))
+
+
+def as_landing(spark, folder: str):
+    """The written export as ``ingest.Landing``: a file is named by its folder."""
+    from dqspark.sources.ingest import Landing
+    named = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), "origin=([^/]*)/", 1)
+    lines = spark.read.option("recursiveFileLookup", True).text(folder)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return Landing(listed.select(F.regexp_extract("path", "origin=([^/]*)/", 1).alias("origin")),
+                   lines.select(named.alias("origin"), F.col("_metadata.file_block_start").alias("start"),
+                                F.monotonically_increasing_id().alias("nr"), F.col("value").cast("binary").alias("raw")))
 
 
 def _html_escape(c: Column) -> Column:

@@ -17,8 +17,10 @@ def export_verified(df: DataFrame, path: str, fmt: str = "csv", mode: str = "ove
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
-        back = df.sparkSession.read.option("header", True).option("multiLine", True).csv(path)
+        # values keep their edge whitespace; quotes are doubled, as readers expect
+        (writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
+        back = df.sparkSession.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     else:
         writer.parquet(path)
         back = df.sparkSession.read.parquet(path)

@@ -38,6 +38,20 @@ select
 from {customer} c join {nation} n on c.c_nationkey = n.n_nationkey join {region} r on n.n_regionkey = r.r_regionkey
 """
 
+# The 17 columns of the original export, derived from the dirty registry {dirty}.
+REGISTRY_SQL = """
+select code as CODIGO, district as DISTRITO, department as DEPARTAMENTO, municipality as MUNICIPIO,
+  name as ESTABLECIMIENTO, address as DIRECCION, phone as TELEFONO, supervisor as SUPERVISOR, director as DIRECTOR,
+  'DIVERSIFICADO' as NIVEL, sector as SECTOR, case when k % 3 = 0 then 'RURAL' else 'URBANA' end as AREA,
+  case when k % 17 = 0 then 'CERRADA' else 'ABIERTA' end as STATUS, 'MONOLINGUE' as MODALIDAD,
+  case when k % 2 = 0 then 'MATUTINA' else 'VESPERTINA' end as JORNADA, 'DIARIO(REGULAR)' as PLAN,
+  concat(department, ' NORTE') as DEPARTAMENTAL
+from (select *, cast(substr(code, 7, 4) as int) as k from ({dirty}) d) e
+"""
+REGISTRY_COLUMNS = ("CODIGO", "DISTRITO", "DEPARTAMENTO", "MUNICIPIO", "ESTABLECIMIENTO", "DIRECCION", "TELEFONO",
+                    "SUPERVISOR", "DIRECTOR", "NIVEL", "SECTOR", "AREA", "STATUS", "MODALIDAD", "JORNADA", "PLAN",
+                    "DEPARTAMENTAL")
+
 DIRTY_COLUMNS = ("code", "district", "department", "municipality", "name", "address",
                  "phone", "supervisor", "director", "sector")
 
@@ -54,6 +68,11 @@ def dirty_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
                      region=table(spark, sf_dir, "region"))
 
 
+def full_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 17-column registry export derived from the dirty registry."""
+    return spark.sql(REGISTRY_SQL.replace("({dirty})", "{dirty}"), dirty=dirty_registry(spark, sf_dir))
+
+
 def department_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue of valid departments for the dirty registry: region names."""
     return table(spark, sf_dir, "region").select("r_name").withColumnRenamed("r_name", "value")

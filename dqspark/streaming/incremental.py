@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def new_items(candidates: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     """Rows of ``candidates`` whose key is not in ``ledger``."""
-    return candidates.join(ledger.select(key).distinct(), key, "left_anti")
+    return candidates.join(ledger.select(key), key, "left_anti")
 
 
 def incremental_load(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,

@@ -10,27 +10,42 @@ SCHEMA = "code string, name string, address string, department string, municipal
          "director string, sector string"
 
 
+def text_of(r):
+    return " ".join(sorted(f"{r[1].strip().upper()} | {r[2].strip().upper()}".split()))
+
+
 def brute_force(rows, t=95):
-    """All pairs i<j in one block with equal differentiators (None == None)."""
-    def ts(r):
-        return " ".join(sorted(f"{r[1].strip().upper()} | {r[2].strip().upper()}".split()))
+    """All pairs i<j of keys in one block with equal differentiators (None == None)."""
     ok = [r for r in rows if r[1] is not None and r[2] is not None and r[3] is not None and r[4] is not None]
     out = []
     for a, b in itertools.combinations(ok, 2):
         if (a[3], a[4], a[5], a[6]) != (b[3], b[4], b[5], b[6]):
             continue
-        x, y = ts(a), ts(b)
-        total = len(x) + len(y)
-        lcs = lcs_length(x, y)
-        if 200 * lcs >= t * total:
-            first, second = sorted([a, b], key=lambda r: (r[0], r[1], r[5] or "", r[6] or ""))
-            out.append((first[0], second[0]))
+        x, y = text_of(a), text_of(b)
+        if 200 * lcs_length(x, y) >= t * (len(x) + len(y)):
+            out.append(tuple(sorted([a[0], b[0]])))
     return sorted(out)
 
 
-def spark_pairs(spark, rows):
-    df = spark.createDataFrame(rows, SCHEMA)
-    return sorted((r.code_1, r.code_2) for r in dedupe.fuzzy_pairs(df).collect())
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def spark_pairs(spark, rows, cfg=dedupe.DIRTY_FUZZY):
+    """Row pairs, from the pairs of classes and their members."""
+    df, group = frame(spark, rows), cfg.group_columns()
+    members = {}
+    for r in dedupe.fuzzy_members(df, cfg).collect():
+        members.setdefault((*(r[c] for c in group), r["text"]), []).append(r[cfg.key])
+    out = []
+    for p in dedupe.fuzzy_pairs(df, cfg).collect():
+        g = tuple(p[c] for c in group)
+        a, b = members[(*g, p.text_1)], members[(*g, p.text_2)]
+        found = itertools.combinations(a, 2) if p.text_1 == p.text_2 else itertools.product(a, b)
+        found = [tuple(sorted(x)) for x in found]
+        assert len(found) == p.pairs and (len(a), len(b)) == (p.rows_1, p.rows_2)
+        out += found
+    return sorted(out)
 
 
 def test_quirk_fixture(spark):
@@ -42,8 +57,8 @@ def test_quirk_fixture(spark):
         ("05", "ESCUELA UNO", None, "D", "M", "X", "S"),             # null address -> dropped
         ("06", "ESCUELA UNO", "5 AVENIDA", "D", "OTHER", "X", "S"),  # singleton block
     ]
-    got = dedupe.fuzzy_pairs(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert sorted((r.code_1, r.code_2, r.similarity) for r in got) == [("01", "02", 100.0), ("03", "04", 100.0)]
+    assert spark_pairs(spark, rows) == [("01", "02"), ("03", "04")]
+    assert {r.similarity for r in dedupe.fuzzy_pairs(frame(spark, rows)).collect()} == {100.0}
 
 
 def _near_duplicates(seed, n=120):
@@ -73,25 +88,29 @@ def test_matches_brute_force_on_random_near_duplicates(spark):
         assert spark_pairs(spark, rows) == brute_force(rows), seed
 
 
-def test_exact_copies_multiply(spark):
-    row = ("01", "ESCUELA", "CALLE 1", "D", "M", "X", "S")
-    got = dedupe.fuzzy_pairs(spark.createDataFrame([row, row, row], SCHEMA)).count()
-    assert got == 3   # C(3, 2)
+def test_exact_copies_are_counted_not_paired(spark):
+    from pyspark.sql import functions as F
+    one = spark.createDataFrame([("01", "ESCUELA", "CALLE 1", "D", "M", "X", "S"), ("02", "ESCUELB", "CALLE 1", "D", "M", "X", "S")],
+                                SCHEMA)
+    many = one.crossJoin(spark.range(100_000)).drop("id").unionByName(
+        spark.createDataFrame([("03", "ESCUELA GRANDE MUY LARGA", "CALLE LARGA 1", "D", "M", "X", "S"),
+                               ("04", "ESCUELA GRANDE MUY LARGO", "CALLE LARGA 1", "D", "M", "X", "S")], SCHEMA))
+    got = {r.rows_1: r.pairs for r in dedupe.fuzzy_pairs(many).collect()}
+    assert got == {100_000: 100_000 * 99_999 // 2, 1: 1}
+    assert dedupe.fuzzy_pairs_count(many).first().pairs == 100_000 * 99_999 + 1
+    assert dedupe.classes(many).agg(F.sum("m")).first()[0] == 200_002
 
 
 def test_hot_key_split_keeps_every_pair(spark):
-    rows = _near_duplicates(5, n=150)
-    cfg = dedupe.FuzzyConfig(hot_rows=3)        # force splitting of nearly every q-gram
-    df = spark.createDataFrame(rows, SCHEMA)
-    got = sorted((r.code_1, r.code_2) for r in dedupe.fuzzy_pairs(df, cfg).collect())
-    assert got == brute_force(rows)
+    for seed, bucket in ((5, 3), (13, 2)):      # nearly every q-gram is split
+        rows = _near_duplicates(seed, n=150)
+        assert spark_pairs(spark, rows, dedupe.FuzzyConfig(bucket=bucket)) == brute_force(rows)
 
 
 def test_count_and_order(spark):
     rows = _near_duplicates(7)
-    df = spark.createDataFrame(rows, SCHEMA)
-    pairs = dedupe.fuzzy_pairs(df).collect()
-    assert dedupe.fuzzy_pairs_count(df).first().pairs == len(pairs) == len(brute_force(rows))
+    pairs = dedupe.fuzzy_pairs(frame(spark, rows)).collect()
+    assert dedupe.fuzzy_pairs_count(frame(spark, rows)).first().pairs == len(brute_force(rows))
     sims = [r.similarity for r in pairs]
     assert sims == sorted(sims, reverse=True)
 
@@ -123,12 +142,3 @@ def test_lev_prefilter_finds_every_pair_within_the_bound(spark):
                 expected.add((a, b, d))
     got = {(r.ta, r.tb, r.lev) for r in dedupe.lev_prefilter_pairs(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == expected
-
-
-def test_hot_frequency_path_keeps_every_pair(spark):
-    rows = _near_duplicates(13, n=150)
-    df = spark.createDataFrame(rows, SCHEMA)
-    for cfg in (dedupe.FuzzyConfig(hot_rows=2),                          # broadcast hot keys
-                dedupe.FuzzyConfig(hot_rows=2, hot_keys_broadcast=1)):  # too many: plain join
-        got = sorted((r.code_1, r.code_2) for r in dedupe.fuzzy_pairs(df, cfg).collect())
-        assert got == brute_force(rows)

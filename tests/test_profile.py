@@ -13,7 +13,7 @@ def test_duplicates_with_nulls(spark):
 def test_missing_and_distinct(spark):
     df = spark.createDataFrame([("a", None), ("b", None), ("a", "x"), (None, "y")], "p string, q string")
     vf = profile.value_freq(df)
-    m = {r.variable: (r.missing, r.missing_pct) for r in profile.missing(vf).collect()}
+    m = {r.variable: (r.missing, r.missing_pct) for r in profile.missing(df).collect()}
     assert m == {"p": (1, 25.0), "q": (2, 50.0)}
     d = {r.variable: r.distinct_values for r in profile.distinct_counts(vf).collect()}
     assert d == {"p": 2, "q": 2}
@@ -23,12 +23,45 @@ def test_variant_groups(spark):
     df = spark.createDataFrame([(v,) for v in ["Privado", "PRIVADO", "MUNICIPÁL", "MUNICIPAL", "OFICIAL"]],
                                "sector string")
     g = variants.variant_groups(profile.value_freq(df)).orderBy("key").collect()
-    assert [(r.key, r.variants) for r in g] == [("MUNICIPAL", "MUNICIPAL | MUNICIPÁL"), ("PRIVADO", "PRIVADO | Privado")]
+    assert sorted((r.key, r.n_variants, r.value) for r in g) == [
+        ("MUNICIPAL", 2, "MUNICIPAL"), ("MUNICIPAL", 2, "MUNICIPÁL"), ("PRIVADO", 2, "PRIVADO"), ("PRIVADO", 2, "Privado")]
+
+
+def test_variants_of_columns_with_many_values(spark):
+    values = [f"v{i}" for i in range(61)] + [f"V{i}." for i in range(61)]
+    vf = profile.value_freq(spark.createDataFrame([(v,) for v in values], "c string"))
+    assert variants.variant_keys(vf).count() == 61 and variants.variant_groups(vf).count() == 122
+    assert variants.variant_keys(vf, max_distinct=60).count() == 0
+    assert [tuple(r) for r in variants.skipped_columns(vf, 60).collect()] == [("c", 122)]
+    s = variants.variant_summary(variants.variant_groups(vf)).first()
+    assert s.groups == 61 and s.examples == "V0. | v0; V1. | v1; V10. | v10; V11. | v11; V12. | v12"
+
+
+def test_category_key_marks(spark):
+    import re
+    import unicodedata
+    from dqspark.functions.category import category_key
+
+    def plain(v):
+        t = "".join(c for c in unicodedata.normalize("NFKD", v.strip().upper()) if not unicodedata.combining(c))
+        return " ".join(re.findall("[A-Z0-9]+", t))
+    values = ["MUNICIPÁL", " ﬁn-de  año ", "straße", "a\u0903b", "a\u0301b", "①②", "x̂ỳ", "-", ""]
+    got = spark.createDataFrame([(v,) for v in values], "v string").select(category_key("v")).collect()
+    assert [r[0] for r in got] == [plain(v) for v in values]
+
+
+def test_domain_report_is_complete(spark):
+    from dqspark.operators import domain
+    rows = [(f"X{i}9",) for i in range(25)] + [("ANA",)]
+    vf = profile.value_freq(spark.createDataFrame(rows, "d string"))
+    bad = domain.violations(vf, [domain.Check("d", domain.NAME)])
+    assert domain.report(bad, ["d", "e"]).count() == 26
+    assert [tuple(r) for r in domain.counts(bad, ["d", "e"]).collect()] == [("d", 1, 25), ("e", 2, 0)]
 
 
 def test_format_issues(spark):
     df = spark.createDataFrame([(" a", "x  y"), ("P�REZ", "ok"), ("b", None)], "p string, q string")
-    f = {r.variable: r for r in profile.format_issues(profile.value_freq(df), phone_column="q").collect()}
+    f = {r.variable: r for r in profile.format_issues(df, phone_column="q").collect()}
     assert (f["p"].edge_ws, f["p"].multi_ws, f["p"].corrupt, f["p"].corrupt_examples) == (1, 0, 1, "P�REZ")
     assert (f["q"].multi_ws, f["q"].letters) == (1, 2)
     assert f["p"].letters is None

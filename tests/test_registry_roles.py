@@ -1,5 +1,7 @@
 """The library on the original 18-column registry layout (not the dirty view)."""
 
+from pyspark.sql import functions as F
+
 from dqspark.functions import constants as K
 from dqspark.operators import clean, dedupe
 from dqspark.plans import diagnosis
@@ -29,7 +31,7 @@ def test_full_flow_on_registry_columns(spark):
     diag = diagnosis.Diagnosis(df, roles, department_catalog=K.DEPARTMENTS)
     tidy = {(r.section, r.variable, r.metric): r.value for r in diag.tidy_report().collect()}
     assert tidy[("a_shape", "", "rows")] == "4" and tidy[("a_shape", "", "columns")] == "18"
-    assert tidy[("f_domain", "DEPARTAMENTO", "examples")] == "CIUDAD CAPITAL"
+    assert tidy[("f_domain", "DEPARTAMENTO", "invalid_value")] == "CIUDAD CAPITAL"
     assert tidy[("f_domain", "NIVEL", "invalid_values")] == "0"
     assert tidy[("f_variants", "SECTOR", "groups")] == "1"
     cfg = clean.CleanConfig(roles=roles, no_issue_columns=("CODIGO",))
@@ -50,4 +52,6 @@ def test_full_flow_on_registry_columns(spark):
     pairs = dedupe.fuzzy_pairs(c.cleaned, fz).collect()
     # same tokens in another order, same block and differentiators; row 3
     # moved block, row 4 has another JORNADA
-    assert [(p.codigo_1, p.codigo_2, p.similarity) for p in pairs] == [("16-01-0001-46", "16-01-0002-46", 100.0)]
+    assert [(p.rows_1, p.pairs, p.similarity) for p in pairs] == [(2, 1, 100.0)]
+    members = dedupe.fuzzy_members(c.cleaned, fz).where(F.col("text") == pairs[0].text_1)
+    assert {"16-01-0001-46", "16-01-0002-46"} <= {m.CODIGO for m in members.collect()}
