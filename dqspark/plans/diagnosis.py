@@ -48,10 +48,7 @@ class Diagnosis:
     @property
     def vf(self) -> DataFrame:
         """The value-frequency frame: every section that needs it reads one written table."""
-        def build():
-            vf = profile.value_freq(self.df)
-            return written(vf, "value-freq") if self.persist else vf
-        return self._memo("vf", build)
+        return self._kept("value-freq", lambda: profile.value_freq(self.df))
 
     # ------------------------------------------------------------ sections
     # Each section is built once per Diagnosis and the same DataFrame object
@@ -64,12 +61,17 @@ class Diagnosis:
             cache[name] = build()
         return cache[name]
 
+    def _kept(self, name, build):
+        """A section that several others read: written once, so that a report's
+        plan reads small tables instead of holding each section many times."""
+        return self._memo(name, lambda: written(build(), name) if self.persist else build())
+
     def shape(self):
         return self._memo("shape", lambda: profile.shape(self.df))
 
     def stats(self):
         """Type, missing and format counts of all columns: one aggregate."""
-        return self._memo("stats", lambda: profile.column_stats(self.df, self.roles.phone))
+        return self._kept("stats", lambda: profile.column_stats(self.df, self.roles.phone))
 
     def missing(self):
         return self._memo("missing", lambda: self.stats().select(
@@ -79,7 +81,7 @@ class Diagnosis:
         return self._memo("distinct", lambda: profile.distinct_counts(self.vf))
 
     def duplicates(self):
-        return self._memo("duplicates", lambda: profile.duplicate_count(self.df))
+        return self._kept("duplicates", lambda: profile.duplicate_count(self.df))
 
     def checks(self) -> list[domain.Check]:
         r, cols, C = self.roles, self.columns, domain.Check
@@ -97,28 +99,28 @@ class Diagnosis:
 
     def violations(self) -> DataFrame:
         """All out-of-domain values of all checked columns, one pass."""
-        return self._memo("violations", lambda: domain.violations(self.vf, self.checks()))
+        return self._kept("violations", lambda: domain.violations(self.vf, self.checks()))
 
     def domain_variables(self) -> list[str]:
         return [c.column for c in self.checks()]
 
     def domain_counts(self):
-        return self._memo("domain_counts", lambda: domain.counts(self.violations(), self.domain_variables()))
+        return self._kept("domain-counts", lambda: domain.counts(self.violations(), self.domain_variables()))
 
     def format_issues(self):
-        return self._memo("format", lambda: profile.format_issues(self.df, stats=self.stats()))
+        return self._kept("format", lambda: profile.format_issues(self.df, stats=self.stats()))
 
     def shape_profile(self):
-        return self._memo("shape_profile", lambda: profile.shape_profile(self.vf, self.shape_columns))
+        return self._kept("shape-profile", lambda: profile.shape_profile(self.vf, self.shape_columns))
 
     def variant_keys(self):
-        return self._memo("variant_keys", lambda: variants.variant_keys(self.vf, columns=self.text_columns))
+        return self._kept("variant-keys", lambda: variants.variant_keys(self.vf, columns=self.text_columns))
 
     def variant_groups(self):
-        return self._memo("variant_groups", lambda: variants.variant_groups(self.vf, columns=self.text_columns))
+        return self._kept("variant-groups", lambda: variants.variant_groups(self.vf, columns=self.text_columns))
 
     def variant_summary(self):
-        return self._memo("variant_summary", lambda: variants.variant_summary(self.variant_groups()))
+        return self._kept("variant-summary", lambda: variants.variant_summary(self.variant_groups()))
 
     # ------------------------------------------------------------ findings
     def findings(self) -> DataFrame:
