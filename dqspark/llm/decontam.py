@@ -13,9 +13,10 @@ walks are sampled ``KEYS`` times in ``BITS`` places each; an item-sized window
 is a candidate for an item if any of its keys equals the item's.  Candidates
 are verified by the exact edit distance.
 
-Not every window need be walked: an item of n bytes with at most k edits keeps
-one of any k + 1 disjoint pieces as it is, so only windows in which an 8-byte
-piece of the item stands near its place can match.  That rules out no match.
+Not every window need be walked: of the p disjoint 8-byte pieces of an item at
+most k are hit by k edits, so a match holds p - k of them, each at most k bytes
+off its place; only windows with so many pieces are walked.  That rules out no
+match.
 
 The benchmark is shipped to the tasks in blocks of ``BLOCK_BYTES`` at most (one
 pass over the documents per block), so its size isn't bounded by a task's
@@ -124,15 +125,8 @@ class Index:
         rng = np.random.default_rng(seed)
         self.size = np.array([len(t) for t in self.texts], np.int64)
         self.most = np.minimum((RATE * self.size).astype(np.int64), self.size // PIECE - 1)
-        seen: dict[bytes, int] = defaultdict(int)
-        for t in self.texts:
-            for i in range(len(t) - 3):
-                seen[t[i:i + 4]] += 1
-        pieces = []
-        for k, t in enumerate(self.texts):
-            at = [i * PIECE for i in range(len(t) // PIECE)]
-            rare = sorted(at, key=lambda a: (sum(seen[t[a + j:a + j + 4]] for j in range(PIECE - 3)), a))
-            pieces += [(t[a:a + PIECE], k, a) for a in rare[:self.most[k] + 1]]
+        self.need = self.size // PIECE - self.most
+        pieces = [(t[a:a + PIECE], k, a) for k, t in enumerate(self.texts) for a in range(0, len(t) - PIECE + 1, PIECE)]
         value = np.frombuffer(b"".join(p[0] for p in pieces), np.uint64)
         order = np.argsort(value, kind="stable")
         self.value = value[order]
@@ -151,7 +145,7 @@ class Index:
         return self
 
     def windows(self, data: np.ndarray, offsets: np.ndarray):
-        """(row, item, start) of the windows in which a piece of the item stands near its place."""
+        """(row, item, start) of the windows that hold enough pieces of the item near their places."""
         n = len(data) - PIECE + 1
         if n <= 0 or not len(self.value):
             return None
@@ -161,19 +155,46 @@ class Index:
         many = np.searchsorted(self.value, value[hit], "right") - low
         at = np.repeat(hit, many)
         which = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item = self.item[which]
-        start = at - self.offset[which]
         row = np.searchsorted(offsets, at, side="right") - 1
         inside = at + PIECE <= offsets[row + 1]
-        # the first of the starts that fall together: those of one bin are within its width
-        bins = (start + SEGMENT) // (self.most[item] + 1)
-        row, item, start, bins = row[inside], item[inside], start[inside], bins[inside]
-        votes_of, votes = np.unique(np.stack([row, item, bins, start]), axis=1, return_counts=True)
-        by = np.lexsort((votes_of[3], -votes, votes_of[2], votes_of[1], votes_of[0]))
-        votes_of = votes_of[:, by]
-        first = np.ones(votes_of.shape[1], bool)
-        first[1:] = (votes_of[:3, 1:] != votes_of[:3, :-1]).any(0)
-        return votes_of[0, first], votes_of[1, first], votes_of[3, first]
+        at, which, row = at[inside], which[inside], row[inside]
+        item, offset = self.item[which], self.offset[which]
+        start = at - offset
+        # starts at most 2 * most apart share one of two bins twice as wide
+        wide = 2 * self.most[item] + 1
+        bins = (start + SEGMENT) // wide
+        row, item, offset, start = (np.concatenate([x, x]) for x in (row, item, offset, start))
+        bins = np.concatenate([bins, bins - 1])
+        by = np.lexsort((start, offset, bins, item, row))
+        row, item, bins, offset, start = row[by], item[by], bins[by], offset[by], start[by]
+        if not len(row):
+            return None
+        group = np.ones(len(row), bool)
+        group[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (bins[1:] != bins[:-1])
+        piece = group.copy()
+        piece[1:] |= offset[1:] != offset[:-1]
+        number = np.cumsum(group) - 1
+        first = np.flatnonzero(group)
+        enough = np.bincount(number[piece], minlength=len(first)) >= self.need[item[first]]
+        # the start that most pieces of a window speak for, the smaller on ties
+        kept = enough[number]
+        number, start = number[kept], start[kept]
+        if not len(number):
+            return None
+        by = np.lexsort((start, number))
+        number, start = number[by], start[by]
+        run = np.ones(len(number), bool)
+        run[1:] = (number[1:] != number[:-1]) | (start[1:] != start[:-1])
+        at = np.flatnonzero(run)
+        votes = np.diff(np.append(at, len(number)))
+        number, start = number[at], start[at]
+        by = np.lexsort((start, -votes, number))
+        number, start = number[by], start[by]
+        lead = np.ones(len(number), bool)
+        lead[1:] = number[1:] != number[:-1]
+        number, start = number[lead], start[lead]
+        found = np.unique(np.stack([row[first[number]], item[first[number]], start]), axis=1)
+        return found[0], found[1], found[2]
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
         """row, item, distance and start of the leaks in normalised rows."""
