@@ -9,14 +9,13 @@ at least one whole text).
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqspark.session import scratch_dir, ship_package
+from dqspark.session import ship_package
+from dqspark.session import written as materialize  # noqa: F401
 
 GROUP_BYTES = 1 << 20
 ARROW_ROWS = 1000
@@ -37,14 +36,6 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage)."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -133,6 +124,39 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def table_sql(sql: str) -> str:
-    """One-line form of an oracle text."""
-    return re.sub(r"\s+", " ", sql).strip()
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def possibly_in(rows: DataFrame, ids: DataFrame, column: str, bits: int) -> tuple[DataFrame, str]:
+    """``rows`` with a flag, and its name: false where ``column`` is surely not in ``ids`` (a column of that name).
+
+    Ids are hashed to a filter of ``bits`` bits, ``bits / 64`` rows of two
+    numbers at most, which is broadcast; the rows aren't shuffled.  The flag
+    is true for all that are in ``ids`` and for some others, more as the
+    filter fills up.
+    """
+    flag, h, part, mask = (fresh(rows, n) for n in ("possibly", "filter_hash", "filter_part", "filter_mask"))
+    number = F.pmod(F.xxhash64(column), F.lit(bits))
+    parts = (ids.select(number.alias("h")).selectExpr(f"h div 64 as {part}", "shiftleft(1L, int(h % 64)) as bit")
+             .groupBy(part).agg(F.bit_or("bit").alias(mask)))
+    hashed = rows.withColumn(h, number).withColumn(part, F.expr(f"{h} div 64"))
+    return (hashed.join(F.broadcast(parts), part, "left")
+            .select(*rows.columns, F.expr(f"coalesce(shiftright({mask}, int({h} % 64)) & 1, 0) = 1").alias(flag)), flag)
+
+
+def rows_in(rows: DataFrame, ids: DataFrame, column: str, bits: int) -> DataFrame:
+    """The rows whose ``column`` is in ``ids``; most others are dropped before the shuffle."""
+    flagged, flag = possibly_in(rows, ids, column, bits)
+    return flagged.where(F.col(flag)).drop(flag).join(ids, column, "left_semi")
+
+
+def rows_not_in(rows: DataFrame, ids: DataFrame, column: str, bits: int) -> DataFrame:
+    """The rows whose ``column`` isn't in ``ids`` (null stays); most aren't shuffled."""
+    flagged, flag = possibly_in(rows, ids, column, bits)
+    return (flagged.where(~F.col(flag)).drop(flag)
+            .unionByName(flagged.where(F.col(flag)).drop(flag).join(ids, column, "left_anti")))

@@ -14,9 +14,10 @@ the rows at their ends to one more pass, so no neighbours are lost there.
 
 A pair is a candidate if set sizes allow the similarity and a 4-bit sketch of
 the signature doesn't speak clearly against it; candidates are confirmed on
-the full sets, rebuilt from the texts.  Next neighbours are confirmed first;
-of the other candidates only those whose ends are still in different
-components.  Components come from ``components``.
+the full sets, rebuilt from the texts.  The orders are walked twice: first
+next neighbours are confirmed, then, with the components so far attached to
+the rows, further neighbours of different components, so a large group of near
+copies is chained rather than paired.  Components come from ``components``.
 
 A link at the threshold 0.8 shares a prefix of 3 in one tree with probability
 0.51 and is missed by all 16 trees with 1e-5.
@@ -37,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqspark.llm.common import (LOWER, groups, materialize, mix64, prepare, shuffle_partitions, span_hashes, utf8,
-                                words)
+from dqspark.llm.common import (LOWER, groups, materialize, mix64, prepare, rows_in, rows_not_in, shuffle_partitions,
+                                span_hashes, utf8, words)
 from dqspark.llm.components import components
 
 COORDS = 64
@@ -108,6 +109,10 @@ def _signed(size: int):
     return run
 
 
+ROW = ["tree", "key", "rep", "n", "component", "sketch"]
+ROW_TYPE = "tree int, key binary, rep long, n long, component long, sketch binary"
+
+
 def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per class and tree: its key in the tree's order, its sketch."""
     for batch in batches:
@@ -118,8 +123,8 @@ def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = [x.tobytes() for x in sig[:, order].astype(">u4")]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sig), tree, np.int32)), pa.array(keys, pa.binary()),
                                               batch.column("rep"), batch.column("n_shingles"),
-                                              pa.array(sketch, pa.binary())],
-                                             names=["tree", "key", "rep", "n", "sketch"])
+                                              batch.column("component"), pa.array(sketch, pa.binary())],
+                                             names=ROW)
 
 
 _NIBBLES = np.uint64(0x1111111111111111)
@@ -131,32 +136,33 @@ def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return COORDS - np.bitwise_count(x & _NIBBLES).sum(1).astype(int)
 
 
-def _pairs_of(tree, key, rep, n, sketch, percent: int, begin: int):
-    """Candidate pairs (i, i + o) of sorted rows with i + o >= begin: ends and distance."""
-    out = []
-    for o in range(1, NEAR + 1):
+def _pairs_of(tree, key, rep, n, component, sketch, percent: int, near: int, begin: int):
+    """Candidate pairs (i, i + o) of sorted rows, o <= near, i + o >= begin."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for o in range(1, near + 1):
         j = np.arange(max(o, begin), len(rep))
         j = j[(tree[j] == tree[j - o]) & (key[j] == key[j - o]).all(1)]
         if not len(j):
             break
         i = j - o
-        fits = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (rep[i] != rep[j])
+        fits = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (component[i] != component[j])
         i, j = i[fits], j[fits]
-        near = _agreeing(sketch[i], sketch[j]) >= AGREE
-        i, j = rep[i[near]], rep[j[near]]
-        out.append((np.minimum(i, j), np.maximum(i, j), np.full(len(i), o, np.int32)))
-    return [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.int32)]
+        agree = _agreeing(sketch[i], sketch[j]) >= AGREE
+        i, j = rep[i[agree]], rep[j[agree]]
+        left.append(np.minimum(i, j))
+        right.append(np.maximum(i, j))
+    return np.concatenate(left), np.concatenate(right)
 
 
-CANDIDATE = "a long, b long, distance int, tree int, key binary, rep long, n long, sketch binary"
-_CANDIDATE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int32()), ("tree", pa.int32()),
-                        ("key", pa.binary()), ("rep", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+CANDIDATE = f"a long, b long, {ROW_TYPE}"
+_CANDIDATE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("key", pa.binary()),
+                        ("rep", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("sketch", pa.binary())])
 
 
-def _neighbours(percent: int, with_ends: bool):
+def _neighbours(percent: int, near: int, with_ends: bool):
     """Candidate pairs of a sorted run; with_ends: also its first and last rows (a is null)."""
     def ends(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        none = [pa.nulls(len(table), t) for t in (pa.int64(), pa.int64(), pa.int32())]
+        none = [pa.nulls(len(table), pa.int64())] * 2
         yield from pa.Table.from_arrays([*none, *table.columns], schema=_CANDIDATE).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,24 +171,37 @@ def _neighbours(percent: int, with_ends: bool):
             fresh = pa.Table.from_batches([batch])
             if not len(fresh):
                 continue
-            if with_ends and head < NEAR:
-                yield from ends(fresh.slice(0, NEAR - head))
-                head += min(NEAR - head, len(fresh))
+            if with_ends and head < near:
+                yield from ends(fresh.slice(0, near - head))
+                head += min(near - head, len(fresh))
             begin = len(held) if held is not None else 0
             rows = pa.concat_tables([held, fresh]) if held is not None else fresh
             key = np.frombuffer(b"".join(rows["key"].to_pylist()), np.uint32).reshape(-1, DEPTH)[:, :MIN_DEPTH]
             sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(rows), -1)
-            a, b, o = _pairs_of(rows["tree"].to_numpy(), key, rows["rep"].to_numpy(), rows["n"].to_numpy(), sketch,
-                                percent, begin)
+            a, b = _pairs_of(rows["tree"].to_numpy(), key, rows["rep"].to_numpy(), rows["n"].to_numpy(),
+                             rows["component"].to_numpy(), sketch, percent, near, begin)
             if len(a):
-                rest = [pa.nulls(len(a), f.type) for f in list(_CANDIDATE)[3:]]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(o), *rest], schema=_CANDIDATE)
-            held = rows.slice(max(0, len(rows) - NEAR))
+                rest = [pa.nulls(len(a), f.type) for f in list(_CANDIDATE)[2:]]
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *rest], schema=_CANDIDATE)
+            held = rows.slice(max(0, len(rows) - near))
         if with_ends and held is not None:
             yield from ends(held)
     return run
 
 
+def candidates(classes: DataFrame, percent: int, near: int) -> DataFrame:
+    """``a, b``: neighbours in some tree (classes: rep, n_shingles, sig, component) of different components."""
+    spark = classes.sparkSession
+    order = ["tree", "key", "rep"]
+    grown = classes.select("rep", "n_shingles", "sig", "component").mapInArrow(_grown, ROW_TYPE)
+    found = materialize(grown.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+                        .mapInArrow(_neighbours(percent, near, True), CANDIDATE), "forest-found")
+    # the two ends of each partition: a bounded table
+    ends = found.where("a is null").select(*ROW).repartition(1).sortWithinPartitions(*order)
+    across = ends.mapInArrow(_neighbours(percent, near, False), CANDIDATE).select("a", "b")
+    return materialize(found.where("a is not null").select("a", "b").union(across).distinct(), "forest-pairs")
+
+
 def _confirmed(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,25 +219,16 @@ def _confirmed(size: int, percent: int):
     return run
 
 
-def members(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (``id``).
-
-    A bit filter of fixed size is broadcast first, so rows that can't match
-    aren't shuffled by the exact join that follows.
-    """
-    h = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    bits = (ids.select(h.alias("h")).selectExpr("h div 64 as part", "shiftleft(1L, int(h % 64)) as bit")
-            .groupBy("part").agg(F.bit_or("bit").alias("bits")))
-    hashed = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))).withColumn("part", F.expr("h div 64"))
-    may = hashed.join(F.broadcast(bits), "part").where("shiftright(bits, int(h % 64)) & 1 = 1")
-    return may.select(*docs.columns).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-
-
-def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``a, b, linked``: candidate pairs judged on the full sets of their texts."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    # rows that repeat an id: one text stands for it
+    texts = materialize(rows_in(docs.select("doc_id", "text"), materialize(ids, "forest-ids"), "doc_id", FILTER_BITS)
+                        .groupBy("doc_id").agg(F.max("text").alias("text")), "forest-texts")
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return materialize(joined.mapInArrow(_confirmed(size, percent), "a long, b long, linked boolean"), name)
+    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    return materialize(joined.mapInArrow(_confirmed(size, percent), "a long, b long, linked boolean"), "forest-judged")
 
 
 def links(docs: DataFrame, size: int = 2, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -234,33 +244,19 @@ def links(docs: DataFrame, size: int = 2, percent: int = 80) -> tuple[DataFrame,
     classes = materialize(slim.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig")),
         "forest-classes")
-    order = ["tree", "key", "rep"]
-    grown = classes.select("rep", "n_shingles", "sig").mapInArrow(
-        _grown, "tree int, key binary, rep long, n long, sketch binary")
-    found = materialize(grown.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-                        .mapInArrow(_neighbours(percent, True), CANDIDATE), "forest-found")
-    # two ends of each partition, 16 rows each: a bounded table
-    ends = found.where("a is null").select("tree", "key", "rep", "n", "sketch").repartition(1).sortWithinPartitions(*order)
-    across = ends.mapInArrow(_neighbours(percent, False), CANDIDATE)
-    pairs = materialize(found.where("a is not null").select("a", "b", "distance")
-                        .union(across.select("a", "b", "distance"))
-                        .groupBy("a", "b").agg(F.min("distance").alias("distance")), "forest-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    # rows that repeat an id: one text of each class was its representative's
-    texts = materialize(members(docs.select("doc_id", "text"), materialize(ids, "forest-ids"))
-                        .groupBy("doc_id").agg(F.max("text").alias("text")), "forest-texts")
-    first = _confirm(pairs.where("distance = 1"), texts, size, percent, "forest-first")
+    first = _confirm(candidates(classes.withColumn("component", F.col("rep")), percent, 1), docs, size, percent)
     linked = first.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    part = materialize(components(linked), "forest-parts")
-    pa_, pb = (part.select(F.col("id").alias(x), F.col("component").alias("c" + x)) for x in "ab")
-    rest = (pairs.where("distance > 1").join(pa_, "a", "left").join(pb, "b", "left")
-            .where("coalesce(ca, a) <> coalesce(cb, b)"))
-    second = _confirm(rest, texts, size, percent, "forest-second")
-    linked = linked.union(second.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
-    stars = part.select(F.col("id").alias("u"), F.col("component").alias("v"))
-    final = components(stars.union(second.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    part = components(linked)
+    known = part.select(F.col("id").alias("rep"), "component")
+    placed = classes.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    further = candidates(placed, percent, NEAR).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    more = (_confirm(materialize(further, "forest-further"), docs, size, percent).where("linked")
+            .select(F.col("a").alias("u"), F.col("b").alias("v")))
+    linked = linked.union(more)
+    if not more.isEmpty():
+        part = components(part.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more))
     per_class = materialize(classes.select("set_key", "rep").join(
-        final.withColumnRenamed("id", "rep"), "rep", "left")
+        part.withColumnRenamed("id", "rep"), "rep", "left")
         .select("set_key", "rep", F.coalesce("component", "rep").alias("component")), "forest-components")
     return slim.drop("sig"), per_class, linked
 
@@ -276,5 +272,6 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
 
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with the columns of ``docs``; rows without an id stay."""
-    dropped = near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = materialize(near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct(),
+                          "forest-dropped")
+    return rows_not_in(docs, dropped, "doc_id", FILTER_BITS)
