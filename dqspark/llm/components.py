@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from dqspark.llm.common import materialize
 
-SALTS = 16
+SALTS = 4
 
 
 def _with_smallest(edges: DataFrame) -> DataFrame:

@@ -15,8 +15,8 @@ the rows at their ends to one more pass, so no neighbours are lost there.
 A pair is a candidate if set sizes allow the similarity and a 4-bit sketch of
 the signature doesn't speak clearly against it; candidates are confirmed on
 the full sets, rebuilt from the texts.  The orders are walked twice: first
-next neighbours are confirmed, then, with the components so far attached to
-the rows, further neighbours of different components, so a large group of near
+the next neighbours in ``CHAINS`` trees are confirmed, then, with the
+components so far attached to the rows, all neighbours of different components, so a large group of near
 copies is chained rather than paired.  Components come from ``components``.
 
 A link at the threshold 0.8 shares a prefix of 3 in one tree with probability
@@ -47,6 +47,7 @@ TREES = 16
 DEPTH = 8
 MIN_DEPTH = 3
 NEAR = 16
+CHAINS = 4                  # trees whose next neighbours are confirmed first
 AGREE = 38                  # sketch positions of 64 that a candidate pair shares: 4.5 deviations below 0.8
 FILTER_BITS = 1 << 22       # of the membership filter: 65,536 rows of two numbers at most
 
@@ -113,18 +114,20 @@ ROW = ["tree", "key", "rep", "n", "component", "sketch"]
 ROW_TYPE = "tree int, key binary, rep long, n long, component long, sketch binary"
 
 
-def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _grown(trees: int):
     """A row per class and tree: its key in the tree's order, its sketch."""
-    for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDS)
-        nibble = (sig & np.uint32(15)).astype(np.uint8)
-        sketch = [x.tobytes() for x in nibble[:, ::2] | (nibble[:, 1::2] << 4)]
-        for tree, order in enumerate(_ORDERS):
-            keys = [x.tobytes() for x in sig[:, order].astype(">u4")]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sig), tree, np.int32)), pa.array(keys, pa.binary()),
-                                              batch.column("rep"), batch.column("n_shingles"),
-                                              batch.column("component"), pa.array(sketch, pa.binary())],
-                                             names=ROW)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDS)
+            nibble = (sig & np.uint32(15)).astype(np.uint8)
+            sketch = [x.tobytes() for x in nibble[:, ::2] | (nibble[:, 1::2] << 4)]
+            for tree, order in enumerate(_ORDERS[:trees]):
+                keys = [x.tobytes() for x in sig[:, order].astype(">u4")]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sig), tree, np.int32)),
+                                                  pa.array(keys, pa.binary()), batch.column("rep"),
+                                                  batch.column("n_shingles"), batch.column("component"),
+                                                  pa.array(sketch, pa.binary())], names=ROW)
+    return run
 
 
 _NIBBLES = np.uint64(0x1111111111111111)
@@ -189,11 +192,11 @@ def _neighbours(percent: int, near: int, with_ends: bool):
     return run
 
 
-def candidates(classes: DataFrame, percent: int, near: int) -> DataFrame:
-    """``a, b``: neighbours in some tree (classes: rep, n_shingles, sig, component) of different components."""
+def candidates(classes: DataFrame, percent: int, near: int, trees: int) -> DataFrame:
+    """``a, b``: neighbours in some of the first ``trees`` (classes: rep, n_shingles, sig, component) of different components."""
     spark = classes.sparkSession
     order = ["tree", "key", "rep"]
-    grown = classes.select("rep", "n_shingles", "sig", "component").mapInArrow(_grown, ROW_TYPE)
+    grown = classes.select("rep", "n_shingles", "sig", "component").mapInArrow(_grown(trees), ROW_TYPE)
     found = materialize(grown.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
                         .mapInArrow(_neighbours(percent, near, True), CANDIDATE), "forest-found")
     # the two ends of each partition: a bounded table
@@ -244,12 +247,12 @@ def links(docs: DataFrame, size: int = 2, percent: int = 80) -> tuple[DataFrame,
     classes = materialize(slim.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig")),
         "forest-classes")
-    first = _confirm(candidates(classes.withColumn("component", F.col("rep")), percent, 1), docs, size, percent)
+    first = _confirm(candidates(classes.withColumn("component", F.col("rep")), percent, 1, CHAINS), docs, size, percent)
     linked = first.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
     part = components(linked)
     known = part.select(F.col("id").alias("rep"), "component")
     placed = classes.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    further = candidates(placed, percent, NEAR).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    further = candidates(placed, percent, NEAR, TREES).join(first.select("a", "b"), ["a", "b"], "left_anti")
     more = (_confirm(materialize(further, "forest-further"), docs, size, percent).where("linked")
             .select(F.col("a").alias("u"), F.col("b").alias("v")))
     linked = linked.union(more)
