@@ -46,9 +46,9 @@ RATE = 0.1
 PIECE = 8
 MIN_ITEM = 16
 SEGMENT = 512
-WALKS = 4
-KEYS = 16
-BITS = 3
+WALKS = 8
+KEYS = 32
+BITS = 2
 TABLE_BITS = 20
 BLOCK_BYTES = 8 << 20
 SCAN_BYTES = 4 << 20

@@ -67,43 +67,55 @@ def targets(sizes: DataFrame, weights=(5, 2, 1), max_repeat: int = 3) -> DataFra
                       F.least(F.col("limit").cast("double"), level * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, weights=(5, 2, 1), max_repeat: int = 3, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken and the rank of every document."""
+def mix(docs: DataFrame, weights=(5, 2, 1), max_repeat: int = 3, seed: str = SEED, carry: bool = False) -> DataFrame:
+    """doc_id, size, source_size, target, taken and rank of every document.
+
+    With ``carry``: all columns of ``docs`` (those named like a result are
+    replaced), read again so that texts aren't shuffled.
+    """
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary")), F.lit(""))
-    slim = materialize(docs.select("doc_id", "source", size_of().alias("size"),
-                                   uniform(key, seed).alias("u")), "mix-sizes")
+    drawn = [size_of().alias("size"), uniform(key, seed).alias("u")]
+    slim = materialize(docs.select("doc_id", "source", *drawn), "mix-sizes")
+    base = (docs.select(F.struct("*").alias("row"), "doc_id", "source", *drawn) if carry
+            else slim.withColumn("row", F.lit(None).cast("int")))
     per = materialize(targets(slim, weights, max_repeat), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    per = (per.withColumn("copies", F.floor(ratio))
+    per = (per.withColumnRenamed("source", "of_source").withColumn("copies", F.floor(ratio))
            .withColumn("pi", ratio - F.col("copies"))
            .withColumn("due", F.greatest(F.round("target").cast("long")
                                          - F.col("copies") * F.col("source_size"), F.lit(0))))
-    p = per.withColumnRenamed("source", "of_source")
-    odds = lambda x: x / (1 - x)
-    ranked = (slim.join(p, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-              .withColumn("rank", F.when(F.col("pi") > 0, odds(F.col("u")) / odds(F.col("pi")))
-                          .otherwise(F.lit(float("inf"))))
-              .withColumn("bin", F.when(F.col("pi") > 0, F.floor(
-                  F.col("rank") / (1 + F.col("rank")) * BUCKETS)).otherwise(BUCKETS).cast("int")))
-    binned = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("due").alias("due"))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        odds = lambda x: x / (1 - x)
+        return (rows.join(per, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
+                .withColumn("rank", F.when(F.col("pi") > 0, odds(F.col("u")) / odds(F.col("pi")))
+                            .otherwise(F.lit(float("inf"))))
+                .withColumn("bin", F.when(F.col("pi") > 0, F.floor(
+                    F.col("rank") / (1 + F.col("rank")) * BUCKETS)).otherwise(BUCKETS).cast("int")))
+
+    binned = ranked(slim).groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("due").alias("due"))
     upto = Window.partitionBy("source").orderBy("bin")
     binned = binned.withColumn("before", F.sum("words").over(upto) - F.col("words"))
     border = materialize(binned.where((F.col("before") < F.col("due"))
                                       & (F.col("before") + F.col("words") >= F.col("due")))
                          .select(F.col("source").alias("of_source"), F.col("bin").alias("border"), "before"),
                          "mix-border")
-    placed = (ranked.join(border, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
+    placed = (ranked(base).join(border, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
               .withColumn("border", F.coalesce("border", F.lit(-1))))
-    base = F.col("copies") * F.col("size")
-    keep = ["doc_id", "size", "source_size", "target"]
+    copies = F.col("copies") * F.col("size")
+    keep = ["row", "doc_id", "size", "source_size", "target"]
     whole = placed.where(F.col("bin") != F.col("border")).select(
-        *keep, (base + F.when(F.col("bin") < F.col("border"), F.col("size")).otherwise(0)).alias("taken"), "rank")
+        *keep, (copies + F.when(F.col("bin") < F.col("border"), F.col("size")).otherwise(0)).alias("taken"), "rank")
     order = Window.partitionBy("source").orderBy("rank", "doc_id", "size") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at_border = (placed.where(F.col("bin") == F.col("border"))
                  .withColumn("room", F.col("due") - F.col("before") - F.sum("size").over(order) + F.col("size"))
-                 .select(*keep, (base + F.greatest(F.lit(0), F.least("size", "room"))).alias("taken"), "rank"))
-    return whole.unionByName(at_border)
+                 .select(*keep, (copies + F.greatest(F.lit(0), F.least("size", "room"))).alias("taken"), "rank"))
+    out = whole.unionByName(at_border)
+    if not carry:
+        return out.drop("row")
+    added = ["size", "source_size", "target", "taken", "rank"]
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 ORACLE = r"""

@@ -180,24 +180,32 @@ def _ip(s: str, key: bytes, invert: bool) -> str | None:
     return ".".join(map(str, number.to_bytes(4, "big")))
 
 
-_DATES = ((re.compile(r"(\d{4})-(\d{2})-(\d{2})"), (0, 1, 2)), (re.compile(r"(\d{4})/(\d{2})/(\d{2})"), (0, 1, 2)),
-          (re.compile(r"(\d{2})/(\d{2})/(\d{4})"), (2, 0, 1)), (re.compile(r"(\d{2})\.(\d{2})\.(\d{4})"), (2, 1, 0)))
+_SLASHES = re.compile(r"(\d{2})/(\d{2})/(\d{4})")
+# pattern, places of year, month and day, smallest day: month first where that is a date, else day first
+_DATES = ((re.compile(r"(\d{4})-(\d{2})-(\d{2})"), (0, 1, 2), 1), (re.compile(r"(\d{4})/(\d{2})/(\d{2})"), (0, 1, 2), 1),
+          (_SLASHES, (2, 0, 1), 1), (_SLASHES, (2, 1, 0), 13), (re.compile(r"(\d{2})\.(\d{2})\.(\d{4})"), (2, 1, 0), 1))
 
 
 def _date(s: str, key: bytes, invert: bool) -> str | None:
-    for pattern, (y, m, d) in _DATES:
-        if found := pattern.fullmatch(s):
-            parts = [int(x) for x in found.groups()]
-            try:
-                day = datetime.date(parts[y], parts[m], parts[d]).toordinal() - FIRST_DAY
-            except ValueError:
-                return None
-            if not 0 <= day < DAYS:
-                return None
-            f = Feistel(key, "date", DAYS)
-            new = datetime.date.fromordinal(FIRST_DAY + (f.invert(day) if invert else f.apply(day)))
-            parts[y], parts[m], parts[d] = new.year, new.month, new.day
-            return _refill(s, "".join(f"{x:0{len(g)}d}" for x, g in zip(parts, found.groups(), strict=True)))
+    for pattern, (y, m, d), least in _DATES:
+        found = pattern.fullmatch(s)
+        if not found:
+            continue
+        parts = [int(x) for x in found.groups()]
+        try:
+            number = datetime.date(parts[y], parts[m], parts[d]).toordinal() - FIRST_DAY
+        except ValueError:
+            continue
+        if not 0 <= number < DAYS:
+            continue
+        f = Feistel(key, f"date{least}", DAYS)
+        while True:         # cycle walking within the days that the order of the parts allows
+            number = f.invert(number) if invert else f.apply(number)
+            new = datetime.date.fromordinal(FIRST_DAY + number)
+            if new.day >= least:
+                break
+        parts[y], parts[m], parts[d] = new.year, new.month, new.day
+        return _refill(s, "".join(f"{x:0{len(g)}d}" for x, g in zip(parts, found.groups(), strict=True)))
     return None
 
 

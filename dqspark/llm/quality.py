@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqspark.llm.common import fold, groups, prepare, span_hashes, utf8, words
+from dqspark.llm.common import fold, fresh, groups, prepare, span_hashes, utf8, words
 
 WORD_BITS = 15
 GRAM_BITS = 15
@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> np.nd
     counted = texts.mapInArrow(_counted, "label int, key long, ids binary, weights binary")
     model = (counted.repartition(1).sortWithinPartitions("key", "label")
              .mapInArrow(_trained, "model binary").first())
-    return np.frombuffer(model["model"], np.float32)
+    return np.frombuffer(model["model"], np.float32) if model else train([])     # no row: nothing to learn from
 
 
 def score_texts(column: pa.Array, model: np.ndarray) -> np.ndarray:
@@ -169,7 +169,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier doesn't reject, with the columns of ``docs``."""
-    name = "quality_score"
-    while name in docs.columns:
-        name += "_"
+    name = fresh(docs, "quality_score")
     return score(docs, fit(docs, labels), name).where(F.col(name) >= threshold).select(*docs.columns)

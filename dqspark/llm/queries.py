@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from dqspark.llm import chat, decontam, fingerprints, forest, langid, mixing, pii, quality, suffix, warc
 from dqspark.llm.common import prepare
 from dqspark.sources.tables import table
@@ -63,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix": op8_suffix,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {

@@ -43,7 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqspark.llm.common import groups, materialize, mix64, powers, prepare, shuffle_partitions, span_hashes, utf8
+from dqspark.llm.common import (groups, materialize, mix64, possibly_in, powers, prepare, rows_in, shuffle_partitions,
+                                span_hashes, utf8)
 
 SPAN = 200
 GRAM = 32
@@ -301,20 +302,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["key", "removed", "spans", "rest"])
 
 
-def _filtered(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` may be in ``ids`` by a bit filter of fixed size (none in ids is lost)."""
-    h = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    bits = (ids.select(h.alias("h")).selectExpr("h div 64 as part", "shiftleft(1L, int(h % 64)) as bit")
-            .groupBy("part").agg(F.bit_or("bit").alias("bits")))
-    hashed = rows.withColumn("h", h).withColumn("part", F.expr("h div 64"))
-    return (hashed.join(F.broadcast(bits), "part").where("shiftright(bits, int(h % 64)) & 1 = 1")
-            .select(*rows.columns))
-
-
 def _texts(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """key and text of the texts in ``keys``, once each."""
-    return (_filtered(rows, keys, "key").groupBy("key").agg(F.first("text").alias("text"))
-            .join(keys, "key", "left_semi"))
+    may, flag = possibly_in(rows, keys, "key", FILTER_BITS)
+    return may.where(flag).groupBy("key").agg(F.first("text").alias("text")).join(keys, "key", "left_semi")
 
 
 def repeated_ranges(rows: DataFrame) -> DataFrame:
@@ -325,7 +316,7 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
                          .agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a <> b").select("anchor"),
                          "suffix-anchors")
     runs = rows.mapInArrow(_runs, "anchor long, body long, key binary, low int, high int, place long")
-    runs = materialize(_filtered(runs, shared, "anchor").join(shared, "anchor", "left_semi"), "suffix-runs")
+    runs = materialize(rows_in(runs, shared, "anchor", FILTER_BITS), "suffix-runs")
     classes = materialize(runs.groupBy("anchor", "body").agg(
         (F.min("place") != F.max("place")).alias("whole"), F.min("place").alias("rep")), "suffix-classes")
     several = materialize(classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"),
