@@ -129,9 +129,22 @@ def smallest(values: np.ndarray, k: int = SKETCH) -> np.ndarray:
     return np.unique(values)[:k]
 
 
+def pack(sketch: np.ndarray) -> str:
+    """Differences of the sorted values in as few bytes each as the largest needs, after that number."""
+    steps = np.diff(sketch.astype("<u4"), prepend=np.uint32(0)).astype("<u4")
+    width = (int(steps.max(initial=1)).bit_length() + 7) // 8
+    return f"{width}{base64.b64encode(steps.view(np.uint8).reshape(-1, 4)[:, :width].tobytes()).decode()}"
+
+
+def unpack(packed: str) -> np.ndarray:
+    raw = np.frombuffer(base64.b64decode(packed[1:]), np.uint8).reshape(-1, int(packed[0]))
+    steps = np.zeros((len(raw), 4), np.uint8)
+    steps[:, :raw.shape[1]] = raw
+    return np.cumsum(steps.view("<u4")[:, 0], dtype=np.uint32)
+
+
 def render(p: PrefixHash, sketch: np.ndarray) -> str:
-    packed = base64.b64encode(sketch.astype("<u4").tobytes()).decode()
-    return f"{p.n}-{p.span(0, p.n):016x}-{packed}"
+    return f"{p.n}-{p.span(0, p.n):016x}-{pack(sketch)}"
 
 
 def fingerprint(text: str | None) -> str:
@@ -148,8 +161,7 @@ def _likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def likeness(a: str, b: str) -> float:
     """Likeness of two fingerprints, 0 to 1."""
-    parts = [np.frombuffer(base64.b64decode(x.split("-")[2]), "<u4") for x in (a, b)]
-    return _likeness(*parts)
+    return _likeness(*(unpack(x.split("-")[2]) for x in (a, b)))
 
 
 class _Doc:
