@@ -43,7 +43,8 @@ WINDOW = 32
 SKETCH = 64
 BLOCK = 1 << 18             # spans hashed at once
 
-_TABLES: dict[int, np.ndarray] = {}
+_INVERSE = {b: pow(b, -1, int(P)) for b in BASES}
+_TABLES: dict[int, np.ndarray] = {b: np.ones(1, np.uint64) for b in (*BASES, *_INVERSE.values())}
 _S31 = np.uint64(31)
 
 
@@ -51,15 +52,15 @@ def _reduce(x: np.ndarray) -> np.ndarray:
     """Modulo 2**31 - 1, for values below 2**64."""
     x = (x & P) + (x >> _S31)
     x = (x & P) + (x >> _S31)
-    return np.where(x >= P, x - P, x)
+    x -= P * (x >= P)
+    return x
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    t = _TABLES.get(base, np.ones(1, np.uint64))
+    t = _TABLES[base]
     while len(t) < n:
         step = np.uint64(pow(base, len(t), int(P)))
-        t = np.concatenate([t, _reduce(t * step)])
-    _TABLES[base] = t
+        t = _TABLES[base] = np.concatenate([t, _reduce(t * step)])
     return t
 
 
@@ -86,12 +87,16 @@ class PrefixHash:
         """62-bit hashes of the spans [i, j), equal for equal spans of any texts."""
         out = []
         for base, h in zip(BASES, self.h, strict=True):
-            inverse = _powers(pow(base, -1, int(P)), self.n + 1)
+            inverse = _powers(_INVERSE[base], self.n + 1)
             out.append(_reduce(_reduce(h[j] + P - h[i]) * inverse[i]))
         return (out[0] << _S31) | out[1]
 
     def span(self, i: int, j: int) -> int:
-        return int(self.spans(np.array([i]), np.array([j]))[0])
+        """The hash of one span, as by ``spans``."""
+        p, out = int(P), 0
+        for base, h in zip(BASES, self.h, strict=True):
+            out = out << 31 | (int(h[j]) - int(h[i])) * int(_powers(_INVERSE[base], self.n + 1)[i]) % p
+        return out
 
 
 def common_extension(a: PrefixHash, i: int, b: PrefixHash, j: int) -> int:
@@ -120,13 +125,18 @@ def window_values(p: PrefixHash, first: int = 0) -> np.ndarray:
     return out
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def smallest(values: np.ndarray, k: int = SKETCH) -> np.ndarray:
     """The k smallest distinct values, sorted."""
     if len(values) > 4 * k:
-        low = np.unique(np.partition(values, 4 * k)[:4 * k])
+        low = _distinct(np.partition(values, 4 * k)[:4 * k])
         if len(low) >= k:
             return low[:k]
-    return np.unique(values)[:k]
+    return _distinct(values)[:k]
 
 
 def pack(sketch: np.ndarray) -> str:
@@ -155,8 +165,10 @@ def fingerprint(text: str | None) -> str:
 def _likeness(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)[:SKETCH]
-    return float(np.isin(union, np.intersect1d(a, b)).sum() / len(union))
+    both = np.sort(np.concatenate([a, b]))
+    union = _distinct(both)[:SKETCH]
+    common = both[1:][both[1:] == both[:-1]]
+    return float((common <= union[-1]).sum() / len(union))
 
 
 def likeness(a: str, b: str) -> float:
