@@ -278,3 +278,22 @@ def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     dropped = materialize(near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct(),
                           "forest-dropped")
     return rows_not_in(docs, dropped, "doc_id", FILTER_BITS)
+
+
+ORACLE = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as ws
+  from documents),
+sh as (
+  select distinct doc_id, unnest(case when len(ws) < 2 then ws
+    else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) end) as s from w),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as c from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by all),
+half as (select x, y from c join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 80 * (nx.n + ny.n - c)),
+link as (select x, y from half union all select y, x from half),
+reach(id, m) as (select doc_id, doc_id from n union select link.y, reach.m from reach join link on link.x = reach.id where link.y > reach.m),
+least_of as (select id, min(m) as m from reach group by id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(m, d.doc_id) as component_id, coalesce(m, d.doc_id) = d.doc_id as kept
+from documents d left join n using (doc_id) left join least_of on id = d.doc_id
+"""
