@@ -70,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op6_mixing": mixing.ORACLE,
     "op7_forest": forest.ORACLE,
+    "op8_suffix": suffix.ORACLE,
     "op10_warc": warc.ORACLE,
 }

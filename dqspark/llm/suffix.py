@@ -370,3 +370,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
                     F.when(F.col("copied"), F.lit(hashlib.sha256(b"").hexdigest()))
                     .otherwise(F.coalesce("rest", "sha")).alias("kept_sha256")))
+
+
+ORACLE = r"""
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n,
+                  sha256(coalesce(text, '')) as whole from documents),
+piece as (select r, n, s, substr(h, 2 * s - 1, 898) as t from (select r, h, n, unnest(range(1, n - 198, 250)) as s from d where n >= 200)),
+k as (select r, s + q as p, md5(substr(t, 2 * q + 1, 400)) as m
+      from (select r, s, t, unnest(range(0, least(250, n - 198 - s))) as q from piece)),
+rep as (select r, p from k join (select m from k group by m having count(*) > 1) using (m)),
+g as (select r, p, sum(case when p <= prev + 200 then 0 else 1 end) over (partition by r order by p) as grp
+      from (select r, p, lag(p) over (partition by r order by p) as prev from rep)),
+spans as (select r, min(p) as a, max(p) + 200 as z from g group by r, grp),
+cut as (select r, a, z, coalesce(lag(z) over (partition by r order by a), 1) as b from spans),
+kept as (select r, count(*) as n_spans, sum(z - a)::bigint as n_removed,
+                string_agg(substr(h, 2 * b - 1, 2 * (a - b)), '' order by a) || substr(any_value(h), 2 * max(z) - 1) as rest
+         from cut join d using (r) group by r)
+select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       case when rest is null then whole else sha256(unhex(rest)) end as kept_sha256
+from d left join kept using (r)
+"""
