@@ -7,10 +7,8 @@ one row.  Each class gets a signature of ``COORDS`` minima; each of ``TREES``
 trees sorts the classes by its own sequence of ``DEPTH`` coordinates.  The
 sorted order is range partitioned over the cluster; the candidates of a class
 are its ``NEAR`` following neighbours that share a prefix of ``MIN_DEPTH``
-coordinates or more.  In a sparse region that depth is used in full; where many
-classes share a prefix the nearest ones are those of longer common prefixes,
-so the depth adapts to each region and the work stays linear.  Partitions hand
-the rows at their ends to one more pass, so no neighbours are lost there.
+coordinates or more.  Partitions hand the rows at their ends to one more pass,
+so no neighbours are lost there.
 
 A pair is a candidate if set sizes allow the similarity and a 4-bit sketch of
 the signature doesn't speak clearly against it; candidates are confirmed on
@@ -19,8 +17,15 @@ the next neighbours in ``CHAINS`` trees are confirmed, then, with the
 components so far attached to the rows, all neighbours of different components, so a large group of near
 copies is chained rather than paired.  Components come from ``components``.
 
+The window counts rows, whatever their size or component, so a prefix that
+more classes share isn't covered by it.  Where such a prefix still holds
+several components, ``finished`` compares its classes on the full sets, with no
+window and no sketch.  That work grows with the square of the classes of a
+prefix outside its largest component (dealt to tasks by pairs of blocks).
+
 A link at the threshold 0.8 shares a prefix of 3 in one tree with probability
-0.51 and is missed by all 16 trees with 1e-5.
+0.51 and in none of the 16 with 1e-5.  Where a prefix is shared by few, the
+sketch also rejects such a link with 1.3e-5.
 
 Defined results: an empty text (or null) has an empty set, is linked with
 nothing and is its own component; a row without an id is left alone

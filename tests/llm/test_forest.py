@@ -5,6 +5,7 @@ import random
 import numpy as np
 
 from dqspark.llm import forest
+from tests.llm import brute
 
 
 def _edited(rng, words, k):
@@ -23,6 +24,20 @@ def test_copies_linked_only_through_their_base(spark):
     assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
 
 
+def test_pairs_among_many_of_one_template(spark):
+    """Pairs are found among documents that share a template without being linked by it."""
+    rng = random.Random(3)
+    template = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(500):
+        words = template + [f"p{i}x{k}" for k in range(55)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, _edited(rng, words, 14))]
+    got = forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = brute.near_groups(rows)
+    assert len({c for _, c in expected.values()}) == 500
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
+
+
 def test_overlaps_and_spanning():
     rng = np.random.default_rng(6)
     a, b = ([np.unique(rng.integers(0, high, rng.integers(1, 60)).astype(np.uint64)) for _ in range(n)]
