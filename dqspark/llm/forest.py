@@ -29,8 +29,9 @@ sketch also rejects such a link with 1.3e-5.
 
 Defined results: an empty text (or null) has an empty set, is linked with
 nothing and is its own component; a row without an id is left alone
-(component null, kept); rows with the same id are one document; an empty table
-gives an empty result; other columns are ignored.
+(component null, kept); rows with the same id are one document, linked with
+whatever any of its texts is linked with; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations

@@ -38,6 +38,15 @@ def test_pairs_among_many_of_one_template(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
 
 
+def test_one_id_with_two_texts(spark):
+    """A near copy of either text of an id is linked with it."""
+    rng = random.Random(4)
+    one, two = ([f"{c}{i}" for i in range(200)] for c in "az")
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, _edited(rng, one, 3)), (3, _edited(rng, two, 3))]
+    got = forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in got} == {1}
+
+
 def test_overlaps_and_spanning():
     rng = np.random.default_rng(6)
     a, b = ([np.unique(rng.integers(0, high, rng.integers(1, 60)).astype(np.uint64)) for _ in range(n)]
