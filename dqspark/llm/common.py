@@ -160,3 +160,20 @@ def rows_not_in(rows: DataFrame, ids: DataFrame, column: str, bits: int) -> Data
     flagged, flag = possibly_in(rows, ids, column, bits)
     return (flagged.where(~F.col(flag)).drop(flag)
             .unionByName(flagged.where(F.col(flag)).drop(flag).join(ids, column, "left_anti")))
+
+
+def bitmap(rows: DataFrame, position, bits: int) -> np.ndarray:
+    """``bits / 64`` words with the bit at ``position`` (0 to bits - 1, a column) of every row set.
+
+    A filter of fixed size: ``bits / 8`` bytes reach the driver, whatever the number of rows.
+    """
+    parts = (rows.select(position.alias("h")).selectExpr("h div 64 as part", "shiftleft(1L, int(h % 64)) as bit")
+             .groupBy("part").agg(F.bit_or("bit").alias("mask")).toArrow())
+    out = np.zeros(bits // 64, np.int64)
+    out[parts["part"].to_numpy()] = parts["mask"].to_numpy()
+    return out.view(np.uint64)
+
+
+def marked(filter_words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the bit at each of the places (unsigned) is set."""
+    return (filter_words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1

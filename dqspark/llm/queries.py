@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-from dqspark.llm import chat, decontam, fingerprints, forest, langid, mixing, pii, quality, suffix, warc
+from dqspark.llm import (chat, collocations, decontam, fingerprints, forest, jaccard, langid, mixing, pii, quality, suffix,
+                         vectorcodes, warc)
 from dqspark.llm.common import prepare
 from dqspark.sources.tables import table
 
@@ -53,6 +53,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
@@ -64,7 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix": op8_suffix,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
-    "pipeline": corpus_pipeline.run,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_collocations": op12_collocations,
+    "op13_jaccard": op13_jaccard,
 }
 
 ORACLE: dict[str, str] = {
@@ -72,4 +86,7 @@ ORACLE: dict[str, str] = {
     "op7_forest": forest.ORACLE,
     "op8_suffix": suffix.ORACLE,
     "op10_warc": warc.ORACLE,
+    "op11_vector_codes": vectorcodes.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_jaccard": jaccard.ORACLE,
 }

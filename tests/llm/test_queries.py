@@ -28,7 +28,8 @@ def rows(spark, name, *columns):
     return [tuple(r) for r in E.queries()[name](spark, SF_SMALL).select(*columns).collect()]
 
 
-@pytest.mark.parametrize("name", ["op6_mixing", "op7_forest", "op8_suffix", "op10_warc"])
+@pytest.mark.parametrize("name", ["op6_mixing", "op7_forest", "op8_suffix", "op10_warc", "op11_vector_codes",
+                                  "op12_collocations", "op13_jaccard"])
 def test_against_sql(spark, duck, name):
     rel = duck.sql(E.oracle_sql()[name])
     columns = sorted(rel.columns)
