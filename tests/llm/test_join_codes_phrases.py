@@ -103,10 +103,13 @@ def plain_phrases(rows, top, least=10, cover=50):
                     f[lang, tuple(words[i:i + k])] += 1
     found = {}
     cand = {key: a for key, a in f.items() if len(key[1]) > 1 and a >= least}
+    longer = {}
+    for (lang, p), a in cand.items():
+        for part in (p[:2], p[1:]) if len(p) == 3 else ():
+            longer[lang, part] = max(a, longer.get((lang, part), 0))
     for (lang, p), a in cand.items():
         s, k = min((1000000 * a * a // (f[lang, p[:k]] * f[lang, p[k:]]), k) for k in range(1, len(p)))
-        if len(p) == 2 and any(100 * b >= cover * a for (other, q), b in cand.items()
-                               if other == lang and len(q) == 3 and p in (q[:2], q[1:])):
+        if len(p) == 2 and 100 * longer.get((lang, p), -1) >= cover * a:
             continue
         found.setdefault(lang, []).append((-s, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]]))
     return sorted((lang, i + 1, p.decode(), -a, left, r, n[lang], -s) for lang, rows in found.items()
