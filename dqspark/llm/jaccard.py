@@ -24,10 +24,11 @@ those in more than ``FREQUENT`` are in one filter of fixed size, those in two or
 more in another: a rare assessed token outside it stands in no other document
 and is no signature.  The filters' false positives cost time, never a link.
 
-Verification, in two rounds.  Within each signature, sorted by the number of
-rare tokens, every row meets the first and the next one: pairs are linear in
-the rows, and a group of near copies hangs on its core.  Then, with the
-components so far, signatures that still hold several are completed: all pairs
+Verification, in two rounds.  First, within the ``CHAINS`` smallest signatures
+of each document, sorted by the number of rare tokens, every row meets the first
+and the next one: pairs are linear in the documents, and a group of near copies
+hangs on its core.  Then, with the
+components so far, all signatures that still hold several are completed: all pairs
 of different components, the rows of its largest component only with the others,
 in blocks dealt over the tasks.  A parity bitmap of each set (its differing bits
 can't outnumber the differing tokens) drops pairs before sets are read; the rest is
@@ -62,6 +63,7 @@ SINGLES = 16                # smallest size whose band has subclasses
 TOKEN_BITS = 1 << 24        # of the filters of tokens: 2 MB
 ID_BITS = 1 << 22
 PARITY = 1024               # bits of a set's parity bitmap
+CHAINS = 3                  # signatures of a document that are looked at first
 BLOCK = 1024                # rows of a signature that are compared in one task
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -343,7 +345,7 @@ def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame,
                                          "doc_id long, n long, rare int, bits binary, sigs array<long>").where("size(sigs) > 0"),
                          "join-signed")
     order = ["sig", "rare", "doc_id"]
-    rows = signed.select(F.explode("sigs").alias("sig"), "rare", "doc_id", "n")
+    rows = signed.select(F.explode(F.slice("sigs", 1, CHAINS)).alias("sig"), "rare", "doc_id", "n")
     pairs = materialize(rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
                         .mapInArrow(_first_and_next(percent), "a long, b long").distinct(), "join-pairs")
     bits = signed.select("doc_id", "n", "bits").distinct()
