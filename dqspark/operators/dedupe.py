@@ -12,19 +12,23 @@ copies are never paired one by one, neither for the pairs nor for their count.
 
 Plan:
 
-1. ``classes``: rows grouped by (group columns, text) with multiplicity ``m``.
-2. Lossless candidates by q-gram prefixes: with ``indel(a, b) <= k`` at most
-   ``k*q`` distinct padded q-grams of one text are missing from the other, so
-   under any fixed order of the q-grams the first ``k*q + 1`` of two matching
-   texts intersect.  The order is that of the q-grams' hashes, so a text's
-   prefix is made within its row; candidates are an equi-join on
-   ``(group, q-gram)``, never a cross product.
-3. A pair that shares several prefix q-grams is kept at the smallest of them
-   only.  Q-grams carried by more than ``bucket`` texts of a group have their
-   key split, so that each pair still meets exactly once, in tasks of bounded
-   size; the plan is the same for all sizes.
+1. ``classes``: rows grouped by (group columns, text) with multiplicity ``m``,
+   numbered and written once.
+2. Lossless candidates by pigeonhole segments: the shorter text of a pair is cut
+   into ``k + 1`` disjoint pieces, ``k`` the most edits any partner may be away
+   (a function of its length), so at least one piece stands in the longer
+   text unchanged.  Where it may stand follows from the pieces before and after
+   it: at most one edit per earlier piece moves it from the left, at most one
+   per later piece from the right (multi-match-aware positions).  Pieces and
+   such substrings are joined on a hash of (group, length, piece number,
+   characters), never a cross product; only hashes and class numbers travel.
+3. Pairs of numbers are made distinct and written; texts are attached to those
+   only, so no distance is computed twice.  Pieces carried by more than
+   ``bucket`` texts have their key split, with the probing rows once per part;
+   the plan is the same for all sizes.
 4. Built-in prefilters (length bound, ``levenshtein(a, b, k) >= 0`` since
-   ``lev <= indel``), then the exact LCS in an Arrow UDF.
+   ``lev <= indel``), then the exact LCS in an Arrow UDF.  The result is written
+   before it is sorted, as a range sort reads its input twice.
 """
 
 from __future__ import annotations
@@ -37,10 +41,7 @@ from pyspark.sql import functions as F
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
 from dqspark.functions.similarity import lcs_udf, similarity_from_lcs
-
-PAD_LEFT = "\u0001"
-PAD_RIGHT = "\u0002"
-
+from dqspark.session import written
 
 @dataclass
 class FuzzyConfig:
@@ -50,8 +51,7 @@ class FuzzyConfig:
     blocks: tuple = ("department", "municipality")
     differentiators: tuple = ("director", "sector")
     threshold: int = K.FUZZY_THRESHOLD
-    q: int = 3
-    bucket: int = 1000      # texts per q-gram and group beyond which its join key is split
+    bucket: int = 1000      # texts per piece beyond which its join key is split
 
     def group_columns(self) -> list[str]:
         return [*self.blocks, *self.differentiators]
@@ -87,36 +87,63 @@ def classes(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
             .withColumn("len", F.length("ts")))
 
 
+def numbered_classes(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """``classes`` with a number ``id`` each, written once."""
+    return written(classes(df, cfg).withColumn("id", F.monotonically_increasing_id()), "fuzzy-classes")
+
+
+def _pieces(length: Column, t: int) -> Column:
+    """Number, start (from 0) and size of the pieces of a text of this length, as an array."""
+    many = _max_k(length, t) + 1
+    size, long = F.floor(length / many), F.pmod(length, many)       # the last ``long`` pieces are one longer
+    return F.transform(F.sequence(F.lit(0), many - 1), lambda i: F.struct(
+        i.alias("i"), (i * size + F.greatest(F.lit(0), i - many + long)).cast("int").alias("start"),
+        (size + (i >= many - long).cast("int")).cast("int").alias("size")))
+
+
+def _piece_key(length: Column, piece: Column, characters: Column) -> Column:
+    return F.xxhash64("gid", length, piece["i"], characters)
+
+
+def candidate_ids(texts: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """``(a, b)``: numbers of the classes that share a piece where it may stand, each pair once; a is the shorter."""
+    t = cfg.threshold
+    held = (texts.select("gid", "id", "ts", "len", F.explode(_pieces(F.col("len"), t)).alias("p"))
+            .select(F.col("id").alias("a"), F.col("len").alias("la"), F.col("ts").alias("ta"),
+                    _piece_key(F.col("len"), F.col("p"), F.col("ts").substr(F.col("p.start") + 1, F.col("p.size"))).alias("key")))
+    probes = (texts.select("gid", "id", "ts", "len", F.explode(F.sequence(
+        F.ceil(F.col("len") * t / (200 - t)).cast("int"), F.col("len"))).alias("la"))
+        .select("*", _max_k(F.col("la"), t).alias("k"), F.explode(_pieces(F.col("la"), t)).alias("p")))
+    p, more = F.col("p"), F.col("len") - F.col("la")
+    first = F.greatest(F.lit(0), p["start"] - p["i"], p["start"] + more - (F.col("k") - p["i"]))
+    last = F.least(F.col("len") - p["size"], p["start"] + p["i"], p["start"] + more + (F.col("k") - p["i"]))
+    probes = (probes.withColumn("first", first).withColumn("last", last).where("first <= last")
+              .select("gid", F.col("id").alias("b"), "len", "ts", "la", "p", F.explode(F.sequence("first", "last")).alias("at"))
+              .select("b", F.col("len").alias("lb"), F.col("ts").alias("tb"),
+                      _piece_key(F.col("la"), F.col("p"), F.col("ts").substr(F.col("at") + 1, F.col("p.size"))).alias("key")))
+    order = F.xxhash64("ta"), F.xxhash64("tb")      # of two texts of one length, one is cut and the other probed
+    held = held.select("a", "la", order[0].alias("ha"), "key")
+    probes = probes.select("b", "lb", order[1].alias("hb"), "key").distinct()
+    # only pieces of more than ``bucket`` texts are in this table: it shrinks as they get rarer
+    crowded = (held.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") > cfg.bucket)
+               .select("key", F.ceil(F.col("f") / cfg.bucket).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    held = held.join(crowded, "key", "left").withColumn("part", F.pmod(F.xxhash64("a"), parts).cast("int"))
+    probes = probes.join(crowded, "key", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    pairs = held.join(probes, ["key", "part"]).where(
+        (F.col("la") < F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.struct("ha", "a") < F.struct("hb", "b"))))
+    return pairs.select("a", "b").distinct()
+
+
 def candidate_pairs(texts: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
     """``(gid, ta, tb, la, lb, ma, mb)`` with ``ta < tb``: every pair of
-    classes that can reach the threshold, once."""
-    q, t = cfg.q, cfg.threshold
-    padded = F.concat(F.lit(PAD_LEFT * (q - 1)), F.col("ts"), F.lit(PAD_RIGHT * (q - 1)))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("len") + q - 1),
-                                         lambda i: F.xxhash64(padded.substr(i, F.lit(q)))))
-    prefix = F.slice(F.array_sort(grams), F.lit(1), _max_k(F.col("len"), t) * q + 1)
-    toks = (texts.select("gid", "ts", "len", "m", prefix.alias("p"))
-            .withColumn("tok", F.explode("p")))
-    # only q-grams of more than ``bucket`` texts are in this table: it shrinks as they get rarer
-    crowded = (toks.groupBy("gid", "tok").agg(F.count(F.lit(1)).alias("f"))
-               .where(F.col("f") > cfg.bucket)
-               .select("gid", "tok", F.ceil(F.col("f") / cfg.bucket).cast("int").alias("nb")))
-    toks = (toks.join(crowded, ["gid", "tok"], "left").withColumn("nb", F.coalesce("nb", F.lit(1))))
-    # a left row of bucket b meets right buckets (b, 0..nb-1), a right row of
-    # bucket b left buckets (0..nb-1, b): every pair meets in one place
-    bucket = F.pmod(F.xxhash64("ts", F.lit(7)), F.col("nb")).cast("int")
-    fan = F.sequence(F.lit(0), F.col("nb") - 1)
-    a = toks.select("gid", "tok", "ts", "len", "m", "p", bucket.alias("bi"), F.explode(fan).alias("bj")).alias("a")
-    b = toks.select("gid", "tok", "ts", "len", "m", "p", F.explode(fan).alias("bi"), bucket.alias("bj")).alias("b")
-    la, lb = F.col("a.len"), F.col("b.len")
-    pairs = a.join(b, (F.col("a.gid") == F.col("b.gid")) & (F.col("a.tok") == F.col("b.tok"))
-                   & (F.col("a.bi") == F.col("b.bi")) & (F.col("a.bj") == F.col("b.bj"))
-                   & (F.col("a.ts") < F.col("b.ts"))
-                   # LCS <= min length: 2*min(la, lb) >= t/100 * (la + lb)
-                   & (F.least(la, lb) * 200 >= (la + lb) * t)
-                   & (F.array_min(F.array_intersect(F.col("a.p"), F.col("b.p"))) == F.col("a.tok")))
-    return pairs.select(F.col("a.gid").alias("gid"), F.col("a.ts").alias("ta"), F.col("b.ts").alias("tb"),
-                        la.alias("la"), lb.alias("lb"), F.col("a.m").alias("ma"), F.col("b.m").alias("mb"))
+    numbered classes that can reach the threshold, once."""
+    pairs = written(candidate_ids(texts, cfg), "fuzzy-candidates")
+    side = lambda n: texts.select(F.col("id").alias(n), F.col("gid").alias(f"g{n}"), F.struct("ts", "len", "m").alias(f"c{n}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where("ga = gb")       # keys are hashes
+    low, high = F.least("ca", "cb"), F.greatest("ca", "cb")
+    return both.select(F.col("ga").alias("gid"), low["ts"].alias("ta"), high["ts"].alias("tb"), low["len"].alias("la"),
+                       high["len"].alias("lb"), low["m"].alias("ma"), high["m"].alias("mb"))
 
 
 def _within(cand: DataFrame, t: int) -> DataFrame:
@@ -136,7 +163,7 @@ def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = T
     """Pairs of classes: group columns, ``text_1, text_2, similarity, rows_1,
     rows_2, pairs`` (row pairs they stand for); a class of several rows is a
     pair with itself.  ``fuzzy_members`` tells the rows of each class."""
-    texts = classes(df, cfg)
+    texts = numbered_classes(df, cfg)
     cols = cfg.group_columns()
     groups = texts.select("gid", *cols).distinct()
     out = ["text_1", "text_2", "similarity", "rows_1", "rows_2", "pairs"]
@@ -150,8 +177,8 @@ def fuzzy_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY, ordered: bool = T
     both = across.unionByName(within).select(*cols, *out)
     if not ordered:
         return both
-    # candidates for manual review: most similar first (range-partitioned sort)
-    return both.orderBy(F.desc("similarity"), *[F.col(c).asc_nulls_last() for c in cols], "text_1", "text_2")
+    # candidates for manual review: most similar first (range-partitioned sort of the written pairs)
+    return written(both, "fuzzy-pairs").orderBy(F.desc("similarity"), *[F.col(c).asc_nulls_last() for c in cols], "text_1", "text_2")
 
 
 def fuzzy_members(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
@@ -161,7 +188,7 @@ def fuzzy_members(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
 
 def fuzzy_pairs_count(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
     """Number of matching row pairs, from the classes' row counts."""
-    texts = classes(df, cfg)
+    texts = numbered_classes(df, cfg)
     across = scored_pairs(texts, cfg).select((F.col("ma") * F.col("mb")).alias("pairs"))
     within = texts.where("m > 1").select(F.expr("m * (m - 1) div 2").alias("pairs"))
     return across.union(within).agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("pairs"))
@@ -172,10 +199,10 @@ def lev_prefilter_pairs(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFr
     floor((100 - t) * (la + lb) / 100)``, their distance and exact similarity
     (which may fall below the threshold).
 
-    The prefix filter bounds destroyed q-grams by the edit distance, so it
-    finds every such pair, not only those that reach the threshold.
+    ``k`` edits leave one of ``k + 1`` pieces whole whatever their kind, so
+    every such pair is found, not only those that reach the threshold.
     """
-    texts = classes(df, cfg)
+    texts = numbered_classes(df, cfg)
     cols = cfg.group_columns()
     return (_within(candidate_pairs(texts, cfg), cfg.threshold).join(texts.select("gid", *cols).distinct(), "gid")
             .select(*cols, "ta", "tb", "lev",

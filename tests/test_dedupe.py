@@ -142,3 +142,27 @@ def test_lev_prefilter_finds_every_pair_within_the_bound(spark):
                 expected.add((a, b, d))
     got = {(r.ta, r.tb, r.lev) for r in dedupe.lev_prefilter_pairs(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == expected
+
+
+def test_pieces_find_every_pair_at_lower_thresholds(spark):
+    """Many edits a text: more pieces, down to empty ones; candidates stay near the matches on varied texts."""
+    from pyspark.sql import functions as F
+    rnd = random.Random(21)
+    rows = []
+    for i in range(160):
+        if rows and rnd.random() < 0.5:
+            text = list(rnd.choice(rows)[1])
+            for _ in range(rnd.randrange(1, 5)):
+                at = rnd.randrange(len(text))
+                text[at:at + rnd.randrange(2)] = rnd.choice(["", "A", "XY"])
+            name = "".join(text) or "A"
+        else:
+            name = "".join(rnd.choice("ABCDEFGHIJ ") for _ in range(rnd.choice([3, 12, 30, 60])))
+        rows.append((f"{i:04d}", name.strip() or "B", "C", "D", "M", None, "S"))
+    for t in (85, 55):
+        cfg = dedupe.FuzzyConfig(threshold=t)
+        assert spark_pairs(spark, rows, cfg) == brute_force(rows, t)
+    texts = dedupe.numbered_classes(frame(spark, rows))
+    found, n = dedupe.candidate_ids(texts).count(), texts.count()
+    assert found <= n * (n - 1) / 2 / 20
+    assert texts.select(F.countDistinct("id")).first()[0] == n
