@@ -528,6 +528,18 @@ union all
 select origin, '{_REG[R.municipality]}', {O.strip(R.municipality)}, count(*) from r where valid and {R.municipality} is not null group by all
 """)(lambda spark, sf: ING.file_values(_united(spark, sf), "origen", _REG[R.department], _REG[R.municipality]))
 
+
+def streamed(spark, sf) -> ING.Ingested:
+    """The same export files, loaded as they land by the streaming reader."""
+    path, base = scratch_dir(spark, "landing"), scratch_dir(spark, "stream")
+    LND.write_export(dirty_registry(spark, sf), path, EXPORT_HEADER, LND.file_group(F.col(R.department)), R.key)
+    incremental.ingest_stream(spark, path, f"{base}/out", f"{base}/checkpoint", "*", LND.ORIGIN)
+    return incremental.ingested(spark, f"{base}/out")
+
+
+register("stream_ingest_ledger", ORACLE["ingest_ledger"])(lambda spark, sf: streamed(spark, sf).ledger)
+register("stream_ingest_union", ORACLE["strict_union"])(lambda spark, sf: ING.strict_union(streamed(spark, sf)))
+
 # ---------------------------------------------------------------- S1, K1, K2, K8
 
 

@@ -1,8 +1,8 @@
 """Ingest messy delimited exports into rows with lineage and a per-file ledger.
 
-Files are read as lines, so a file is spread over as many tasks as it has
-splits.  A line's place is (start of its split, running number in its task,
-part of the line): enough to compare places within a file, with no sort.
+Files are read as lines by the ``raw_export`` source, so a file is spread over
+as many tasks as it has byte ranges.  A line's place is (start of its range, its
+byte, part of the line): places compare within a file, with no sort.
 
 * encoding: aggregates over a file's lines (all valid UTF-8? any byte that
   cp1252 leaves undefined? the marker word anywhere?) choose the first of the
@@ -10,7 +10,9 @@ part of the line): enough to compare places within a file, with no sort.
   isn't decoded.  cp1252 is Latin-1 with its C1 range translated;
 * lines are split further at the other line breaks Python knows;
 * in files with a line of odd quotes, lines inside an open quote are joined to
-  their record;
+  their record: the quotes of each range are counted, the sums of the ranges
+  before tell whether a range begins inside a quote, and each range then goes on
+  alone; a file whose last quote stays open is an error;
 * the header is the line with all marker words at the smallest place;
 * header and body cells come from one expression for any width; the per-file
   header becomes the keys of a ``map`` so files of different widths coexist;
@@ -23,8 +25,6 @@ A failing file becomes an ``Error: ...`` ledger row; the others go on.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,6 +32,7 @@ from pyspark.sql.window import Window
 from dqspark.functions import constants as K
 from dqspark.functions import text as tx
 from dqspark.session import written
+from dqspark.sources import raw_export
 
 # Python str.splitlines() boundaries beside \\n, \\r and \\r\\n, at which the text reader splits
 OTHER_BREAKS = "[\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
@@ -48,17 +49,15 @@ class Landing:
     lines: DataFrame
 
 
-def read_landing(spark: SparkSession, folder: str, glob: str = "*.csv") -> Landing:
+def read_landing(spark: SparkSession, folder: str, glob: str = "*.csv", pattern: str = raw_export.ORIGIN,
+                 split: int | None = None) -> Landing:
     """All matching files of a folder; error if none."""
-    found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(folder)
-    # names alone, as the planner lists them: empty files have no lines but a ledger row
-    names = sorted({unquote(f).rpartition("/")[2] for f in found.inputFiles()})
+    # names alone: empty files have no lines but a ledger row
+    names = sorted({origin for _, origin, _ in raw_export.listed(folder, glob, pattern)})
     if not names:
         raise FileNotFoundError(f"no {glob} files in {folder}; run the export/download step first")
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    lines = found.select(name.alias("origin"), F.col("_metadata.file_block_start").alias("start"),
-                         F.monotonically_increasing_id().alias("nr"), F.col("value").cast("binary").alias("raw"))
-    return Landing(spark.createDataFrame([(n,) for n in names], "origin string"), lines)
+    return Landing(spark.createDataFrame([(n,) for n in names], "origin string"),
+                   raw_export.load(spark, folder, glob, pattern, split))
 
 
 def _odd_quotes(line: Column) -> Column:
@@ -101,23 +100,23 @@ class Ingested:
 
 
 def file_encodings(landing: Landing, marker: str = K.ENCODING_MARKER) -> DataFrame:
-    """``(origin, encoding, first)`` per file; encoding null if none of the candidates holds the marker."""
+    """``(origin, encoding)`` per file; encoding null if none of the candidates holds the marker."""
     text, latin = F.col("raw").cast("string"), F.decode("raw", "ISO-8859-1")
     valid = F.is_valid_utf8(text)
     seen = F.upper(F.when(valid, text).otherwise(latin)).contains(marker)
     stats = landing.lines.groupBy("origin").agg(
         F.bool_and(valid).alias("utf8"), F.bool_or(latin.rlike(UNDEFINED)).alias("undefined"),
-        F.bool_or(seen).alias("marked"), F.min(F.struct("start", "nr")).alias("first"))
+        F.bool_or(seen).alias("marked"))
     encoding = F.when(F.col("marked"), F.when(F.col("utf8"), K.ENCODINGS[0])
                       .when(F.col("undefined"), K.ENCODINGS[3]).otherwise(K.ENCODINGS[2]))
-    return landing.files.join(stats, "origin", "left").select("origin", encoding.alias("encoding"), "first")
+    return landing.files.join(stats, "origin", "left").select("origin", encoding.alias("encoding"))
 
 
 def decoded_lines(landing: Landing, encodings: DataFrame) -> DataFrame:
     """``(origin, at, line)`` of the files with an encoding; ``at`` orders the lines of a file."""
     latin = F.decode("raw", "ISO-8859-1")
     utf8 = F.col("raw").cast("string")
-    begins = (F.col("start") == F.col("first.start")) & (F.col("nr") == F.col("first.nr"))
+    begins = F.col("nr") == 0
     text = (F.when(F.col("encoding") == K.ENCODINGS[0],
                    F.when(begins & utf8.startswith(BOM), utf8.substr(F.lit(2), F.length(utf8))).otherwise(utf8))
             .when(F.col("encoding") == K.ENCODINGS[2], F.translate(latin, C1, C1_CP1252)).otherwise(latin))
@@ -126,22 +125,34 @@ def decoded_lines(landing: Landing, encodings: DataFrame) -> DataFrame:
             .select("origin", F.struct("start", "nr", "part").alias("at"), "line"))
 
 
-def whole_records(lines: DataFrame) -> DataFrame:
-    """Lines inside an open quote joined (with ``\\n``) to the line that opened it.
+def whole_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines inside an open quote joined (with ``\\n``) to the line that opened it; files (origin) with a quote left open.
 
-    Only files with a line of odd quotes are touched: their lines are put in
-    order, with running (spillable) windows per file.
+    Only files with a line of odd quotes are touched, those left open are
+    taken out.  Windows run within one range of a file; what a range needs of the
+    ranges before it, their parity and the place of the last record, comes from a
+    row per range.
     """
-    odd = lines.where(_odd_quotes(F.col("line"))).select("origin").distinct()
-    plain = lines.join(odd, "origin", "left_anti")
-    order = Window.partitionBy("origin").orderBy("at")
-    before = F.coalesce(F.sum(_odd_quotes(F.col("line")).cast("int")).over(
-        order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = (lines.join(odd, "origin", "left_semi").withColumn("inside", before % 2 == 1)
-              .withColumn("record", F.last(F.when(~F.col("inside"), F.col("at")), True).over(order)))
-    joined = marked.groupBy("origin", "record").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("line"))
-    return plain.unionByName(joined.withColumnRenamed("record", "at"))
+    odd = _odd_quotes(F.col("line")).cast("int")
+    touched = lines.where(odd == 1).select("origin").distinct()
+    plain = lines.join(touched, "origin", "left_anti")
+    own = lines.join(touched, "origin", "left_semi").withColumn("start", F.col("at.start")).withColumn("odd", odd)
+    before = Window.partitionBy("origin").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    counted = own.groupBy("origin", "start").agg(F.sum("odd").alias("odds"))
+    sums = counted.select("origin", "start", "odds", F.coalesce(F.sum("odds").over(before), F.lit(0)).alias("outside"))
+    sums = written(sums, "ingest-quotes")
+    unclosed = sums.groupBy("origin").agg(F.sum("odds").alias("odds")).where("odds % 2 = 1").select("origin")
+    order = Window.partitionBy("origin", "start").orderBy("at")
+    inside = (F.col("outside") + F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2 == 1
+    marked = (own.join(sums.drop("odds"), ["origin", "start"]).join(unclosed, "origin", "left_anti")
+              .withColumn("begins", F.when(~inside, F.col("at"))))
+    marked = written(marked.withColumn("record", F.last("begins", True).over(order)).drop("odd", "outside"), "ingest-quoted")
+    last = marked.groupBy("origin", "start").agg(F.max("begins").alias("last"))
+    carried = last.select("origin", "start", F.last("last", True).over(before).alias("carried"))
+    joined = (marked.join(carried, ["origin", "start"]).withColumn("record", F.coalesce("record", "carried"))
+              .groupBy("origin", "record").agg(F.array_join(F.transform(
+                  F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("line")))
+    return plain.unionByName(joined.withColumnRenamed("record", "at")), unclosed
 
 
 def ingest(landing: Landing, sep: str = ";", key: str = "CODIGO", markers=K.HEADER_MARKERS,
@@ -149,8 +160,10 @@ def ingest(landing: Landing, sep: str = ";", key: str = "CODIGO", markers=K.HEAD
     # tables that several later steps read are written once
     files = written(file_encodings(landing, marker), "ingest-files")
     lines = written(decoded_lines(landing, files), "ingest-lines")
+    unclosed = None
     if not lines.where(_odd_quotes(F.col("line"))).isEmpty():
-        lines = written(whole_records(lines), "ingest-records")
+        lines, unclosed = whole_records(lines)
+        lines = written(lines, "ingest-records")
     upper = F.upper("line")
     is_header = F.lit(True)
     for m in markers:
@@ -188,6 +201,9 @@ def ingest(landing: Landing, sep: str = ";", key: str = "CODIGO", markers=K.HEAD
         F.col("kept"), F.filter(padded, lambda v, i: F.element_at(F.col("keepmask"), i + 1))))
     keyval = tx.ws_strip(F.try_element_at(F.col("data"), F.lit(key)))
     body = body.withColumn("valid", F.col("counted") & F.coalesce(keyval.rlike(tx.J_KEY), F.lit(False)))
+    # cells are parsed once: counts, bad lines and rows all read the written body
+    body = written(body.select("origin", "at", "h", "n_header", "nf", "after", "counted", "valid",
+                               F.when(F.col("valid"), F.col("data")).alias("data")), "ingest-body")
 
     wide = F.col("counted") & (F.col("nf") > F.col("n_header"))
     stats = body.groupBy("origin").agg(
@@ -201,9 +217,11 @@ def ingest(landing: Landing, sep: str = ";", key: str = "CODIGO", markers=K.HEAD
     bad = stats.where("bad_at is not null").select("origin", "bad_at")
     bad_line = (body.join(bad, "origin").groupBy("origin")
                 .agg((F.count_if(F.col("after") & (F.col("at") <= F.col("bad_at"))) + 1).alias("bad_line")))
-    ledger = (files.select("origin", "encoding").join(hdr, "origin", "left").join(stats, "origin", "left")
-              .join(bad_line, "origin", "left"))
+    ledger = (files.join(hdr, "origin", "left").join(stats, "origin", "left").join(bad_line, "origin", "left"))
+    ledger = (ledger.withColumn("open", F.lit(None)) if unclosed is None
+              else ledger.join(unclosed.withColumn("open", F.lit(True)), "origin", "left"))
     error = (F.when(F.col("encoding").isNull(), F.concat(F.lit("Error: could not decode "), F.col("origin")))
+             .when(F.col("open").isNotNull(), F.lit("Error: a quote is left open"))
              .when(F.col("h").isNull(), F.lit("Error: header line not found"))
              .when(F.col("bad_nf").isNotNull(), F.format_string(
                  "Error: Expected %d fields in line %d, saw %d", F.col("n_header"), F.col("bad_line"), F.col("bad_nf")))

@@ -80,15 +80,13 @@ def write_export(df: DataFrame, folder: str, header: list[tuple[str, str | None]
      .select("origin", raw.alias("value")).write.option("lineSep", "\r\n").partitionBy("origin").text(folder))
 
 
+ORIGIN = "origin=([^/]*)/"
+
+
 def as_landing(spark, folder: str):
     """The written export as ``ingest.Landing``: a file is named by its folder."""
-    from dqspark.sources.ingest import Landing
-    named = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), "origin=([^/]*)/", 1)
-    lines = spark.read.option("recursiveFileLookup", True).text(folder)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return Landing(listed.select(F.regexp_extract("path", "origin=([^/]*)/", 1).alias("origin")),
-                   lines.select(named.alias("origin"), F.col("_metadata.file_block_start").alias("start"),
-                                F.monotonically_increasing_id().alias("nr"), F.col("value").cast("binary").alias("raw")))
+    from dqspark.sources.ingest import read_landing
+    return read_landing(spark, folder, "*", ORIGIN)
 
 
 def _html_escape(c: Column) -> Column:

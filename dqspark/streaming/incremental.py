@@ -1,13 +1,16 @@
 """Incremental loading: process only items not materialised before.
 
-Two forms of the same idea:
+Three forms of the same idea:
 
 * ``new_items``: a batch left-anti join of candidates against a ledger of
   already-loaded keys;
 * ``incremental_load``: a Structured Streaming file source with
   ``Trigger.AvailableNow``; the checkpoint records which files were
   processed, so each run picks up only new files, exactly once.  Row-local
-  cleaning rules (pure column expressions) can be applied in the stream.
+  cleaning rules (pure column expressions) can be applied in the stream;
+* ``ingest_stream``: raw export files as they land, through the streaming side
+  of the ``raw_export`` source; each micro-batch is a whole ingest of its files,
+  whose rows and ledger replace what an earlier attempt of that batch wrote.
 """
 
 from __future__ import annotations
@@ -15,6 +18,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dqspark.sources import ingest, raw_export
 
 
 def new_items(candidates: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
@@ -38,3 +44,34 @@ def incremental_load(spark: SparkSession, source_dir: str, target_dir: str, chec
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+
+
+def ingest_stream(spark: SparkSession, folder: str, target: str, checkpoint_dir: str, glob: str = "*.csv",
+                  pattern: str = raw_export.ORIGIN, split: int | None = None, **options) -> None:
+    """Ingest the raw files of ``folder`` that no earlier run has seen.
+
+    Rows and ledger go to ``target/rows/batch=n`` and ``target/ledger/batch=n``,
+    written over if the batch is run again, so a batch that was killed leaves
+    nothing twice; ``ingested`` reads them.  Empty files have no lines and no
+    ledger row here.  ``options`` are those of ``ingest.ingest``.
+    """
+    lines = raw_export.load_stream(spark, folder, f"{checkpoint_dir}/files", glob, pattern, split)
+
+    def load(batch: DataFrame, number: int) -> None:
+        done = ingest.ingest(ingest.Landing(batch.select("origin").distinct(), batch), **options)
+        rows = done.rows.join(done.columns, "origin").select("origin", "columns", "data")
+        rows.write.mode("overwrite").parquet(f"{target}/rows/batch={number}")
+        done.ledger.write.mode("overwrite").parquet(f"{target}/ledger/batch={number}")
+
+    q = (lines.writeStream.foreachBatch(load).option("checkpointLocation", f"{checkpoint_dir}/stream")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def ingested(spark: SparkSession, target: str) -> ingest.Ingested:
+    """What the runs of ``ingest_stream`` have loaded so far."""
+    rows, ledger = (spark.read.parquet(f"{target}/{x}").drop("batch") for x in ("rows", "ledger"))
+    return ingest.Ingested(rows=rows.select("origin", "data"), ledger=ledger,
+                           columns=rows.groupBy("origin").agg(F.first("columns").alias("columns")))
