@@ -17,7 +17,7 @@ the states at a block's ends fix those at the ends of its parts, down to the
 lines.  Each task sees at most ``BLOCK`` parts of a block at a time.
 
 Defined results: a null text is an empty line; rows without a conv_id form one
-transcript; equal (conv_id, turn, line) are ordered by text; without labelled
+transcript of their own, with a null conv_id; equal (conv_id, turn, line) are ordered by text; without labelled
 lines all states are as likely; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -185,8 +185,8 @@ def _down(parts: DataFrame, blocks: DataFrame, model: Model | None) -> DataFrame
         run, "conv_id long, seq long, enter int, leave int")
 
 
-def numbered(lines: DataFrame, name: str = "chat-lines") -> DataFrame:
-    """``lines`` with their place ``seq`` in the transcript (a null conv_id is -1 from here on).
+def numbered(lines: DataFrame, name: str = "chat-lines", unnamed: int = -1) -> DataFrame:
+    """``lines`` with their place ``seq`` in the transcript (a null conv_id is ``unnamed`` from here on).
 
     Lines are range partitioned in order; a line's place is its place in its
     run plus the lines of its transcript in the runs before.
@@ -194,7 +194,7 @@ def numbered(lines: DataFrame, name: str = "chat-lines") -> DataFrame:
     spark = lines.sparkSession
     prepare(spark)
     order = ["conv_id", "turn", "line", "text"]
-    lines = lines.withColumn("conv_id", F.coalesce(F.col("conv_id").cast("long"), F.lit(-1).cast("long")))
+    lines = lines.withColumn("conv_id", F.coalesce(F.col("conv_id").cast("long"), F.lit(unnamed).cast("long")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last, at = TaskContext.get().partitionId(), object(), 0
@@ -297,8 +297,12 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 def recovered(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     """Turns of every conversation recovered from its transcript; learns from folds 0, 1 and 3 of 4."""
     prepare(spark)
-    lines = materialize(numbered(transcripts(conversations)), "chat-placed")
-    return render(parse(lines.drop("role"), fit(lines.where(fold("conv_id", 4) != 2))))
+    ends = conversations.select(F.col("conv_id").cast("long").alias("c")).agg(F.min("c").alias("low"), F.max("c").alias("high")).first()
+    # an id that no conversation has stands for null while lines are grouped
+    unnamed = -1 if ends["high"] is None else ends["high"] + 1 if ends["high"] < (1 << 63) - 1 else ends["low"] - 1
+    lines = materialize(numbered(transcripts(conversations), unnamed=unnamed), "chat-placed")
+    turns = render(parse(lines.drop("role"), fit(lines.where(fold("conv_id", 4) != 2))))
+    return turns.withColumn("conv_id", F.nullif("conv_id", F.lit(unnamed).cast("long")))
 
 
 def strip_marker(text: str) -> str:

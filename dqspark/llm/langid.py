@@ -12,8 +12,9 @@ Texts are worked on in groups: the trigrams present in a group are numbered,
 each text becomes a row of counts, and one matrix product of the counts with
 the bound trigram vectors bundles all texts of the group.
 
-``fit`` learns from at most about ``per_language`` texts of each of the
-``max_languages`` most frequent languages, chosen by a hash of their id.
+``fit`` learns from at most about ``per_language`` texts of each language,
+chosen by a hash of their id.  Every language gets a prototype, so the model
+grows with the number of languages (``DIM`` numbers each).
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0,
 as is every text if there is nothing to learn from; equal cosines go to the
@@ -35,7 +36,6 @@ from dqspark.llm.common import fold, prepare
 
 DIM = 1024
 PER_LANGUAGE = 2000
-MAX_LANGUAGES = 512
 GROUP_DOCS = 128
 GROUP_CHARS = 1 << 19
 SLICE = 2048                # trigram vectors expanded at once
@@ -156,15 +156,13 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["lang", "v"])
 
 
-def fit(train: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
+def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from the rows of ``doc_id, text, lang`` with a language."""
     train = train.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not counts:
-        return Model([], np.zeros((0, DIM), np.float32))
-    rate = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
+    rates = train.groupBy("lang").agg(F.least(F.lit(1.0), per_language / F.count("*")).alias("rate"))
     draw = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sums = (train.where(draw < F.coalesce(F.try_element_at(rate, F.col("lang")), F.lit(0.0))).select("lang", "text")
+    # a language that is rare enough is read whole, so each one has a prototype
+    sums = (train.join(rates, "lang").where(draw < F.col("rate")).select("lang", "text")
             .mapInArrow(_bundles, "lang string, v array<double>")
             .select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
             .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).orderBy("lang").collect())

@@ -51,6 +51,12 @@ def test_language(edge, none):
     assert langid.identify(none).count() == 0
 
 
+def test_language_has_no_limit_of_classes(spark):
+    rows = [(i, f"zo{i} zu{i} za abc def", f"l{i % 700}") for i in range(1400)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(model.languages) == sorted({r[2] for r in rows})
+
+
 def test_quality(edge, none, side):
     labels, _ = side
     got = quality.classify(edge, labels).collect()
@@ -63,11 +69,12 @@ def test_quality(edge, none, side):
 
 def test_chat(spark):
     rows = [(1, 0, "user", "hi", 5), (1, 0, "user", "hi", 5), (1, 1, None, None, 5), (None, 0, "user", "a\nb", 5),
-            (2, None, "assistant", "", 5), (3, 0, "robot", "User: x\nAI: y", 5), (4, 0, "user", "x\n" * 3000, 5)]
+            (-1, 0, "user", "of a real conversation", 5), (2, None, "assistant", "", 5), (3, 0, "robot", "User: x\nAI: y", 5), (4, 0, "user", "x\n" * 3000, 5)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, seq int")
     got = chat.recovered(spark, df.drop("seq")).collect()
-    assert {r["conv_id"] for r in got} == {1, -1, 2, 3, 4} and all(r["role"] in chat.ROLES for r in got)
+    assert {r["conv_id"] for r in got} == {1, None, -1, 2, 3, 4} and all(r["role"] in chat.ROLES for r in got)
     assert sum(r["lines"] for r in got if r["conv_id"] == 4) == 3001
+    assert sum(r["lines"] for r in got if r["conv_id"] is None) == 2 and sum(r["lines"] for r in got if r["conv_id"] == -1) == 1
     assert chat.recovered(spark, df.drop("seq").limit(0)).count() == 0
 
 
