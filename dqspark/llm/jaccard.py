@@ -31,7 +31,8 @@ hangs on its core.  Then, with the
 components so far, all signatures that still hold several are completed: all pairs
 of different components, the rows of its largest component only with the others,
 in blocks dealt over the tasks.  A parity bitmap of each set (its differing bits
-can't outnumber the differing tokens) drops pairs before sets are read; the rest is
+can't outnumber the differing tokens) drops pairs before sets are read; of the
+rest every component first tries its nearest, and all pairs still apart are then
 compared on the full sets, rebuilt from the texts.  Exact copies are one
 document from the start.
 
@@ -64,6 +65,8 @@ TOKEN_BITS = 1 << 24        # of the filters of tokens: 2 MB
 ID_BITS = 1 << 22
 PARITY = 1024               # bits of a set's parity bitmap
 CHAINS = 3                  # signatures of a document that are looked at first
+ROUNDS = 3                  # in which components try their nearest pair before all others are checked
+SPREAD = 1 << 17            # pairs of rows compared at once
 BLOCK = 1024                # rows of a signature that are compared in one task
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -259,21 +262,30 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
 
 
 def _in_blocks(percent: int):
-    """Pairs of different components of each pair of blocks (sig, i, j) that sizes and bitmaps allow."""
-    def judge(rows: pa.Table) -> pa.RecordBatch:
-        block, doc, n, part = (rows[c].to_numpy() for c in ("block", "doc_id", "n", "component"))
+    """Pairs of different components of each pair of blocks (sig, i, j) that sizes and bitmaps allow, with their differing bits."""
+    def judge(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        sig, i, j, block, doc, n, part = (rows[c].to_numpy() for c in ("sig", "i", "j", "block", "doc_id", "n", "component"))
         bits = _bits(rows["bits"].combine_chunks())
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out = [np.zeros((2, 0), np.int64)]
-        for r in left.tolist():
-            to = right[(right > r) if i == j else slice(None)]
-            to = to[part[to] != part[r]]
-            to = to[_near(bits[r], bits[to], n[r], n[to], percent)]
-            if len(to):
-                out.append(np.stack([np.minimum(doc[r], doc[to]), np.maximum(doc[r], doc[to])]))
-        both = np.concatenate(out, 1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+        new = np.ones(len(rows), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        starts = np.flatnonzero(new)
+        end = np.append(starts[1:], len(rows))[np.cumsum(new) - 1]
+        many = end - np.arange(len(rows)) - 1           # later rows of the same pair of blocks
+        upto = np.cumsum(many)
+        r = 0
+        while r < len(rows):
+            done = upto[r] - many[r]
+            e = max(r + 1, int(np.searchsorted(upto, done + SPREAD, "right")))
+            left = np.repeat(np.arange(r, e), many[r:e])
+            right = left + 1 + np.arange(len(left)) - (upto[left] - many[left] - done)
+            keep = (part[left] != part[right]) & ((i[left] == j[left]) | (block[left] != block[right]))
+            left, right = left[keep], right[keep]
+            keep = _near(bits[left], bits[right], n[left], n[right], percent)
+            left, right = left[keep], right[keep]
+            x, y = doc[left], doc[right]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(
+                np.bitwise_count(bits[left] ^ bits[right]).sum(-1, dtype=np.int32))], names=["a", "b", "apart"])
+            r = e
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -284,17 +296,18 @@ def _in_blocks(percent: int):
             if not len(rows):
                 continue
             key = np.stack([rows[c].to_numpy() for c in ("sig", "i", "j")])
-            cut = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist()]
-            for k, e in zip(cut, cut[1:]):
-                yield judge(rows.slice(k, e - k))
-            held = rows.slice(cut[-1])
+            cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+            last = int(cut[-1]) if len(cut) else 0
+            if last:
+                yield from judge(rows.slice(0, last))
+            held = rows.slice(last)
         if held is not None and len(held):
-            yield judge(held)
+            yield from judge(held)
     return run
 
 
 def _completed(signed: DataFrame, part: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: pairs of different components that share a signature, as far as sizes and bitmaps allow."""
+    """``a, b, apart``: pairs of different components that share a signature, as far as sizes and bitmaps allow."""
     placed = materialize(signed.join(part.withColumnRenamed("id", "doc_id"), "doc_id", "left")
                          .withColumn("component", F.coalesce("component", "doc_id")), "join-placed")
     rows = placed.select(F.explode("sigs").alias("sig"), "doc_id", "n", "component")
@@ -316,7 +329,35 @@ def _completed(signed: DataFrame, part: DataFrame, percent: int) -> DataFrame:
     key = ["sig", "i", "j"]
     jobs = dealt.join(bits, ["doc_id", "n"]).select(*key, "block", "doc_id", "n", "component", "bits")
     return materialize(jobs.repartition(shuffle_partitions(signed.sparkSession), *key).sortWithinPartitions(*key)
-                       .mapInArrow(_in_blocks(percent), "a long, b long").distinct(), "join-completed")
+                       .mapInArrow(_in_blocks(percent), "a long, b long, apart int").groupBy("a", "b").agg(F.min("apart").alias("apart")),
+                       "join-completed")
+
+
+def _nearest_first(rest: DataFrame, edges: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``edges`` and the links among the pairs ``rest``.
+
+    In each of ``ROUNDS`` rounds every component tries the pair whose bitmaps
+    differ least; pairs that have come to lie in one component need no check.
+    What is left is checked in full.
+    """
+    def apart(part: DataFrame) -> DataFrame:
+        known = part.select("id", "component")
+        both = (rest.join(known.select(F.col("id").alias("a"), F.col("component").alias("p")), "a", "left")
+                .join(known.select(F.col("id").alias("b"), F.col("component").alias("q")), "b", "left"))
+        return (both.withColumn("p", F.coalesce("p", "a")).withColumn("q", F.coalesce("q", "b")).where("p <> q")
+                .select("a", "b", "apart", "p", "q"))
+
+    for _ in range(ROUNDS):
+        if rest.isEmpty():
+            return edges
+        left = materialize(apart(components(edges)), "join-apart")
+        best = F.min(F.struct("apart", "a", "b")).alias("m")
+        chosen = (left.groupBy("p").agg(best).select("m.a", "m.b").union(left.groupBy("q").agg(best).select("m.a", "m.b")))
+        chosen = materialize(chosen.distinct(), "join-chosen")
+        edges = edges.union(verified(chosen, docs, size, percent))
+        rest = materialize(left.select("a", "b", "apart").join(chosen, ["a", "b"], "left_anti"), "join-rest")
+    left = materialize(apart(components(edges)).select("a", "b"), "join-last")
+    return edges if left.isEmpty() else edges.union(verified(left, docs, size, percent))
 
 
 def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -355,8 +396,7 @@ def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame,
                         .mapInArrow(_alike(percent), "a long, b long").distinct(), "join-first")
     edges = verified(first, reps, size, percent)
     rest = materialize(_completed(signed, components(edges), percent).join(first, ["a", "b"], "left_anti"), "join-rest")
-    if not rest.isEmpty():
-        edges = edges.union(verified(rest, reps, size, percent))
+    edges = _nearest_first(rest, edges, reps, size, percent)
     # an id with several texts joins their sets
     several_sets = known.groupBy("doc_id").agg((F.min("set_key") != F.max("set_key")).alias("mixed")).where("mixed").select("doc_id")
     own = placed.join(several_sets, "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
