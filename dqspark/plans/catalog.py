@@ -15,7 +15,7 @@ from dqspark.functions import constants as K
 from dqspark.functions import text as tx
 from dqspark.functions.similarity import lcs_udf, similarity_from_lcs
 from dqspark.functions.text import normalize_ws
-from dqspark.operators import clean, consistency, dedupe, domain, profile, variants
+from dqspark.operators import clean, consistency, dedupe, domain, profile, state, variants
 from dqspark.plans import diagnosis, registry_flow
 from dqspark.plans import oracle as O
 from dqspark.plans import oracle_clean as OC
@@ -84,6 +84,44 @@ def _docs(spark, sf):
     return table(spark, sf, "documents").select(*_DOC_COLS)
 
 
+def _by_loads(spark, sf):
+    """The profile of the dirty registry as three loads: one put twice, and a fourth one taken out again."""
+    d = dirty_registry(spark, sf)
+    kept = state.ProfileState(spark, scratch_dir(spark, "profile-state"), d.columns)
+    load = F.pmod(F.xxhash64(R.key), F.lit(3))
+    for name, rows in (("0", load == 0), ("1", load == 1), ("2", load == 2), ("again", load == 0)):
+        kept.put(name, d.where(rows))
+    kept.put("1", d.where(load == 1))
+    kept.remove("again")
+    return kept
+
+
+def q_profile_state(spark, sf):
+    kept = _by_loads(spark, sf)
+    return (kept.column_stats().select("variable", "pos", "rows", "missing")
+            .join(profile.distinct_counts(kept.value_freq()).select("variable", "distinct_values"), "variable"))
+
+
+register("profile_state", f"""
+select variable, pos, cast(sum(n) as bigint) as rows,
+       cast(sum(case when value is null then n else 0 end) as bigint) as missing, count(value) as distinct_values
+from {VF} v group by variable, pos
+""")(q_profile_state)
+
+
+def q_distinct_sketches(spark, sf):
+    """Distinct values by united sketches of the loads, against the exact counts: within 3 % (over three standard errors)."""
+    kept = _by_loads(spark, sf)
+    exact = profile.distinct_counts(kept.value_freq()).withColumnRenamed("distinct_values", "exact")
+    return kept.distinct_approx().join(exact, ["variable", "pos"]).select(
+        "variable", "pos", "exact", (F.abs(F.col("distinct_values") - F.col("exact")) <= 0.03 * F.col("exact")).alias("close"))
+
+
+register("distinct_sketches", f"""
+select variable, pos, count(value) as exact, true as close from {VF} v group by variable, pos
+""")(q_distinct_sketches)
+
+
 register("duplicate_count", """
 select cast(coalesce(sum(n - 1), 0) as bigint) as duplicates
 from (select lang, source, text, count(*) as n from documents group by lang, source, text)
@@ -612,6 +650,23 @@ select p.page_id, cast(row_number() over (partition by p.page_id order by n.n_na
 from p, nation n where n.n_nationkey <> 0
 """)(lambda spark, sf: HTML.option_pairs(pages_of(spark, sf)))
 
+
+def q_html_spans(spark, sf):
+    """Pages with spans, nested tables and no end tags, read by the SQL table function."""
+    HTML.register_functions(spark)
+    pages = LND.spanned_pages(table(spark, sf, "customer"), table(spark, sf, "nation"))
+    return spark.sql("select p.page_id, t.row_idx, c.* from {pages} p, lateral html_table(p.html, 5) t, "
+                     "lateral posexplode(t.cells) c(col_idx, cell)", pages=pages)
+
+
+register("html_spans", """
+with r as (select cast(c.c_nationkey as bigint) * 1000000000 + c.c_custkey // 100 as page_id,
+       cast(row_number() over (partition by c.c_nationkey, c.c_custkey // 100 order by c.c_custkey) - 1 as integer) as row_idx,
+       [n.n_name, cast(c.c_custkey as varchar), c.c_name, printf('%.2f', c.c_acctbal), c.c_mktsegment, c.c_mktsegment] as cells
+       from customer c join nation n on c.c_nationkey = n.n_nationkey)
+select page_id, row_idx, cast(unnest(range(0, 6)) as integer) as col_idx, unnest(cells) as cell from r
+""")(q_html_spans)
+
 # ---------------------------------------------------------------- P18 / U2
 
 register("consistency_containment", f"""

@@ -126,3 +126,23 @@ def result_pages(customer: DataFrame, nation: DataFrame, rows_per_page: int = 10
         F.lit("</tbody></table></body></html>"))
     # the option list is one value, attached as a scalar subquery
     return body.select("page_id", html.alias("html"))
+
+
+def spanned_pages(customer: DataFrame, nation: DataFrame, rows_per_page: int = 100) -> DataFrame:
+    """``(page_id, html)``: the same results as hand-written pages show them.
+
+    No end tags of rows and cells, the nation once for all rows of its page
+    (``rowspan``), the segment over two columns, the name in a nested table.
+    """
+    cells = [F.col("c_custkey").cast("string"),
+             F.concat(F.lit("<table><tr><td>"), _html_escape(F.col("c_name")), F.lit("</table>")),
+             F.format_string("%.2f", F.col("c_acctbal"))]
+    row_html = F.concat(*[x for c in cells for x in (F.lit("<td>"), c)], F.lit("<td colspan=2>"), _html_escape(F.col("c_mktsegment")))
+    page_id = (F.col("c_nationkey").cast("bigint") * 1_000_000_000 + F.floor(F.col("c_custkey") / rows_per_page))
+    rows = (customer.join(nation.select("n_nationkey", "n_name"), customer.c_nationkey == nation.n_nationkey)
+            .select(page_id.alias("page_id"), "n_name", "c_custkey", row_html.alias("r")))
+    body = rows.groupBy("page_id", "n_name").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "r"))).alias("rs"))
+    return body.select("page_id", F.concat(
+        F.lit("<table><tr><th>DEPARTAMENTO<th>CODIGO<th>NOMBRE<th>SALDO<th colspan=2>SEGMENTO<tbody><tr><td rowspan="),
+        F.size("rs").cast("string"), F.lit(">"), _html_escape(F.col("n_name")),
+        F.array_join(F.transform("rs", lambda s: s["r"]), "<tr>"), F.lit("</table>")).alias("html"))

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from dqspark.streaming import incremental
@@ -28,6 +29,28 @@ def test_export_round_trip(spark, tmp_path):
     assert export_verified(df, str(tmp_path / "outp"), fmt="parquet") == (2, 2)
 
 
+def test_export_checks_content(spark, tmp_path):
+    from dqspark.sources import sinks
+    df = spark.createDataFrame([("a", None, 1, 0.1), ("a", None, 1, 0.1), (None, "", 2, None), ('q"', " é ", None, -2.5)],
+                               "p string, q string, n int, x double")
+    written = df.agg(F.count(F.lit(1)).alias("rows"), sinks.content_digest(df.schema).alias("digest")).first()
+    for fmt in ("csv", "parquet"):
+        path = str(tmp_path / fmt)
+        assert sinks.export_verified(df, path, fmt=fmt) == (4, 4)
+        assert sinks.export_verified(df.limit(0), path + "-none", fmt=fmt) == (0, 4)
+    # the same number of rows and columns, other values: a cell, a moved null, one row twice for another
+    changed = (df.withColumn("n", F.when(F.col("n") == 2, 3).otherwise(F.col("n"))),
+               df.select(F.col("q").alias("p"), F.col("p").alias("q"), "n", "x"),
+               df.where("p = 'a'").union(df.where("p = 'a'")))
+    for i, other in enumerate(changed):
+        path = str(tmp_path / f"changed-{i}")
+        other.write.option("header", True).option("escape", '"').csv(path)
+        with pytest.raises(ValueError, match="content changed"):
+            sinks.verify_export(spark, path, df.schema, written["rows"], written["digest"])
+    with pytest.raises(ValueError, match="shape changed"):
+        sinks.verify_export(spark, str(tmp_path / "csv"), df.schema, 3, written["digest"])
+
+
 def test_cleaning_rules_run_on_a_stream(spark, tmp_path):
     from dqspark.operators import clean
     from dqspark.sources.tables import dirty_registry
