@@ -2,30 +2,34 @@
 
 Texts are compared as bytes with A-Z in lower case and every run of other
 ASCII characters than letters and digits as one space.  A passage counts as
-leaked where a document holds its bytes with at most ``RATE`` edits per byte
-(insertions, deletions, replacements).
+leaked where a document holds its bytes with at most one edit for each full
+``RATE`` bytes (insertion, deletion, replacement), whatever its size.
 
 The CGK walk maps a string to a longer one: at step ``t`` it emits the byte
 under its pointer and moves on if a random bit of (t, byte) is 1.  Two strings
 a few edits apart soon walk in step again, so their images differ in few
-places and edit distance becomes Hamming distance.  ``WALKS`` independent
-walks are sampled ``KEYS`` times in ``BITS`` places each; an item-sized window
-is a candidate for an item if any of its keys equals the item's.  Candidates
-are verified by the exact edit distance.
-
-Not every window need be walked: of the p disjoint 8-byte pieces of an item at
-most k are hit by k edits, so a match holds p - k of them, each at most k bytes
-off its place; only windows with so many pieces are walked.  That rules out no
-match.
+places and edit distance becomes Hamming distance: at one edit in ten bytes
+images of 400 bytes still agree in 0.4 of their places, unrelated ones in 0.11.
+``WALKS`` independent walks are sampled in keys of ``KEYS`` places; an
+item-sized window is a candidate for an item if any of its keys equals the
+item's.  Keys are longer for short items, whose images agree in more places.
+Candidates are verified by the exact edit distance.
+
+Not every window need be walked: k edits hit at most k of an item's p disjoint
+pieces (8 bytes; fewer where an item would have no more pieces than edits), so
+a match holds p - k of them, each at most k bytes off its place; only windows
+with so many pieces are walked.  That rules out no match.  Of items over
+``WALKED`` bytes the walk compares that many from the first piece on that
+stands exactly in its place.
 
 The benchmark is shipped to the tasks in blocks of ``BLOCK_BYTES`` at most (one
-pass over the documents per block), so its size isn't bounded by a task's
-memory.  Items over ``SEGMENT`` bytes are looked for by their segments; any
-leaked segment marks the item.
+pass over the documents per block); an index holds the texts and their pieces,
+a few times their bytes.
 
-Defined results: null or empty texts hold nothing; items under ``MIN_ITEM``
-normalised bytes (or null) are never found; a document without an id is
-checked like any other; equal items are each reported; an empty benchmark
+Defined results: null or empty texts hold nothing; items without a letter, a digit
+or a byte beyond ASCII (or null) are never found; items under 10 normalised bytes
+are found where they stand exactly, also within longer words; a document without
+an id is checked like any other; equal items are each reported; an empty benchmark
 finds nothing; other columns are kept by ``clean`` and ignored by ``leaks``.
 """
 
@@ -34,6 +38,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +47,14 @@ from pyspark.sql import functions as F
 
 from dqspark.llm.common import groups, prepare, utf8
 
-RATE = 0.1
+RATE = 10                   # bytes of an item per edit
 PIECE = 8
-MIN_ITEM = 16
-SEGMENT = 512
+WALKED = 512                # bytes of a window that are walked
 WALKS = 8
-KEYS = 32
-BITS = 2
-TABLE_BITS = 20
+KEYS = ((60, 12, 250), (150, 10, 1000), (WALKED + 1, 8, 1000))     # sizes below: places of a key, keys of a walk
 BLOCK_BYTES = 8 << 20
 SCAN_BYTES = 4 << 20
-WALK_ROWS = 2048            # windows walked at once
+WALK_ROWS = 256             # windows walked at once
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,74 +103,136 @@ def edit_distance_within(pattern: bytes, text: bytes, most: int) -> int | None:
     return best if best <= most else None
 
 
-def walks(data: np.ndarray, start: np.ndarray, stop: np.ndarray, steps: int, bits: np.ndarray) -> np.ndarray:
-    """CGK images (window, walk, step) of the windows [start, stop) of ``data`` (0 after their end)."""
-    at = np.repeat(start[:, None], WALKS, 1)
-    end = stop[:, None]
-    out = np.zeros((steps, len(start), WALKS), np.uint8)
-    padded = np.append(data, np.uint8(0))
-    last, walk = len(data), np.arange(WALKS)
-    for t in range(steps):
-        c = np.where(at < end, padded[np.minimum(at, last)], 0)
-        out[t] = c
-        at += bits[t][walk, c]
+@cache
+def _moves(seed: int = 11) -> np.ndarray:
+    """Whether a walk moves on at a step (step, walk, byte)."""
+    return np.random.default_rng(seed).integers(0, 2, (2 * WALKED, WALKS, 256), np.int8)
+
+
+@cache
+def _places(bits: int, keys: int, seed: int = 12) -> np.ndarray:
+    """Sampled places of the images, in shares of their length (walk, key, place)."""
+    return np.random.default_rng(seed).random((WALKS, keys, bits)) * 0.95
+
+
+def walks(texts: list[bytes]) -> np.ndarray:
+    """CGK images (text, walk, step) of texts of at most WALKED bytes, 0 after their end."""
+    size = max(map(len, texts), default=0)
+    padded = np.zeros((len(texts), size + 1), np.uint8)
+    for i, t in enumerate(texts):
+        padded[i, :len(t)] = np.frombuffer(t, np.uint8)
+    at = np.zeros((len(texts), WALKS), np.int64)
+    out = np.zeros((2 * size, len(texts), WALKS), np.uint8)
+    row, walk = np.arange(len(texts))[:, None], np.arange(WALKS)
+    for t in range(2 * size):
+        out[t] = c = padded[row, at]
+        at = np.minimum(at + _moves()[t][walk, c], size)
     return out.transpose(1, 2, 0)
 
 
+def alike(items: list[bytes], windows: list[bytes]) -> np.ndarray:
+    """Whether a key of each window's image equals that of its item (of at most WALKED bytes)."""
+    out = np.zeros(len(items), bool)
+    size = np.array([len(t) for t in items], np.int64)
+    low = 0
+    for below, bits, keys in KEYS:
+        part = np.flatnonzero((size >= low) & (size < below))
+        low = below
+        for k in range(0, len(part), WALK_ROWS):
+            left = part[k:k + WALK_ROWS]
+            image, other = walks([items[i] for i in left]), walks([windows[i] for i in left])
+            steps = min(image.shape[2], other.shape[2])
+            same = np.zeros(image.shape, bool)
+            # places after an item's end say nothing
+            same[:, :, :steps] = (image[:, :, :steps] == other[:, :, :steps]) & (image[:, :, :steps] != 0)
+            for w in range(WALKS):
+                todo = np.flatnonzero(~out[left])
+                places = (_places(bits, keys)[w].reshape(1, -1) * 2 * size[left[todo], None]).astype(np.int64)
+                got = np.take_along_axis(same[todo, w], places, 1)
+                out[left[todo]] = got.reshape(len(todo), keys, bits).all(2).any(1)
+    return out
+
+
+@dataclass
+class _Pieces:
+    """Pieces of one length, sorted: their bytes as numbers, items and places."""
+    length: int
+    value: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.mask = np.uint64((1 << 8 * self.length) - 1)
+        order = np.argsort(self.value, kind="stable")
+        self.value, self.item, self.offset = self.value[order], self.item[order], self.offset[order]
+        bits = max(10, len(order).bit_length() + 3)
+        self.shift = np.uint64(64 - bits)
+        self.table = np.zeros(1 << bits, bool)
+        self.table[(self.value * _MUL) >> self.shift] = True
+
+    def hits(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and pieces (by number) where the 8 bytes from a place begin with a piece."""
+        value = value & self.mask
+        hit = np.flatnonzero(self.table[(value * _MUL) >> self.shift])
+        low = np.searchsorted(self.value, value[hit], "left")
+        many = np.searchsorted(self.value, value[hit], "right") - low
+        return np.repeat(hit, many), np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
+def _firsts(row: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Where each (row, item) stands first."""
+    by = np.lexsort((item, row))            # stable
+    new = np.ones(len(by), bool)
+    new[1:] = (row[by][1:] != row[by][:-1]) | (item[by][1:] != item[by][:-1])
+    return by[new]
+
+
 @dataclass
 class Index:
-    """Items of one block: pieces, walks and keys."""
+    """Items of one block and their pieces."""
     ids: list[int | None] = field(default_factory=list)
     texts: list[bytes] = field(default_factory=list)
 
-    def build(self, seed: int = 11) -> Index:
-        rng = np.random.default_rng(seed)
+    def build(self) -> Index:
         self.size = np.array([len(t) for t in self.texts], np.int64)
-        self.most = np.minimum((RATE * self.size).astype(np.int64), self.size // PIECE - 1)
-        self.need = self.size // PIECE - self.most
-        pieces = [(t[a:a + PIECE], k, a) for k, t in enumerate(self.texts) for a in range(0, len(t) - PIECE + 1, PIECE)]
-        value = np.frombuffer(b"".join(p[0] for p in pieces), np.uint64)
-        order = np.argsort(value, kind="stable")
-        self.value = value[order]
-        self.item = np.array([p[1] for p in pieces], np.int64)[order]
-        self.offset = np.array([p[2] for p in pieces], np.int64)[order]
-        self.table = np.zeros(1 << TABLE_BITS, bool)
-        self.table[(self.value * _MUL) >> np.uint64(64 - TABLE_BITS)] = True
-        self.steps = int(2 * self.size.max(initial=1))
-        self.bits = rng.integers(0, 2, (self.steps, WALKS, 256), np.int8)
-        share = rng.random((WALKS, KEYS * BITS)) * 0.95
-        self.sample = (share[None] * 2 * self.size[:, None, None]).astype(np.int64)     # item, walk, place
-        joined = np.frombuffer(b"".join(self.texts), np.uint8)
-        begin = np.cumsum(self.size) - self.size
-        image = walks(joined, begin, begin + self.size, self.steps, self.bits)
-        self.expected = np.take_along_axis(image, self.sample, 2)
+        self.most = self.size // RATE
+        length = np.minimum(PIECE, self.size // (self.most + 1))
+        self.need = self.size // np.maximum(length, 1) - self.most
+        self.pieces = []
+        for n in np.unique(length).tolist():
+            found = [(t[a:a + n].ljust(PIECE, b"\0"), k, a) for k, t in enumerate(self.texts) if length[k] == n
+                     for a in range(0, len(t) - n + 1, n)]
+            self.pieces.append(_Pieces(n, np.frombuffer(b"".join(x[0] for x in found), "<u8"),
+                                       np.array([x[1] for x in found], np.int32), np.array([x[2] for x in found], np.int32)))
         return self
 
-    def windows(self, data: np.ndarray, offsets: np.ndarray):
-        """(row, item, start) of the windows that hold enough pieces of the item near their places."""
-        n = len(data) - PIECE + 1
-        if n <= 0 or not len(self.value):
-            return None
-        value = np.lib.stride_tricks.as_strided(data, (n, PIECE), (1, 1)).copy().view(np.uint64)[:, 0]
-        hit = np.flatnonzero(self.table[(value * _MUL) >> np.uint64(64 - TABLE_BITS)])
-        low = np.searchsorted(self.value, value[hit], "left")
-        many = np.searchsorted(self.value, value[hit], "right") - low
-        at = np.repeat(hit, many)
-        which = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        row = np.searchsorted(offsets, at, side="right") - 1
-        inside = at + PIECE <= offsets[row + 1]
-        at, which, row = at[inside], which[inside], row[inside]
-        item, offset = self.item[which], self.offset[which]
-        start = at - offset
+    def windows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, item, start, place in the item of a piece that stands exactly there) of the windows
+        that hold enough pieces of the item near their places."""
+        padded = np.append(data, np.zeros(PIECE - 1, np.uint8))
+        value = np.lib.stride_tricks.as_strided(padded, (len(data), PIECE), (1, 1)).copy().view("<u8")[:, 0] if len(data) \
+            else np.zeros(0, np.uint64)
+        out = [np.zeros((4, 0), np.int64)]
+        for pieces in self.pieces:
+            at, which = pieces.hits(value)
+            row = np.searchsorted(offsets, at, side="right") - 1
+            inside = at + pieces.length <= offsets[row + 1]
+            at, which, row = at[inside], which[inside], row[inside]
+            item, offset = pieces.item[which].astype(np.int64), pieces.offset[which].astype(np.int64)
+            whole = self.size[item] == pieces.length        # the piece is the item: its first place says all
+            first = np.flatnonzero(whole)[_firsts(row[whole], item[whole])]
+            out.append(np.stack([row[first], item[first], at[first], offset[first]]))
+            part = ~whole
+            out.append(self._counted(row[part], item[part], at[part] - offset[part], offset[part]))
+        return tuple(np.unique(np.concatenate(out, 1), axis=1))
+
+    def _counted(self, row: np.ndarray, item: np.ndarray, start: np.ndarray, offset: np.ndarray) -> np.ndarray:
         # starts at most 2 * most apart share one of two bins twice as wide
-        wide = 2 * self.most[item] + 1
-        bins = (start + SEGMENT) // wide
+        bins = start // (2 * self.most[item] + 1)
         row, item, offset, start = (np.concatenate([x, x]) for x in (row, item, offset, start))
         bins = np.concatenate([bins, bins - 1])
         by = np.lexsort((start, offset, bins, item, row))
         row, item, bins, offset, start = row[by], item[by], bins[by], offset[by], start[by]
-        if not len(row):
-            return None
         group = np.ones(len(row), bool)
         group[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (bins[1:] != bins[:-1])
         piece = group.copy()
@@ -178,66 +242,54 @@ class Index:
         enough = np.bincount(number[piece], minlength=len(first)) >= self.need[item[first]]
         # the start that most pieces of a window speak for, the smaller on ties
         kept = enough[number]
-        number, start = number[kept], start[kept]
-        if not len(number):
-            return None
-        by = np.lexsort((start, number))
-        number, start = number[by], start[by]
+        number, start, offset = number[kept], start[kept], offset[kept]
+        by = np.lexsort((offset, start, number))
+        number, start, offset = number[by], start[by], offset[by]
         run = np.ones(len(number), bool)
         run[1:] = (number[1:] != number[:-1]) | (start[1:] != start[:-1])
         at = np.flatnonzero(run)
         votes = np.diff(np.append(at, len(number)))
-        number, start = number[at], start[at]
+        number, start, offset = number[at], start[at], offset[at]
         by = np.lexsort((start, -votes, number))
-        number, start = number[by], start[by]
+        number, start, offset = number[by], start[by], offset[by]
         lead = np.ones(len(number), bool)
         lead[1:] = number[1:] != number[:-1]
-        number, start = number[lead], start[lead]
-        found = np.unique(np.stack([row[first[number]], item[first[number]], start]), axis=1)
-        return found[0], found[1], found[2]
+        number, start, offset = number[lead], start[lead], offset[lead]
+        return np.stack([row[first[number]], item[first[number]], start, offset])
 
-    def find(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
+    def find(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """row, item, distance and start of the leaks in normalised rows."""
-        found = self.windows(data, offsets)
-        out = []
-        if found is None:
-            return out
-        rows, items, starts = found
-        order = np.argsort(self.size[items], kind="stable")     # windows of like size share their steps
-        for k in range(0, len(order), WALK_ROWS):
-            part = order[k:k + WALK_ROWS]
-            row, item, start = rows[part], items[part], starts[part]
-            begin = np.maximum(start, offsets[row])
-            stop = np.minimum(start + self.size[item], offsets[row + 1])
-            image = walks(data, begin, stop, int(2 * self.size[item].max()), self.bits)
-            same = np.take_along_axis(image, self.sample[item], 2) == self.expected[item]
-            near = same.reshape(len(part), WALKS * KEYS, BITS).all(2).any(1)
-            for r, i, s in zip(row[near].tolist(), item[near].tolist(), start[near].tolist(), strict=True):
-                text, most = self.texts[i], int(self.most[i])
-                a, b = int(offsets[r]), int(offsets[r + 1])
-                if s >= a and data[s:min(s + len(text), b)].tobytes() == text:
-                    out.append((r, i, 0, s))
+        found = np.stack(self.windows(data, offsets))
+        for k in range(0, found.shape[1], 16 * WALK_ROWS):
+            part = found[:, k:k + 16 * WALK_ROWS].T.tolist()
+            items, windows = [], []
+            for row, item, start, offset in part:
+                # of a long item the walk begins where the two agree
+                text = self.texts[item]
+                begin = min(offset, len(text) - WALKED) if len(text) > WALKED else 0
+                size = min(len(text), WALKED)
+                a, b = max(start + begin, int(offsets[row])), min(start + begin + size, int(offsets[row + 1]))
+                items.append(text[begin:begin + size])
+                windows.append(data[a:max(a, b)].tobytes())
+            near = alike(items, windows)
+            for (row, item, start, _), passed in zip(part, near.tolist(), strict=True):
+                if not passed:
+                    continue
+                text, most = self.texts[item], int(self.most[item])
+                a, b = int(offsets[row]), int(offsets[row + 1])
+                if start >= a and data[start:min(start + len(text), b)].tobytes() == text:
+                    yield row, item, 0, start
                     continue
-                region = data[max(a, s - 2 * most):min(b, s + len(text) + 3 * most)].tobytes()
+                region = data[max(a, start - 2 * most):min(b, start + len(text) + 3 * most)].tobytes()
                 distance = edit_distance_within(text, region, most)
                 if distance is not None:
-                    out.append((r, i, distance, max(a, s)))
-        return out
+                    yield row, item, distance, max(a, start)
 
 
 def index_of(items: list[tuple[int | None, str | None]]) -> Index:
-    index = Index()
-    for item_id, text in items:
-        t = normalised(text)
-        step = len(t) if len(t) <= SEGMENT else SEGMENT
-        for a in range(0, len(t), max(1, step)):
-            piece = t[a:a + step]
-            if len(piece) < step:               # the last segment ends where the item ends
-                piece = t[-step:]
-            if len(piece) >= MIN_ITEM:
-                index.ids.append(item_id)
-                index.texts.append(piece)
-    return index.build()
+    plain = [(item_id, normalised(text)) for item_id, text in items]
+    plain = [(item_id, t) for item_id, t in plain if t]
+    return Index([item_id for item_id, _ in plain], [t for _, t in plain]).build()
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Index]:

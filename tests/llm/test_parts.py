@@ -1,6 +1,7 @@
 """The parts of the operators against plain versions."""
 
 import datetime
+import pickle
 import random
 
 import numpy as np
@@ -184,6 +185,51 @@ def test_recall_of_edited_passages():
         assert all(r == i for r, i in found)
 
 
+def test_keys_reject_unrelated_windows():
+    """Under one in a hundred unrelated windows passes the keys, in blocks of sizes; related ones do at 9.5 % edits."""
+    rng = random.Random(5)
+    text = "".join(rng.choice("eeeettaaooinshr ") for _ in range(200_000)).encode()
+    cut = lambda n: (a := rng.randrange(len(text) - n), text[a:a + n])[1]
+    for size, least in ((40, 0.99), (100, 0.97), (200, 0.95), (400, 0.95), (512, 0.95)):
+        items = [cut(size) for _ in range(400)]
+        assert decontam.alike(items, items).all()
+        near = decontam.alike(items, [(edit(rng, t, int(0.095 * size)) + cut(size))[:size] for t in items]).mean()
+        assert near >= least, (size, near)
+    words = [f"w{rng.randrange(3000)}x{'abcdefghij'[rng.randrange(10)] * rng.randrange(1, 4)}" for _ in range(60_000)]
+    prose = " ".join(words).encode()
+    cut = lambda n: (a := rng.randrange(len(prose) - n), prose[a:a + n])[1]
+    for size in (40, 100, 200, 400, 512):
+        far = decontam.alike([cut(size) for _ in range(800)], [cut(size) for _ in range(800)]).mean()
+        assert far < 0.01, (size, far)
+
+
+def test_one_allowance_for_all_sizes():
+    """Items of every size are found with as many edits as they allow, and not with one more."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    sizes = [*range(1, 50), 79, 80, 511, 512, 513, 700, 1500, 6000]
+    for size in sizes:
+        item = "".join(rng.choice(letters) for _ in range(size))
+        index = decontam.index_of([(1, item)])
+        around = lambda t: "É" * 30 + t + "É" * 30  # noqa: E731  (bytes no item holds)
+        most = size // 10
+        step = max(1, size // (most + 1))
+        missing = lambda k: "".join("ü" if i % step == step // 2 and i // step < k else c for i, c in enumerate(item))
+        exact = {(r, d) for r, _, d, _ in decontam._scan(index, pa.array([around(item), None, "", around(item)[:20]]))}
+        assert exact >= {(0, 0)} and all(r == 0 for r, _ in exact), size
+        if most:
+            # a replacement by a letter of two bytes is two edits
+            got = {d for _, _, d, _ in decontam._scan(index, pa.array([around(missing(most // 2))]))}
+            assert got == {2 * (most // 2)}, (size, got)
+        assert not list(decontam._scan(index, pa.array([around(missing(most // 2 + 1))]))), size
+
+
+def test_index_is_a_few_times_its_text():
+    rng = random.Random(9)
+    items = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.choice((5, 12, 25, 100, 300))))) for i in range(20_000)]
+    assert len(pickle.dumps(decontam.index_of(items))) <= 8 * sum(len(t) for _, t in items)
+
+
 def test_normalise():
     assert decontam.normalised("  The\n CAT, sat -- on É1! ") == "the cat sat on É1".encode()
 
