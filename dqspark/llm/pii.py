@@ -8,7 +8,14 @@ ranges that covers the domain, and numbers outside it are permuted again until
 they fall inside (cycle walking).  Check digits are made anew, separators and
 letter case stay.  The permutation depends on the key and the kind alone, so a
 value has the same pseudonym in every document, different values have
-different ones, and the holder of the key can invert it.
+different ones, and the holder of the key can invert it.  A date has one
+pseudonym in all its notations: days up to the 12th are permuted among
+themselves and so are the others, so that 03/04/2020 and 25/12/2020 are read in
+the same order afterwards.
+
+The key is the caller's.  ``session_key`` is what the registered query and the
+pipeline use: the text of ``spark.dqspark.pii.secret``, or else a random key
+drawn for the session, whose pseudonyms nobody can invert after it.
 
 Kinds: card, iban, ssn, phone, ip, date (1900-2099), email (letters and digits
 of the local part), secret (letters and digits after ``password=`` and the
@@ -25,16 +32,17 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqspark.llm.common import prepare
 
 ROUNDS = 8
-KEY = b"example key: pass your own"
+KEY_NAME = "spark.dqspark.pii.secret"      # a name that Spark redacts where it shows settings
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
@@ -181,28 +189,31 @@ def _ip(s: str, key: bytes, invert: bool) -> str | None:
 
 
 _SLASHES = re.compile(r"(\d{2})/(\d{2})/(\d{4})")
-# pattern, places of year, month and day, smallest day: month first where that is a date, else day first
-_DATES = ((re.compile(r"(\d{4})-(\d{2})-(\d{2})"), (0, 1, 2), 1), (re.compile(r"(\d{4})/(\d{2})/(\d{2})"), (0, 1, 2), 1),
-          (_SLASHES, (2, 0, 1), 1), (_SLASHES, (2, 1, 0), 13), (re.compile(r"(\d{2})\.(\d{2})\.(\d{4})"), (2, 1, 0), 1))
+# pattern and places of year, month and day: month first where that is a date, else day first
+_DATES = ((re.compile(r"(\d{4})-(\d{2})-(\d{2})"), (0, 1, 2)), (re.compile(r"(\d{4})/(\d{2})/(\d{2})"), (0, 1, 2)),
+          (_SLASHES, (2, 0, 1)), (_SLASHES, (2, 1, 0)), (re.compile(r"(\d{2})\.(\d{2})\.(\d{4})"), (2, 1, 0)))
+MONTHS = 12
 
 
 def _date(s: str, key: bytes, invert: bool) -> str | None:
-    for pattern, (y, m, d), least in _DATES:
+    for pattern, (y, m, d) in _DATES:
         found = pattern.fullmatch(s)
         if not found:
             continue
         parts = [int(x) for x in found.groups()]
         try:
-            number = datetime.date(parts[y], parts[m], parts[d]).toordinal() - FIRST_DAY
+            day = datetime.date(parts[y], parts[m], parts[d])
         except ValueError:
             continue
+        number = day.toordinal() - FIRST_DAY
         if not 0 <= number < DAYS:
             continue
-        f = Feistel(key, f"date{least}", DAYS)
-        while True:         # cycle walking within the days that the order of the parts allows
+        month_like = day.day <= MONTHS      # a day that may be read as a month stays one, all others never become one
+        f = Feistel(key, f"date{month_like}", DAYS)
+        while True:         # cycle walking within the days of the same class
             number = f.invert(number) if invert else f.apply(number)
             new = datetime.date.fromordinal(FIRST_DAY + number)
-            if new.day >= least:
+            if (new.day <= MONTHS) == month_like:
                 break
         parts[y], parts[m], parts[d] = new.year, new.month, new.day
         return _refill(s, "".join(f"{x:0{len(g)}d}" for x, g in zip(parts, found.groups(), strict=True)))
@@ -248,7 +259,7 @@ _MAKE = {name: make for name, _, make in KINDS}
 _MAY = re.compile(r"[0-9@=:]|sk[-_]|gh[pos]_|AKIA|ASIA|AIza|xox")
 
 
-def replace(text: str, key: bytes = KEY, invert: bool = False) -> tuple[str, dict[str, int]]:
+def replace(text: str, key: bytes, invert: bool = False) -> tuple[str, dict[str, int]]:
     """The text with pseudonyms, and how many values of each kind were replaced."""
     counts: dict[str, int] = {}
     if not _MAY.search(text):
@@ -284,7 +295,14 @@ def _other(text: str, failed: re.Match, key: bytes, invert: bool) -> tuple[str,
     return None
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key set for the session; a random one is set where there is none."""
+    if not spark.conf.get(KEY_NAME, ""):
+        spark.conf.set(KEY_NAME, secrets.token_hex(32))
+    return spark.conf.get(KEY_NAME).encode()
+
+
+def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
     """``docs`` with pseudonyms in ``text`` (all columns kept) and the number of values in ``pii_values``."""
     prepare(docs.sparkSession)
     rest = [c for c in docs.columns if c != "pii_values"]
@@ -305,7 +323,7 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return slim.mapInArrow(run, type(slim.schema)(list(slim.schema.fields)).add("pii_values", "integer"))
 
 
-def pseudonyms(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def pseudonyms(docs: DataFrame, key: bytes) -> DataFrame:
     """doc_id, text with pseudonyms, number of values and digest of every document."""
     return pseudonymise(docs.select("doc_id", "text"), key).select(
         "doc_id", "text", "pii_values", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))

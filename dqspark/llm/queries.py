@@ -46,7 +46,7 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonyms(table(spark, sf_dir, "documents"))
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

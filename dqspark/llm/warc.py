@@ -150,7 +150,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     store, path, source, open_uri = None, "", None, None
-    run: list[tuple[int, int]] = []
+    run: list[tuple[int, int, str | None]] = []
     run_file = None
 
     def fetch():
@@ -160,21 +160,22 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 source.close()
             store, path = _open(run_file)
             source, open_uri = store.open_input_file(path), run_file
-        begin, end = run[0][0], max(o + n for o, n in run)
+        begin, end = run[0][0], max(o + n for o, n, _ in run)
         blob = source.read_at(end - begin, begin)
-        found = [decode_record(zlib.decompress(blob[o - begin:o - begin + n], 31)) for o, n in run]
+        # a record's own url is escaped, the index has it as given
+        found = [decode_record(zlib.decompress(blob[o - begin:o - begin + n], 31)) | {"url": url} for o, n, url in run]
         for r in found:
             del r["payload"]
         return pa.RecordBatch.from_pylist(found, SCHEMA_RECORD)
 
     for batch in batches:
-        for uri, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for uri, offset, length, url in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if run and (uri != run_file or offset - (run[-1][0] + run[-1][1]) > MAX_GAP
                         or offset + length - run[0][0] > MAX_READ):
                 yield fetch()
                 run = []
             run_file = uri
-            run.append((offset, length))
+            run.append((offset, length, url))
     if run:
         yield fetch()
     if source is not None:
@@ -185,7 +186,7 @@ def read_records(index: DataFrame) -> DataFrame:
     """Read the records of the given index rows by coalesced byte ranges."""
     spark = index.sparkSession
     chunk = F.floor(F.col("offset") / (4 * MAX_READ))
-    dealt = (index.select("file", "offset", "length")
+    dealt = (index.select("file", "offset", "length", "url")
              .repartition(shuffle_partitions(spark), F.col("file"), chunk)
              .sortWithinPartitions("file", "offset"))
     return dealt.mapInArrow(_reader, RECORD)

@@ -3,10 +3,12 @@
 import datetime
 import pickle
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -121,12 +123,12 @@ CLEAN = ["2123465659789241", "300.1.2.3", "2023-02-30", "000-12-3456", "12:30",
 @pytest.mark.parametrize("value", PRIVATE)
 def test_private_values_change_in_their_format(value):
     text = f"Then {value}, and {value}!!"
-    new, counts = pii.replace(text)
+    new, counts = pii.replace(text, b"key")
     assert sum(counts.values()) == 2 and value not in new
     shape = lambda s: "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in s)
     if "." not in value and "pass" not in value:
         assert shape(new) == shape(text)
-    assert pii.replace(new, invert=True)[0] == text
+    assert pii.replace(new, b"key", invert=True)[0] == text
     assert pii.replace(text, b"other key")[0] != new
     first, second = new.removeprefix("Then ").removesuffix("!!").split(", and ")
     assert first == second
@@ -135,18 +137,49 @@ def test_private_values_change_in_their_format(value):
 @pytest.mark.parametrize("value", CLEAN)
 def test_other_values_stay(value):
     text = f"Then {value} and so on."
-    assert pii.replace(text) == (text, {})
+    assert pii.replace(text, b"key") == (text, {})
 
 
 def test_dates_stay_dates():
     for k in range(200):
         day = datetime.date(1990, 1, 1) + datetime.timedelta(days=37 * k)
-        new, _ = pii.replace(day.isoformat())
+        new, _ = pii.replace(day.isoformat(), b"key")
         assert datetime.date.fromisoformat(new).year in range(1900, 2100)
 
 
+def test_dates_are_linked_in_all_notations():
+    seen = set()
+    for k in range(400):
+        day = datetime.date(1950, 1, 1) + datetime.timedelta(days=83 * k)
+        new = datetime.date.fromisoformat(pii.replace(day.isoformat(), b"key")[0])
+        assert (new.day <= 12) == (day.day <= 12)
+        forms = ["%Y/%m/%d", "%m/%d/%Y", "%d.%m.%Y"] + (["%d/%m/%Y"] if day.day > 12 else [])
+        for form in forms:
+            assert pii.replace(day.strftime(form), b"key")[0] == new.strftime(form)
+        seen.add(new)
+    assert len(seen) == 400
+
+
+def test_planted_values_are_all_replaced():
+    """Every planted value goes, once for all its places; all other text stays."""
+    rng = random.Random(21)
+    prose = lambda: " ".join(rng.choice(CLEAN + ["words", "and", "more", "text."]) for _ in range(rng.randrange(3, 12)))
+    new_of: dict[str, set[str]] = {}
+    for _ in range(200):
+        planted = [rng.choice(PRIVATE) for _ in range(rng.randrange(4))]
+        between = [prose() for _ in range(len(planted) + 1)]
+        text = between[0] + "".join(f"; {v} ;{b}" for v, b in zip(planted, between[1:]))
+        new, counts = pii.replace(text, b"key")
+        assert sum(counts.values()) == len(planted)
+        parts = re.split(r"; (.*?) ;", new)
+        assert parts[::2] == between
+        for v, w in zip(planted, parts[1::2], strict=True):
+            new_of.setdefault(v, set()).add(w)
+    assert set(new_of) == set(PRIVATE) and all(len(x) == 1 and v not in x for v, x in new_of.items())
+
+
 def test_card_stays_a_card():
-    new, _ = pii.replace("4041894974608795")
+    new, _ = pii.replace("4041894974608795", b"key")
     assert pii.luhn_digit(new[:-1]) == new[-1] and new[0] == "4"
 
 
@@ -332,3 +365,19 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert sorted(map(tuple, got)) == sorted([(i, 1) for i in (1, 2, 3, 20, 21, 22, 23, 24)] + [(i, 7) for i in (7, 8, 9)])
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_selected_records_are_read_across_gaps(spark):
+    """Some records of an index, apart by more than MAX_GAP and by less, come back whole; urls as given."""
+    rng = random.Random(4)
+    pages = [(i, f"http://x/a b{i}%20" if i % 3 else None, rng.randbytes(30_000).hex() if i % 5 else "same") for i in range(60)]
+    from dqspark.session import scratch_dir
+    index = warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1),
+                                scratch_dir(spark, "warc"))
+    wanted = [1, 2, 3, 10, 31, 32, 33, 34, 35, 59]
+    got = {r["page_id"]: r for r in warc.read_records(index.where(F.col("page_id").isin(wanted))).collect()}
+    assert sorted(got) == wanted
+    for i in wanted:
+        assert got[i]["url"] == pages[i][1] and got[i]["payload_bytes"] == len(pages[i][2])
+        assert got[i]["payload_digest"] == warc.digest_of(pages[i][2].encode())
+        assert got[i]["refers_to"] == (55 if i % 5 == 0 and i != 55 else None)

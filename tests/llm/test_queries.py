@@ -114,7 +114,7 @@ def test_pii(spark, docs):
     got = {r[0]: r[1:] for r in rows(spark, "op9_pii", "doc_id", "text", "pii_values")}
     assert len(got) == len(docs)
     for i, text, _ in docs:
-        assert pii.replace(got[i][0], invert=True)[0] == text
+        assert pii.replace(got[i][0], pii.session_key(spark), invert=True)[0] == text
         assert (got[i][0] != text) == (got[i][1] > 0)
 
 
@@ -146,7 +146,7 @@ def test_pipeline(spark, duck, docs):
             exact = {i for i, t in plain.items() if any(x in t for x in items)}
             assert exact.isdisjoint(after) and len(before) - len(after) - len(exact) <= 2
         elif k == 3:
-            assert {i: pii.replace(t)[0] for i, t in before.items()} == after
+            assert {i: pii.replace(t, pii.session_key(spark))[0] for i, t in before.items()} == after
             assert all(r["n_chars"] == len(r["text"]) for r in got)
         else:
             assert set(after) <= set(before) and all(after[i] == before[i] for i in after)
