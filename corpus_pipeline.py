@@ -35,7 +35,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms; n_chars follows where the text has changed."""
     prepare(spark)
-    out = pii.pseudonymise(docs)
+    out = pii.pseudonymise(docs, pii.session_key(spark))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(F.col("pii_values") > 0, F.length("text").cast(kind))
