@@ -169,6 +169,23 @@ def _assessed(size: int, limit: np.uint64):
     return run
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the tokens that stand in several documents; rows come sorted by token."""
+    last, sum_ = np.zeros(0, np.int64), 0        # the token that goes on, and its documents so far
+    for batch in batches:
+        token, n = (c.to_numpy() for c in batch.columns)
+        if not len(token):
+            continue
+        token, n = np.concatenate([last, token]), np.concatenate([np.full(len(last), sum_), n])
+        begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        total = np.add.reduceat(n, begin)
+        last, sum_ = token[-1:], int(total[-1])
+        token, total = token[begin[:-1]], total[:-1]
+        yield pa.RecordBatch.from_arrays([pa.array(token[total > 1]), pa.array(total[total > 1])], names=["token", "n"])
+    if sum_ > 1:
+        yield pa.RecordBatch.from_arrays([pa.array(last), pa.array([sum_], pa.int64())], names=["token", "n"])
+
+
 def _signed(size: int, percent: int, limit: np.uint64, several, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -377,8 +394,10 @@ def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame,
                          .where("doc_id is not null and not coalesce(stands, false)").select("doc_id"), "join-copies")
     reps = rows_not_in(texts.where("doc_id is not null"), copies, "doc_id", ID_BITS)
     limit = np.uint64(min(1.0, ASSESSED * (1 - percent / 100)) * float((1 << 64) - 2048))
-    counted = materialize(reps.mapInArrow(_assessed(size, limit), "token long, n long").groupBy("token")
-                          .agg(F.sum("n").alias("n")).where("n > 1"), "join-tokens")
+    # most tokens stand once: sorting them takes less memory than a hash map, and no map before the shuffle helps
+    counted = materialize(reps.mapInArrow(_assessed(size, limit), "token long, n long")
+                          .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token")
+                          .mapInArrow(_repeated, "token long, n long"), "join-tokens")
     place = F.col("token").bitwiseAND(F.lit(TOKEN_BITS - 1))
     several = spark.sparkContext.broadcast(bitmap(counted, place, TOKEN_BITS))
     frequent = spark.sparkContext.broadcast(bitmap(counted.where(F.col("n") > FREQUENT), place, TOKEN_BITS))

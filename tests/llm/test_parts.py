@@ -163,7 +163,7 @@ def test_dates_are_linked_in_all_notations():
 def test_planted_values_are_all_replaced():
     """Every planted value goes, once for all its places; all other text stays."""
     rng = random.Random(21)
-    prose = lambda: " ".join(rng.choice(CLEAN + ["words", "and", "more", "text."]) for _ in range(rng.randrange(3, 12)))
+    prose = lambda: " and ".join(rng.choice(CLEAN + ["words", "more", "text."]) for _ in range(rng.randrange(3, 12)))
     new_of: dict[str, set[str]] = {}
     for _ in range(200):
         planted = [rng.choice(PRIVATE) for _ in range(rng.randrange(4))]
