@@ -31,8 +31,8 @@ hangs on its core.  Then, with the
 components so far, all signatures that still hold several are completed: all pairs
 of different components, the rows of its largest component only with the others,
 in blocks dealt over the tasks.  A parity bitmap of each set (its differing bits
-can't outnumber the differing tokens) drops pairs before sets are read; of the
-rest every component first tries its nearest, and all pairs still apart are then
+can't outnumber the differing tokens) drops pairs before sets are read, and then
+one whose size grows with the set; of the rest every component first tries its nearest, and all pairs still apart are then
 compared on the full sets, rebuilt from the texts.  Exact copies are one
 document from the start.
 
@@ -134,9 +134,23 @@ def signatures(tokens: np.ndarray, limit: np.uint64, several, frequent, percent:
     return rare, np.unique(np.concatenate(out))
 
 
-def parity(tokens: np.ndarray) -> np.ndarray:
+def parity(tokens: np.ndarray, bits: int = PARITY) -> np.ndarray:
     """A bit per residue: whether an odd number of tokens has it."""
-    return np.packbits(np.bincount(((tokens >> np.uint64(20)) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1 == 1)
+    return np.packbits(np.bincount(((tokens >> np.uint64(20)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1 == 1)
+
+
+def fine_parity(tokens: np.ndarray) -> np.ndarray:
+    """A parity bitmap that a set of any size leaves sparse: two bits a token or more."""
+    return parity(tokens, max(PARITY, 1 << (2 * len(tokens)).bit_length()))
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Differing bits of two parity bitmaps; the larger one is folded to the size of the other."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _key(tokens: np.ndarray) -> bytes | None:
@@ -246,6 +260,39 @@ def _alike(percent: int):
     return run
 
 
+def _fine(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, sets in _sets(batch, size):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(sets)), pa.array([len(x) for x in sets], pa.int64()),
+                                                  pa.array([fine_parity(x).tobytes() for x in sets], pa.binary())],
+                                                 names=["doc_id", "n", "fine"])
+    return run
+
+
+def _finely_alike(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
+            bits = np.array([apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))
+                             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())], np.int32)
+            keep = pa.array(bits <= n + m - 2 * -(-percent * (n + m) // (100 + percent)))
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in (batch.column("a"), batch.column("b"), pa.array(bits))],
+                                             names=["a", "b", "apart"])
+    return run
+
+
+def likely(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``a, b, apart``: the pairs whose fine bitmaps allow a link (PARITY bits say little of sets of thousands)."""
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "join-fine-ids")
+    fine = materialize(rows_in(docs, ids, "doc_id", ID_BITS).mapInArrow(_fine(size), "doc_id long, n long, fine binary"), "join-fine")
+    x = fine.select(F.col("doc_id").alias("a"), "n", F.col("fine").alias("x"))
+    y = fine.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("fine").alias("y"))
+    return materialize(pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y")
+                       .mapInArrow(_finely_alike(percent), "a long, b long, apart int")
+                       .groupBy("a", "b").agg(F.min("apart").alias("apart")), "join-likely")
+
+
 def _rebuilt(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -413,9 +460,9 @@ def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame,
     y = bits.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
     first = materialize(pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y")
                         .mapInArrow(_alike(percent), "a long, b long").distinct(), "join-first")
-    edges = verified(first, reps, size, percent)
+    edges = verified(likely(first, reps, size, percent).select("a", "b"), reps, size, percent)
     rest = materialize(_completed(signed, components(edges), percent).join(first, ["a", "b"], "left_anti"), "join-rest")
-    edges = _nearest_first(rest, edges, reps, size, percent)
+    edges = _nearest_first(likely(rest, reps, size, percent), edges, reps, size, percent)
     # an id with several texts joins their sets
     several_sets = known.groupBy("doc_id").agg((F.min("set_key") != F.max("set_key")).alias("mixed")).where("mixed").select("doc_id")
     own = placed.join(several_sets, "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))

@@ -262,3 +262,13 @@ def test_subclasses_leave_a_signature():
         many = jaccard.subclasses(band, percent)
         for n in (1 << band, (2 << band) - 1):
             assert not many or n - many > jaccard.errors(n, percent)
+
+
+def test_fine_bitmaps_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(6)
+    for n, m, common in ((1, 1, 0), (300, 280, 250), (5000, 4300, 4200), (5000, 600, 600), (40_000, 38_000, 37_500)):
+        tokens = rng.integers(0, 1 << 63, n + m - common).astype(np.uint64)
+        x, y = np.sort(tokens[:n]), np.sort(tokens[n - common:])
+        bits = jaccard.apart(jaccard.fine_parity(x), jaccard.fine_parity(y))
+        assert bits <= n + m - 2 * common and bits == jaccard.apart(jaccard.fine_parity(y), jaccard.fine_parity(x))
+        assert bits >= 0.5 * min(n + m - 2 * common, m) or n < 10 or m < n / 2
