@@ -187,6 +187,11 @@ def raw(column: str) -> str:
     return f"_raw_{column}"
 
 
+def counted_events(events: DataFrame) -> DataFrame:
+    """Counts of events, or of counts of their parts, by mark and value."""
+    return events.groupBy("mark", "value").agg(F.sum("n").alias("n"))
+
+
 # --------------------------------------------------------------------- driver
 class Cleaning:
     """``Cleaning(df, config)`` -> ``.cleaned`` frame and ``.audit()`` log.
@@ -243,9 +248,9 @@ class Cleaning:
         flags = [F.col(f) for e in self.entries for f in e.affected]
         return self.counts().select(sum(flags[1:], flags[0]).cast("bigint").alias("errors_corrected"))
 
-    def events(self) -> DataFrame:
-        """``(mark, value, n)``: how often each flag was set, with the replaced
-        value (C6) and the district's shapes (C8)."""
+    def event_list(self) -> Column:
+        """The events ``(mark, value, n)`` of a row of ``staged``: its flags, the replaced
+        value (C6) and the district's shape (C8)."""
         types, out = dict(self.staged.dtypes), []
         values = {e.affected[0] for e in self.entries if e.examples}
 
@@ -260,17 +265,20 @@ class Cleaning:
         if self.config.document_district and district in self.df.columns:
             shape = tx.shape_signature(tx.ws_strip(raw(district)))
             out.append(F.when(F.col(raw(district)).isNotNull(), event("shape", shape, F.lit(1))))
-        return (self.staged.select(F.explode(F.filter(F.array(*out), lambda e: e.isNotNull())).alias("e"))
-                .groupBy("e.mark", "e.value").agg(F.sum("e.n").alias("n")))
+        return F.filter(F.array(*out), lambda e: e.isNotNull())
+
+    def events(self) -> DataFrame:
+        """``(mark, value, n)``: how often each event occurs."""
+        return counted_events(self.staged.select(F.explode(self.event_list()).alias("e")).select("e.*"))
 
-    def audit(self, k: int = K.EXAMPLES_K) -> DataFrame:
+    def audit(self, k: int = K.EXAMPLES_K, events: DataFrame | None = None) -> DataFrame:
         """``(step, sub, variable, problem, action, affected, justification)``.
 
-        The input is read once, for the events; marks are bounded by the
-        rules, so they are gathered to one map.
+        The input is read once, for the events (or not at all, if they are
+        given); marks are bounded by the rules, so they are gathered to one map.
         """
         cfg = self.config
-        events = written(self.events(), "clean-events")
+        events = written(self.events() if events is None else events, "clean-events")
         per_mark = events.groupBy("mark").agg(
             F.sum("n").alias("n"), F.count("value").alias("kinds"), F.max("n").alias("most"),
             F.min_by("value", F.struct((-F.col("n")).alias("m"), F.col("value").alias("v"))).alias("main"))

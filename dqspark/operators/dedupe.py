@@ -42,6 +42,7 @@ from dqspark.functions import constants as K
 from dqspark.functions import text as tx
 from dqspark.functions.similarity import lcs_udf, similarity_from_lcs
 from dqspark.session import written
+from dqspark.sources.sinks import export_verified
 
 @dataclass
 class FuzzyConfig:
@@ -186,6 +187,24 @@ def fuzzy_members(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
     return with_texts(df, cfg).select(cfg.key, *cfg.group_columns(), F.col("ts").alias("text"))
 
 
+def candidate_members(df: DataFrame, pairs: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
+    """Key, name, address, group columns and ``text`` of the rows whose class is in ``pairs``."""
+    cols = cfg.group_columns()
+    rows = with_texts(df, cfg).select(cfg.key, cfg.name, cfg.address, *cols, F.col("ts").alias("text"))
+    held = pairs.select(*cols, F.explode(F.array("text_1", "text_2")).alias("text")).distinct()
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in cols] + [F.col("r.text") == F.col("h.text")]
+    return rows.alias("r").join(held.alias("h"), same, "left_semi")
+
+
+def export_candidates(df: DataFrame, folder: str, cfg: FuzzyConfig = DIRTY_FUZZY, fmt: str = "parquet") -> None:
+    """Candidate duplicates for review under ``folder``, both tables verified as written:
+    ``pairs`` (``fuzzy_pairs``) and ``members`` (the rows behind their texts, to be joined on
+    group columns and text).  Copies are rows of ``members``, never pairs."""
+    found = written(fuzzy_pairs(df, cfg, ordered=False), "candidate-pairs")
+    export_verified(found.orderBy(F.desc("similarity"), *cfg.group_columns(), "text_1", "text_2"), f"{folder}/pairs", fmt=fmt)
+    export_verified(candidate_members(df, found, cfg), f"{folder}/members", fmt=fmt)
+
+
 def fuzzy_pairs_count(df: DataFrame, cfg: FuzzyConfig = DIRTY_FUZZY) -> DataFrame:
     """Number of matching row pairs, from the classes' row counts."""
     texts = numbered_classes(df, cfg)

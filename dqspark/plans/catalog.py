@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqspark.functions import constants as K
+from dqspark.functions import sql as SQLF
 from dqspark.functions import text as tx
 from dqspark.functions.similarity import lcs_udf, similarity_from_lcs
 from dqspark.functions.text import normalize_ws
@@ -301,6 +302,49 @@ def cleaning(spark, sf) -> clean.Cleaning:
 register("clean_all", OC.clean_all_sql())(lambda spark, sf: cleaning(spark, sf).cleaned)
 register("transformation_log", OC.transformation_log_sql())(lambda spark, sf: cleaning(spark, sf).audit())
 
+
+
+def clean_streamed(spark, sf) -> str:
+    """Folder of the dirty registry cleaned as it lands: three arrivals, a run after each."""
+    base = scratch_dir(spark, "clean-stream")
+    df = written(dirty_registry(spark, sf), "clean-stream-rows")
+    for arrival in range(3):
+        df.where(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == arrival).write.mode("append").parquet(f"{base}/source")
+        incremental.clean_stream(spark, f"{base}/source", f"{base}/target", f"{base}/checkpoint", df.schema)
+    return f"{base}/target"
+
+
+register("stream_clean_all", OC.clean_all_sql())(
+    lambda spark, sf: incremental.stream_cleaned(spark, clean_streamed(spark, sf)))
+register("stream_transformation_log", OC.transformation_log_sql())(
+    lambda spark, sf: incremental.stream_audit(spark, clean_streamed(spark, sf), dirty_registry(spark, sf).schema))
+
+
+# ---------------------------------------------------------------- P8 - P16, A13, A14, J1 texts in SQL alone
+def q_sql_functions(spark, sf):
+    """Every value of the dirty registry through the functions, written in SQL alone."""
+    SQLF.register(spark)
+    return spark.sql("""
+        select variable, value, is_junk(value) as junk, is_junk_ext(value) as junk_ext, is_invalid_name(value) as invalid_name,
+               is_junk_or_zero(value) as junk_or_zero, is_disguised_null(value) as disguised, matches_key(value) as key,
+               matches_phone(value) as phone, matches_zone(value) as zone, has_zero_typo(value) as zero_typo,
+               fix_zero_typo(value) as zero_fixed, normalize_ws(value) as spaced, has_edge_ws(value) as edge,
+               shape_signature(value) as shape, token_sort(value) as sorted, category_key(value) as category
+        from {vf} where value is not null""", vf=_vf(spark, sf))
+
+
+_S = O.strip("value")
+register("sql_functions", f"""
+select variable, value, {O.junk('value')} as junk, {O.junk_ext('value')} as junk_ext,
+       {_S} <> '' and ({O.junk(_S)} or {O.has_digit(_S)}) as invalid_name,
+       {_S} <> '' and ({O.junk(_S)} or {_S} = '0') as junk_or_zero,
+       {O.strip('upper(value)')} in ({', '.join(f"'{t}'" for t in K.DISGUISED_NULL_TOKENS)}) as disguised,
+       {O.key_ok('value')} as key, {O.phone_ok('value')} as phone, {O.zone('value')} as zone, {O.zero_typo('value')} as zero_typo,
+       {O.fix_zero_typo('value')} as zero_fixed, {O.collapse(_S)} as spaced, {O.edge_ws('value')} as edge,
+       {O.signature('value')} as shape, {O.token_sort('value')} as sorted, {O.category_key('value')} as category
+from {VF} v where value is not null
+""")(q_sql_functions)
+
 # ---------------------------------------------------------------- J1 / J2
 
 register("fuzzy_pairs", O.fuzzy_pairs_sql())(
@@ -600,6 +644,16 @@ def q_candidate_export(spark, sf):
 
 register("candidate_export", O.fuzzy_pairs_sql())(q_candidate_export)
 
+
+def q_candidate_members(spark, sf):
+    """The rows behind the exported candidates, with key, name and address for review."""
+    path = scratch_dir(spark, "candidate-review")
+    dedupe.export_candidates(dirty_registry(spark, sf), path)
+    return spark.read.parquet(f"{path}/members")
+
+
+register("candidate_members", O.candidate_members_sql())(q_candidate_members)
+
 # ---------------------------------------------------------------- the whole flow on the 17 + 1 column layout
 _R18 = Roles.registry()
 _HEADER18 = [("CODIGO", "CODIGO"), ("", None), *((c, c) for c in REGISTRY_COLUMNS[1:]), ("", None), ("", None)]

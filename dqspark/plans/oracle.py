@@ -129,6 +129,17 @@ def fuzzy_members_sql(key="code", name="name", address="address", blocks=("depar
     return f"select {key}, {', '.join(gcols)}, ts as text from {_texts_sql(name, address, gcols, blocks, src)} x"
 
 
+def candidate_members_sql(key="code", name="name", address="address", blocks=("department", "municipality"),
+                          diffs=("director", "sector"), src: str = D) -> str:
+    gcols = [*blocks, *diffs]
+    same = " and ".join(f"p.{c} is not distinct from x.{c}" for c in gcols)
+    return f"""
+with p as ({fuzzy_pairs_sql(name, address, blocks, diffs, src=src)})
+select {key}, {name}, {address}, {', '.join(gcols)}, ts as text from {_texts_sql(name, address, gcols, blocks, src)} x
+where exists (select 1 from p where {same} and x.ts in (p.text_1, p.text_2))
+"""
+
+
 def lev_prefilter_sql(name="name", address="address", blocks=("department", "municipality"),
                       diffs=("director", "sector"), t=95, src: str = D) -> str:
     gcols = [*blocks, *diffs]

@@ -1,6 +1,6 @@
 """Incremental loading: process only items not materialised before.
 
-Three forms of the same idea:
+Four forms of the same idea:
 
 * ``new_items``: a batch left-anti join of candidates against a ledger of
   already-loaded keys;
@@ -10,7 +10,9 @@ Three forms of the same idea:
   cleaning rules (pure column expressions) can be applied in the stream;
 * ``ingest_stream``: raw export files as they land, through the streaming side
   of the ``raw_export`` source; each micro-batch is a whole ingest of its files,
-  whose rows and ledger replace what an earlier attempt of that batch wrote.
+  whose rows and ledger replace what an earlier attempt of that batch wrote;
+* ``clean_stream``: the cleaning rules over rows as they land; the audit's events
+  are counted per micro-batch and summed by ``stream_audit``.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dqspark.operators import clean
 from dqspark.sources import ingest, raw_export
 
 
@@ -75,3 +78,45 @@ def ingested(spark: SparkSession, target: str) -> ingest.Ingested:
     rows, ledger = (spark.read.parquet(f"{target}/{x}").drop("batch") for x in ("rows", "ledger"))
     return ingest.Ingested(rows=rows.select("origin", "data"), ledger=ledger,
                            columns=rows.groupBy("origin").agg(F.first("columns").alias("columns")))
+
+
+_EVENTS = "_audit_events"
+
+
+def clean_stream(spark: SparkSession, source_dir: str, target: str, checkpoint_dir: str, schema,
+                 config: clean.CleanConfig = clean.DIRTY_CONFIG, fmt: str = "parquet",
+                 max_files_per_trigger: int | None = None) -> None:
+    """Clean the files of ``source_dir`` that no earlier run has seen.
+
+    A micro-batch is read once: its cleaned rows are written with their audit
+    events, and the events are counted from what was written.  Both replace
+    those of an earlier attempt of the batch, so a killed batch counts once.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def load(batch: DataFrame, number: int) -> None:
+        cleaning = clean.Cleaning(batch, config)
+        rows = f"{target}/rows/load_id={number}"
+        (cleaning.staged.select(*batch.columns, cleaning.event_list().alias(_EVENTS))
+         .write.mode("overwrite").parquet(rows))
+        events = batch.sparkSession.read.parquet(rows).select(F.explode(_EVENTS).alias("e")).select("e.*")
+        clean.counted_events(events).write.mode("overwrite").parquet(f"{target}/events/load_id={number}")
+
+    q = (reader.load(source_dir).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint_dir)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def stream_cleaned(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that the runs of ``clean_stream`` have cleaned so far."""
+    return spark.read.parquet(f"{target}/rows").drop(_EVENTS, "load_id")
+
+
+def stream_audit(spark: SparkSession, target: str, schema, config: clean.CleanConfig = clean.DIRTY_CONFIG) -> DataFrame:
+    """The audit log of all loads; reads their counts of events only."""
+    events = clean.counted_events(spark.read.parquet(f"{target}/events").drop("load_id"))
+    return clean.Cleaning(spark.createDataFrame([], schema), config).audit(events=events)

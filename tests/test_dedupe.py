@@ -166,3 +166,17 @@ def test_pieces_find_every_pair_at_lower_thresholds(spark):
     found, n = dedupe.candidate_ids(texts).count(), texts.count()
     assert found <= n * (n - 1) / 2 / 20
     assert texts.select(F.countDistinct("id")).first()[0] == n
+
+
+def test_export_for_review_holds_the_rows_behind_the_pairs(spark, tmp_path):
+    rows = [("1", "Escuela Primera del Norte", "Calle 1", "d", "m", None, "s"), ("2", "Escuela Primera del Norte", "Calle 1", "d", "m", None, "s"),
+            ("3", "Escuela Primera del Norte", "Calle 2", "d", "m", None, "s"), ("4", "Otra", "Avenida", "d", "m", None, "s"),
+            ("5", "Escuela Primera del Norte", "Calle 1", "d", "m", "x", "s"), ("6", None, "Calle 1", "d", "m", None, "s")]
+    df = spark.createDataFrame(rows, "code string, name string, address string, department string, municipality string, "
+                                     "director string, sector string")
+    for fmt in ("parquet", "csv"):
+        path = str(tmp_path / fmt)
+        dedupe.export_candidates(df, path, fmt=fmt)
+        members = spark.read.format(fmt).option("header", True).load(f"{path}/members")
+        assert sorted((r.code, r["name"], r.address) for r in members.collect()) == [r[:3] for r in rows[:3]]
+        assert spark.read.format(fmt).option("header", True).load(f"{path}/pairs").count() == 2

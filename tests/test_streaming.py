@@ -64,3 +64,40 @@ def test_cleaning_rules_run_on_a_stream(spark, tmp_path):
     batch = clean.Cleaning(d).cleaned
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def _audit(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_stream_audit_equals_the_batch_audit_after_a_killed_batch(spark, tmp_path, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+    from dqspark.operators import clean
+    from dqspark.sources.tables import dirty_registry
+    from tests.conftest import SF_SMALL
+    df = dirty_registry(spark, SF_SMALL)
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+    parts = df.repartition(3, "code").withColumn("arrival", F.spark_partition_id())
+    parts.write.parquet(str(tmp_path / "parts"))
+    parts = spark.read.parquet(str(tmp_path / "parts"))
+    writer = type(df.write)
+    real = writer.parquet
+
+    def killed(self, where, *args, **kw):
+        real(self, where, *args, **kw)
+        if "/rows/load_id=1" in where:
+            raise RuntimeError("killed after the rows")
+    for arrival in range(3):
+        parts.where(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(src)
+        if arrival == 1:
+            monkeypatch.setattr(writer, "parquet", killed)
+            with pytest.raises((StreamingQueryException, RuntimeError)):
+                incremental.clean_stream(spark, src, out, ckpt, df.schema)
+            monkeypatch.setattr(writer, "parquet", real)
+        incremental.clean_stream(spark, src, out, ckpt, df.schema)
+    incremental.clean_stream(spark, src, out, ckpt, df.schema)         # nothing new
+    batch = clean.Cleaning(parts.drop("arrival"))
+    got = incremental.stream_cleaned(spark, out)
+    assert got.columns == df.columns
+    assert got.exceptAll(batch.cleaned).isEmpty() and batch.cleaned.exceptAll(got).isEmpty()
+    assert _audit(incremental.stream_audit(spark, out, df.schema)) == _audit(batch.audit())

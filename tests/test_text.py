@@ -80,3 +80,16 @@ def test_token_sort(spark):
 def test_zone_case_insensitive(spark):
     vals = ["ZONA 1", "zona  10", "ZONA1", " ZONA 3"]
     assert col_values(spark, vals, F.coalesce(tx.matches_zone("v"), F.lit(False))) == [True, True, False, False]
+
+
+def test_sql_functions_equal_the_column_forms(spark):
+    from pyspark.sql import functions as F
+    from dqspark.functions import category, sql, text as tx
+    sql.register(spark)
+    values = [None, "", " ", "---", "a  b", "\ta'b\\", "Zona 12", "ZONA\n1", "12345678", "01-02-0003-04", "GUATEMALA0", "A01", "n/a ",
+              "0", " . ", "Ñandú,  é", "x ", "b a c", "�", ",;:", "\x1c--", "Ｚ１"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    forms = {n: getattr(tx, n, None) or getattr(category, n) for n in sql.NAMES}
+    got = df.select("v", *[F.expr(f"{n}(v)").alias(n) for n in sql.NAMES])
+    want = df.select("v", *[f("v").alias(n) for n, f in forms.items()])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
