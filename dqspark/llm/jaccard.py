@@ -66,6 +66,7 @@ ID_BITS = 1 << 22
 PARITY = 1024               # bits of a set's parity bitmap
 CHAINS = 3                  # signatures of a document that are looked at first
 ROUNDS = 3                  # in which components try their nearest pair before all others are checked
+BUCKET = 1 << 19            # tokens of a bucket in which they are counted, about
 SPREAD = 1 << 17            # pairs of rows compared at once
 BLOCK = 1024                # rows of a signature that are compared in one task
 
@@ -173,31 +174,49 @@ def _sized(size: int):
     return run
 
 
-def _assessed(size: int, limit: np.uint64):
-    """Tokens below the limit and their documents, per group of texts."""
+def _assessed(size: int, limit: np.uint64, bits: int):
+    """Tokens below the limit and their documents per batch, packed by the first ``bits`` bits of the token."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             low = [x[:np.searchsorted(x, limit)] for _, part in _sets(batch, size) for x in part]
             token, n = np.unique(np.concatenate([*low, np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], names=["token", "n"])
+            bucket = (token >> np.uint64(64 - bits)).astype(np.int64)
+            begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+            spans = list(zip(begin, np.append(begin[1:], len(token))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[begin]), pa.array([token[i:j].tobytes() for i, j in spans], pa.binary()),
+                 pa.array([n[i:j].astype(np.uint32).tobytes() for i, j in spans], pa.binary())], names=["bucket", "tokens", "counts"])
     return run
 
 
+def _summed(parts: list) -> list:
+    """The parts (tokens, counts) as one, each token once."""
+    token, n = (np.concatenate(c) for c in zip(*parts))
+    by = np.argsort(token)
+    token, n = token[by], n[by]
+    begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    return [(token[begin], np.add.reduceat(n, begin))]
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the tokens that stand in several documents; rows come sorted by token."""
-    last, sum_ = np.zeros(0, np.int64), 0        # the token that goes on, and its documents so far
+    """Tokens that stand in several documents, with their number; rows come sorted by bucket."""
+    def done(parts: list) -> pa.RecordBatch:
+        token, n = _summed(parts)[0]
+        return pa.RecordBatch.from_arrays([pa.array(token[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["token", "n"])
+
+    last, parts, waiting = None, [], 0
     for batch in batches:
-        token, n = (c.to_numpy() for c in batch.columns)
-        if not len(token):
-            continue
-        token, n = np.concatenate([last, token]), np.concatenate([np.full(len(last), sum_), n])
-        begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-        total = np.add.reduceat(n, begin)
-        last, sum_ = token[-1:], int(total[-1])
-        token, total = token[begin[:-1]], total[:-1]
-        yield pa.RecordBatch.from_arrays([pa.array(token[total > 1]), pa.array(total[total > 1])], names=["token", "n"])
-    if sum_ > 1:
-        yield pa.RecordBatch.from_arrays([pa.array(last), pa.array([sum_], pa.int64())], names=["token", "n"])
+        for bucket, tokens, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            if bucket != last and parts:
+                yield done(parts)
+                parts, waiting = [], 0
+            last = bucket
+            parts.append((np.frombuffer(tokens, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64)))
+            waiting += len(parts[-1][0])
+            if waiting > 4 * BUCKET:        # a frequent token comes once with every batch
+                parts, waiting = _summed(parts), 0
+    if parts:
+        yield done(parts)
 
 
 def _signed(size: int, percent: int, limit: np.uint64, several, frequent):
@@ -441,9 +460,11 @@ def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame,
                          .where("doc_id is not null and not coalesce(stands, false)").select("doc_id"), "join-copies")
     reps = rows_not_in(texts.where("doc_id is not null"), copies, "doc_id", ID_BITS)
     limit = np.uint64(min(1.0, ASSESSED * (1 - percent / 100)) * float((1 << 64) - 2048))
-    # most tokens stand once: sorting them takes less memory than a hash map, and no map before the shuffle helps
-    counted = materialize(reps.mapInArrow(_assessed(size, limit), "token long, n long")
-                          .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token")
+    # most tokens stand once, so they travel packed, in buckets whose number grows with the tokens
+    tokens = slim.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first()["n"]
+    bits = max(10, (tokens // BUCKET).bit_length())
+    counted = materialize(reps.mapInArrow(_assessed(size, limit, bits), "bucket long, tokens binary, counts binary")
+                          .repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket")
                           .mapInArrow(_repeated, "token long, n long"), "join-tokens")
     place = F.col("token").bitwiseAND(F.lit(TOKEN_BITS - 1))
     several = spark.sparkContext.broadcast(bitmap(counted, place, TOKEN_BITS))
