@@ -90,12 +90,17 @@ def distinct_counts(vf: DataFrame) -> DataFrame:
 
 
 def _row_key(df: DataFrame, cols: list[str], digest: bool) -> list[Column]:
-    """Grouping key of a whole row: string columns as SHA-256 digests (32
-    bytes travel through the shuffle instead of whole texts; a null stays
-    null, so grouping remains null-safe), other columns as they are."""
+    """Grouping key of a whole row: one SHA-256 digest of its string columns
+    (32 bytes are held and travel instead of whole texts; each text is preceded
+    by its length and a null stands apart, so no two rows are written alike),
+    other columns as they are."""
     types = dict(df.dtypes)
-    return [F.sha2(F.col(c), 256).alias(c) if digest and types[c] == "string" else F.col(c)
-            for c in cols]
+    texts = [c for c in cols if types[c] == "string"] if digest else []
+    plain = [F.col(c) for c in cols if c not in texts]
+    if not texts:
+        return plain
+    parts = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in texts]
+    return [F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256)).alias("_row_digest"), *plain]
 
 
 def distinct_counts_approx(df: DataFrame, rsd: float = 0.01, columns: list[str] | None = None) -> DataFrame:
@@ -130,8 +135,9 @@ def duplicate_examples(df: DataFrame, k: int = K.DUPLICATE_EXAMPLES_K, exclude=(
     cols = [c for c in df.columns if c not in set(exclude)]
     order = [F.col(c).asc_nulls_last() for c in cols]
     if digest:
-        keyed = df.select(*cols, *[c.alias(f"_d{i}") for i, c in enumerate(_row_key(df, cols, True))])
-        dkeys = [f"_d{i}" for i in range(len(cols))]
+        keys = _row_key(df, cols, True)
+        dkeys = [f"_d{i}" for i in range(len(keys))]
+        keyed = df.select(*cols, *[c.alias(d) for c, d in zip(keys, dkeys, strict=True)])
         dup = keyed.groupBy(*dkeys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
         cond = None
         for d in dkeys:

@@ -81,3 +81,15 @@ def test_distinct_counts_approx_close_to_exact(spark):
     approx = {r.variable: r.distinct_values for r in profile.distinct_counts_approx(d).collect()}
     for k, v in exact.items():
         assert abs(approx[k] - v) <= max(2, 0.05 * v), (k, v, approx[k])
+
+
+def test_row_digest_is_one_and_tells_rows_apart(spark):
+    rows = [("a", "b", 1), ("ab", "", 1), ("", "ab", 1), (None, "ab", 1), ("-", "ab", 1), ("a", "b", 2), ("1:a", "b", 1),
+            ("a", "1:b", 1), (None, None, 1), ("-", "-", 1), ("a", "b", None)]
+    df = spark.createDataFrame(rows + rows[:2], "p string, q string, k int")
+    assert profile.duplicate_count(df).first().duplicates == 2
+    key = df.select(*profile._row_key(df, df.columns, True))
+    assert [t for _, t in key.dtypes] == ["binary", "int"] and key.distinct().count() == len(rows)
+    assert {len(bytes(r[0])) for r in key.collect()} == {32}
+    ex = profile.duplicate_examples(df).collect()
+    assert [tuple(r) for r in ex] == [("a", "b", 1)] * 2 + [("ab", "", 1)] * 2
