@@ -1,8 +1,7 @@
 """The text predicates and transforms as functions of Spark SQL.
 
 ``register(spark)`` creates temporary SQL functions, which Catalyst inlines
-like the column expressions of ``functions.text``; only the category key calls an
-Arrow UDF, for values beyond ASCII.  Null gives what the column form gives.
+like the column expressions of ``functions.text``.  Null gives what the column form gives.
 """
 
 from __future__ import annotations
@@ -26,6 +25,8 @@ def _bodies() -> dict[str, tuple[str, str]]:
 
     tokens = ", ".join(literal(t) for t in K.DISGUISED_NULL_TOKENS)
     letters_or_digits = literal("[0-9A-Za-zÀ-ÿ]")
+    mapped, to, several = category.tables()
+    long = ", ".join(literal(x) for pair in several.items() for x in pair)
     return {
         "ws_strip": ("string", f"btrim(v, {literal(tx.WS_CHARS)})"),
         "normalize_ws": ("string", f"regexp_replace(ws_strip(v), {literal(tx.J_MULTI_WS)}, ' ')"),
@@ -47,6 +48,9 @@ def _bodies() -> dict[str, tuple[str, str]]:
         "shape_signature": ("string", f"regexp_replace(v, {letters_or_digits}, 'A')"),
         "token_sort": ("string", "case when ws_strip(v) = '' then '' else array_join(array_sort(split(ws_strip(v), "
                                  f"{literal(tx.J_SPLIT_WS)})), ' ') end"),
+        "without_marks": ("string", f"translate(case when v rlike {literal('[' + ''.join(several) + ']')} then array_join(transform("
+                                    f"regexp_extract_all(v, '(?s).', 0), c -> coalesce(element_at(map({long}), c), c)), '') "
+                                    f"else v end, {literal(mapped)}, {literal(to)})"),
         "category_key": ("string", "btrim(regexp_replace(case when upper(ws_strip(v)) rlike '[^\\\\x00-\\\\x7f]' "
                                    "then without_marks(upper(ws_strip(v))) else upper(ws_strip(v)) end, '[^A-Z0-9]+', ' '))"),
     }
@@ -57,6 +61,5 @@ NAMES = tuple(_bodies())
 
 def register(spark: SparkSession) -> None:
     """Create (or replace) the functions in the session."""
-    spark.udf.register("without_marks", category._without_marks)
     for name, (kind, body) in _bodies().items():
         spark.sql(f"create or replace temporary function {name}(v string) returns {kind} return {body}")

@@ -93,3 +93,29 @@ def test_row_digest_is_one_and_tells_rows_apart(spark):
     assert {len(bytes(r[0])) for r in key.collect()} == {32}
     ex = profile.duplicate_examples(df).collect()
     assert [tuple(r) for r in ex] == [("a", "b", 1)] * 2 + [("ab", "", 1)] * 2
+
+
+def 
+
+def test_category_key_of_every_character_needs_no_python(spark):
+    import contextlib
+    import io
+    import re
+    import unicodedata
+    from dqspark.functions import sql as SQLF
+    from dqspark.functions.category import category_key
+
+    def plain(v):
+        t = "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c))
+        return " ".join(re.findall("[A-Z0-9]+", t))
+    points = [x for x in range(0x80, 0x110000) if not 0xD800 <= x < 0xE000 and unicodedata.category(chr(x)) not in ("Cn", "Co")]
+    df = spark.createDataFrame([(i, "X" + "Y".join(map(chr, points[i:i + 64])) + "Z") for i in range(0, len(points), 64)],
+                               "i int, v string").selectExpr("*", "upper(v) as u")
+    SQLF.register(spark)
+    got = df.select("u", category_key("v").alias("key"), F.expr("category_key(v)").alias("sql"))
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        got.explain()
+    assert "Python" not in shown.getvalue() and "ArrowEval" not in shown.getvalue()
+    rows = got.collect()
+    assert len(rows) > 2000 and [r.key for r in rows] == [plain(r.u.strip()) for r in rows] and all(r.key == r.sql for r in rows)
