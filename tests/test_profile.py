@@ -119,3 +119,11 @@ def test_category_key_of_every_character_needs_no_python(spark):
     assert "Python" not in shown.getvalue() and "ArrowEval" not in shown.getvalue()
     rows = got.collect()
     assert len(rows) > 2000 and [r.key for r in rows] == [plain(r.u.strip()) for r in rows] and all(r.key == r.sql for r in rows)
+
+
+def test_dirty_registry_is_dealt_to_all_tasks(spark):
+    from dqspark.sources.tables import dirty_registry
+    d = dirty_registry(spark, "/root/testdata/sf0.01")
+    per = [r["count"] for r in d.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(per) == many and max(per) <= 2 * sum(per) / many
