@@ -69,6 +69,7 @@ ROUNDS = 3                  # in which components try their nearest pair before
 BUCKET = 1 << 19            # tokens of a bucket in which they are counted, about
 SPREAD = 1 << 17            # pairs of rows compared at once
 BLOCK = 1024                # rows of a signature that are compared in one task
+SEEN = 1 << 17              # pairs a task remembers, so that it gives each once however many signatures they share
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -345,8 +346,15 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
 
 
 def _in_blocks(percent: int):
-    """Pairs of different components of each pair of blocks (sig, i, j) that sizes and bitmaps allow, with their differing bits."""
-    def judge(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components of each pair of blocks (sig, i, j) that sizes and bitmaps allow, with their differing bits.
+
+    Near copies share thousands of signatures: a task gives a pair of rows once, as far as it remembers.
+    """
+    def unseen(found: pa.Table, seen: pa.Table | None) -> pa.Table:
+        found = found.group_by(["a", "b", "apart"], use_threads=False).aggregate([])
+        return found if seen is None else found.join(seen, ["a", "b", "apart"], join_type="left anti", use_threads=False)
+
+    def judge(rows: pa.Table) -> Iterator[pa.Table]:
         sig, i, j, block, doc, n, part = (rows[c].to_numpy() for c in ("sig", "i", "j", "block", "doc_id", "n", "component"))
         bits = _bits(rows["bits"].combine_chunks())
         new = np.ones(len(rows), bool)
@@ -366,11 +374,21 @@ def _in_blocks(percent: int):
             keep = _near(bits[left], bits[right], n[left], n[right], percent)
             left, right = left[keep], right[keep]
             x, y = doc[left], doc[right]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(
+            yield pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(
                 np.bitwise_count(bits[left] ^ bits[right]).sum(-1, dtype=np.int32))], names=["a", "b", "apart"])
             r = e
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = None
+        for found in compared(batches):
+            if not len(found):
+                continue
+            fresh = unseen(found, seen)
+            yield from fresh.to_batches()
+            if len(fresh):
+                seen = fresh if seen is None or len(seen) > SEEN else pa.concat_tables([seen, fresh]).combine_chunks()
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held = None
         for batch in batches:
             rows = pa.Table.from_batches([batch])
@@ -394,10 +412,13 @@ def _completed(signed: DataFrame, part: DataFrame, percent: int) -> DataFrame:
     placed = materialize(signed.join(part.withColumnRenamed("id", "doc_id"), "doc_id", "left")
                          .withColumn("component", F.coalesce("component", "doc_id")), "join-placed")
     rows = placed.select(F.explode("sigs").alias("sig"), "doc_id", "n", "component")
-    per = rows.groupBy("sig").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = materialize(per.where("low <> high").select("sig", "rows"), "join-mixed")
+    per = rows.groupBy("sig").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"),
+                                  F.try_sum(F.shiftrightunsigned(F.xxhash64("doc_id", "n"), 12)).alias("held"))
+    # signatures of the same rows give the same pairs: one stands for them (a sum beyond 64 bits stands alone)
+    mixed = materialize(per.where("low <> high").groupBy("rows", "low", "high", "held", F.expr("if(held is null, sig, null)"))
+                        .agg(F.min("sig").alias("sig")).select("sig", "rows"), "join-mixed")
     # only large signatures need to know their largest component
-    large = mixed.where(F.col("rows") > BLOCK).select("sig")
+    large = materialize(mixed.where(F.col("rows") > BLOCK).select("sig"), "join-large")     # few, so broadcast by its size
     main = (rows.join(large, "sig", "left_semi").groupBy("sig", "component").agg(F.count("*").alias("m"))
             .groupBy("sig").agg(F.max(F.struct("m", "component")).alias("m")))
     blocks = materialize(mixed.join(main, "sig", "left").select(
@@ -416,8 +437,15 @@ def _completed(signed: DataFrame, part: DataFrame, percent: int) -> DataFrame:
                        "join-completed")
 
 
-def _nearest_first(rest: DataFrame, edges: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``edges`` and the links among the pairs ``rest``.
+def joined(part: DataFrame, more: DataFrame) -> DataFrame:
+    """Components ``part`` after the edges ``more`` (u, v) have joined some of them."""
+    if more.isEmpty():
+        return part
+    return components(part.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more))
+
+
+def _nearest_first(rest: DataFrame, part: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The components ``part`` joined by the links among the pairs ``rest``.
 
     In each of ``ROUNDS`` rounds every component tries the pair whose bitmaps
     differ least; pairs that have come to lie in one component need no check.
@@ -432,21 +460,21 @@ def _nearest_first(rest: DataFrame, edges: DataFrame, docs: DataFrame, size: int
 
     for _ in range(ROUNDS):
         if rest.isEmpty():
-            return edges
-        left = materialize(apart(components(edges)), "join-apart")
+            return part
+        left = materialize(apart(part), "join-apart")
         best = F.min(F.struct("apart", "a", "b")).alias("m")
         chosen = (left.groupBy("p").agg(best).select("m.a", "m.b").union(left.groupBy("q").agg(best).select("m.a", "m.b")))
         chosen = materialize(chosen.distinct(), "join-chosen")
-        edges = edges.union(verified(chosen, docs, size, percent))
+        part = joined(part, verified(chosen, docs, size, percent))
         rest = materialize(left.select("a", "b", "apart").join(chosen, ["a", "b"], "left_anti"), "join-rest")
-    left = materialize(apart(components(edges)).select("a", "b"), "join-last")
-    return edges if left.isEmpty() else edges.union(verified(left, docs, size, percent))
+    left = materialize(apart(part).select("a", "b"), "join-last")
+    return part if left.isEmpty() else joined(part, verified(left, docs, size, percent))
 
 
 def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n_shingles, set_key, rep: smallest id with the set) and edges ``u, v``.
 
-    The edges join every linked pair of different sets, directly or by other edges.
+    The edges join every linked pair of different sets, by way of the smallest id of their component.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -481,9 +509,10 @@ def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame,
     y = bits.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
     first = materialize(pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y")
                         .mapInArrow(_alike(percent), "a long, b long").distinct(), "join-first")
-    edges = verified(likely(first, reps, size, percent).select("a", "b"), reps, size, percent)
-    rest = materialize(_completed(signed, components(edges), percent).join(first, ["a", "b"], "left_anti"), "join-rest")
-    edges = _nearest_first(likely(rest, reps, size, percent), edges, reps, size, percent)
+    part = components(verified(likely(first, reps, size, percent).select("a", "b"), reps, size, percent))
+    rest = materialize(_completed(signed, part, percent).join(first, ["a", "b"], "left_anti"), "join-rest")
+    part = _nearest_first(likely(rest, reps, size, percent), part, reps, size, percent)
+    edges = part.select(F.col("id").alias("u"), F.col("component").alias("v"))
     # an id with several texts joins their sets
     several_sets = known.groupBy("doc_id").agg((F.min("set_key") != F.max("set_key")).alias("mixed")).where("mixed").select("doc_id")
     own = placed.join(several_sets, "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))

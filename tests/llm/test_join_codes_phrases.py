@@ -272,3 +272,33 @@ def test_fine_bitmaps_never_differ_more_than_their_sets():
         bits = jaccard.apart(jaccard.fine_parity(x), jaccard.fine_parity(y))
         assert bits <= n + m - 2 * common and bits == jaccard.apart(jaccard.fine_parity(y), jaccard.fine_parity(x))
         assert bits >= 0.5 * min(n + m - 2 * common, m) or n < 10 or m < n / 2
+
+
+def test_pairs_of_many_shared_signatures_are_given_once(spark, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from dqspark.llm import jaccard
+    from dqspark.llm.components import components
+    sets = [np.unique(np.random.default_rng(1).integers(0, 1 << 60, 40, np.uint64)) for _ in range(3)]
+    rows = [(s, 0, 0, 0, d, 40, d, jaccard.parity(x).tobytes()) for s in range(300) for d, x in enumerate(sets)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)],
+                                       names=["sig", "i", "j", "block", "doc_id", "n", "component", "bits"])
+    for spread in (jaccard.SPREAD, 50):
+        monkeypatch.setattr(jaccard, "SPREAD", spread)
+        out = pa.Table.from_batches(jaccard._in_blocks(85)(batch.slice(k, 100) for k in range(0, 900, 100)))
+        assert sorted(zip(out["a"].to_pylist(), out["b"].to_pylist(), out["apart"].to_pylist())) == [(0, 1, 0), (0, 2, 0), (1, 2, 0)]
+    # signatures of the same rows stand for one another, others don't
+    signed = spark.createDataFrame([(1, 40, [7, 8, 9]), (2, 40, [7, 8]), (3, 40, [9, 10]), (4, 40, [10, 11])],
+                                   "doc_id long, n long, sigs array<long>").withColumn("bits", F.lit(jaccard.parity(sets[0]).tobytes()))
+    none = components(spark.createDataFrame([], "u long, v long"))
+    names = []
+    written = jaccard.materialize
+
+    def noted(df, name):
+        names.append((name, written(df, name)))
+        return names[-1][1]
+    monkeypatch.setattr(jaccard, "materialize", noted)
+    got = {(r.a, r.b) for r in jaccard._completed(signed, none, 85).collect()}
+    assert got == {(1, 2), (1, 3), (3, 4)}
+    assert dict(names)["join-mixed"].count() == 3         # of 7 and 8 one is looked at, 11 not at all
