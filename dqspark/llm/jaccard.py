@@ -27,10 +27,13 @@ and is no signature.  The filters' false positives cost time, never a link.
 Verification, in two rounds.  First, within the ``CHAINS`` smallest signatures
 of each document, sorted by the number of rare tokens, every row meets the first
 and the next one: pairs are linear in the documents, and a group of near copies
-hangs on its core.  Then, with the
+hangs on its core.  A large signature's rows stand in several tasks; all of them
+meet its first row, wherever that is.  Then, with the
 components so far, all signatures that still hold several are completed: all pairs
 of different components, the rows of its largest component only with the others,
-in blocks dealt over the tasks.  A parity bitmap of each set (its differing bits
+in blocks dealt over the tasks.  Near copies share thousands of signatures, in as
+many tasks as there are; a pair is given at the smallest one that both have, as far
+as it is among the ``LEAST`` smallest of each.  A parity bitmap of each set (its differing bits
 can't outnumber the differing tokens) drops pairs before sets are read, and then
 one whose size grows with the set; of the rest every component first tries its nearest, and all pairs still apart are then
 compared on the full sets, rebuilt from the texts.  Exact copies are one
@@ -65,6 +68,8 @@ TOKEN_BITS = 1 << 24        # of the filters of tokens: 2 MB
 ID_BITS = 1 << 22
 PARITY = 1024               # bits of a set's parity bitmap
 CHAINS = 3                  # signatures of a document that are looked at first
+HEADED = 64                 # rows from which a signature's first row is sent to all others
+LEAST = 8                   # smallest signatures of a document by which a pair finds the one place where it is given
 ROUNDS = 3                  # in which components try their nearest pair before all others are checked
 BUCKET = 1 << 19            # tokens of a bucket in which they are counted, about
 SPREAD = 1 << 17            # pairs of rows compared at once
@@ -72,6 +77,7 @@ BLOCK = 1024                # rows of a signature that are compared in one task
 SEEN = 1 << 17              # pairs a task remembers, so that it gives each once however many signatures they share
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
+_NONE = np.int64((1 << 63) - 1)
 
 
 def errors(n: int, percent: int) -> int:
@@ -226,23 +232,24 @@ def _signed(size: int, percent: int, limit: np.uint64, several, frequent):
             for i, sets in _sets(batch, size):
                 made = [signatures(x, limit, several.value, frequent.value, percent) if len(x) else (0, x[:0]) for x in sets]
                 cuts = np.concatenate([[0], np.cumsum([len(s) for _, s in made])]).astype(np.int32)
-                sigs = np.concatenate([s for _, s in made]) if made else np.zeros(0, np.uint64)
+                sigs = np.concatenate([np.sort(s.view(np.int64)) for _, s in made]) if made else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(sets)), pa.array([len(x) for x in sets], pa.int64()),
                      pa.array([r for r, _ in made], pa.int32()), pa.array([parity(x).tobytes() for x in sets], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(sigs.view(np.int64)))],
+                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(sigs))],
                     names=["doc_id", "n", "rare", "bits", "sigs"])
     return run
 
 
 def _first_and_next(percent: int):
-    """Pairs of each row with the first row of its signature and with the row before it (rows are sorted)."""
+    """Pairs of each row with the first row of its signature, with the row before it and with its head (rows are sorted)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None         # first and last row of the run that goes on
         for batch in batches:
-            sig, rare, doc, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            sig, rare, doc, n, head, head_n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             if not len(sig):
                 continue
+            heads = (head, doc, head_n, n)
             if held is not None:
                 sig, doc, n = (np.concatenate([h, c]) for h, c in zip(held, (sig, doc, n)))
             new = np.ones(len(sig), bool)
@@ -251,8 +258,9 @@ def _first_and_next(percent: int):
             i = np.flatnonzero(~new)
             right = np.concatenate([i, i])
             left = np.concatenate([first[i], i - 1])
-            fits = (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])) & (doc[left] != doc[right])
-            a, b = doc[left[fits]], doc[right[fits]]
+            a, b, x, y = (np.concatenate(c) for c in zip((doc[left], doc[right], n[left], n[right]), heads))
+            fits = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (a != b)
+            a, b = a[fits], b[fits]
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
             keep = [first[-1], len(sig) - 1] if first[-1] < len(sig) - 1 else [len(sig) - 1]
@@ -271,6 +279,24 @@ def _bits(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), PARITY // 64)
 
 
+def _padded(lists: pa.ListArray) -> np.ndarray:
+    """Lists of at most LEAST signatures as rows of one array."""
+    out = np.full((len(lists), LEAST), _NONE)
+    out[np.arange(LEAST) < lists.value_lengths().to_numpy()[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def _least_common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest signature in both rows, or a number that none exceeds.
+
+    As the rows hold a document's smallest ones, a common one is the smallest that the documents share.
+    """
+    out = np.full(len(x), _NONE)
+    for k in range(LEAST):
+        out = np.minimum(out, np.where((y == x[:, k:k + 1]).any(1), x[:, k], _NONE))
+    return out
+
+
 def _alike(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -348,7 +374,8 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
 def _in_blocks(percent: int):
     """Pairs of different components of each pair of blocks (sig, i, j) that sizes and bitmaps allow, with their differing bits.
 
-    Near copies share thousands of signatures: a task gives a pair of rows once, as far as it remembers.
+    Near copies share thousands of signatures: where the rows bring their smallest ones (``low``, ascending), a pair is
+    left to the smallest common one, and a task gives a pair of rows once, as far as it remembers.
     """
     def unseen(found: pa.Table, seen: pa.Table | None) -> pa.Table:
         found = found.group_by(["a", "b", "apart"], use_threads=False).aggregate([])
@@ -357,6 +384,7 @@ def _in_blocks(percent: int):
     def judge(rows: pa.Table) -> Iterator[pa.Table]:
         sig, i, j, block, doc, n, part = (rows[c].to_numpy() for c in ("sig", "i", "j", "block", "doc_id", "n", "component"))
         bits = _bits(rows["bits"].combine_chunks())
+        low = _padded(rows["low"].combine_chunks()) if "low" in rows.column_names else None
         new = np.ones(len(rows), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         starts = np.flatnonzero(new)
@@ -373,6 +401,9 @@ def _in_blocks(percent: int):
             left, right = left[keep], right[keep]
             keep = _near(bits[left], bits[right], n[left], n[right], percent)
             left, right = left[keep], right[keep]
+            if low is not None:
+                keep = sig[left] <= _least_common(low[left], low[right])
+                left, right = left[keep], right[keep]
             x, y = doc[left], doc[right]
             yield pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(
                 np.bitwise_count(bits[left] ^ bits[right]).sum(-1, dtype=np.int32))], names=["a", "b", "apart"])
@@ -408,7 +439,7 @@ def _in_blocks(percent: int):
 
 
 def _completed(signed: DataFrame, part: DataFrame, percent: int) -> DataFrame:
-    """``a, b, apart``: pairs of different components that share a signature, as far as sizes and bitmaps allow."""
+    """``a, b, apart``: pairs of different components that share a signature (ascending), as far as sizes and bitmaps allow."""
     placed = materialize(signed.join(part.withColumnRenamed("id", "doc_id"), "doc_id", "left")
                          .withColumn("component", F.coalesce("component", "doc_id")), "join-placed")
     rows = placed.select(F.explode("sigs").alias("sig"), "doc_id", "n", "component")
@@ -429,9 +460,10 @@ def _completed(signed: DataFrame, part: DataFrame, percent: int) -> DataFrame:
                              "explode(sequence(0, if(is_main, others, others + mains) - 1)) as other")
     dealt = dealt.selectExpr("sig", "cast(least(block, other) as long) as i", "cast(greatest(block, other) as long) as j",
                              "cast(block as long) as block", "doc_id", "n", "component")
-    bits = placed.select("doc_id", "n", "bits").distinct()
+    # the smallest signature stands for those of the same rows, so the smallest common one of a pair is always looked at
+    bits = placed.select("doc_id", "n", "bits", F.slice("sigs", 1, LEAST).alias("low")).distinct()
     key = ["sig", "i", "j"]
-    jobs = dealt.join(bits, ["doc_id", "n"]).select(*key, "block", "doc_id", "n", "component", "bits")
+    jobs = dealt.join(bits, ["doc_id", "n"]).select(*key, "block", "doc_id", "n", "component", "bits", "low")
     return materialize(jobs.repartition(shuffle_partitions(signed.sparkSession), *key).sortWithinPartitions(*key)
                        .mapInArrow(_in_blocks(percent), "a long, b long, apart int").groupBy("a", "b").agg(F.min("apart").alias("apart")),
                        "join-completed")
@@ -502,6 +534,11 @@ def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame,
                          "join-signed")
     order = ["sig", "rare", "doc_id"]
     rows = signed.select(F.explode(F.slice("sigs", 1, CHAINS)).alias("sig"), "rare", "doc_id", "n")
+    heads = materialize(rows.groupBy("sig").agg(F.count("*").alias("rows"), F.min(F.struct("rare", "doc_id", "n")).alias("first"))
+                        .where(F.col("rows") > HEADED).select("sig", F.col("first.doc_id").alias("head"), F.col("first.n").alias("head_n")),
+                        "join-heads")       # few, so broadcast by their size
+    rows = rows.join(heads, "sig", "left").select("sig", "rare", "doc_id", "n", F.coalesce("head", "doc_id").alias("head"),
+                                                  F.coalesce("head_n", "n").alias("head_n"))
     pairs = materialize(rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
                         .mapInArrow(_first_and_next(percent), "a long, b long").distinct(), "join-pairs")
     bits = signed.select("doc_id", "n", "bits").distinct()

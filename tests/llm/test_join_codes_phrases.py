@@ -302,3 +302,78 @@ def test_pairs_of_many_shared_signatures_are_given_once(spark, monkeypatch):
     got = {(r.a, r.b) for r in jaccard._completed(signed, none, 85).collect()}
     assert got == {(1, 2), (1, 3), (3, 4)}
     assert dict(names)["join-mixed"].count() == 3         # of 7 and 8 one is looked at, 11 not at all
+
+
+def test_tasks_leave_a_pair_to_its_smallest_signature():
+    """Of tasks that see the same near copies at other signatures one gives a pair."""
+    import pyarrow as pa
+    bits = jaccard.parity(np.unique(np.random.default_rng(1).integers(0, 1 << 60, 40, np.uint64))).tobytes()
+    sigs = {1: list(range(40)), 2: list(range(3, 40)), 3: list(range(38, 43)), 4: [41]}
+    given = []
+    for s in range(43):
+        at = [d for d in sigs if s in sigs[d]]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([v] * len(at), pa.int64()) for v in (s, 0, 0, 0)] + [pa.array(at, pa.int64()), pa.array([40] * len(at), pa.int64()),
+             pa.array(at, pa.int64()), pa.array([bits] * len(at), pa.binary()),
+             pa.array([sigs[d][:jaccard.LEAST] for d in at], pa.list_(pa.int64()))],
+            names=["sig", "i", "j", "block", "doc_id", "n", "component", "bits", "low"])
+        for out in jaccard._in_blocks(85)(iter([batch])):
+            given += [(s, *p) for p in zip(out["a"].to_pylist(), out["b"].to_pylist())]
+    assert [g for g in given if g[1:] == (1, 2)] == [(3, 1, 2)]
+    assert [g for g in given if g[1:] == (3, 4)] == [(41, 3, 4)]
+    # not among the smallest of both: at each
+    assert [g[0] for g in given if g[1:] == (1, 3)] == [38, 39] and [g[0] for g in given if g[1:] == (2, 3)] == [38, 39]
+    assert len(given) == 6
+
+
+def test_completed_gives_every_pair_that_shares_a_signature(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from dqspark.llm.components import components
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    rng = random.Random(12)
+    rows = [(d, 40, sorted(rng.sample(range(-30, 30), rng.choice([1, 2, 5, 14])))) for d in range(40)]
+    rows += [(3, 40, [-31, 5, 29]), (4, 40, [-31, 31]), (3, 41, [30]), (5, 40, [30, 31])]       # ids with several texts
+    edges = [(1, 2), (1, 6), (1, 7), (8, 9)]
+    part = components(spark.createDataFrame(edges, "u long, v long"))
+    group = {2: 1, 6: 1, 7: 1, 9: 8}
+    expected = {(min(a, b), max(a, b)) for (a, _, x), (b, _, y) in itertools.combinations(rows, 2)
+                if set(x) & set(y) and group.get(a, a) != group.get(b, b)}
+    bits = jaccard.parity(np.unique(np.random.default_rng(1).integers(0, 1 << 60, 40, np.uint64))).tobytes()
+    signed = spark.createDataFrame(rows, "doc_id long, n long, sigs array<long>").withColumn("bits", F.lit(bits))
+    got = [(r.a, r.b) for r in jaccard._completed(signed, part, 85).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_rows_of_a_large_signature_meet_its_first_one_in_all_tasks(spark, monkeypatch):
+    """Near copies hang on their core however many tasks their rows stand in."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 300):
+        w = list(base)
+        for at in rng.sample(range(300), 2):
+            w[at] = f"x{k}-{at}"
+        rows.append((k, " ".join(w)))
+    found = {}
+    written = jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: found.setdefault(name, []).append(written(df, name)) or found[name][-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = joined(spark, rows)
+        pairs = {(r.a, r.b) for r in found["join-pairs"][0].collect()}
+        signed = [r for r in found["join-signed"][0].collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {c for _, c in got.values()} == {0}
+    large = 0
+    chains = [(s, r.rare, r.doc_id, r.n) for r in signed for s in r.sigs[:jaccard.CHAINS]]
+    for _, chain in itertools.groupby(sorted(chains), lambda c: c[0]):
+        (_, _, first, n), *others = chain
+        if len(others) > 64:
+            large += 1
+            assert all((min(first, d), max(first, d)) in pairs for _, _, d, m in others if 100 * min(n, m) >= 85 * max(n, m))
+    assert large
