@@ -5,7 +5,8 @@ table shrinks to stars whose centre is the smallest id of the component.
 Every round is one job that writes its edges to the shared folder, so the
 lineage stays short and a lost executor costs one round.  The rows of a node
 with very many edges are dealt to ``SALTS`` tasks.  Nothing but two sums per
-round, observed while writing, reaches the driver.
+round, observed while writing, reaches the driver; one of them, the number of
+edges, sets the number of files of the next round.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from dqspark.llm.common import materialize
 
 SALTS = 4
+EDGES = 1 << 16             # that a round writes to a file; more only where shuffle partitions are fewer
 
 
 def _with_smallest(edges: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges, before = _written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                              .distinct())
     while before[0]:
-        edges, after = _written(_round(edges))
+        edges, after = _written(_round(edges).coalesce(-(-before[0] // EDGES)))
         if after == before:
             break
         before = after

@@ -3,8 +3,9 @@
 import random
 
 import numpy as np
+import pytest
 
-from dqspark.llm import forest
+from dqspark.llm import components, forest
 from tests.llm import brute
 
 
@@ -56,3 +57,35 @@ def test_overlaps_and_spanning():
     linked = np.zeros((4, 4), bool)
     linked[[0, 1, 1, 3], [1, 1, 2, 0]] = True
     assert sorted(forest.spanning(linked)) == [(0, 1, False), (0, 1, True), (0, 2, True), (3, 0, True)]
+
+
+@pytest.fixture
+def written(spark, monkeypatch):
+    """(name, files) of the tables written meanwhile, with 16 partitions that Spark doesn't coalesce."""
+    out = []
+
+    def record(df, name, write=components.materialize):
+        table = write(df, name)
+        out.append((name, len(table.inputFiles())))
+        return table
+
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for module in (components, forest):
+        monkeypatch.setattr(module, "materialize", record)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield out
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_rounds_of_components_write_files_by_their_edges(spark, written, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 600) if i % 100 != 99], "u long, v long")
+    expected = sorted((i, i // 100 * 100) for i in range(600))
+    assert sorted(map(tuple, components.components(edges).collect())) == expected
+    assert len(written) > 2 and {n for _, n in written[1:]} == {1}
+    written.clear()
+    monkeypatch.setattr(components, "EDGES", 100)
+    assert sorted(map(tuple, components.components(edges).collect())) == expected
+    assert {n for _, n in written[1:]} == {6}
