@@ -89,3 +89,19 @@ def test_rounds_of_components_write_files_by_their_edges(spark, written, monkeyp
     monkeypatch.setattr(components, "EDGES", 100)
     assert sorted(map(tuple, components.components(edges).collect())) == expected
     assert {n for _, n in written[1:]} == {6}
+
+
+def test_tables_that_are_read_once_are_not_written(spark, written):
+    """A prefix with more rows than a window, in several components, so that all steps run."""
+    rng = random.Random(5)
+    template = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(40):
+        words = template + [f"p{i}x{k}" for k in range(55)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, _edited(rng, words, 14))]
+    got = forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.near_groups(rows)
+    names = {name for name, _ in written}
+    assert "forest-finished" in names and "components" in names
+    assert not names & {"forest-pair-ids", "forest-crowded", "forest-full", "forest-components"}
+    assert sum(name == "forest-sets-of" for name, _ in written) == 2
